@@ -45,10 +45,13 @@ def action_of(topics: Column) -> Column:
 
 
 def _parsed(df: DataFrame, topics: str, data: str) -> DataFrame:
-    # A bare array payload means the same as {"vec": […]}.
-    text = F.ltrim(F.col(data))
-    whole = F.when(text.startswith("["), F.concat(F.lit('{"vec":'), text, F.lit("}"))).otherwise(text)
-    return df.withColumns({"_t": F.from_json(F.col(topics), _TOPICS), "_d": F.from_json(whole, _DATA)})
+    # Some auction payloads are a bare array; of those only the head is read.
+    bare = F.ltrim(F.col(data)).startswith("[")
+    return df.withColumns({
+        "_t": F.from_json(F.col(topics), _TOPICS),
+        "_d": F.from_json(F.when(~bare, F.col(data)), _DATA),
+        "_bare": F.when(bare, F.col(data)),
+    })
 
 
 def _topic(i: int, field: str) -> Column:
@@ -73,6 +76,10 @@ class _Payload:
     def vec_field(self, i: int, field: str) -> Column:
         return scalar_text(F.get(F.col("_d")["vec"], i)[field])
 
+    def head_field(self, field: str) -> Column:
+        """Field of the first payload element, wrapped in ``vec`` or bare."""
+        return F.coalesce(self.vec_field(0, field), json_scalar(F.col("_bare"), f"$[0].{field}"))
+
     def _auction_assets(self, slot: int, side: int) -> Column:
         return F.get(F.get(F.col("_d")["vec"], slot)["map"], side)["val"]["map"]
 
@@ -135,8 +142,8 @@ def decode_actions(
         _by_action(a, [((*AUCTION_ACTIONS, "claim"), F.lit(None).cast("decimal(38,18)"))],
                    implied_rate(d.vec(0), d.vec(1))).alias("implied_rate"),
         _by_action(a, [(AUCTION_ACTIONS, _topic(1, "u32"))]).alias("auction_type"),
-        _by_action(a, [(["fill_auction"], d.vec_field(0, "address"))]).alias("filler_address"),
-        _by_action(a, [(["new_auction"], d.vec_field(0, "u32")), (["fill_auction"], d.vec(1))])
+        _by_action(a, [(["fill_auction"], d.head_field("address"))]).alias("filler_address"),
+        _by_action(a, [(["new_auction"], d.head_field("u32")), (["fill_auction"], d.vec(1))])
         .alias("liquidation_percent"),
         _by_action(a, [(AUCTION_ACTIONS, d.first_asset(BID))]).alias("bid_asset"),
         _by_action(a, [(AUCTION_ACTIONS, d.first_amount(BID))]).alias("bid_amount"),

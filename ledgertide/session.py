@@ -17,6 +17,7 @@ def build_session(app: str, cpus: str | None = None, shuffle_partitions: int | N
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if cpus:
         builder = builder.master(f"local[{cpus}]").config("spark.driver.memory", "12g")

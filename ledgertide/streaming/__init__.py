@@ -1,0 +1 @@
+"""Structured Streaming jobs that keep the curated tables current."""
