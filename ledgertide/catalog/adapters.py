@@ -131,7 +131,7 @@ class Tables:
         """Latest state per pool and asset, in the shape of the reserve feed."""
         rows = self.ev().groupBy("pool_id", F.col("asset_address").alias("asset_id")).agg(
             F.max("event_id").alias("ledger_sequence"), F.max_by("cents", "event_id").alias("c"),
-            F.max_by("k", "event_id").alias("k"))
+            F.max_by("k", "event_id").cast("long").alias("k"))
         c, k = F.col("c"), F.col("k")
         big = "decimal(38,0)"
         return rows.select(

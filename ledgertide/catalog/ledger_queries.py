@@ -235,26 +235,28 @@ def lp_price_daily(t: Tables):
     return snapshots.lp_prices(t.lp_state(), "LPTOKEN").select(day("price_date"), "ledger_sequence", *r6("lp_token_price"))
 
 
+_BALANCES = ("supply_balance", "collateral_balance", "debt_balance", "net_balance")
+
 # --- balances -----------------------------------------------------------------
 
 @query(with_tables("""
 SELECT p.pool_id, p.user_address, p.asset_address, CAST(p.snapshot_date AS VARCHAR) AS snapshot_date, p.ledger_sequence,
-       round(p.supply_btokens * r.b_rate, 6) AS supply_balance, round(p.collateral_btokens * r.b_rate, 6) AS collateral_balance,
-       round(p.liabilities_dtokens * r.d_rate, 6) AS debt_balance,
-       round((p.supply_btokens + p.collateral_btokens) * r.b_rate - p.liabilities_dtokens * r.d_rate, 6) AS net_balance
+       round(p.supply_btokens * r.b_rate, 9) AS supply_balance, round(p.collateral_btokens * r.b_rate, 9) AS collateral_balance,
+       round(p.liabilities_dtokens * r.d_rate, 9) AS debt_balance,
+       round((p.supply_btokens + p.collateral_btokens) * r.b_rate - p.liabilities_dtokens * r.d_rate, 9) AS net_balance
 FROM (SELECT * FROM positions WHERE snapshot_date = (SELECT max(snapshot_date) FROM positions)
       QUALIFY row_number() OVER (PARTITION BY pool_id, user_address, asset_address ORDER BY ledger_sequence DESC) = 1) p
 JOIN snapshots r USING (pool_id, asset_address, snapshot_date)""", "positions", "snapshots"))
 def user_balance_latest(t: Tables):
     out = balances.user_balance(t.positions(), t.snapshots())
     return out.select("pool_id", "user_address", "asset_address", day("snapshot_date"), "ledger_sequence",
-                      *r6("supply_balance", "collateral_balance", "debt_balance", "net_balance"))
+                      *[F.round(c, 9).alias(c) for c in _BALANCES])
 
 
 @query(with_tables("""
 SELECT pool_id, user_address, asset_address, CAST(d AS VARCHAR) AS snapshot_date, position_date, ledger_sequence,
-       round(b, 9) AS b_rate, round(s * b, 6) AS supply_balance, round(c * b, 6) AS collateral_balance,
-       round(l * r, 6) AS debt_balance, round((s + c) * b - l * r, 6) AS net_balance
+       round(b, 9) AS b_rate, round(s * b, 9) AS supply_balance, round(c * b, 9) AS collateral_balance,
+       round(l * r, 9) AS debt_balance, round((s + c) * b - l * r, 9) AS net_balance
 FROM (
   SELECT g.pool_id, g.user_address, g.asset_address, g.d, CAST(p.snapshot_date AS VARCHAR) AS position_date, p.ledger_sequence,
          p.supply_btokens AS s, p.collateral_btokens AS c, p.liabilities_dtokens AS l,
@@ -272,7 +274,7 @@ def balance_history(t: Tables):
     out = balances.balance_history(t.positions(), t.snapshots(), "2024-01-10", "2024-01-31")
     return out.select("pool_id", "user_address", "asset_address", day("snapshot_date"), day("position_date"),
                       "ledger_sequence", F.round("b_rate", 9).alias("b_rate"),
-                      *r6("supply_balance", "collateral_balance", "debt_balance", "net_balance"))
+                      *[F.round(c, 9).alias(c) for c in _BALANCES])
 
 
 # --- derived views ------------------------------------------------------------

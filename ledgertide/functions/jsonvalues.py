@@ -26,14 +26,21 @@ def scalar_text(text: Column) -> Column:
     return _scalar_only(text)
 
 
-def i128_text(text: Column, low_word_only: bool = False) -> Column:
+def i128_halves(text: Column) -> Column:
+    """``{hi, lo}`` of an integer that is given as an object, else NULL."""
+    return F.from_json(F.when(text.startswith("{"), text), "struct<hi:string,lo:string>")
+
+
+def i128_text(text: Column, low_word_only: bool = False, halves: Column | None = None) -> Column:
     """Decimal digits of a 128-bit integer given as scalar text or ``{hi, lo}``.
 
     With ``low_word_only`` the high word is ignored, as older backfills did.
-    A value that needs 39 digits becomes NULL; ``decode`` reports such rows.
+    A value that needs 39 digits becomes NULL; typed tables reject such rows.
+    ``halves`` is :func:`i128_halves` of the same text from an earlier projection
+    (hot paths parse it there once instead of once per use).
     """
-    low = F.get_json_object(text, "$.lo")
-    high = F.get_json_object(text, "$.hi")
+    halves = i128_halves(text) if halves is None else halves
+    low, high = halves["lo"], halves["hi"]
     if low_word_only:
         nested = low
     else:

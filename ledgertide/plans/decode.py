@@ -17,7 +17,7 @@ from ..constants import (
     RESERVE_CONFIG, RESERVE_DATA, TOTAL_SHARES,
 )
 from ..functions.identity import content_id
-from ..functions.jsonvalues import i128_text, json_scalar, map_by_key, scalar_text
+from ..functions.jsonvalues import i128_halves, i128_text, json_scalar, map_by_key, scalar_text
 from ..functions.numbers import scaled_amount, scaled_rate
 
 # Columns whose texts make up the identity of an event, in this order.
@@ -41,7 +41,9 @@ ACTION_SYMBOL_PATH = "$[0].symbol"
 
 
 def action_of(topics: Column) -> Column:
-    return json_scalar(topics, ACTION_SYMBOL_PATH)
+    """First topic symbol.  Always compared with known names, so a nested value
+    (whose text starts with a brace) needs no guard of its own."""
+    return F.get_json_object(topics, ACTION_SYMBOL_PATH)
 
 
 def _parsed(df: DataFrame, topics: str, data: str) -> DataFrame:
@@ -54,47 +56,44 @@ def _parsed(df: DataFrame, topics: str, data: str) -> DataFrame:
     })
 
 
-def _topic(i: int, field: str) -> Column:
-    return scalar_text(F.get(F.col("_t"), i)[field])
+def _fields(df: DataFrame, topics: str, data: str, low_word_only: bool) -> DataFrame:
+    """Every part of an event that some rule reads, each extracted once.
 
+    A layer of its own: the rules read the parts several times, and an integer
+    that may be nested costs too much to be repeated in each of them.
+    """
+    parsed = _parsed(df, topics, data)
+    payload = F.col("_d")
 
-class _Payload:
-    """Accessors over the parsed payload; amounts come back as digit texts."""
-
-    def __init__(self, low_word_only: bool):
-        self.low = low_word_only
-
-    def _int(self, text: Column) -> Column:
-        return i128_text(text, self.low)
-
-    def vec(self, i: int) -> Column:
-        return self._int(F.get(F.col("_d")["vec"], i)["i128"])
-
-    def whole(self) -> Column:
-        return self._int(F.col("_d")["i128"])
+    def topic(i: int, field: str) -> Column:
+        return scalar_text(F.get(F.col("_t"), i)[field])
 
-    def vec_field(self, i: int, field: str) -> Column:
-        return scalar_text(F.get(F.col("_d")["vec"], i)[field])
+    def integer(text: Column) -> Column:
+        return i128_text(text, low_word_only)
 
-    def head_field(self, field: str) -> Column:
-        """Field of the first payload element, wrapped in ``vec`` or bare."""
-        return F.coalesce(self.vec_field(0, field), json_scalar(F.col("_bare"), f"$[0].{field}"))
+    def element(i: int) -> Column:
+        return F.get(payload["vec"], i)
 
-    def _auction_assets(self, slot: int, side: int) -> Column:
-        return F.get(F.get(F.col("_d")["vec"], slot)["map"], side)["val"]["map"]
+    def head(field: str) -> Column:
+        # First element of the payload, whether wrapped in `vec` or bare.
+        return F.coalesce(scalar_text(element(0)[field]), json_scalar(F.col("_bare"), f"$[0].{field}"))
 
-    def first_asset(self, side: int) -> Column:
-        firsts = [F.get(self._auction_assets(slot, side), 0) for slot in (1, 2)]
-        return F.coalesce(*[scalar_text(e["key"]["address"]) for e in firsts])
+    def side(slot: int, n: int) -> Column:
+        return F.get(element(slot)["map"], n)["val"]["map"]
 
-    def first_amount(self, side: int) -> Column:
-        firsts = [F.get(self._auction_assets(slot, side), 0) for slot in (1, 2)]
-        return F.coalesce(*[self._int(e["val"]["i128"]) for e in firsts])
+    def holdings(n: int) -> Column:
+        return F.transform(F.coalesce(side(1, n), side(2, n)), lambda e: F.struct(
+            scalar_text(e["key"]["address"]).alias("asset"), integer(e["val"]["i128"]).alias("amount")))
 
-    def all_assets(self, side: int) -> Column:
-        entries = F.coalesce(*[self._auction_assets(slot, side) for slot in (1, 2)])
-        return F.transform(entries, lambda e: F.struct(
-            scalar_text(e["key"]["address"]).alias("asset"), self._int(e["val"]["i128"]).alias("amount")))
+    numbers = {"vec0": element(0)["i128"], "vec1": element(1)["i128"], "whole": payload["i128"]}
+    # Two layers: an integer given as an object is parsed in the first, used in the second.
+    halves = parsed.withColumns({f"_{n}_halves": i128_halves(text) for n, text in numbers.items()})
+    return halves.withColumns({
+        **{n: i128_text(text, low_word_only, F.col(f"_{n}_halves")) for n, text in numbers.items()},
+        "topic1_address": topic(1, "address"), "topic2_address": topic(2, "address"), "topic1_u32": topic(1, "u32"),
+        "vec1_u64": scalar_text(element(1)["u64"]), "head_address": head("address"), "head_u32": head("u32"),
+        "bids": holdings(BID), "lots": holdings(LOT),
+    })
 
 
 BID, LOT = 0, 2
@@ -124,33 +123,34 @@ def decode_actions(
     Amounts stay digit texts here: the identity is over texts, and a value beyond
     38 digits must not vanish before it can be reported (``typed_actions``).
     """
-    d = _Payload(low_word_only)
-    a = F.col("action_type")
-    nothing = F.lit(None).cast("string")
-    rows = _parsed(df.withColumn("action_type", action_of(F.col(topics))), topics, data).select(
+    a, nothing = F.col("action_type"), F.lit(None).cast("string")
+    plain_actions = (*AUCTION_ACTIONS, "claim")
+    first_bid, first_lot = F.get("bids", 0), F.get("lots", 0)
+    parts = _fields(df.withColumn("action_type", action_of(F.col(topics))), topics, data, low_word_only)
+    rows = parts.select(
         F.col("contract_id").alias("pool_id"), "transaction_hash", "ledger_sequence",
         F.col(closed_at).alias("ledger_closed_at"), "action_type",
-        _by_action(a, [(["claim"], _topic(2, "address")), (AUCTION_ACTIONS, nothing)], _topic(1, "address"))
+        _by_action(a, [(["claim"], F.col("topic2_address")), (AUCTION_ACTIONS, nothing)], F.col("topic1_address"))
         .alias("asset_address"),
         _by_action(a, [
-            (["claim"], _topic(1, "address")),
-            (AUCTION_ACTIONS, F.coalesce(_topic(2, "address"), _topic(1, "address"))),
-        ], _topic(2, "address")).alias("user_address"),
-        _by_action(a, [(AUCTION_ACTIONS, nothing), (["claim"], d.vec(1))], F.coalesce(d.vec(0), d.whole()))
+            (["claim"], F.col("topic1_address")),
+            (AUCTION_ACTIONS, F.coalesce("topic2_address", "topic1_address")),
+        ], F.col("topic2_address")).alias("user_address"),
+        _by_action(a, [(AUCTION_ACTIONS, nothing), (["claim"], F.col("vec1"))], F.coalesce("vec0", "whole"))
         .alias("amount_underlying"),
-        _by_action(a, [((*AUCTION_ACTIONS, "claim"), nothing)], d.vec(1)).alias("amount_tokens"),
-        _by_action(a, [((*AUCTION_ACTIONS, "claim"), F.lit(None).cast("decimal(38,18)"))],
-                   implied_rate(d.vec(0), d.vec(1))).alias("implied_rate"),
-        _by_action(a, [(AUCTION_ACTIONS, _topic(1, "u32"))]).alias("auction_type"),
-        _by_action(a, [(["fill_auction"], d.head_field("address"))]).alias("filler_address"),
-        _by_action(a, [(["new_auction"], d.head_field("u32")), (["fill_auction"], d.vec(1))])
+        _by_action(a, [(plain_actions, nothing)], F.col("vec1")).alias("amount_tokens"),
+        _by_action(a, [(plain_actions, F.lit(None).cast("decimal(38,18)"))],
+                   implied_rate(F.col("vec0"), F.col("vec1"))).alias("implied_rate"),
+        _by_action(a, [(AUCTION_ACTIONS, F.col("topic1_u32"))]).alias("auction_type"),
+        _by_action(a, [(["fill_auction"], F.col("head_address"))]).alias("filler_address"),
+        _by_action(a, [(["new_auction"], F.col("head_u32")), (["fill_auction"], F.col("vec1"))])
         .alias("liquidation_percent"),
-        _by_action(a, [(AUCTION_ACTIONS, d.first_asset(BID))]).alias("bid_asset"),
-        _by_action(a, [(AUCTION_ACTIONS, d.first_amount(BID))]).alias("bid_amount"),
-        _by_action(a, [(AUCTION_ACTIONS, d.first_asset(LOT))]).alias("lot_asset"),
-        _by_action(a, [(AUCTION_ACTIONS, d.first_amount(LOT))]).alias("lot_amount"),
-        _by_action(a, [(AUCTION_ACTIONS, d.all_assets(BID))]).alias("bid_assets"),
-        _by_action(a, [(AUCTION_ACTIONS, d.all_assets(LOT))]).alias("lot_assets"),
+        _by_action(a, [(AUCTION_ACTIONS, first_bid["asset"])]).alias("bid_asset"),
+        _by_action(a, [(AUCTION_ACTIONS, first_bid["amount"])]).alias("bid_amount"),
+        _by_action(a, [(AUCTION_ACTIONS, first_lot["asset"])]).alias("lot_asset"),
+        _by_action(a, [(AUCTION_ACTIONS, first_lot["amount"])]).alias("lot_amount"),
+        _by_action(a, [(AUCTION_ACTIONS, F.col("bids"))]).alias("bid_assets"),
+        _by_action(a, [(AUCTION_ACTIONS, F.col("lots"))]).alias("lot_assets"),
     )
     return rows.select(content_id("ledger_sequence", ACTION_IDENTITY).alias("id"), "*")
 
@@ -164,23 +164,20 @@ def decode_backstop(
     ``draw`` and ``gulp_emissions`` carry no LP-token amount, so they do not move
     running totals of it.
     """
-    d = _Payload(low_word_only)
-    a = F.col("action_type")
-    nothing = F.lit(None).cast("string")
-    rows = _parsed(df.withColumn("action_type", action_of(F.col(topics))), topics, data).select(
+    a, nothing = F.col("action_type"), F.lit(None).cast("string")
+    parts = _fields(df.withColumn("action_type", action_of(F.col(topics))), topics, data, low_word_only)
+    rows = parts.select(
         "transaction_hash", "ledger_sequence", F.col(closed_at).alias("ledger_closed_at"), "action_type",
-        _by_action(a, [(["claim"], nothing)], _topic(1, "address")).alias("pool_address"),
-        _by_action(a, [(["claim"], _topic(1, "address")), (["gulp_emissions", "draw"], nothing)],
-                   _topic(2, "address")).alias("user_address"),
-        _by_action(a, [(["deposit"], d.vec(0)), (["withdraw"], d.vec(1)), (["claim", "donate"], d.whole())])
-        .alias("lp_tokens"),
-        _by_action(a, [
-            (["deposit"], d.vec(1)), (["withdraw", "queue_withdrawal"], d.vec(0)),
-            (["dequeue_withdrawal"], d.whole()),
-        ]).alias("shares"),
-        _by_action(a, [(["queue_withdrawal"], d.vec_field(1, "u64"))]).alias("q4w_exp"),
-        _by_action(a, [(["gulp_emissions"], d.vec(0))]).alias("emissions_amount"),
-        _by_action(a, [(["gulp_emissions"], d.vec(1))]).alias("emissions_shares"),
+        _by_action(a, [(["claim"], nothing)], F.col("topic1_address")).alias("pool_address"),
+        _by_action(a, [(["claim"], F.col("topic1_address")), (["gulp_emissions", "draw"], nothing)],
+                   F.col("topic2_address")).alias("user_address"),
+        _by_action(a, [(["deposit"], F.col("vec0")), (["withdraw"], F.col("vec1")),
+                       (["claim", "donate"], F.col("whole"))]).alias("lp_tokens"),
+        _by_action(a, [(["deposit"], F.col("vec1")), (["withdraw", "queue_withdrawal"], F.col("vec0")),
+                       (["dequeue_withdrawal"], F.col("whole"))]).alias("shares"),
+        _by_action(a, [(["queue_withdrawal"], F.col("vec1_u64"))]).alias("q4w_exp"),
+        _by_action(a, [(["gulp_emissions"], F.col("vec0"))]).alias("emissions_amount"),
+        _by_action(a, [(["gulp_emissions"], F.col("vec1"))]).alias("emissions_shares"),
     )
     return rows.select(content_id("ledger_sequence", BACKSTOP_IDENTITY).alias("id"), "*")
 
@@ -216,13 +213,13 @@ COLLATERAL, LIABILITIES, SUPPLY = 0, 1, 2
 
 def entry_type(key_decoded: Column) -> Column:
     """Kind of a state entry: Positions, ResData, ResConfig or Unknown."""
-    symbol = json_scalar(key_decoded, "$.vec[0].symbol")
+    symbol = F.get_json_object(key_decoded, "$.vec[0].symbol")
     return F.when(symbol.isin(POSITIONS, RESERVE_DATA, RESERVE_CONFIG), symbol).otherwise("Unknown")
 
 
 def entries_of(df: DataFrame, kind: str, include_deleted: bool = False) -> DataFrame:
     """Entries of one kind, with the address from their key as ``key_address``."""
-    df = df.filter(json_scalar(F.col("key_decoded"), "$.vec[0].symbol") == kind)
+    df = df.filter(F.get_json_object("key_decoded", "$.vec[0].symbol") == kind)
     if not include_deleted:
         df = df.filter(~F.col("deleted"))
     return df.withColumn("key_address", json_scalar(F.col("key_decoded"), "$.vec[1].address"))

@@ -48,7 +48,7 @@ def price_sources(prices: DataFrame) -> DataFrame:
 def source_count_table(prices: DataFrame, sources: Sequence[str] | None = None) -> DataFrame:
     """Records per token spread to one column per source, 0 where there are none."""
     grouped = prices.groupBy("token_address")
-    pivoted = (grouped.pivot("source", list(sources)) if sources else grouped.pivot("source")).agg(F.count("*"))
+    pivoted = (grouped.pivot("source", list(sources)) if sources else grouped.pivot("source")).agg(F.count(F.lit(1)))
     return pivoted.na.fill(0)
 
 

@@ -63,9 +63,13 @@ def normalise_close_time(df: DataFrame, column: str = "ledger_closed_at") -> Dat
     return df
 
 
-def stream_state_batches(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Micro-batches of state changes: JSON files ``{events: […], timestamp, network}``."""
-    reader = spark.readStream.schema(schemas.STATE_BATCH).option("multiLine", True)
+def stream_state_batches(spark: SparkSession, path: str, max_files: int | None = None,
+                         one_per_line: bool = True) -> DataFrame:
+    """Micro-batches of state changes: JSON payloads ``{events: […], timestamp, network}``.
+
+    A file holds one payload per line, or (``one_per_line=False``) a single one.
+    """
+    reader = spark.readStream.schema(schemas.STATE_BATCH).option("multiLine", not one_per_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)
