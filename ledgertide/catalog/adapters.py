@@ -11,18 +11,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
+
+# Declared, so that no footer has to be read to plan a query.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 
     # --- the action log and its parts ----------------------------------------
     def ev(self) -> DataFrame:
         return with_parts(self.raw("events"))
 
+    def spread_ev(self) -> DataFrame:
+        """The same rows for the JSON logs, whose building and decoding is CPU-bound."""
+        return with_parts(spread(self.raw("events")))
+
     def actions(self) -> DataFrame:
         t = F.col("event_type")
         return self.ev().select(
@@ -77,7 +99,9 @@ class Tables:
         """Token prices per day: highest extended price of the part that day."""
         return self.raw("lineitem").groupBy(
             _text("A", F.col("l_partkey")).alias("token_address"), F.to_date("l_shipdate").alias("price_date"),
-        ).agg((F.max("l_extendedprice") / 1000.0).alias("usd_price"), F.max("l_returnflag").alias("source"))
+        ).agg((F.max("l_extendedprice") / 1000.0).alias("usd_price"),
+              # Greatest flag as a number: a string maximum would force a sort-based aggregation.
+              F.char(F.max(F.ascii("l_returnflag"))).alias("source"))
 
     def day_prices(self) -> DataFrame:
         """Prices of assets, reward token (RWD) and LP token (LP) by event day."""
@@ -159,7 +183,7 @@ class Tables:
         """Contract-event log of the lending pools, in every encoding the decoder knows."""
         e = F.col("event_id")
         auction = F.when(e % 3 == 0, "claim").when(e % 3 == 1, "new_auction").otherwise("fill_auction")
-        df = self.ev().withColumn("a", _action_of_type(auction))
+        df = self.spread_ev().withColumn("a", _action_of_type(auction))
         a, u, t, k = F.col("a"), F.col("cents") * 100000, F.col("cents") * 90000 + F.col("k"), F.col("k")
         sym, asset, user = _obj("symbol", a), _obj("address", F.col("asset_address")), _obj("address", F.col("user_address"))
         topics = F.when(a == "claim", _arr(sym, user, asset)).when(
@@ -187,7 +211,7 @@ class Tables:
             purchase=F.when(e % 2 == 0, "queue_withdrawal").otherwise("dequeue_withdrawal"),
             view=F.when(k % 2 == 0, "donate").otherwise("draw"),
             error=F.when(k % 2 == 0, "claim").otherwise("gulp_emissions"))
-        df = self.ev().withColumn("a", a)
+        df = self.spread_ev().withColumn("a", a)
         a, u, t = F.col("a"), F.col("cents") * 100000, F.col("cents") * 90000 + k
         sym, pool, user = _obj("symbol", a), _obj("address", F.col("pool_id")), _obj("address", F.col("user_address"))
         topics = F.when(a == "claim", _arr(sym, user)).when(a == "gulp_emissions", _arr(sym, pool)).otherwise(
@@ -203,7 +227,7 @@ class Tables:
     def state(self) -> DataFrame:
         """State log of the pools: reserve data, reserve configuration and positions."""
         t, idx, c, k = F.col("event_type"), F.col("idx"), F.col("cents"), F.col("k")
-        df = self.ev().withColumn("idx", (F.floor(F.col("k") / 5) % 4).cast("int")).withColumn(
+        df = self.spread_ev().withColumn("idx", (F.floor(F.col("k") / 5) % 4).cast("int")).withColumn(
             "reserve_asset", F.concat(F.lit("R"), F.col("pool_id"), F.lit("_"), F.col("idx").cast("string")))
         kind = _pick(t, view="ResData", error="ResConfig", signup="Positions", click="Positions", purchase="Positions")
         address = F.when(t.isin("view", "error"), F.col("reserve_asset")).otherwise(F.col("user_address"))
@@ -223,7 +247,7 @@ class Tables:
 
     def lp_state(self) -> DataFrame:
         """State log of backstop and LP contract: balances, total shares, record data."""
-        ev, c, k = self.ev(), F.col("cents"), F.col("k")
+        ev, c, k = self.spread_ev(), F.col("cents"), F.col("k")
         shares = F.when(k == 0, F.lit(0)).otherwise(c * 100)
         balance = _listed_map(_obj("i128", c), _obj("i128", shares), _obj("i128", c * 110))
 

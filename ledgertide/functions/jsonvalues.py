@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _TWO_64 = "18446744073709551616"
@@ -52,15 +54,25 @@ def i128_text(text: Column, low_word_only: bool = False, halves: Column | None =
     return F.when(text.startswith("{"), nested).when(~text.startswith("["), text)
 
 
-def map_by_key(entries: Column, value: str) -> Column:
-    """``array<struct<key:struct<u32>, val:struct<…>>>`` → ``map<int, string>``.
+def keys_of(entries: Column) -> Column:
+    """Distinct integer keys of ``array<struct<key:struct<u32>, val:…>>``, in order."""
+    keyed = F.filter(entries, lambda e: e["key"]["u32"].isNotNull())
+    return F.array_distinct(F.transform(keyed, lambda e: e["key"]["u32"].cast("int")))
+
+
+def find_by_key(entries: Column, key: Column | int) -> Column:
+    """First entry with this integer key, NULL where there is none."""
+    return F.get(F.filter(entries, lambda e: e["key"]["u32"].cast("int") == key), 0)
 
-    Entries without a key are dropped and of equal keys the first counts.
+
+def with_integers(df: DataFrame, texts: Mapping[str, Column], low_word_only: bool = False) -> DataFrame:
+    """Adds 128-bit integers as digit texts, each source text taken and parsed once.
+
+    Three thin projections: an integer's text is looked at several times, so the
+    expression that finds it, and the parse of a nested one, get their own.
     """
-    keyed = F.filter(entries, lambda e: e["key"]["u32"].isNotNull())
-    keys = F.array_distinct(F.transform(keyed, lambda e: e["key"]["u32"].cast("int")))
-    return F.map_from_arrays(
-        keys,
-        F.transform(keys, lambda k: F.get(
-            F.transform(F.filter(keyed, lambda e: e["key"]["u32"].cast("int") == k), lambda e: e["val"][value]), 0)),
-    )
+    found = df.withColumns({f"_{n}_text": text for n, text in texts.items()})
+    halves = found.withColumns({f"_{n}_halves": i128_halves(F.col(f"_{n}_text")) for n in texts})
+    return halves.withColumns({
+        n: i128_text(F.col(f"_{n}_text"), low_word_only, F.col(f"_{n}_halves")) for n in texts
+    }).drop(*[f"_{n}_{part}" for n in texts for part in ("text", "halves")])

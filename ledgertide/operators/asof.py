@@ -3,17 +3,19 @@
 Shape of the plan, chosen so that one hot key cannot end up in one task:
 
 * What has to be resolved is only the set of distinct ``(key, tick)`` points of
-  the left side, and of the right side only one row per ``(key, tick)``; both
-  come from map-side combined aggregations.
-* Points and facts are unioned and windowed per ``(key, bucket)`` where a bucket
-  is a fixed run of ticks.  Since both sides hold a tick at most once, a window
-  group has at most ``2 * bucket_ticks`` rows however skewed the key is.
+  the left side, and of the right side only one row per ``(key, tick)``.  Both
+  come out of one map-side combined aggregation.
+* That timeline is shuffled once by ``(key, bucket)``, a bucket being a fixed run
+  of ticks.  It holds each tick once, so a window group has at most
+  ``bucket_ticks`` rows however skewed the key is.
 * A bucket without an earlier fact inside it takes the last fact of an earlier
   bucket: one summary row per ``(key, bucket)``, windowed per key.
 * The resolved points go back to the left rows by an equi-join on
   ``(key, tick)``, which adaptive execution may split or broadcast.
 
-Nothing grows quadratically, and no side is broadcast by hint.
+Nothing grows quadratically, and no side is broadcast by hint.  The left side is
+read twice (its points, then its rows): where it is costly to compute, cut it
+first (:func:`ledgertide.session.cut`).
 """
 
 from __future__ import annotations
@@ -58,37 +60,32 @@ def asof_join(
     right_tick, _ = _ticks(right, right_ts)
     width = F.lit(bucket_ticks or default_ticks)
 
-    def usable(df: DataFrame, tick: Column) -> DataFrame:
-        df = df.withColumn("_tick", tick).filter(F.col("_tick").isNotNull())
-        for k in on:
-            df = df.filter(F.col(k).isNotNull())
-        return df
-
     value = F.struct(*[F.col(c).alias(c) for c in cols])
     order = F.struct(*[F.col(c) for c in tie_cols]) if tie_cols else value
-    facts = (
-        usable(right, right_tick)
-        .groupBy(*on, "_tick")
-        .agg(F.max_by(value, order).alias("_value"))
-    )
-    value_type = facts.schema["_value"].dataType
-    points = (
-        usable(left, left_tick).select(*on, "_tick").distinct()
-        .withColumn("_value", F.lit(None).cast(value_type))
-        .withColumn("_is_point", F.lit(1))
-    )
+
+    def usable(df: DataFrame, tick: Column, **more: Column) -> DataFrame:
+        rows = df.select(*on, tick.alias("_tick"), *[c.alias(name) for name, c in more.items()])
+        for k in [*on, "_tick"]:
+            rows = rows.filter(F.col(k).isNotNull())
+        return rows
+
+    facts = usable(right, right_tick, _value=value, _order=order, _is_point=F.lit(False))
+    no_value, no_order = (F.lit(None).cast(facts.schema[c].dataType) for c in ("_value", "_order"))
+    points = usable(left, left_tick, _value=no_value, _order=no_order, _is_point=F.lit(True))
+    # Rows without an order do not take part in max_by, so points never hide a fact.
     timeline = (
-        facts.withColumn("_is_point", F.lit(0)).unionByName(points)
+        facts.unionByName(points).groupBy(*on, "_tick")
+        .agg(F.max_by("_value", "_order").alias("_value"), F.bool_or("_is_point").alias("_is_point"))
         .withColumn("_bucket", F.floor(F.col("_tick") / width).cast("long"))
+        .repartition(*on, "_bucket")
     )
 
-    in_bucket = Window.partitionBy(*on, "_bucket").orderBy("_tick", "_is_point").rowsBetween(
+    in_bucket = Window.partitionBy(*on, "_bucket").orderBy("_tick").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    within = timeline.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_bucket)).filter(
-        F.col("_is_point") == 1)
+    within = timeline.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_bucket)).filter("_is_point")
 
     summary = timeline.groupBy(*on, "_bucket").agg(
-        F.max_by("_value", F.when(F.col("_is_point") == 0, F.col("_tick"))).alias("_closing"))
+        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_tick"))).alias("_closing"))
     earlier = Window.partitionBy(*on).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(*on, "_bucket", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"))
 

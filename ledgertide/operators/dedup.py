@@ -37,6 +37,9 @@ def earliest_per(df: DataFrame, keys: Sequence[str | Column], order_cols: Sequen
 
 
 def _pick(df, keys, order_cols, cols, choose) -> DataFrame:
+    if len(cols) == 1 and len(order_cols) == 1:
+        # Fixed-width value and order aggregate by hash, a struct only by sorting.
+        return df.groupBy(*keys).agg(choose(F.col(cols[0]), F.col(order_cols[0])).alias(cols[0]))
     picked = df.groupBy(*keys).agg(
         choose(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order_cols])).alias("_row"))
     names = [c for c in picked.columns if c != "_row"]

@@ -83,6 +83,9 @@ def upsert(
     Of several source rows with one key the last by ``order_cols`` counts.  The
     counts are taken from the staged rows, so nothing is computed twice.
 
+    ``src`` is evaluated twice for a partitioned table (once for its days only),
+    so a caller whose source is expensive persists it.
+
     ``key_fixes_partition``: equal keys always have equal ``partition_col`` (true
     for keys that hold the date or a ledger).  Otherwise the partitions that
     already hold a matching key are looked up first and rewritten as well.
@@ -111,9 +114,9 @@ def upsert(
 
     final = staged.select(*names)
     if partition_col:
-        # Rows of one day lie in a few tasks only, so no flood of small files, but
-        # a day is split over several tasks rather than funnelled into one.
-        final = final.repartition(F.col(partition_col), F.pmod(F.xxhash64(*keys), F.lit(_FILES_PER_DAY)))
+        # Days are brought together so that each becomes few files; adaptive execution
+        # splits a day that is too large for one task and joins small ones.
+        final = final.hint("rebalance", partition_col)
         (final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
         if touched and not key_fixes_partition:
@@ -136,9 +139,6 @@ def upsert(
     }
 
 
-_FILES_PER_DAY = 8
-
-
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _fs_path(spark, source)
     fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target))

@@ -17,7 +17,7 @@ from ..constants import (
     RESERVE_CONFIG, RESERVE_DATA, TOTAL_SHARES,
 )
 from ..functions.identity import content_id
-from ..functions.jsonvalues import i128_halves, i128_text, json_scalar, map_by_key, scalar_text
+from ..functions.jsonvalues import find_by_key, i128_text, json_scalar, keys_of, scalar_text, with_integers
 from ..functions.numbers import scaled_amount, scaled_rate
 
 # Columns whose texts make up the identity of an event, in this order.
@@ -85,11 +85,9 @@ def _fields(df: DataFrame, topics: str, data: str, low_word_only: bool) -> DataF
         return F.transform(F.coalesce(side(1, n), side(2, n)), lambda e: F.struct(
             scalar_text(e["key"]["address"]).alias("asset"), integer(e["val"]["i128"]).alias("amount")))
 
-    numbers = {"vec0": element(0)["i128"], "vec1": element(1)["i128"], "whole": payload["i128"]}
-    # Two layers: an integer given as an object is parsed in the first, used in the second.
-    halves = parsed.withColumns({f"_{n}_halves": i128_halves(text) for n, text in numbers.items()})
-    return halves.withColumns({
-        **{n: i128_text(text, low_word_only, F.col(f"_{n}_halves")) for n, text in numbers.items()},
+    parts = with_integers(
+        parsed, {"vec0": element(0)["i128"], "vec1": element(1)["i128"], "whole": payload["i128"]}, low_word_only)
+    return parts.withColumns({
         "topic1_address": topic(1, "address"), "topic2_address": topic(2, "address"), "topic1_u32": topic(1, "u32"),
         "vec1_u64": scalar_text(element(1)["u64"]), "head_address": head("address"), "head_u32": head("u32"),
         "bids": holdings(BID), "lots": holdings(LOT),
@@ -227,16 +225,20 @@ def entries_of(df: DataFrame, kind: str, include_deleted: bool = False) -> DataF
 
 def _slot(entries: Column, number: int, mode: str) -> Column:
     """Entry ``number`` of a map: by its own key, or by position in the list."""
-    if mode == "position":
-        return F.get(entries, number)
-    return F.get(F.filter(entries, lambda e: e["key"]["u32"].cast("int") == number), 0)
+    return F.get(entries, number) if mode == "position" else find_by_key(entries, number)
 
 
-def _keyed(df: DataFrame, mode: str) -> DataFrame:
-    """Column ``_m`` as the parsed value map of numbers."""
+def _check_mode(mode: str) -> None:
     if mode not in ("key", "position"):
         raise ValueError(f"mode must be 'key' or 'position', not {mode!r}")
-    return df.withColumn("_m", F.from_json("val_decoded", _NUMBER_VAL)["map"])
+
+
+def _numbers(df: DataFrame, mode: str, **slots: tuple[int, str]) -> DataFrame:
+    """Numbers of a value map as digit texts: ``name=(slot, field)``."""
+    _check_mode(mode)
+    parsed = df.withColumn("_m", F.from_json("val_decoded", _NUMBER_VAL)["map"])
+    return with_integers(parsed, {
+        name: _slot(F.col("_m"), n, mode)["val"][field] for name, (n, field) in slots.items()})
 
 
 def decode_positions(df: DataFrame, mode: str = "key") -> DataFrame:
@@ -246,43 +248,28 @@ def decode_positions(df: DataFrame, mode: str = "key") -> DataFrame:
     them; ``mode="position"`` takes the place in the list as the index, as older
     backfills did (rows where any of the three slots exists).
     """
-    parsed = entries_of(df, POSITIONS).withColumn("_p", F.from_json("val_decoded", _POSITION_VAL)["map"])
-    base = [
+    _check_mode(mode)
+    p = F.col("_p")
+    sides = entries_of(df, POSITIONS).withColumn("_p", F.from_json("val_decoded", _POSITION_VAL)["map"]).select(
         F.col("contract_id").alias("pool_id"), F.col("key_address").alias("user_address"),
         F.col("closed_at").alias("snapshot_timestamp"), "ledger_sequence",
         F.col("ledger_key_hash_base_64").alias("entry_hash"), "ledger_entry_change",
-    ]
-
-    def amount(v: Column) -> Column:
-        return i128_text(v)
-
-    if mode == "position":
-        maps = {
-            name: F.get(F.col("_p"), n)["val"]["map"]
-            for name, n in (("s", SUPPLY), ("c", COLLATERAL), ("l", LIABILITIES))
-        }
-        rows = parsed.select(*base, F.posexplode(F.arrays_zip(*[m.alias(k) for k, m in maps.items()]))
-                             .alias("reserve_index", "_z"))
-        rows = rows.filter(
-            F.col("_z")["s"].isNotNull() | F.col("_z")["c"].isNotNull() | F.col("_z")["l"].isNotNull())
-        raw = {k: amount(F.col("_z")[k]["val"]["i128"]) for k in "scl"}
-    elif mode == "key":
-        def side(n: int) -> Column:
-            inner = _slot(F.col("_p"), n, "key")["val"]["map"]
-            return map_by_key(F.coalesce(inner, F.array().cast(_RESERVE_MAP)), "i128")
-
-        maps = parsed.select(*base, side(SUPPLY).alias("_s"), side(COLLATERAL).alias("_c"),
-                             side(LIABILITIES).alias("_l"))
-        indices = F.array_union(F.array_union(F.map_keys("_c"), F.map_keys("_l")), F.map_keys("_s"))
-        rows = maps.withColumn("reserve_index", F.explode(indices))
-        raw = {k: amount(F.try_element_at(F.col(f"_{k}"), F.col("reserve_index"))) for k in "scl"}
+        *[_slot(p, n, mode)["val"]["map"].alias(name)
+          for name, n in (("supply", SUPPLY), ("collateral", COLLATERAL), ("liabilities", LIABILITIES))])
+    names = ("supply", "collateral", "liabilities")
+    if mode == "key":
+        none = F.array().cast("array<int>")
+        held = [F.coalesce(keys_of(F.col(c)), none) for c in ("collateral", "liabilities", "supply")]
+        indices = F.array_union(F.array_union(held[0], held[1]), held[2])
+        entry = lambda c: find_by_key(F.col(c), F.col("reserve_index"))
     else:
-        raise ValueError(f"mode must be 'key' or 'position', not {mode!r}")
-    return rows.select(
-        "pool_id", "user_address", "snapshot_timestamp", "ledger_sequence", "entry_hash", "ledger_entry_change",
-        F.col("reserve_index").cast("int").alias("reserve_index"),
-        raw["s"].alias("supply_raw"), raw["c"].alias("collateral_raw"), raw["l"].alias("liabilities_raw"),
-    )
+        longest = F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in names])
+        indices = F.when(longest > 0, F.sequence(F.lit(0), longest - 1))
+        entry = lambda c: F.get(F.col(c), F.col("reserve_index"))
+    rows = sides.withColumn("reserve_index", F.explode(indices))
+    if mode == "position":
+        rows = rows.filter(entry("supply").isNotNull() | entry("collateral").isNotNull() | entry("liabilities").isNotNull())
+    return with_integers(rows, {f"{c}_raw": entry(c)["val"]["i128"] for c in names}).drop(*names)
 
 
 def with_position_amounts(df: DataFrame) -> DataFrame:
@@ -307,19 +294,17 @@ def has_amount(df: DataFrame) -> DataFrame:
 def decode_reserve_state(df: DataFrame, mode: str = "key", null_rate_as_zero: bool = False,
                          include_deleted: bool = False) -> DataFrame:
     """Reserve data entries → rates and supplies."""
-    parsed = _keyed(entries_of(df, RESERVE_DATA, include_deleted), mode)
-
-    def number(n: int, field: str = "i128") -> Column:
-        return i128_text(_slot(F.col("_m"), n, mode)["val"][field])
-
-    return parsed.select(
+    rows = _numbers(
+        entries_of(df, RESERVE_DATA, include_deleted), mode, _b=(0, "i128"), _bs=(1, "i128"), _d=(3, "i128"),
+        _ds=(4, "i128"), _t=(6, "u64"))
+    return rows.select(
         F.col("contract_id").alias("pool_id"), F.col("key_address").alias("asset_address"),
         F.to_date("closed_at").alias("snapshot_date"), F.col("closed_at").alias("snapshot_timestamp"),
         "ledger_sequence",
-        scaled_rate(number(0), null_rate_as_zero).alias("b_rate"),
-        scaled_rate(number(3), null_rate_as_zero).alias("d_rate"),
-        scaled_amount(number(1)).alias("b_supply"), scaled_amount(number(4)).alias("d_supply"),
-        number(6, "u64").try_cast("long").alias("last_time"), "deleted",
+        scaled_rate(F.col("_b"), null_rate_as_zero).alias("b_rate"),
+        scaled_rate(F.col("_d"), null_rate_as_zero).alias("d_rate"),
+        scaled_amount(F.col("_bs")).alias("b_supply"), scaled_amount(F.col("_ds")).alias("d_supply"),
+        F.col("_t").try_cast("long").alias("last_time"), "deleted",
     )
 
 
@@ -328,9 +313,9 @@ def decode_reserve_config(df: DataFrame, mode: str = "key", include_deleted: boo
 
     A deleted entry has no value; it comes out with index -1 and ``deleted``.
     """
-    parsed = _keyed(entries_of(df, RESERVE_CONFIG, include_deleted), mode)
-    index = scalar_text(_slot(F.col("_m"), 3, mode)["val"]["u32"]).try_cast("int")
-    return parsed.select(
+    rows = _numbers(entries_of(df, RESERVE_CONFIG, include_deleted), mode, _i=(3, "u32"))
+    index = F.col("_i").try_cast("int")
+    return rows.select(
         F.col("contract_id").alias("pool_id"), F.col("key_address").alias("asset_address"),
         F.when(F.col("deleted"), F.lit(-1)).otherwise(index).alias("reserve_index"),
         "ledger_sequence", "deleted",
@@ -361,27 +346,23 @@ def discovery_totals(mapping: DataFrame) -> DataFrame:
 
 def decode_pool_balance(df: DataFrame) -> DataFrame:
     """Backstop balance entries per pool (tombstones are not filtered here)."""
-    parsed = entries_of(df, POOL_BALANCE, include_deleted=True).withColumn(
-        "_m", F.from_json("val_decoded", _NUMBER_VAL)["map"])
-
-    def number(n: int) -> Column:
-        return i128_text(F.get(F.col("_m"), n)["val"]["i128"]).try_cast("decimal(38,0)")
-
-    return parsed.select(
+    rows = _numbers(entries_of(df, POOL_BALANCE, include_deleted=True), "position", _q=(0, "i128"), _s=(1, "i128"),
+                    _t=(2, "i128"))
+    return rows.select(
         F.col("key_address").alias("pool_address"), F.to_date("closed_at").alias("snapshot_date"),
         F.col("closed_at").alias("snapshot_timestamp"), "ledger_sequence",
-        number(1).alias("shares"), number(2).alias("tokens"), number(0).alias("q4w"),
+        *[F.col(c).try_cast("decimal(38,0)").alias(name) for c, name in (("_s", "shares"), ("_t", "tokens"), ("_q", "q4w"))],
     )
 
 
 def decode_total_shares(df: DataFrame) -> DataFrame:
-    rows = entries_of(df, TOTAL_SHARES, include_deleted=True)
-    return rows.select(
-        "ledger_sequence", F.to_date("closed_at").alias("price_date"),
-        i128_text(F.get_json_object("val_decoded", "$.i128")).try_cast("decimal(38,0)").alias("total_shares"))
+    rows = with_integers(entries_of(df, TOTAL_SHARES, include_deleted=True),
+                         {"_n": F.get_json_object("val_decoded", "$.i128")})
+    return rows.select("ledger_sequence", F.to_date("closed_at").alias("price_date"),
+                       F.col("_n").try_cast("decimal(38,0)").alias("total_shares"))
 
 
 def decode_quote_balance(df: DataFrame) -> DataFrame:
-    rows = entries_of(df, ALL_RECORD_DATA, include_deleted=True)
-    balance = i128_text(F.get_json_object("val_decoded", "$.map[0].val.map[0].val.i128"))
-    return rows.select("ledger_sequence", balance.try_cast("decimal(38,0)").alias("quote_balance"))
+    rows = with_integers(entries_of(df, ALL_RECORD_DATA, include_deleted=True),
+                         {"_n": F.get_json_object("val_decoded", "$.map[0].val.map[0].val.i128")})
+    return rows.select("ledger_sequence", F.col("_n").try_cast("decimal(38,0)").alias("quote_balance"))

@@ -27,8 +27,8 @@ def tokens_of(raw_sum: Column) -> Column:
 
 
 def latest_symbol_prices(prices: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Latest price of each token, by upper-cased symbol."""
-    latest = latest_per(prices, ["token_address"], ["price_date", "usd_price"], ["usd_price"])
+    """Latest price of each token (one price per token and day), by upper-cased symbol."""
+    latest = latest_per(prices, ["token_address"], ["price_date"], ["usd_price"])
     named = latest.join(tokens.select(F.col("asset_address").alias("token_address"), "symbol"), "token_address")
     return named.groupBy(F.upper("symbol").alias("symbol")).agg(F.max("usd_price").alias("price"))
 

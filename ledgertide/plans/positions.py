@@ -1,4 +1,8 @@
-"""Position changes from the state log, with and without as-of rates."""
+"""Position changes from the state log, with and without as-of rates.
+
+The queries with rates decode the positions once into a scratch table, because
+the as-of join reads its left side twice.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import RESERVE_DATA
 from ..functions.timewindow import date_window, ledger_range, window_bounds, between
 from ..operators.asof import asof_join
+from ..session import cut
 from . import decode
 
 _RATES = ["b_rate", "d_rate"]
@@ -53,7 +58,7 @@ def asset_position_changes(state: DataFrame, pool_id: str, asset_address: str, r
         F.col("key_address") == asset_address)
     changes = _changes(pool, opts, mode).filter(F.col("reserve_index") == reserve_index).where(verified.exists())
     rates = rate_points(pool, opts, mode).filter(F.col("asset_address") == asset_address)
-    rows = _finish(changes.distinct().withColumn("asset_address", F.lit(asset_address)))
+    rows = cut(_finish(changes.distinct().withColumn("asset_address", F.lit(asset_address))), "position-changes")
     return asof_join(rows, rates, [], "ledger_sequence", "rate_ledger", _RATES)
 
 
@@ -76,8 +81,9 @@ def position_changes_with_rates(state: DataFrame, pools: Sequence[str] | None =
         state = state.filter(F.col("contract_id").isin(list(pools)))
     mapped = _changes(state, opts, mode).join(
         decode.reserve_mapping(state, mode), ["pool_id", "reserve_index"]).drop("reserve_index")
-    return asof_join(_finish(mapped.distinct()), rate_points(state, opts, mode), ["pool_id", "asset_address"],
-                     "ledger_sequence", "rate_ledger", _RATES)
+    rows = cut(_finish(mapped.distinct()), "position-changes")
+    return asof_join(rows, rate_points(state, opts, mode), ["pool_id", "asset_address"], "ledger_sequence",
+                     "rate_ledger", _RATES)
 
 
 def user_position_changes(state: DataFrame, user: str, pool_id: str | None = None,

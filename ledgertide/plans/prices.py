@@ -21,17 +21,17 @@ def token_price_statistics(tokens: DataFrame, prices: DataFrame) -> DataFrame:
     """Per token: records, records per source, first and last day and price.
 
     One pass over the prices: per (token, source) first, then per token, where the
-    earliest and latest price ride along as ordered minimum and maximum.
+    earliest and latest price ride along with their day (a token has one price per
+    day, so the day alone decides).
     """
-    point = F.struct("price_date", "usd_price")
     per_source = prices.groupBy("token_address", "source").agg(
         F.count("*").alias("n"), F.min("price_date").alias("lo"), F.max("price_date").alias("hi"),
-        F.min(point).alias("first"), F.max(point).alias("last"))
+        F.min_by("usd_price", "price_date").alias("first"), F.max_by("usd_price", "price_date").alias("last"))
     per_token = per_source.groupBy("token_address").agg(
         F.sum("n").alias("total_records"),
         F.sort_array(F.collect_list(F.when(F.col("source").isNotNull(), F.struct("source", "n")))).alias("_sources"),
         F.min("lo").alias("earliest_date"), F.max("hi").alias("latest_date"),
-        F.min("first")["usd_price"].alias("earliest_price"), F.max("last")["usd_price"].alias("latest_price"))
+        F.min_by("first", "lo").alias("earliest_price"), F.max_by("last", "hi").alias("latest_price"))
     empty = F.array().cast("array<struct<source:string,n:bigint>>")
     return tokens.select("asset_address", "symbol", "name").join(
         per_token.withColumnRenamed("token_address", "asset_address"), "asset_address", "left",

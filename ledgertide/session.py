@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, cpus: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -17,6 +17,8 @@ def build_session(app: str, cpus: str | None = None, shuffle_partitions: int | N
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column costs more than building the plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     if cpus:
@@ -37,3 +39,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     return os.path.join(tempfile.mkdtemp(prefix="ledgertide-"), label)
+
+
+def cut(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a scratch table and go on from that (runs a job).
+
+    For a costly intermediate that is read more than once: it is computed once,
+    later stages recover from the written files after a lost executor, and its
+    size is known to the planner.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy work on few unsplittable files a task per core.
+
+    Input that already has as many partitions as there are cores, as any large
+    log has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -17,13 +17,11 @@ _STREAM_COLUMNS = {"topics": "topics", "data": "data", "closed_at": "ledger_clos
 
 
 def split_and_decode(batch: DataFrame, pools: Sequence[str] | None, backstop_contract: str | None):
-    """One batch of raw events → (actions, action rejects, backstop rows, backstop rejects)."""
+    """One batch of raw events → (decoded lending rows, decoded backstop rows)."""
     batch = normalise_close_time(batch)
     lending = decode.lending_events(batch, pools, "topics")
     backstop = decode.backstop_events(batch, backstop_contract, "topics")
-    actions, bad_actions = typed_actions(decode.decode_actions(lending, **_STREAM_COLUMNS), SRC_STREAM)
-    events, bad_events = typed_backstop(decode.decode_backstop(backstop, **_STREAM_COLUMNS), SRC_STREAM)
-    return actions, bad_actions, events, bad_events
+    return decode.decode_actions(lending, **_STREAM_COLUMNS), decode.decode_backstop(backstop, **_STREAM_COLUMNS)
 
 
 def event_batch_handler(store: TableStore, pools: Sequence[str] | None, backstop_contract: str | None):
@@ -33,8 +31,10 @@ def event_batch_handler(store: TableStore, pools: Sequence[str] | None, backstop
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        lending, backstop = (d.persist() for d in split_and_decode(batch, pools, backstop_contract))
         try:
-            actions, bad_actions, events, bad_events = split_and_decode(batch, pools, backstop_contract)
+            actions, bad_actions = typed_actions(lending, SRC_STREAM)
+            events, bad_events = typed_backstop(backstop, SRC_STREAM)
             a = store.upsert("parsed_events", actions)
             b = store.upsert("backstop_events", events)
             rejects = bad_actions.select("id", "reject_reason", F.lit("parsed_events").alias("table")).unionByName(
@@ -46,7 +46,8 @@ def event_batch_handler(store: TableStore, pools: Sequence[str] | None, backstop
                 F.lit(b["updated"]).alias("backstop_updated"))
             store.write_batch("metrics", batch_id, counters)
         finally:
-            batch.unpersist()
+            for held in (lending, backstop, batch):
+                held.unpersist()
 
     return handle
 
