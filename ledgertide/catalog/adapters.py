@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import scratch_path, spread
+from ..sources import bronze
 
 
 # Declared, so that no footer has to be read to plan a query.
@@ -30,6 +31,9 @@ SCHEMAS = {
 }
 
 
+_STORED: dict[tuple[str, str, str], tuple] = {}
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -180,6 +184,41 @@ class Tables:
 
     # --- raw logs with JSON ---------------------------------------------------
     def raw_lending(self) -> DataFrame:
+        """Contract-event log of the lending pools."""
+        return self._stored("raw_lending", bronze.with_event_layout)
+
+    def raw_backstop(self) -> DataFrame:
+        """Contract-event log of the backstop."""
+        return self._stored("raw_backstop", bronze.with_event_layout)
+
+    def state(self) -> DataFrame:
+        """Contract-state log of the pools."""
+        return self._stored("state", bronze.with_state_layout)
+
+    def lp_state(self) -> DataFrame:
+        """Contract-state log of backstop and LP contract."""
+        return self._stored("lp_state", bronze.with_state_layout)
+
+    def _stored(self, name: str, layout) -> DataFrame:
+        """The log as a stored table, written on first use in a session.
+
+        The queries start, as they would on a ledger, from logs that lie in
+        storage; writing them out of ``events`` is not part of any query.
+        """
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _STORED:
+            rows = layout(getattr(self, f"_make_{name}")())
+            path = scratch_path(self.spark, name)
+            bronze.land(rows, path)
+            _STORED[key] = (path, rows.schema)
+        path, schema = _STORED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def land_logs(self) -> None:
+        for table in (self.raw_lending, self.raw_backstop, self.state, self.lp_state):
+            table()
+
+    def _make_raw_lending(self) -> DataFrame:
         """Contract-event log of the lending pools, in every encoding the decoder knows."""
         e = F.col("event_id")
         auction = F.when(e % 3 == 0, "claim").when(e % 3 == 1, "new_auction").otherwise("fill_auction")
@@ -204,7 +243,7 @@ class Tables:
             .otherwise(_vec(_int(u), _int(t))))
         return df.select(*_event_columns(F.col("pool_id")), topics.alias("topics_decoded"), data.alias("data_decoded"))
 
-    def raw_backstop(self) -> DataFrame:
+    def _make_raw_backstop(self) -> DataFrame:
         e, k = F.col("event_id"), F.col("k")
         a = _pick(
             F.col("event_type"), signup="deposit", click="withdraw",
@@ -224,7 +263,7 @@ class Tables:
             .when(a == "draw", _vec(user, _int(u))).otherwise(_int(u)))
         return df.select(*_event_columns(F.lit("BACKSTOP")), topics.alias("topics_decoded"), data.alias("data_decoded"))
 
-    def state(self) -> DataFrame:
+    def _make_state(self) -> DataFrame:
         """State log of the pools: reserve data, reserve configuration and positions."""
         t, idx, c, k = F.col("event_type"), F.col("idx"), F.col("cents"), F.col("k")
         df = self.spread_ev().withColumn("idx", (F.floor(F.col("k") / 5) % 4).cast("int")).withColumn(
@@ -245,7 +284,7 @@ class Tables:
         val = F.when(t == "view", reserve).when(t == "error", config).otherwise(position)
         return df.select(*_state_columns(F.col("pool_id")), key.alias("key_decoded"), val.alias("val_decoded"))
 
-    def lp_state(self) -> DataFrame:
+    def _make_lp_state(self) -> DataFrame:
         """State log of backstop and LP contract: balances, total shares, record data."""
         ev, c, k = self.spread_ev(), F.col("cents"), F.col("k")
         shares = F.when(k == 0, F.lit(0)).otherwise(c * 100)

@@ -55,8 +55,13 @@ def window_bounds(
 
 def between(df: DataFrame, column: str, low: datetime | None, high: datetime | None,
             partition_col: str | None = None) -> DataFrame:
-    """Keep ``low <= column < high``; literals take the column's own type."""
+    """Keep ``low <= column < high``; literals take the column's own type.
+
+    A log with a ``date`` partition column (the day of ``closed_at``) is pruned by it.
+    """
     kind = df.schema[column].dataType
+    if partition_col is None and column == "closed_at" and "date" in df.columns:
+        partition_col = "date"
     if low is not None:
         df = df.filter(F.col(column) >= F.lit(low.isoformat(sep=" ")).cast(kind))
         if partition_col:

@@ -124,7 +124,7 @@ def decode_actions(
     a, nothing = F.col("action_type"), F.lit(None).cast("string")
     plain_actions = (*AUCTION_ACTIONS, "claim")
     first_bid, first_lot = F.get("bids", 0), F.get("lots", 0)
-    parts = _fields(df.withColumn("action_type", action_of(F.col(topics))), topics, data, low_word_only)
+    parts = _fields(with_action(df, topics), topics, data, low_word_only)
     rows = parts.select(
         F.col("contract_id").alias("pool_id"), "transaction_hash", "ledger_sequence",
         F.col(closed_at).alias("ledger_closed_at"), "action_type",
@@ -163,7 +163,7 @@ def decode_backstop(
     running totals of it.
     """
     a, nothing = F.col("action_type"), F.lit(None).cast("string")
-    parts = _fields(df.withColumn("action_type", action_of(F.col(topics))), topics, data, low_word_only)
+    parts = _fields(with_action(df, topics), topics, data, low_word_only)
     rows = parts.select(
         "transaction_hash", "ledger_sequence", F.col(closed_at).alias("ledger_closed_at"), "action_type",
         _by_action(a, [(["claim"], nothing)], F.col("topic1_address")).alias("pool_address"),
@@ -197,7 +197,12 @@ def _relevant(df: DataFrame, contracts, actions, topics: str) -> DataFrame:
         df = df.filter(F.col("operation_id").isNotNull())
     if contracts is not None:
         df = df.filter(F.col("contract_id").isin(list(contracts)))
-    return df.filter(action_of(F.col(topics)).isin(*actions))
+    return with_action(df, topics).filter(F.col("action_type").isin(*actions))
+
+
+def with_action(df: DataFrame, topics: str = "topics_decoded") -> DataFrame:
+    """``action_type`` from the topics, unless the log stores it (then the scan can filter by it)."""
+    return df if "action_type" in df.columns else df.withColumn("action_type", action_of(F.col(topics)))
 
 
 # --- contract-state entries ---------------------------------------------------
@@ -217,7 +222,8 @@ def entry_type(key_decoded: Column) -> Column:
 
 def entries_of(df: DataFrame, kind: str, include_deleted: bool = False) -> DataFrame:
     """Entries of one kind, with the address from their key as ``key_address``."""
-    df = df.filter(F.get_json_object("key_decoded", "$.vec[0].symbol") == kind)
+    stored = "entry_type" in df.columns
+    df = df.filter((F.col("entry_type") if stored else F.get_json_object("key_decoded", "$.vec[0].symbol")) == kind)
     if not include_deleted:
         df = df.filter(~F.col("deleted"))
     return df.withColumn("key_address", json_scalar(F.col("key_decoded"), "$.vec[1].address"))

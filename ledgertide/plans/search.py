@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import AUCTION_ACTIONS, LEDGERS_PER_DAY
-from .decode import action_of
+from .decode import with_action
 
 
 def topic_window_search(
@@ -25,7 +25,7 @@ def topic_window_search(
     recent = events.filter(F.col("ledger_sequence") >= newest - F.lit(n_ledgers))
     if contract is not None:
         recent = recent.filter(F.col("contract_id") == contract)
-    named = recent.withColumn("action_type", action_of(F.col(topics)))
+    named = with_action(recent, topics)
     hits = named.filter(F.col("action_type") == action)
     instead = named.filter(F.col("action_type").isin(list(fallback))).where(~hits.exists())
     return hits.unionByName(instead)

@@ -27,6 +27,11 @@ CONTRACT_EVENTS = _struct(
     id=_S, type=_S, transaction_hash=_S, ledger_sequence=_L, closed_at=_TS, contract_id=_S,
     in_successful_contract_call=_B, operation_id=_L, topics_decoded=_S, data_decoded=_S,
 )
+# As stored by sources.bronze: the filter columns beside the JSON, partitioned by day.
+STORED_CONTRACT_DATA = T.StructType([
+    *CONTRACT_DATA.fields, T.StructField("entry_type", _S), T.StructField("date", _D)])
+STORED_CONTRACT_EVENTS = T.StructType([
+    *CONTRACT_EVENTS.fields, T.StructField("action_type", _S), T.StructField("date", _D)])
 STREAM_EVENTS = _struct(
     id=_S, type=_S, transaction_hash=_S, ledger_sequence=_L, ledger_closed_at=_TS, contract_id=_S,
     in_successful_contract_call=_B, topics=_S, data=_S,

@@ -16,7 +16,7 @@ def scan_state(
     first_ledger: int | None = None, last_ledger: int | None = None, **window,
 ) -> DataFrame:
     """Contract-state change log; contract, time and ledger bounds reach the scan."""
-    return _bounded(spark.read.schema(schemas.CONTRACT_DATA).parquet(path), contracts, start, end,
+    return _bounded(spark.read.schema(schemas.STORED_CONTRACT_DATA).parquet(path), contracts, start, end,
                     first_ledger, last_ledger, window)
 
 
@@ -25,7 +25,7 @@ def scan_events(
     first_ledger: int | None = None, last_ledger: int | None = None, **window,
 ) -> DataFrame:
     """Contract-event log with the same pushed-down bounds."""
-    return _bounded(spark.read.schema(schemas.CONTRACT_EVENTS).parquet(path), contracts, start, end,
+    return _bounded(spark.read.schema(schemas.STORED_CONTRACT_EVENTS).parquet(path), contracts, start, end,
                     first_ledger, last_ledger, window)
 
 
