@@ -87,7 +87,7 @@ class Tables:
             _text("A", F.col("p_partkey")).alias("asset_address"), _text("S", F.col("p_partkey")).alias("symbol"),
             F.col("p_name").alias("name"), F.lit(7).alias("decimals"), F.lit(None).cast("string").alias("icon_url"),
             F.when(size % 2 == 0, F.col("p_type")).alias("coingecko_id"),
-            F.when(size % 5 == 0, "USD").when(size % 5 == 1, "eur").alias("pegged_currency"),
+            F.when(size % 5 == 0, "USD").when(size % 5 == 1, "eur").when(size % 5 == 2, "gbp").alias("pegged_currency"),
             (F.col("p_partkey") == 0).alias("is_native"),
         )
 

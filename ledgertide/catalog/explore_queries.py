@@ -33,7 +33,7 @@ FROM (SELECT asset_symbol, {_DEP} AS d, {_WD} AS w, count(*) AS n FROM history
 LEFT JOIN symbol_prices s ON s.symbol = upper(f.asset_symbol)""", "history", "symbol_prices"))
 def aggregate_flows(t: Tables):
     prices = explore.latest_symbol_prices(t.prices(), t.tokens())
-    out = explore.aggregate_metrics(t.history(), prices, "2024-01-03", "2024-01-28")
+    out = explore.aggregate_metrics(t.actions(), t.tokens(), prices, "2024-01-03", "2024-01-28")
     return out.select(*r6("total_deposits", "total_deposits_usd", "total_withdrawals", "total_withdrawals_usd",
                           "net_flow", "net_flow_usd"), "total_events", "active_accounts")
 
@@ -46,7 +46,7 @@ FROM (SELECT asset_address, asset_symbol, asset_name, {_DEP} AS d, {_WD} AS w FR
 LEFT JOIN symbol_prices s ON s.symbol = upper(v.asset_symbol)""", "history", "symbol_prices"))
 def volume_by_asset(t: Tables):
     prices = explore.latest_symbol_prices(t.prices(), t.tokens())
-    out = explore.volume_by_token(t.history(), 7, prices)
+    out = explore.volume_by_token(t.actions(), t.tokens(), 7, prices)
     return out.select("asset_address", "asset_symbol", "asset_name",
                       *r6("deposit_volume", "withdraw_volume", "net_volume", "deposit_volume_usd"))
 
@@ -158,7 +158,7 @@ FROM (SELECT user_address, pool_id, pool_name, asset_symbol, CAST(sum(amount_und
 LEFT JOIN symbol_prices s ON s.symbol = upper(d.asset_symbol) ORDER BY rank LIMIT 25""", "history", "symbol_prices"))
 def top_depositors_ranked(t: Tables):
     prices = explore.latest_symbol_prices(t.prices(), t.tokens())
-    out = explore.top_depositors(t.history(), "P2", 25, prices=prices)
+    out = explore.top_depositors(t.actions(), t.pools(), t.tokens(), "P2", 25, prices=prices)
     return out.select("user_address", "pool_id", "pool_name", "asset_symbol", *r6("total_deposited"), "rank",
                       *r6("total_deposited_usd"))
 
@@ -179,6 +179,12 @@ def pool_stats_arrays(t: Tables):
                       "first_event_date", "last_event_date")
 
 
+@query(with_tables("""SELECT id, pool_name, asset_symbol, asset_name, amount_underlying FROM history""", "history"))
+def action_history_view(t: Tables):
+    return t.history().select("id", "pool_name", "asset_symbol", "asset_name",
+                              F.col("amount_underlying").cast("bigint").alias("amount_underlying"))
+
+
 @query(with_tables("SELECT pool_id, name, short_name, version FROM pools WHERE is_active", "pools"))
 def pool_list(t: Tables):
     return explore.pool_list(t.pools()).select("pool_id", "name", "short_name", "version")

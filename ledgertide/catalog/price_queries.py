@@ -91,12 +91,14 @@ def price_pegged_usd(t: Tables):
 
 
 @query(with_tables("""SELECT t.asset_address AS token_address, price_date, round(1.0::DOUBLE / p, 6) AS usd_price, 'pegged' AS source
-FROM tokens t, (SELECT CAST(day AS VARCHAR) AS price_date, arg_max(cents / 100.0::DOUBLE, event_id) AS p FROM ev
-                WHERE event_type = 'view' AND cents > 0 GROUP BY 1) d WHERE t.pegged_currency = 'eur'""", "tokens", "ev"))
+FROM tokens t JOIN (SELECT CASE event_type WHEN 'view' THEN 'EUR' ELSE 'GBP' END AS currency, CAST(day AS VARCHAR) AS price_date,
+                      arg_max(cents / 100.0::DOUBLE, event_id) AS p FROM ev WHERE event_type IN ('view', 'click') AND cents > 0 GROUP BY 1, 2) d
+ON upper(t.pegged_currency) = d.currency""", "tokens", "ev"))
 def price_pegged_fx(t: Tables):
-    fx = t.ev().filter(F.col("event_type") == "view").select(
-        F.lit("EUR").alias("currency"), F.col("ts").alias("at"), F.to_date("ts").alias("price_date"),
-        (F.col("cents") / 100.0).alias("price"))
+    kind = F.col("event_type")
+    fx = t.ev().filter(kind.isin("view", "click")).select(
+        F.when(kind == "view", "EUR").otherwise("GBP").alias("currency"), F.col("ts").alias("at"),
+        F.to_date("ts").alias("price_date"), (F.col("cents") / 100.0).alias("price"))
     return _rows(prices.pegged_fx_days(t.tokens(), fx))
 
 

@@ -24,7 +24,7 @@ ACTIONS = """actions AS (
 TOKENS = """tokens AS (
   SELECT 'A' || p_partkey AS asset_address, 'S' || p_partkey AS symbol, p_name AS name, 7 AS decimals,
          CASE WHEN p_size % 2 = 0 THEN p_type END AS coingecko_id,
-         CASE p_size % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'eur' END AS pegged_currency, p_partkey = 0 AS is_native
+         CASE p_size % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'eur' WHEN 2 THEN 'gbp' END AS pegged_currency, p_partkey = 0 AS is_native
   FROM part)"""
 
 POOLS = """pools AS (

@@ -1,8 +1,9 @@
-"""Exploration queries over the action history.
+"""Exploration queries over the lending events.
 
-``history`` is :func:`plans.events.action_history`; amounts in it are raw
-integers with 7 decimals.  Prices come as a table ``(symbol, price)``; a symbol
-without a price is worth 0.
+Amounts in the events are raw integers with 7 decimals.  Pool and token names are
+joined after the events have been aggregated by address, never to the events
+themselves.  Prices come as a table ``(symbol, price)``; a symbol without a price
+is worth 0.
 """
 
 from __future__ import annotations
@@ -49,9 +50,14 @@ def native_threshold(minimum: float, price: float, in_usd: bool) -> float:
     return minimum / price if in_usd and price > 0 else minimum
 
 
+def with_symbol(df: DataFrame, tokens: DataFrame) -> DataFrame:
+    names = tokens.select("asset_address", F.col("symbol").alias("asset_symbol"), F.col("name").alias("asset_name"))
+    return df.join(names, "asset_address", "left")
+
+
 def accounts_by_min_deposit(history: DataFrame, asset_address: str, min_amount: float, price: float = 0.0,
                             in_usd: bool = False, limit: int | None = 100, offset: int = 0,
-                            order_dir: str = "desc") -> DataFrame:
+                            order_dir: str = "desc", order_by: str = "total_deposited") -> DataFrame:
     """Accounts whose deposits of one asset reach a threshold, with the total count."""
     threshold = native_threshold(min_amount, price, in_usd)
     accounts = (
@@ -62,12 +68,12 @@ def accounts_by_min_deposit(history: DataFrame, asset_address: str, min_amount:
         .filter(F.col("total_deposited") >= threshold)
         .withColumn("total_deposited_usd", F.col("total_deposited") * F.lit(float(price)))
     )
-    return page_with_total(accounts, ordering("total_deposited", order_dir, ["user_address"]), limit, offset)
+    return page_with_total(accounts, ordering(order_by, order_dir, ["user_address"]), limit, offset)
 
 
 def accounts_by_event_count(history: DataFrame, event_types: Sequence[str], min_count: int,
                             asset_address: str | None = None, limit: int | None = 100, offset: int = 0,
-                            order_dir: str = "desc") -> DataFrame:
+                            order_dir: str = "desc", order_by: str = "event_count") -> DataFrame:
     """Accounts with at least ``min_count`` events, and their counts per event type.
 
     Counted per (user, type) first: the second level sees one row per type.  No
@@ -83,7 +89,7 @@ def accounts_by_event_count(history: DataFrame, event_types: Sequence[str], min_
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("action_type", "n")))).alias("events_by_type"),
         iso_z(F.min("first")).alias("first_event_date"), iso_z(F.max("last")).alias("last_event_date"),
     ).filter(F.col("event_count") >= min_count)
-    return page_with_total(accounts, ordering("event_count", order_dir, ["user_address"]), limit, offset)
+    return page_with_total(accounts, ordering(order_by, order_dir, ["user_address"]), limit, offset)
 
 
 def net(add: Sequence[str], remove: Sequence[str], amount: str = "amount_tokens") -> Column:
@@ -94,12 +100,12 @@ def net(add: Sequence[str], remove: Sequence[str], amount: str = "amount_tokens"
         .when(F.col("action_type").isin(*remove), -F.coalesce(a, zero)).otherwise(zero))
 
 
-def net_positions(history: DataFrame, keys: Sequence[str] = ("user_address", "pool_id")) -> DataFrame:
-    """Net token positions per key from the action history."""
+def net_positions(history: DataFrame, keys: Sequence[str] = ("user_address", "pool_id"), *more: Column) -> DataFrame:
+    """Net token positions per key from the action history (and ``more`` aggregates)."""
     return history.groupBy(*keys).agg(
         net(["supply"], ["withdraw"]).alias("supply_btokens"),
         net(["supply_collateral"], ["withdraw_collateral"]).alias("collateral_btokens"),
-        net(["borrow"], ["repay"]).alias("debt_dtokens"),
+        net(["borrow"], ["repay"]).alias("debt_dtokens"), *more,
     )
 
 
@@ -143,7 +149,7 @@ def accounts_by_balance(
     history: DataFrame, daily_rates: DataFrame, filters: Sequence[TokenFilter], prices: Mapping[str, float] = {},
     backstop_events: DataFrame | None = None, in_usd: bool = False, limit: int | None = 100, offset: int = 0,
     order_dir: str = "desc", has_borrows: bool | None = None, has_deposits: bool | None = None,
-    has_backstop: bool | None = None,
+    has_backstop: bool | None = None, order_by: str = "net_balance",
 ) -> DataFrame:
     """Accounts that meet every token filter; shown are the balances of the first token.
 
@@ -179,7 +185,7 @@ def accounts_by_balance(
         accounts = accounts.join(members, "user_address", "left_semi" if has_backstop else "left_anti")
     price = float(prices.get(primary.symbol.upper(), 0.0))
     accounts = accounts.withColumn("balance_usd", F.col("net_balance") * F.lit(price))
-    return page_with_total(accounts, ordering("net_balance", order_dir, ["user_address"]), limit, offset)
+    return page_with_total(accounts, ordering(order_by, order_dir, ["user_address"]), limit, offset)
 
 
 def matching_users(per_token: Sequence[DataFrame]) -> DataFrame:
@@ -187,17 +193,19 @@ def matching_users(per_token: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.intersect, per_token)
 
 
-def top_depositors(history: DataFrame, pool_id: str, limit: int, asset_address: str | None = None,
-                   prices: DataFrame | None = None) -> DataFrame:
-    """Largest depositors of a pool with their rank."""
-    rows = history.filter((F.col("pool_id") == pool_id) & F.col("action_type").isin(*DEPOSIT_ACTIONS))
+def top_depositors(events: DataFrame, pools: DataFrame, tokens: DataFrame, pool_id: str, limit: int,
+                   asset_address: str | None = None, prices: DataFrame | None = None) -> DataFrame:
+    """Largest depositors of a pool per token symbol, with their rank."""
+    rows = events.filter((F.col("pool_id") == pool_id) & F.col("action_type").isin(*DEPOSIT_ACTIONS))
     if asset_address:
         rows = rows.filter(F.col("asset_address") == asset_address)
-    totals = rows.groupBy("user_address", "pool_id", "pool_name", "asset_symbol").agg(
-        tokens_of(F.sum("amount_underlying")).alias("total_deposited"))
+    per_asset = rows.groupBy("user_address", "pool_id", "asset_address").agg(F.sum("amount_underlying").alias("raw"))
+    totals = with_symbol(per_asset, tokens).groupBy("user_address", "pool_id", "asset_symbol").agg(
+        tokens_of(F.sum("raw")).alias("total_deposited"))
     ranked = top_k_ranked(totals, limit, ordering("total_deposited", "desc", ["user_address", "asset_symbol"]))
-    ranked = ranked.withColumn("pool_name", F.coalesce("pool_name", F.lit("Unknown Pool")))
-    return _usd(ranked, prices, {"total_deposited_usd": "total_deposited"})
+    named = ranked.join(pools.select("pool_id", F.col("name").alias("pool_name")), "pool_id", "left")
+    named = named.withColumn("pool_name", F.coalesce("pool_name", F.lit("Unknown Pool")))
+    return _usd(named, prices, {"total_deposited_usd": "total_deposited"})
 
 
 def _usd(df: DataFrame, prices: DataFrame | None, values: Mapping[str, str]) -> DataFrame:
@@ -207,10 +215,13 @@ def _usd(df: DataFrame, prices: DataFrame | None, values: Mapping[str, str]) ->
     return priced.withColumns({out: F.col(c) * F.col("price") for out, c in values.items()}).drop("price")
 
 
-def _flows(kind: Sequence[str]) -> Column:
+def _raw_flow(kind: Sequence[str]) -> Column:
     zero = F.lit(0).cast("decimal(38,0)")
-    return tokens_of(F.coalesce(F.sum(
-        F.when(F.col("action_type").isin(*kind), F.col("amount_underlying")).otherwise(zero)), zero))
+    return F.coalesce(F.sum(F.when(F.col("action_type").isin(*kind), F.col("amount_underlying")).otherwise(zero)), zero)
+
+
+def _flows(kind: Sequence[str]) -> Column:
+    return tokens_of(_raw_flow(kind))
 
 
 def _selected(history: DataFrame, start_date, end_date, pool_id=None, asset_address=None) -> DataFrame:
@@ -222,47 +233,51 @@ def _selected(history: DataFrame, start_date, end_date, pool_id=None, asset_addr
     return rows
 
 
-def aggregate_metrics(history: DataFrame, prices: DataFrame, start_date=None, end_date=None,
+def aggregate_metrics(events: DataFrame, tokens: DataFrame, prices: DataFrame, start_date=None, end_date=None,
                       pool_id: str | None = None, asset_address: str | None = None) -> DataFrame:
-    """One row of flow totals; active accounts are counted over all symbols at once."""
-    rows = _selected(history, start_date, end_date, pool_id, asset_address)
-    per_symbol = rows.groupBy("asset_symbol").agg(
-        _flows(DEPOSIT_ACTIONS).alias("deposits"), _flows(WITHDRAW_ACTIONS).alias("withdrawals"),
-        F.count("*").alias("events"))
-    active = rows.agg(F.count_distinct("user_address").alias("n")).scalar()
-
-    def total(value: Column) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0.0))
-
-    folded = with_price(per_symbol, prices).agg(
-        total(F.col("deposits")).alias("total_deposits"),
-        total(F.col("deposits") * F.col("price")).alias("total_deposits_usd"),
-        total(F.col("withdrawals")).alias("total_withdrawals"),
-        total(F.col("withdrawals") * F.col("price")).alias("total_withdrawals_usd"),
+    """One row of flow totals; active accounts are counted over all symbols at once.
+
+    The events are read once: netted per (asset, account), which is also what the
+    exact count of accounts needs, then named, priced and folded.
+    """
+    per_account = with_symbol(
+        _selected(events, start_date, end_date, pool_id, asset_address).groupBy("asset_address", "user_address").agg(
+            _raw_flow(DEPOSIT_ACTIONS).alias("deposits"), _raw_flow(WITHDRAW_ACTIONS).alias("withdrawals"),
+            F.count("*").alias("events")), tokens)
+    zero = F.lit(0.0)
+
+    def total(side: str) -> Column:
+        return F.coalesce(tokens_of(F.sum(side)), zero)
+
+    def usd(side: str) -> Column:
+        return F.coalesce(F.sum(tokens_of(F.col(side)) * F.col("price")), zero)
+
+    folded = with_price(per_account, prices).agg(
+        total("deposits").alias("total_deposits"), usd("deposits").alias("total_deposits_usd"),
+        total("withdrawals").alias("total_withdrawals"), usd("withdrawals").alias("total_withdrawals_usd"),
         F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
+        F.count_distinct("user_address").alias("active_accounts"),
     )
     return folded.withColumns({
         "net_flow": F.col("total_deposits") - F.col("total_withdrawals"),
         "net_flow_usd": F.col("total_deposits_usd") - F.col("total_withdrawals_usd"),
-        "active_accounts": active,
     })
 
 
-def volume_by_token(history: DataFrame, limit: int, prices: DataFrame | None = None, start_date=None,
-                    end_date=None) -> DataFrame:
+def volume_by_token(events: DataFrame, tokens: DataFrame, limit: int, prices: DataFrame | None = None,
+                    start_date=None, end_date=None) -> DataFrame:
     """Deposit, withdrawal and net volume per token, largest deposits first."""
-    rows = _selected(history, start_date, end_date)
-    volumes = rows.groupBy("asset_address", "asset_symbol", "asset_name").agg(
+    volumes = _selected(events, start_date, end_date).groupBy("asset_address").agg(
         _flows(DEPOSIT_ACTIONS).alias("deposit_volume"), _flows(WITHDRAW_ACTIONS).alias("withdraw_volume"),
     ).withColumn("net_volume", F.col("deposit_volume") - F.col("withdraw_volume"))
-    top = page(volumes, ordering("deposit_volume", "desc", ["asset_address"]), limit)
+    top = with_symbol(page(volumes, ordering("deposit_volume", "desc", ["asset_address"]), limit), tokens)
     return _usd(top, prices, {
         "deposit_volume_usd": "deposit_volume", "withdraw_volume_usd": "withdraw_volume",
-        "net_volume_usd": "net_volume"})
+        "net_volume_usd": "net_volume"}).orderBy(*ordering("deposit_volume", "desc", ["asset_address"]))
 
 
 def pool_statistics(pools: DataFrame, history: DataFrame, limit: int | None = 100, offset: int = 0,
-                    order_dir: str = "desc") -> DataFrame:
+                    order_dir: str = "desc", order_by: str = "event_count") -> DataFrame:
     """Event statistics of the active pools, pools without events included."""
     stats = history.groupBy("pool_id").agg(
         F.count("*").alias("event_count"), F.sort_array(F.collect_set("action_type")).alias("unique_event_types"),
@@ -274,7 +289,7 @@ def pool_statistics(pools: DataFrame, history: DataFrame, limit: int | None = 10
         "event_count": F.coalesce("event_count", F.lit(0)),
         "unique_event_types": F.coalesce("unique_event_types", F.array().cast("array<string>")),
     }).withColumn("unique_event_type_count", F.size("unique_event_types").cast("long"))
-    return page_with_total(joined, ordering("event_count", order_dir, ["pool_id"]), limit, offset)
+    return page_with_total(joined, ordering(order_by, order_dir, ["pool_id"]), limit, offset)
 
 
 def pool_list(pools: DataFrame) -> DataFrame:

@@ -14,11 +14,10 @@ D_RATE_ACTIONS = ("borrow", "repay")
 
 def user_positions(events: DataFrame) -> DataFrame:
     """Net positions per user, pool and asset with action count and last activity."""
-    keys = ["user_address", "pool_id", "asset_address"]
     lending = events.filter(F.col("action_type").isin(*B_RATE_ACTIONS, *D_RATE_ACTIONS))
-    activity = lending.groupBy(*keys).agg(
-        F.count("*").alias("action_count"), F.max("ledger_closed_at").alias("last_action_time"))
-    return net_positions(lending, keys).join(activity, keys)
+    return net_positions(
+        lending, ["user_address", "pool_id", "asset_address"], F.count("*").alias("action_count"),
+        F.max("ledger_closed_at").alias("last_action_time"))
 
 
 def derived_rates(events: DataFrame) -> DataFrame:

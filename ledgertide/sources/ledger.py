@@ -37,6 +37,16 @@ def _bounded(df, contracts, start, end, first_ledger, last_ledger, window) -> Da
     return ledger_range(df, first_ledger, last_ledger)
 
 
+def read_reserve_state(spark: SparkSession, path: str) -> DataFrame:
+    """Reserve-state feed: rates, supplies, emissions and oracle price per pool and asset."""
+    return spark.read.schema(schemas.RESERVE_STATE).parquet(path)
+
+
+def read_backstop_state(spark: SparkSession, path: str) -> DataFrame:
+    """Backstop-state feed: shares, tokens, queued amount and emissions per pool."""
+    return spark.read.schema(schemas.BACKSTOP_STATE).parquet(path)
+
+
 def stream_events(spark: SparkSession, path: str, start_at: str | int = "earliest",
                   max_files: int | None = None) -> DataFrame:
     """Contract-event stream over a directory of Parquet files.

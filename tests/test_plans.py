@@ -63,11 +63,12 @@ def test_pool_without_events_and_inactive_pool(spark):
 
 
 def test_metrics_of_an_empty_range_are_zero(spark):
-    h = history(spark, [("u", "p", "A", "supply", U)]).withColumn("asset_symbol", F.lit("AAA"))
+    h = history(spark, [("u", "p", "A", "supply", U)])
+    tokens = spark.createDataFrame([("A", "AAA", "a", None, None)], TOKENS)
     no_prices = spark.createDataFrame([], "symbol string, price double")
-    row = explore.aggregate_metrics(h, no_prices, "2030-01-01", "2031-01-01").collect()[0]
+    row = explore.aggregate_metrics(h, tokens, no_prices, "2030-01-01", "2031-01-01").collect()[0]
     assert (row["total_deposits"], row["total_events"], row["active_accounts"], row["net_flow_usd"]) == (0.0, 0, 0, 0.0)
-    row = explore.aggregate_metrics(h, no_prices).collect()[0]
+    row = explore.aggregate_metrics(h, tokens, no_prices).collect()[0]
     assert (row["total_deposits"], row["total_deposits_usd"], row["active_accounts"]) == (1.0, 0.0, 1)
 
 
