@@ -60,6 +60,14 @@ SRC_STREAM = "gs"
 SRC_CSV = "csv"
 SRC_STATE_FEED = "sdk"
 
+# Where a token price came from.
+PRICE_MARKET = "coingecko"
+PRICE_BOND = "etherfuse"
+PRICE_PEGGED = "pegged"
+PRICE_ORACLE = "sdk_oracle"
+PRICE_POOL_RATIO = "sdk_backstop"
+PRICE_BACKFILL = "bigquery"
+
 # Exchange rates used when the landed payload has no usable USD entry.
 FALLBACK_FX = {"USD": 1.0, "EUR": 1.05, "GBP": 1.27}
 

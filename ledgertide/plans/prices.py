@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import FALLBACK_FX
+from ..constants import (
+    FALLBACK_FX, PRICE_BOND, PRICE_MARKET, PRICE_ORACLE, PRICE_PEGGED, PRICE_POOL_RATIO,
+)
 from ..functions.numbers import inverse_rate, pool_ratio_price
 from ..operators.dedup import dedup_first
 from ..operators.fill import day_series
@@ -88,7 +90,7 @@ def _rows(df: DataFrame, token, source: str) -> DataFrame:
 
 
 def from_series(points: DataFrame, token_address: str, existing: DataFrame | None = None,
-                source: str = "coingecko") -> DataFrame:
+                source: str = PRICE_MARKET) -> DataFrame:
     """Market series → one price per day (the last point of the day), missing days only."""
     last = points.groupBy("price_date").agg(F.max_by("price", F.struct("at", "price")).alias("usd_price"))
     return _only_missing(_rows(last, token_address, source), existing)
@@ -99,7 +101,7 @@ def _only_missing(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
 
 
 def from_bond_history(points: DataFrame, token_address: str, start=None, end=None,
-                      existing: DataFrame | None = None, source: str = "etherfuse") -> DataFrame:
+                      existing: DataFrame | None = None, source: str = PRICE_BOND) -> DataFrame:
     """Bond history → USD price (token price over exchange rate), last entry per day."""
     last = points.groupBy("price_date").agg(
         F.max_by(F.struct("token_price", "fx_rate"), "position").alias("v"))
@@ -127,7 +129,7 @@ def pegged_usd_days(tokens: DataFrame, start, end) -> DataFrame:
     """USD-pegged tokens: price 1 on every day of the range."""
     usd = pegged_tokens(tokens).filter(F.upper("pegged_currency") == "USD")
     days = day_series(usd.select("asset_address"), start, end, "price_date").withColumn("usd_price", F.lit(1.0))
-    return _rows(days, F.col("asset_address"), "pegged")
+    return _rows(days, F.col("asset_address"), PRICE_PEGGED)
 
 
 def pegged_fx_days(tokens: DataFrame, fx_series: DataFrame) -> DataFrame:
@@ -141,7 +143,7 @@ def pegged_fx_days(tokens: DataFrame, fx_series: DataFrame) -> DataFrame:
     foreign = pegged_tokens(tokens).filter(F.upper("pegged_currency") != "USD").select(
         "asset_address", F.upper("pegged_currency").alias("currency"))
     joined = foreign.join(daily, "currency").withColumn("usd_price", inverse_rate(F.col("price")))
-    return _rows(joined, F.col("asset_address"), "pegged")
+    return _rows(joined, F.col("asset_address"), PRICE_PEGGED)
 
 
 def usd_rates(fx: DataFrame) -> DataFrame:
@@ -166,17 +168,17 @@ def pegged_today(tokens: DataFrame, rates: DataFrame, day) -> DataFrame:
     pegs = pegged_tokens(tokens).select("asset_address", F.upper("pegged_currency").alias("currency"))
     named = pegs.join(rates, "currency").select(
         "asset_address", F.lit(day).cast("date").alias("price_date"), F.col("usd_value").alias("usd_price"))
-    return _rows(named, F.col("asset_address"), "pegged")
+    return _rows(named, F.col("asset_address"), PRICE_PEGGED)
 
 
-def from_pool_ratio(balances: DataFrame, token_address: str, source: str = "sdk_backstop") -> DataFrame:
+def from_pool_ratio(balances: DataFrame, token_address: str, source: str = PRICE_POOL_RATIO) -> DataFrame:
     """Reward-token price of an 80/20 pool: (price_date, quote, base) → price."""
     priced = balances.select("price_date", pool_ratio_price(F.col("quote"), F.col("base")).alias("usd_price"))
     return _rows(priced, token_address, source)
 
 
 def oracle_prices(reserve_state: DataFrame, pool_order: DataFrame, tokens: DataFrame, day,
-                  source: str = "sdk_oracle") -> DataFrame:
+                  source: str = PRICE_ORACLE) -> DataFrame:
     """Oracle prices per asset: the first pool that lists it counts; pegged tokens are left out.
 
     The first pool decides even when its price is unusable, in which case the

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import EPS_DIGITS, SECONDS_PER_YEAR, SRC_STATE_FEED, YIELD_LAUNCH_DATE
+from ..constants import EPS_DIGITS, PRICE_BACKFILL, SECONDS_PER_YEAR, SRC_STATE_FEED, YIELD_LAUNCH_DATE
 from ..functions.numbers import emission_apy, emissions_per_token_year
 from ..operators.fill import forward_fill, running_total
 
@@ -96,7 +96,7 @@ def lending_apy(snapshots: DataFrame, configs: DataFrame, prices: DataFrame, rew
     return _with_apy(priced, F.col("total_supply")).select(
         "rate_date", F.lit(apy_type).alias("apy_type"), "pool_address", "asset_address", "eps", "eps_decimals",
         "total_supply", "reward_price_usd", "asset_price_usd", "emissions_per_year_per_token", "emission_apy",
-        F.lit("bigquery").alias("source"))
+        F.lit(PRICE_BACKFILL).alias("source"))
 
 
 def todays_apy(reserve_state: DataFrame, backstop_state: DataFrame, prices: DataFrame, reward_token: str,

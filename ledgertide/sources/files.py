@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..constants import SRC_CSV
+from ..constants import PRICE_BACKFILL, SRC_CSV
 from ..functions.timewindow import parse_day, parse_instant
 from ..functions.wellformed import is_iso_day, null_if_blank
 from ..operators.validate import ACTION_RULES, BACKSTOP_RULES, Rule, validate
@@ -81,7 +81,7 @@ def read_price_json(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError("Unexpected JSON format: expected rows of price_date and lp_token_price")
 
 
-def validate_prices(rows: DataFrame, token_address: str, source: str = "bigquery") -> tuple[DataFrame, DataFrame]:
+def validate_prices(rows: DataFrame, token_address: str, source: str = PRICE_BACKFILL) -> tuple[DataFrame, DataFrame]:
     """Price rows → ``(rows of daily_token_prices, rejects)``: a day, and a number above 0."""
     day = F.split_part(F.col("price_date"), F.lit("T"), F.lit(1))
     price = F.col("lp_token_price").try_cast("double")
