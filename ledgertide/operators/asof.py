@@ -84,10 +84,14 @@ def asof_join(
         Window.unboundedPreceding, Window.currentRow)
     within = timeline.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_bucket)).filter("_is_point")
 
+    # Both branches read the same columns of the timeline, so its shuffle is made once.
     summary = timeline.groupBy(*on, "_bucket").agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_tick"))).alias("_closing"))
+        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_tick"))).alias("_closing"),
+        F.bool_or("_is_point").alias("_has_point"))
     earlier = Window.partitionBy(*on).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(*on, "_bucket", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"))
+    carried = summary.select(
+        *on, "_bucket", "_has_point", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"),
+    ).filter("_has_point").drop("_has_point")
 
     resolved = within.join(carried, [*on, "_bucket"], "left").select(
         *on, "_tick", F.coalesce("_seen", "_carried").alias("_match"))
