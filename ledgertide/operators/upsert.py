@@ -81,7 +81,8 @@ def upsert(
     """Insert or replace by key, last writer wins; returns the row counts.
 
     Of several source rows with one key the last by ``order_cols`` counts.  The
-    counts are taken from the staged rows, so nothing is computed twice.
+    counts are taken from the staged rows.  The first write of a table goes straight
+    to its place.
 
     ``src`` is evaluated twice for a partitioned table (once for its days only),
     so a caller whose source is expensive persists it.
@@ -92,53 +93,58 @@ def upsert(
     """
     names = [f.name for f in schema.fields]
     last = dedup_last(src, keys, order_cols).select(*names)
-    first_write = not table_exists(spark, path)
-    stage = f"{path.rstrip('/')}/_stage-{uuid.uuid4().hex}"
+    if not table_exists(spark, path):
+        _write(last, path, partition_col, "append")
+        return {"inserted": read_table(spark, path, schema).count(), "updated": 0, "stale": 0}
 
     target = read_table(spark, path, schema)
-    touched: list = []
-    if partition_col and not first_write:
+    touched: set = set()
+    if partition_col:
         # One value per calendar day of the source: bounded by the time span.
-        touched = [r[0] for r in src.select(partition_col).distinct().collect()]
+        touched = {r[0] for r in src.select(partition_col).distinct().collect()}
         if not key_fixes_partition:
             held = target.join(last.select(*keys), list(keys), "left_semi").select(partition_col).distinct()
-            touched = list({*touched, *[r[0] for r in held.collect()]})
+            touched |= {r[0] for r in held.collect()}
         in_touched = F.col(partition_col).isin([t for t in touched if t is not None])
-        if any(t is None for t in touched):
+        if None in touched:
             in_touched = in_touched | F.col(partition_col).isNull()
         target = target.filter(in_touched)
 
-    merged_rows(target, last, keys, guard).write.mode("overwrite").parquet(stage)
+    stage = f"{path.rstrip('/')}/_stage-{uuid.uuid4().hex}"
+    merged_rows(target, last, keys, guard).write.parquet(stage)
     staged = spark.read.parquet(stage)
     counts = {r["_op"]: r["n"] for r in staged.groupBy("_op").agg(F.count("*").alias("n")).collect()}
-
     final = staged.select(*names)
     if partition_col:
-        # Days are brought together so that each becomes few files; adaptive execution
-        # splits a day that is too large for one task and joins small ones.
-        final = final.hint("rebalance", partition_col)
-        (final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
-        if touched and not key_fixes_partition:
+        _write(final, path, partition_col, "overwrite")
+        if not key_fixes_partition:
             kept = {r[0] for r in staged.select(partition_col).distinct().collect()}
-            for value in set(touched) - kept:
+            for value in touched - kept:
                 name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
                 _drop(spark, f"{path.rstrip('/')}/{partition_col}={name}")
-    elif first_write:
-        final.write.mode("append").parquet(path)
+        _drop(spark, stage)
     else:
         # Small unpartitioned dimension: written beside the table, then swapped in.
-        final.write.mode("overwrite").parquet(path + ".next")
+        _write(final, path + ".next", None, "overwrite")
         _rename(spark, path, path + ".old")
         _rename(spark, path + ".next", path)
         _drop(spark, path + ".old")
-    _drop(spark, stage)
     return {
         "inserted": counts.get("insert", 0), "updated": counts.get("update", 0),
         "stale": counts.get("stale", 0),
     }
 
 
+def _write(rows: DataFrame, path: str, partition_col: str | None, mode: str) -> None:
+    if partition_col is None:
+        rows.write.mode(mode).parquet(path)
+        return
+    # Days are brought together so that each becomes few files; adaptive execution
+    # splits a day that is too large for one task and joins small ones.
+    (rows.hint("rebalance", partition_col).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _fs_path(spark, source)
     fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target))
