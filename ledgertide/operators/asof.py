@@ -3,11 +3,11 @@
 Shape of the plan, chosen so that one hot key cannot end up in one task:
 
 * What has to be resolved is only the set of distinct ``(key, tick)`` points of
-  the left side, and of the right side only one row per ``(key, tick)``.  Both
-  come out of one map-side combined aggregation.
+  the left side (a hash aggregation of the key alone), and of the right side only
+  one row per ``(key, tick)``; both are combined on the map side.
 * That timeline is shuffled once by ``(key, bucket)``, a bucket being a fixed run
-  of ticks.  It holds each tick once, so a window group has at most
-  ``bucket_ticks`` rows however skewed the key is.
+  of ticks.  Each side holds a tick once, so a window group has at most
+  ``2 * bucket_ticks`` rows however skewed the key is.
 * A bucket without an earlier fact inside it takes the last fact of an earlier
   bucket: one summary row per ``(key, bucket)``, windowed per key.
 * The resolved points go back to the left rows by an equi-join on
@@ -69,18 +69,18 @@ def asof_join(
             rows = rows.filter(F.col(k).isNotNull())
         return rows
 
-    facts = usable(right, right_tick, _value=value, _order=order, _is_point=F.lit(False))
-    no_value, no_order = (F.lit(None).cast(facts.schema[c].dataType) for c in ("_value", "_order"))
-    points = usable(left, left_tick, _value=no_value, _order=no_order, _is_point=F.lit(True))
-    # Rows without an order do not take part in max_by, so points never hide a fact.
+    facts = usable(right, right_tick, _value=value, _order=order).groupBy(*on, "_tick").agg(
+        F.max_by("_value", "_order").alias("_value"))
+    no_value = F.lit(None).cast(facts.schema["_value"].dataType)
+    points = usable(left, left_tick).distinct().withColumn("_value", no_value)
     timeline = (
-        facts.unionByName(points).groupBy(*on, "_tick")
-        .agg(F.max_by("_value", "_order").alias("_value"), F.bool_or("_is_point").alias("_is_point"))
+        facts.withColumn("_is_point", F.lit(False))
+        .unionByName(points.withColumn("_is_point", F.lit(True)))
         .withColumn("_bucket", F.floor(F.col("_tick") / width).cast("long"))
         .repartition(*on, "_bucket")
     )
 
-    in_bucket = Window.partitionBy(*on, "_bucket").orderBy("_tick").rowsBetween(
+    in_bucket = Window.partitionBy(*on, "_bucket").orderBy("_tick", "_is_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     within = timeline.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_bucket)).filter("_is_point")
 

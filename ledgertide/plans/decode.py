@@ -230,8 +230,16 @@ def entries_of(df: DataFrame, kind: str, include_deleted: bool = False) -> DataF
 
 
 def _slot(entries: Column, number: int, mode: str) -> Column:
-    """Entry ``number`` of a map: by its own key, or by position in the list."""
-    return F.get(entries, number) if mode == "position" else find_by_key(entries, number)
+    """Entry ``number`` of a map: by its own key, or by position in the list.
+
+    Maps whose entries are named by symbols come sorted by name, so there the
+    position is the number in either mode.
+    """
+    by_place = F.get(entries, number)
+    if mode == "position":
+        return by_place
+    named = F.get(entries, 0)["key"]["u32"].isNull()
+    return F.when(named, by_place).otherwise(find_by_key(entries, number))
 
 
 def _check_mode(mode: str) -> None:

@@ -45,7 +45,7 @@ def rate_points(state: DataFrame, opts: dict, mode: str) -> DataFrame:
 
 
 def asset_position_changes(state: DataFrame, pool_id: str, asset_address: str, reserve_index: int,
-                           mode: str = "position", **opts) -> DataFrame:
+                           mode: str = "key", **opts) -> DataFrame:
     """Changes of one reserve of one pool with the rates valid at each change.
 
     Empty unless the pool has reserve data of that asset in the window widened by
@@ -62,19 +62,19 @@ def asset_position_changes(state: DataFrame, pool_id: str, asset_address: str, r
     return asof_join(rows, rates, [], "ledger_sequence", "rate_ledger", _RATES)
 
 
-def pool_position_changes(state: DataFrame, pool_id: str, mode: str = "position", **opts) -> DataFrame:
+def pool_position_changes(state: DataFrame, pool_id: str, mode: str = "key", **opts) -> DataFrame:
     """Changes of all reserves of one pool that hold an amount (rates not looked up)."""
     return all_assets_changes(state.filter(F.col("contract_id") == pool_id), mode, **opts)
 
 
-def all_assets_changes(state: DataFrame, mode: str = "position", **opts) -> DataFrame:
+def all_assets_changes(state: DataFrame, mode: str = "key", **opts) -> DataFrame:
     """Long form over the given pools; an index without a mapping keeps a NULL asset."""
     changes = decode.has_amount(_changes(state, opts, mode))
     mapping = decode.reserve_mapping(state, mode, latest_only=True)
     return _finish(changes.join(mapping, ["pool_id", "reserve_index"], "left"))
 
 
-def position_changes_with_rates(state: DataFrame, pools: Sequence[str] | None = None, mode: str = "position",
+def position_changes_with_rates(state: DataFrame, pools: Sequence[str] | None = None, mode: str = "key",
                                 **opts) -> DataFrame:
     """Changes of all reserves of all pools, each with the rates valid at its ledger."""
     if pools is not None:
@@ -87,7 +87,7 @@ def position_changes_with_rates(state: DataFrame, pools: Sequence[str] | None =
 
 
 def user_position_changes(state: DataFrame, user: str, pool_id: str | None = None,
-                          asset_address: str | None = None, mode: str = "position", **opts) -> DataFrame:
+                          asset_address: str | None = None, mode: str = "key", **opts) -> DataFrame:
     """One user's changes over all (or one) of the assets, in a single scan."""
     if pool_id is not None:
         state = state.filter(F.col("contract_id") == pool_id)

@@ -14,7 +14,7 @@ from . import decode
 
 
 def pool_snapshots(state: DataFrame, pools: Sequence[str] | None = None, start_date=None, end_date=None,
-                   days_back: int = 90, mode: str = "position", now=None) -> DataFrame:
+                   days_back: int = 90, mode: str = "key", now=None) -> DataFrame:
     """Last reserve state per pool, asset and day.
 
     One aggregation keeps the whole latest row (NULLs of it included) beside the

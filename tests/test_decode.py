@@ -125,6 +125,18 @@ def test_positions_by_key_and_by_place(spark):
         decode.decode_positions(df, "other")
 
 
+def test_maps_named_by_symbols(spark):
+    inner = lambda n: {"map": [{"key": {"u32": 4}, "val": s.flat(n)}]}
+    val = {"map": [{"key": s.sym(k), "val": inner(n)} for k, n in (("collateral", 1), ("liabilities", 2), ("supply", 3))]}
+    names = ("b_rate", "b_supply", "backstop_credit", "d_rate", "d_supply", "ir_mod", "last_time")
+    res = {"map": [{"key": s.sym(k), "val": s.flat(10**12 * (i + 1))} for i, k in enumerate(names[:6])]}
+    df = state(spark, [s.entry("Positions", s.USER, val, 1), s.entry("ResData", s.ASSET, res, 2)])
+    row = decode.decode_positions(df).collect()[0]
+    assert (row["reserve_index"], row["supply_raw"], row["collateral_raw"], row["liabilities_raw"]) == (4, "3", "1", "2")
+    rates = decode.decode_reserve_state(df).collect()[0]
+    assert (float(rates["b_rate"]), float(rates["d_rate"])) == (1.0, 4.0)
+
+
 def test_more_than_sixteen_reserves(spark):
     val = s.positions({}, {}, {i: i + 1 for i in range(20)})
     assert decode.decode_positions(state(spark, [s.entry("Positions", s.USER, val, 1)]), "position").count() == 20
