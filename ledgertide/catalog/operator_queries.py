@@ -266,13 +266,17 @@ def validate_accepts(t: Tables):
     return valid.agg(F.count("*").alias("n"))
 
 
-@query("""SELECT doc_id, regexp_matches(w, '^[GCM][A-Z2-7]{55}$') AS address, try_cast(d AS DATE) IS NOT NULL AND regexp_matches(d, '^\\d{4}-\\d{2}-\\d{2}$') AS iso_day
-FROM (SELECT doc_id, substr(text, 1, 56) AS w, '2024-' || lpad(CAST(n_chars % 15 AS VARCHAR), 2, '0') || '-' || lpad(CAST(doc_id % 33 AS VARCHAR), 2, '0') AS d FROM documents)""")
+@query(r"""SELECT doc_id, regexp_matches(w, '^[GCM][A-Z2-7]{55}$') AS address, try_cast(d AS DATE) IS NOT NULL AND regexp_matches(d, '^\d{4}-\d{2}-\d{2}$') AS iso_day
+FROM (SELECT doc_id, 'G' || right(CASE WHEN n_chars % 2 = 0 THEN translate(upper(sha256(text)), '0189', 'WXYZ') ELSE upper(sha256(text)) END, 55) AS w,
+             '2024-' || lpad(CAST(n_chars % 15 AS VARCHAR), 2, '0') || '-' || lpad(CAST(doc_id % 33 AS VARCHAR), 2, '0') AS d FROM documents)""")
 def wellformed_texts(t: Tables):
+    """Address and date predicates on texts that are partly well-formed."""
     pad = lambda c: F.lpad(c.cast("string"), 2, "0")
     d = F.concat(F.lit("2024-"), pad(F.col("n_chars") % 15), F.lit("-"), pad(F.col("doc_id") % 33))
-    return t.raw("documents").select(
-        "doc_id", is_address(F.substring("text", 1, 56)).alias("address"), is_iso_day(d).alias("iso_day"))
+    digest = F.upper(F.sha2("text", 256))
+    letters = F.when(F.col("n_chars") % 2 == 0, F.translate(digest, "0189", "WXYZ")).otherwise(digest)
+    address = F.concat(F.lit("G"), F.right(letters, F.lit(55)))
+    return t.raw("documents").select("doc_id", is_address(address).alias("address"), is_iso_day(d).alias("iso_day"))
 
 
 # --- writes -------------------------------------------------------------------

@@ -68,9 +68,9 @@ def _rows(df):
 
 
 def _series_payload(t: Tables):
-    """Market series JSON per event day, written from all events."""
+    """Market series JSON of 500 points each, written from all events."""
     ev = t.ev().withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
-    return ev.groupBy(F.to_date("ts").alias("d"), "pool_id").agg(F.collect_list(F.array(
+    return ev.groupBy(F.floor(F.col("event_id") / 500).alias("g")).agg(F.collect_list(F.array(
         F.col("ms").cast("double"), F.col("cents") / 100.0)).alias("prices")).select(F.to_json(F.struct("prices")).alias("j"))
 
 
@@ -223,10 +223,10 @@ def emission_apy_today(t: Tables):
 
 
 _CONFIG_ROWS = """rows_ AS (
-  SELECT 'lending_supply' AS config_type, pool_id AS pool_address, asset_id AS asset_address, supply_eps AS eps, nullif(supply_expiration, 0) AS expiration
+  SELECT 'lending_supply' AS config_type, pool_id AS pool_address, asset_id AS asset_address, supply_eps AS eps, CAST(nullif(supply_expiration, 0) AS BIGINT) AS expiration
   FROM reserve_state WHERE supply_eps > 0
-  UNION ALL SELECT 'lending_borrow', pool_id, asset_id, borrow_eps, nullif(borrow_expiration, 0) FROM reserve_state WHERE borrow_eps > 0
-  UNION ALL SELECT 'backstop', pool_id, NULL, eps, nullif(expiration, 0) FROM backstop_state)"""
+  UNION ALL SELECT 'lending_borrow', pool_id, asset_id, borrow_eps, CAST(nullif(borrow_expiration, 0) AS BIGINT) FROM reserve_state WHERE borrow_eps > 0
+  UNION ALL SELECT 'backstop', pool_id, NULL, eps, CAST(nullif(expiration, 0) AS BIGINT) FROM backstop_state)"""
 
 
 @query(with_tables("SELECT config_type, pool_address, asset_address, eps, 14 AS eps_decimals, expiration FROM rows_",
