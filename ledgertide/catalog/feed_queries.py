@@ -41,13 +41,13 @@ def bond_history_payload(t: Tables):
     return points.groupBy(day("price_date"), F.round("token_price", 6).alias("token_price"), "fx_rate").agg(F.count("*").alias("n"))
 
 
-@query(with_tables("""SELECT id, pool_address, ledger_sequence, action_type, lp_tokens, 'csv' AS src FROM backstop""", "backstop"))
+@query(with_tables("""SELECT id, pool_address, ledger_sequence, action_type, CAST(lp_tokens AS DOUBLE) AS lp_tokens, 'csv' AS src FROM backstop""", "backstop"))
 def csv_import_backstop(t: Tables):
     path = scratch_path(t.spark, "csv-backstop")
     t.backstop().select("id", F.col("pool_address").alias("POOL_ADDRESS"), "ledger_sequence", "action_type",
                         F.col("ledger_closed_at").cast("string").alias("ledger_closed_at"), "lp_tokens").write.option("header", True).csv(path)
     valid, _ = files.read_csv_backstop(t.spark, path)
-    return valid.select("id", "pool_address", "ledger_sequence", "action_type", F.col("lp_tokens").cast("bigint").alias("lp_tokens"), "src")
+    return valid.select("id", "pool_address", "ledger_sequence", "action_type", F.col("lp_tokens").cast("double").alias("lp_tokens"), "src")
 
 
 @query(with_tables("""SELECT pool_id, asset_address, max(event_id) AS ledger_sequence, round((arg_max(cents, event_id) * 1000000 + 1000000000000) / 1e12::DOUBLE, 9) AS b_rate,

@@ -96,14 +96,14 @@ def any_nonzero_unpivot(t: Tables):
     return long.filter(F.coalesce("amount", F.lit(0.0)) != 0).withColumn("amount", F.round("amount", 2))
 
 
-@query(with_tables("""SELECT user_id, CAST(day AS VARCHAR) AS day, arg_max_null(CASE WHEN k % 3 <> 0 THEN cents END, event_id) AS cents,
+@query(with_tables("""SELECT user_id, CAST(day AS VARCHAR) AS day, CAST(arg_max_null(CASE WHEN k % 3 <> 0 THEN cents END, event_id) AS DOUBLE) AS cents,
   max(event_id) AS last_id FROM ev GROUP BY 1, day""", "ev"))
 def latest_per_day_maxby(t: Tables):
     ev = t.ev().withColumn("d", F.to_date("ts"))
     out = ev.groupBy("user_id", "d").agg(
         F.max_by(F.struct(F.when(F.col("k") % 3 != 0, F.col("cents")).alias("c")), "event_id").alias("v"),
         F.max("event_id").alias("last_id"))
-    return out.select("user_id", F.col("d").cast("string").alias("day"), F.col("v.c").alias("cents"), "last_id")
+    return out.select("user_id", F.col("d").cast("string").alias("day"), F.col("v.c").cast("double").alias("cents"), "last_id")
 
 
 @query("SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey, o_orderpriority FROM orders ORDER BY o_custkey, o_orderdate DESC, o_orderkey DESC")
@@ -116,21 +116,21 @@ def earliest_per_key(t: Tables):
     return earliest_per(t.raw("orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_orderpriority"])
 
 
-@query(with_tables("""SELECT p.event_id, p.user_id, v.event_id AS view_id, v.cents AS view_cents
+@query(with_tables("""SELECT p.event_id, p.user_id, CAST(v.event_id AS DOUBLE) AS view_id, CAST(v.cents AS DOUBLE) AS view_cents
 FROM (SELECT * FROM ev WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM ev WHERE event_type = 'view') v
   ON p.user_id = v.user_id AND p.event_id >= v.event_id""", "ev"))
 def asof_join_keys(t: Tables):
     return _asof(t, ["user_id"], "event_id")
 
 
-@query(with_tables("""SELECT p.event_id, p.user_id, v.event_id AS view_id, v.cents AS view_cents
+@query(with_tables("""SELECT p.event_id, p.user_id, CAST(v.event_id AS DOUBLE) AS view_id, CAST(v.cents AS DOUBLE) AS view_cents
 FROM (SELECT * FROM ev WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM ev WHERE event_type = 'view') v
   ON p.event_id >= v.event_id""", "ev"))
 def asof_join_range_only(t: Tables):
     return _asof(t, [], "event_id")
 
 
-@query(with_tables("""SELECT p.event_id, p.user_id, v.event_id AS view_id, v.cents AS view_cents
+@query(with_tables("""SELECT p.event_id, p.user_id, CAST(v.event_id AS DOUBLE) AS view_id, CAST(v.cents AS DOUBLE) AS view_cents
 FROM (SELECT * FROM ev WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM ev WHERE event_type = 'view') v
   ON p.pool_id = v.pool_id AND p.ts >= v.ts""", "ev"))
 def asof_join_timestamps(t: Tables):
@@ -144,10 +144,10 @@ def _asof(t: Tables, on, ts):
     left = ev.filter(F.col("event_type") == "purchase").select(
         *dict.fromkeys(["event_id", "user_id", *on, ts]))
     return asof_join(left, views, on, ts, "at", ["view_id", "view_cents"]).select(
-        "event_id", "user_id", "view_id", "view_cents")
+        "event_id", "user_id", *[F.col(c).cast("double").alias(c) for c in ("view_id", "view_cents")])
 
 
-@query(with_tables("""SELECT g.pool_id, CAST(g.d AS VARCHAR) AS day, p.cents
+@query(with_tables("""SELECT g.pool_id, CAST(g.d AS VARCHAR) AS day, CAST(p.cents AS DOUBLE) AS cents
 FROM (SELECT pool_id, CAST(d AS DATE) AS d FROM (SELECT DISTINCT pool_id, asset_address FROM ev WHERE asset_address = 'A4') x,
       generate_series(TIMESTAMP '2023-12-28', TIMESTAMP '2024-02-05', INTERVAL 1 DAY) s(d)) g
 ASOF LEFT JOIN (SELECT pool_id, day, arg_max(cents, event_id) AS cents FROM ev WHERE asset_address = 'A4' GROUP BY 1, 2) p
@@ -156,7 +156,7 @@ def forward_fill_daily(t: Tables):
     facts = t.ev().filter(F.col("asset_address") == "A4").withColumn("d", F.to_date("ts"))
     out = forward_fill(facts, ["pool_id"], "d", ["cents"], "2023-12-28", "2024-02-05", order_cols=["event_id"],
                        leading_nulls=True)
-    return out.select("pool_id", day("day"), "cents")
+    return out.select("pool_id", day("day"), F.col("cents").cast("double").alias("cents"))
 
 
 @query(with_tables("""SELECT pool_id, CAST(day AS VARCHAR) AS day, CAST(sum(s) OVER (PARTITION BY pool_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
@@ -204,15 +204,15 @@ def union_assets_distinct(t: Tables):
 
 
 @query(with_tables("""SELECT f.*, t.symbol AS asset_symbol FROM (
-  SELECT * FROM (SELECT id, strftime(ledger_closed_at, '%Y-%m-%dT%H:%M:%SZ') AS time, action_type, 'pool' AS source, user_address, amount_underlying AS amount,
+  SELECT * FROM (SELECT id, strftime(ledger_closed_at, '%Y-%m-%dT%H:%M:%SZ') AS time, action_type, 'pool' AS source, user_address, CAST(amount_underlying AS DOUBLE) AS amount,
    asset_address, ledger_sequence FROM actions WHERE pool_id = 'P1' ORDER BY ledger_closed_at DESC, id LIMIT 50)
-  UNION ALL SELECT * FROM (SELECT id, strftime(ledger_closed_at, '%Y-%m-%dT%H:%M:%SZ'), action_type, 'backstop', user_address, lp_tokens, NULL, ledger_sequence
+  UNION ALL SELECT * FROM (SELECT id, strftime(ledger_closed_at, '%Y-%m-%dT%H:%M:%SZ'), action_type, 'backstop', user_address, CAST(lp_tokens AS DOUBLE), NULL, ledger_sequence
    FROM backstop WHERE pool_address = 'P1' ORDER BY ledger_closed_at DESC, id LIMIT 50)) f
 LEFT JOIN tokens t USING (asset_address)""", "actions", "backstop", "tokens"))
 def live_feed_union(t: Tables):
     out = feed.live_feed(t.actions(), t.backstop(), "P1", 50, t.tokens())
     return out.drop("transaction_hash").withColumns({
-        "time": iso_z(F.col("time")), "amount": F.col("amount").cast("bigint")})
+        "time": iso_z(F.col("time")), "amount": F.col("amount").cast("double")})
 
 
 @query("""SELECT count(*) AS total_rows, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS earliest, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS latest,

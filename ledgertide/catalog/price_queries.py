@@ -229,11 +229,11 @@ _CONFIG_ROWS = """rows_ AS (
   UNION ALL SELECT 'backstop', pool_id, NULL, eps, CAST(nullif(expiration, 0) AS BIGINT) FROM backstop_state)"""
 
 
-@query(with_tables("SELECT config_type, pool_address, asset_address, eps, 14 AS eps_decimals, expiration FROM rows_",
+@query(with_tables("SELECT config_type, pool_address, asset_address, eps, 14 AS eps_decimals, CAST(expiration AS DOUBLE) AS expiration FROM rows_",
                    "reserve_state", "backstop_state", more=_CONFIG_ROWS))
 def emission_configs(t: Tables):
     out = yields.emission_configs(t.reserve_state(), t.backstop_state())
-    return out.withColumn("eps", F.col("eps").cast("bigint"))
+    return out.withColumns({"eps": F.col("eps").cast("bigint"), "expiration": F.col("expiration").cast("double")})
 
 
 _YEARLY = "sum(CASE WHEN config_type = '{}' THEN eps / 1e14::DOUBLE * 31536000 ELSE 0 END)"

@@ -62,18 +62,18 @@ def _run_events(t: Tables) -> TableStore:
 
 
 @query(with_tables(f"""SELECT {_hash(*_LENDING_FIELDS)} AS id, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, a AS action_type,
-  CAST(under AS BIGINT) AS amount_underlying, 'gs' AS src FROM lend WHERE pool_id IN (SELECT pool_id FROM pools WHERE name <= 'NATION_4')""",
+  CAST(under AS DOUBLE) AS amount_underlying, 'gs' AS src FROM lend WHERE pool_id IN (SELECT pool_id FROM pools WHERE name <= 'NATION_4')""",
     "ev", "pools", more=_LENDING))
 def stream_lending_events(t: Tables):
     out = _run_events(t).read("parsed_events")
-    return out.select("id", day("event_date"), "action_type", F.col("amount_underlying").cast("bigint").alias("amount_underlying"), "src")
+    return out.select("id", day("event_date"), "action_type", F.col("amount_underlying").cast("double").alias("amount_underlying"), "src")
 
 
-@query(with_tables(f"""SELECT {_hash(*_BACKSTOP_FIELDS)} AS id, a AS action_type, pool AS pool_address, CAST(lp AS BIGINT) AS lp_tokens, exp AS q4w_exp FROM back""",
+@query(with_tables(f"""SELECT {_hash(*_BACKSTOP_FIELDS)} AS id, a AS action_type, pool AS pool_address, CAST(lp AS DOUBLE) AS lp_tokens, CAST(exp AS DOUBLE) AS q4w_exp FROM back""",
     "ev", more=_BACK))
 def stream_backstop_events(t: Tables):
     out = _run_events(t).read("backstop_events")
-    return out.select("id", "action_type", "pool_address", F.col("lp_tokens").cast("bigint").alias("lp_tokens"), "q4w_exp")
+    return out.select("id", "action_type", "pool_address", *[F.col(c).cast("double").alias(c) for c in ("lp_tokens", "q4w_exp")])
 
 
 @query("SELECT event_id FROM events")

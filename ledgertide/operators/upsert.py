@@ -93,6 +93,8 @@ def upsert(
     """
     names = [f.name for f in schema.fields]
     last = dedup_last(src, keys, order_cols).select(*names)
+    if partition_col is None:
+        _finish_swap(spark, path)
     if not table_exists(spark, path):
         _write(last, path, partition_col, "append")
         return {"inserted": read_table(spark, path, schema).count(), "updated": 0, "stale": 0}
@@ -145,6 +147,15 @@ def _write(rows: DataFrame, path: str, partition_col: str | None, mode: str) ->
      .partitionBy(partition_col).parquet(path))
 
 
+def _finish_swap(spark: SparkSession, path: str) -> None:
+    """Clear up after a run that stopped while it swapped a small table in."""
+    if table_exists(spark, path + ".old"):
+        if table_exists(spark, path):
+            _drop(spark, path + ".old")
+        else:
+            _rename(spark, path + ".old", path)
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _fs_path(spark, source)
     fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target))

@@ -33,6 +33,15 @@ def test_insert_then_update_and_repeat(spark, tmp_path, part):
     assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_stage")]
 
 
+def test_small_table_survives_an_interrupted_swap(spark, tmp_path):
+    path = tmp_path / "t"
+    upsert(spark, str(path), rows(spark, [("a", D1, 1, 1)]), SCHEMA, ["id"], ["o"])
+    path.rename(tmp_path / "t.old")  # stopped between the two renames
+    upsert(spark, str(path), rows(spark, [("b", D1, 2, 1)]), SCHEMA, ["id"], ["o"])
+    assert content(spark, str(path)) == [("a", str(D1), 1), ("b", str(D1), 2)]
+    assert not (tmp_path / "t.old").exists()
+
+
 def test_only_touched_days_are_rewritten(spark, tmp_path):
     path = tmp_path / "t"
     upsert(spark, str(path), rows(spark, [("a", D1, 1, 1), ("b", D2, 2, 1)]), SCHEMA, ["id"], ["o"], "d")
