@@ -30,7 +30,7 @@ from .common import Memo, map_batches, text_or_empty
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 KEYS_PER_BUCKET = 4
-TRIES = ((0, 8), (8, 64), (64, 512), (512, 4096), (4096, 32768))
+TRIES = ((0, 64), (64, 1024), (1024, 32768))
 PRIME = 2**31 - 1
 
 
@@ -139,7 +139,6 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        self.whole = PerfectHash(self.ranks)
         self.pieces = regex.compile(pattern).findall
         size = max(self.ranks.values(), default=-1) + 1
         self.token = [b""] * size
@@ -148,6 +147,10 @@ class Codec:
         self.piece_memo = Memo(self._encode_piece)
         self.memo = Memo(self._encode_chunk)
 
+    @functools.cached_property
+    def whole(self) -> PerfectHash:
+        return PerfectHash(self.ranks)
+
     def _encode_piece(self, piece: str) -> bytes:
         raw = piece.encode()
         known = self.whole.get(raw)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +96,15 @@ def with_columns(batch: pa.RecordBatch, drop: tuple[str, ...], new: dict[str, pa
     return pa.RecordBatch.from_pydict({**kept, **new})
 
 
+def library_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver did (a cluster may ship it by ``--py-files`` instead)."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     bounded_batches(df.sparkSession)
+    library_on_workers(df.sparkSession)
     return df.mapInArrow(fn, schema)

@@ -7,11 +7,17 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .exact import OP9_SQL
+from .topk import OP8_SQL
+
 # operator module, function, table
 _QUERIES = (
     ("bpe", "op1_byte_bpe", "documents"),
+    ("langid", "op4_language_id", "documents"),
     ("packing", "op5_cost_packing", "documents"),
     ("counts", "op7_prefix_counts", "documents"),
+    ("topk", "op8_threshold_top_k", "embeddings"),
+    ("exact", "op9_block_naming", "documents"),
     ("tokenfiles", "op10_token_files", "documents"),
 )
 
@@ -28,4 +34,4 @@ def _query(module: str, name: str, table: str) -> Callable[[SparkSession, str],
 
 QUERIES = {name: _query(module, name, table) for module, name, table in _QUERIES}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_threshold_top_k": OP8_SQL, "op9_block_naming": OP9_SQL}
