@@ -8,6 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact import OP9_SQL
+from .substring import OP6_SQL
 from .topk import OP8_SQL
 
 # operator module, function, table
@@ -15,6 +16,7 @@ _QUERIES = (
     ("bpe", "op1_byte_bpe", "documents"),
     ("langid", "op4_language_id", "documents"),
     ("packing", "op5_cost_packing", "documents"),
+    ("substring", "op6_block_anchors", "documents"),
     ("counts", "op7_prefix_counts", "documents"),
     ("topk", "op8_threshold_top_k", "embeddings"),
     ("exact", "op9_block_naming", "documents"),
@@ -34,4 +36,4 @@ def _query(module: str, name: str, table: str) -> Callable[[SparkSession, str],
 
 QUERIES = {name: _query(module, name, table) for module, name, table in _QUERIES}
 
-ORACLES = {"op8_threshold_top_k": OP8_SQL, "op9_block_naming": OP9_SQL}
+ORACLES = {"op6_block_anchors": OP6_SQL, "op8_threshold_top_k": OP8_SQL, "op9_block_naming": OP9_SQL}
