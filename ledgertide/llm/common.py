@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str = "__row") -> DataFrame:
+    """``df`` with an identity for each row that is the same whenever the frame is read again.
+
+    Rows read straight from files are known by file and place. Any other frame
+    is written to the shared folder first, because row numbers that Spark gives
+    while computing depend on how the work happens to be split.
+    """
+    try:
+        meta = df.select("*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(name))
+        return meta if meta.schema else df
+    except AnalysisException:
+        return stored(df.withColumn(name, F.struct(F.lit("").alias("file_path"), F.monotonically_increasing_id().alias("row_index"))), "numbered")
+
+
 def bounded_batches(spark: SparkSession, rows: int = 4000) -> None:
     """Keep one Arrow batch of whole texts at a few dozen MB."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:

@@ -20,7 +20,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import numbered, stored, text_or_empty
 
 BLOCK_BYTES = 4096
 
@@ -44,13 +44,14 @@ def named(rows: DataFrame, keys: list[str], check: Column) -> DataFrame:
     return rows.withColumn("__check", check).join(names, [*keys, "__check"]).drop(*keys, "__check")
 
 
-def identities(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def identities(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
+               row: Column | None = None) -> DataFrame:
     """``row_id``, ``doc_id``, ``text_sha256``, ``blocks`` and ``name`` of every row; equal texts share the last two."""
     blocks = F.greatest(F.lit(1), F.ceil(F.octet_length("__text") / block_bytes)).cast("int")
     cut = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                       lambda i: F.substring(F.col("__text"), i * block_bytes + 1, F.lit(block_bytes)))
     rows = (
-        df.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).alias("doc_id"),
+        df.select((F.monotonically_increasing_id() if row is None else row).alias("row_id"), F.col(doc_id).alias("doc_id"),
                   folded(text).cast("binary").alias("__text"))
         .withColumn("blocks", blocks)
         .select("row_id", "doc_id", F.sha2("__text", 256).alias("text_sha256"), "blocks", F.col("blocks").alias("left"),
@@ -77,15 +78,16 @@ def identities(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_
     return whole.select("row_id", "doc_id", "text_sha256", "blocks", "name")
 
 
-def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
+                 row: Column | None = None) -> DataFrame:
     """Groups of rows whose texts are equal after lower-casing A-Z.
 
-    One row per input row: ``doc_id``, ``keep_id`` (largest ``doc_id`` of the
+    One row per input row: ``row_id`` (``row`` if given), ``doc_id``, ``keep_id`` (largest ``doc_id`` of the
     group, nulls lowest), ``group_size``, ``kept`` (true for one row of each
     group; of repeated rows one stays) and ``text_sha256``. A null text counts
     as empty and empty texts are equal. Other columns are not carried.
     """
-    rows = identities(df, doc_id, text, block_bytes)
+    rows = identities(df, doc_id, text, block_bytes, row)
     groups = rows.groupBy("blocks", "name").agg(
         F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count(F.lit(1)).alias("group_size"),
         F.first("text_sha256").alias("__sha"))
@@ -94,6 +96,13 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bloc
                          (F.col("keep.row_id") == F.col("row_id")).alias("kept"), "text_sha256")
 
 
+def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns: one of each group of equal texts."""
+    rows = numbered(df)
+    gone = exact_groups(rows, doc_id, text, row=F.col("__row")).where("NOT kept").select(F.col("row_id").alias("__row"))
+    return rows.join(gone, "__row", "left_anti").select(df.columns)
+
+
 def op9_block_naming(documents: DataFrame) -> DataFrame:
     """Exact groups of all documents."""
     return exact_groups(documents).drop("row_id")

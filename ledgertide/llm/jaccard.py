@@ -164,17 +164,9 @@ def _tile(threshold: float, tolerance: float):
     return run
 
 
-def similarity_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
-                       tolerance: float = TOLERANCE, tile: int = TILE) -> DataFrame:
-    """Near-duplicate classes of all rows.
-
-    One row per input row: ``row_id``, ``doc_id``, ``copy_id`` (least
-    ``row_id`` with the same shingle set), ``class_row`` (least ``row_id`` of
-    all rows it is connected to), ``class_id`` (least ``doc_id`` there, nulls
-    ignored) and ``n_links`` (other rows at or above the threshold). Null and
-    empty texts have no shingles: each is a class of its own. Repeated rows are
-    rows of one copy class. Other columns are not carried.
-    """
+def _classes(df: DataFrame, doc_id: str, text: str, threshold: float, tolerance: float, tile: int,
+             carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The stored rows (with ``carry``) and the class of each."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column("text").to_pylist())
@@ -182,11 +174,12 @@ def similarity_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())],
-                names=["row_id", "doc_id", "text", "key", "sig"])
+                names=["row_id", "doc_id", "carried", "text", "key", "sig"])
 
     rows = df.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"),
-                     as_bytes(text).alias("text"))
-    rows = stored(map_batches(rows, sketch, "row_id bigint, doc_id bigint, text binary, key binary, sig binary"), "sketches")
+                     F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(True).alias("none")]).alias("carried"), as_bytes(text).alias("text"))
+    fields = f"row_id bigint, doc_id bigint, carried {rows.schema['carried'].dataType.simpleString()}, text binary"
+    rows = stored(map_batches(rows, sketch, f"{fields}, key binary, sig binary"), "sketches")
     keyed = rows.where("key IS NOT NULL")
     classes = stored(keyed.groupBy("key").agg(F.min("row_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                               F.first("sig").alias("sig")), "classes")
@@ -223,7 +216,31 @@ def similarity_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         "row_id", "doc_id", F.coalesce("copy_id", "row_id").alias("copy_id"),
         F.coalesce("class_row", "row_id").alias("class_row"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     least = placed.groupBy("class_row").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(least, "class_row").select("row_id", "doc_id", "copy_id", "class_row", "class_id", "n_links")
+    return rows, placed.join(least, "class_row").select("row_id", "doc_id", "copy_id", "class_row", "class_id", "n_links")
+
+
+def similarity_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+                       tolerance: float = TOLERANCE, tile: int = TILE) -> DataFrame:
+    """Near-duplicate classes of all rows.
+
+    One row per input row: ``row_id``, ``doc_id``, ``copy_id`` (least
+    ``row_id`` with the same shingle set), ``class_row`` (least ``row_id`` of
+    all rows it is connected to), ``class_id`` (least ``doc_id`` there, nulls
+    ignored) and ``n_links`` (other rows at or above the threshold). Null and
+    empty texts have no shingles: each is a class of its own. Repeated rows are
+    rows of one copy class. Other columns are not carried.
+    """
+    return _classes(df, doc_id, text, threshold, tolerance, tile)[1]
+
+
+def one_per_class(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+                  tolerance: float = TOLERANCE, tile: int = TILE) -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns: the first (least ``doc_id``, nulls last) of each class."""
+    rows, placed = _classes(df, doc_id, text, threshold, tolerance, tile, tuple(df.columns))
+    member = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id")
+    first = placed.groupBy("class_row").agg(F.min(member).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = placed.join(first, "class_row").where("first.row_id <> row_id").select("row_id")
+    return rows.join(gone, "row_id", "left_anti").select("carried.*")
 
 
 def op3_jaccard_join(documents: DataFrame) -> DataFrame:

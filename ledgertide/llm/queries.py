@@ -14,6 +14,7 @@ from .topk import OP8_SQL
 # operator module, function, table
 _QUERIES = (
     ("bpe", "op1_byte_bpe", "documents"),
+    ("ctw", "op2_context_tree", "documents"),
     ("jaccard", "op3_jaccard_join", "documents"),
     ("langid", "op4_language_id", "documents"),
     ("packing", "op5_cost_packing", "documents"),

@@ -227,7 +227,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
     all others stay. A word goes if a window of 20 words that covers it also
     starts earlier: in a smaller ``doc_id`` (null is smallest), or earlier in
     the same document; rows of one ``doc_id`` are ordered by their text, so of
-    repeated rows the first stays whole. Windows are judged on the input. A
+    repeated rows the first stays whole (rows without id by a hash of the text). Windows are judged on the input. A
     null text has no words and becomes empty; texts under 20 words lose none.
     """
     new = ("n_words", "n_removed", "kept_text", "removed_spans")
@@ -236,7 +236,8 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
     blocks = block_count(size, block_bytes)
     shards = 1 << (block_count(size, shard_bytes) - 1).bit_length()
     library_on_workers(df.sparkSession)
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
+    unnamed = F.lit(NULL_ID) + F.xxhash64(as_bytes(text)).bitwiseAND(2**40 - 1)  # before all ids, over many blocks
+    key = F.coalesce(F.col(doc_id).cast("long"), unnamed)
     docs = (
         df.select(*[F.col(f"`{c}`") for c in kept], key.alias("__key"), as_bytes(text).alias("__text"))
         .withColumn("__block", F.pmod(F.xxhash64("__key"), F.lit(blocks)).cast("int"))
