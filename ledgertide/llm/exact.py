@@ -1,8 +1,8 @@
 """Exact deduplication by block naming (operator 9).
 
-Texts are cut into blocks of fixed size. Distinct blocks are sorted and numbered
-within the partitions they hash to, so that equal blocks and only they share an
-integer name. Then adjacent names are paired and the distinct pairs are named in
+Texts are cut into blocks of fixed size. Repeated blocks are sorted and numbered
+within the partitions they hash to, and a block that occurs once takes a number
+of its own, so that equal blocks and only they share an integer name. Then adjacent names are paired and the distinct pairs are named in
 the same way, until each document has one name. Documents with as many blocks
 are named in the same round, so (number of blocks, name) is an identity without
 collisions: no digest decides.
@@ -35,13 +35,17 @@ def folded(text: str) -> Column:
 def named(rows: DataFrame, keys: list[str], check: Column) -> DataFrame:
     """``rows`` with ``keys`` replaced by ``name``: one integer for each distinct value of the keys.
 
+    Values that occur more than once are numbered from 0 in sorted order by
+    partition. A value that occurs once is like no other and takes a fresh
+    number below -1 where it stands, so only repeated values are moved again.
     ``check`` is a value that follows from the keys.
     """
     names = (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).sortWithinPartitions(*keys)
-        .select(*keys, F.monotonically_increasing_id().alias("name"), check.alias("__check"))
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").sortWithinPartitions(*keys)
+        .select(*keys, F.monotonically_increasing_id().alias("__name"), check.alias("__check"))
     )
-    return rows.withColumn("__check", check).join(names, [*keys, "__check"]).drop(*keys, "__check")
+    name = F.coalesce("__name", -2 - F.monotonically_increasing_id())
+    return rows.withColumn("__check", check).join(names, [*keys, "__check"], "left").withColumn("name", name).drop(*keys, "__check", "__name")
 
 
 def identities(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
