@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 from array import array
 
@@ -23,6 +24,7 @@ from .chunks import chunks, words
 from .common import Memo
 
 LATIN_END = "ɐ"
+_NOT_PLAIN = re.compile("[^\\x00-\u012f\u0131-\u024f]")  # beyond Latin, or a capital whose lower case is two characters
 
 
 def byte_symbols() -> dict[int, str]:
@@ -70,6 +72,8 @@ class LibraryCodec:
         """Ids of a whole text as little-endian unsigned 32-bit integers, without added special tokens."""
         if any(s in text for s in self.specials):
             return self._whole(text)
+        if self.folds and not _NOT_PLAIN.search(text):
+            text = text.lower()  # as the tokenizer does; capitalised words then share an entry
         return b"".join(map(self.memo.__getitem__, self.cut(text)))
 
 
