@@ -25,6 +25,8 @@ input; a hot word or context is one entry per asker.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -194,23 +196,17 @@ def units_of(text: bytes) -> list[bytes]:
     return units
 
 
-def _vocabulary(docs: pa.Table) -> dict[bytes, int]:
+def _vocabulary(docs: pa.Table) -> Counter[bytes]:
     """Distinct units of a block with training counts."""
-    counts: dict[bytes, int] = {}
-    texts, train = docs["__text"].to_pylist(), docs["__train"].to_pylist()
-    for text, used in zip(texts, train, strict=True):
-        if used:
-            for unit in units_of(text):
-                counts[unit] = counts.get(unit, 0) + 1
-    for text, used in zip(texts, train, strict=True):
-        if not used:
-            for unit in units_of(text):
-                if unit not in counts:
-                    counts[unit] = 0
+    counts, others = Counter(), set()
+    for text, used in zip(docs["__text"].to_pylist(), docs["__train"].to_pylist(), strict=True):
+        (counts if used else others).update(units_of(text))
+    for unit in others:
+        counts.setdefault(unit, 0)
     return counts
 
 
-def _dealt(units: list[bytes], shards: int) -> dict[int, list[bytes]]:
+def _dealt(units: Iterable[bytes], shards: int) -> dict[int, list[bytes]]:
     by_shard: dict[int, list[bytes]] = {}
     for unit in sorted(units):
         by_shard.setdefault(unit_shard(unit, shards), []).append(unit)
@@ -222,7 +218,7 @@ def ask_words(shards: int):
         counts, name = _vocabulary(docs), docs["__block"][0].as_py()
         return table(WORDS, [
             (name, shard, b"\n".join(units), np.array([counts[u] for u in units], "<u4").tobytes())
-            for shard, units in _dealt(list(counts), shards).items()])
+            for shard, units in _dealt(counts, shards).items()])
 
     return run
 
@@ -323,7 +319,8 @@ RESULT = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score doubl
 
 def _scored(shards: int, tokens: int, known: int, kept: list[str]):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        by_shard = _dealt(list(_vocabulary(docs)), shards)
+        texts = [units_of(text) for text in docs["__text"].to_pylist()]
+        by_shard = _dealt(set().union(*texts), shards)
         rows = {r["shard"]: r for r in told.to_pylist()}
         units = [u for shard in sorted(by_shard) for u in by_shard[shard]]
         counts = np.concatenate([np.frombuffer(rows[s]["counts"], np.int64) for s in sorted(by_shard)])
@@ -331,8 +328,7 @@ def _scored(shards: int, tokens: int, known: int, kept: list[str]):
         base = np.log10((counts + 0.5) / (tokens + 0.5 * (known + 1)))
         place = {u: i for i, u in enumerate(units)}
         out = []
-        for text in docs["__text"].to_pylist():
-            found = units_of(text)
+        for found in texts:
             at = np.fromiter(map(place.__getitem__, found), np.int64, len(found))
             out.append((len(found), int((counts[at] > 0).sum()), tokens, float(base[at].sum()), float(scores[at].sum())))
         result = table(RESULT, out)
