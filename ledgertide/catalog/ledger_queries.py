@@ -177,7 +177,7 @@ def user_position_changes(t: Tables):
     return _position_columns(positions.user_position_changes(t.state(), "U7", mode="position", start_date="2024-01-01"))
 
 
-@query(with_tables("SELECT pool_id, reserve_index, asset_address FROM mapping", "mapping"))
+@query(with_tables("SELECT pool_id, CAST(reserve_index AS BIGINT) AS reserve_index, asset_address FROM mapping", "mapping"))
 def reserve_mapping(t: Tables):
     return decode.reserve_mapping(t.state(), "key")
 

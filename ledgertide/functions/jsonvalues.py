@@ -37,7 +37,8 @@ def i128_text(text: Column, low_word_only: bool = False, halves: Column | None =
     """Decimal digits of a 128-bit integer given as scalar text or ``{hi, lo}``.
 
     With ``low_word_only`` the high word is ignored, as older backfills did.
-    A value that needs 39 digits becomes NULL; typed tables reject such rows.
+    A ``{hi, lo}`` that needs 39 digits keeps its JSON text, which is no number,
+    so that validation rejects the row instead of storing a missing amount.
     ``halves`` is :func:`i128_halves` of the same text from an earlier projection
     (hot paths parse it there once instead of once per use).
     """
@@ -50,19 +51,19 @@ def i128_text(text: Column, low_word_only: bool = False, halves: Column | None =
             F.try_multiply(high.try_cast("decimal(19,0)"), F.lit(_TWO_64).cast("decimal(20,0)")).cast("decimal(38,0)"),
             low.try_cast("decimal(20,0)"),
         )
-        nested = F.when(high.isNull() | (high == "0"), low).otherwise(wide.cast("decimal(38,0)").cast("string"))
+        nested = F.when(high.isNull() | (high == "0"), low).otherwise(F.coalesce(wide.try_cast("decimal(38,0)").cast("string"), text))
     return F.when(text.startswith("{"), nested).when(~text.startswith("["), text)
 
 
 def keys_of(entries: Column) -> Column:
-    """Distinct integer keys of ``array<struct<key:struct<u32>, val:…>>``, in order."""
-    keyed = F.filter(entries, lambda e: e["key"]["u32"].isNotNull())
-    return F.array_distinct(F.transform(keyed, lambda e: e["key"]["u32"].cast("int")))
+    """Distinct integer keys of ``array<struct<key:struct<u32>, val:…>>``, in order; unsigned 32-bit keys need a long."""
+    keyed = F.filter(entries, lambda e: e["key"]["u32"].try_cast("long").isNotNull())
+    return F.array_distinct(F.transform(keyed, lambda e: e["key"]["u32"].try_cast("long")))
 
 
 def find_by_key(entries: Column, key: Column | int) -> Column:
     """First entry with this integer key, NULL where there is none."""
-    return F.get(F.filter(entries, lambda e: e["key"]["u32"].cast("int") == key), 0)
+    return F.get(F.filter(entries, lambda e: e["key"]["u32"].try_cast("long") == key), 0)
 
 
 def with_integers(df: DataFrame, texts: Mapping[str, Column], low_word_only: bool = False) -> DataFrame:

@@ -9,23 +9,34 @@ from pyspark.sql import functions as F
 
 
 def _shifted(raw: Column, whole_digits: int, digits: int) -> Column:
-    """raw * 10**-digits, exact: decimal(w,0) * decimal(d,d) fits decimal(38,d)."""
-    return raw.try_cast(f"decimal({whole_digits},0)") * F.lit(Decimal(1).scaleb(-digits))
+    """raw * 10**-digits as decimal(38, digits), exact for every integer of up to 38 digits; NULL beyond.
+
+    Up to ``whole_digits`` the product fits the type of a decimal product; a
+    wider integer has its point set in its text.
+    """
+    narrow = (raw.try_cast(f"decimal({whole_digits},0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
+    text = raw.try_cast("decimal(38,0)").cast("string")
+    pointed = F.concat(F.substring(text, F.lit(1), F.length(text) - digits), F.lit("."), F.right(text, F.lit(digits)))
+    return F.coalesce(narrow, pointed.try_cast(f"decimal(38,{digits})"))
 
 
 def scaled_amount(raw: Column) -> Column:
-    """Raw token amount → tokens with 7 decimals; a missing amount counts as 0."""
-    return F.coalesce(_shifted(raw, 30, 7), F.lit(Decimal("0E-7")).cast("decimal(38,7)")).cast("decimal(38,7)")
+    """Raw token amount → tokens with 7 decimals.
+
+    A missing amount counts as 0; one that is no integer of up to 38 digits is NULL.
+    """
+    zero = F.lit(Decimal("0E-7")).cast("decimal(38,7)")
+    return F.when(raw.isNull(), zero).otherwise(_shifted(raw, 30, 7))
 
 
 def scaled_rate(raw: Column, null_as_zero: bool = False) -> Column:
     """Raw rate → rate with 12 decimals.
 
     Backfills keep a missing rate NULL; the real-time feed stored 0 instead
-    (``null_as_zero``).
+    (``null_as_zero``). A rate that is no integer of up to 38 digits is NULL.
     """
-    rate = _shifted(raw, 25, 12).cast("decimal(38,12)")
-    return F.coalesce(rate, F.lit(0).cast("decimal(38,12)")) if null_as_zero else rate
+    rate = _shifted(raw, 25, 12)
+    return F.when(raw.isNull(), F.lit(0).cast("decimal(38,12)")).otherwise(rate) if null_as_zero else rate
 
 
 def q4w_percent(q4w: Column, shares: Column) -> Column:

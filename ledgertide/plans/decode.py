@@ -272,7 +272,7 @@ def decode_positions(df: DataFrame, mode: str = "key") -> DataFrame:
           for name, n in (("supply", SUPPLY), ("collateral", COLLATERAL), ("liabilities", LIABILITIES))])
     names = ("supply", "collateral", "liabilities")
     if mode == "key":
-        none = F.array().cast("array<int>")
+        none = F.array().cast("array<bigint>")
         held = [F.coalesce(keys_of(F.col(c)), none) for c in ("collateral", "liabilities", "supply")]
         indices = F.array_union(F.array_union(held[0], held[1]), held[2])
         entry = lambda c: find_by_key(F.col(c), F.col("reserve_index"))
@@ -328,7 +328,7 @@ def decode_reserve_config(df: DataFrame, mode: str = "key", include_deleted: boo
     A deleted entry has no value; it comes out with index -1 and ``deleted``.
     """
     rows = _numbers(entries_of(df, RESERVE_CONFIG, include_deleted), mode, _i=(3, "u32"))
-    index = F.col("_i").try_cast("int")
+    index = F.col("_i").try_cast("long")
     return rows.select(
         F.col("contract_id").alias("pool_id"), F.col("key_address").alias("asset_address"),
         F.when(F.col("deleted"), F.lit(-1)).otherwise(index).alias("reserve_index"),

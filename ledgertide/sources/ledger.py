@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,11 +49,13 @@ def read_backstop_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, path: str, start_at: str | int = "earliest",
-                  max_files: int | None = None) -> DataFrame:
+                  max_files: int | None = None, remember: str | None = None) -> DataFrame:
     """Contract-event stream over a directory of Parquet files.
 
     ``start_at``: ``"earliest"``, ``"latest"`` (only ledgers above what is there
-    now) or a ledger number.
+    at the first start) or a ledger number. ``remember`` is a table beside the
+    stream's checkpoint that keeps the ledger found at the first start; a
+    restart reads it, so nothing that landed in between is passed over.
     """
     reader = spark.readStream.schema(schemas.STREAM_EVENTS)
     if max_files:
@@ -61,11 +64,25 @@ def stream_events(spark: SparkSession, path: str, start_at: str | int = "earlies
     if start_at == "earliest":
         return stream
     if start_at == "latest":
-        top = spark.read.schema(schemas.STREAM_EVENTS).parquet(path).agg(F.max("ledger_sequence")).first()[0]
-        return stream.filter(F.col("ledger_sequence") > (top if top is not None else -1))
+        return stream.filter(F.col("ledger_sequence") > _start_ledger(spark, path, remember))
     return stream.filter(F.col("ledger_sequence") >= int(start_at))
 
 
+def _start_ledger(spark: SparkSession, path: str, remember: str | None) -> int:
+    """The newest ledger at the stream's first start; -1 if there is none."""
+    if remember:
+        try:
+            return spark.read.schema("ledger bigint").parquet(remember).first()[0]
+        except AnalysisException:  # first start: the table does not exist
+            pass
+    newest = spark.read.schema(schemas.STREAM_EVENTS).parquet(path).agg(
+        F.coalesce(F.max("ledger_sequence"), F.lit(-1)).alias("ledger"))
+    if not remember:
+        return newest.first()[0]
+    newest.write.parquet(remember)
+    return spark.read.schema("ledger bigint").parquet(remember).first()[0]
+
+
 def normalise_close_time(df: DataFrame, column: str = "ledger_closed_at") -> DataFrame:
     """Close time given as epoch milliseconds → timestamp; timestamps pass through."""
     if dict(df.dtypes)[column] == "bigint":
@@ -92,7 +109,7 @@ def split_state_batches(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     e = F.col("e")
     entries = payloads.select(F.explode("events").alias("e")).select(
         e["contract_id"].alias("contract_id"),
-        F.to_timestamp(e["closed_at"]).alias("closed_at"),
+        F.try_to_timestamp(e["closed_at"]).alias("closed_at"),
         e["ledger_sequence"].alias("ledger_sequence"),
         e["ledger_key_hash"].alias("ledger_key_hash_base_64"),
         e["ledger_entry_change"].cast("long").alias("ledger_entry_change"),

@@ -47,12 +47,13 @@ def enrich_positions(entries: DataFrame, mapping: DataFrame, snapshots: DataFram
 
 
 def unreadable(entries: DataFrame) -> DataFrame:
-    """Entries of a known kind that lack an address, a value or an index."""
+    """Entries of a known kind that lack an address, a value or a readable close time."""
     kind = decode.entry_type(F.col("key_decoded"))
     address = F.get_json_object("key_decoded", "$.vec[1].address")
     has_map = F.get_json_object("val_decoded", "$.map").isNotNull()
     known = entries.withColumn("_kind", kind).filter(F.col("_kind") != "Unknown")
-    bad = known.filter(address.isNull() | (~F.col("deleted") & ~F.coalesce(has_map, F.lit(False))))
+    bad = known.filter(address.isNull() | (~F.col("deleted") & ~F.coalesce(has_map, F.lit(False)))
+                       | F.col("closed_at").isNull())
     return bad.select(
         F.concat(F.lit("unreadable entry of kind "), F.col("_kind")).alias("reject_reason"),
         F.col("contract_id").alias("pool_id"), F.lit(None).cast("string").alias("user_address"), "ledger_sequence")
@@ -63,7 +64,8 @@ def state_batch_handler(store: TableStore):
         payloads = payloads.persist()
         try:
             entries, malformed = split_state_batches(payloads)
-            readable = entries.filter(F.get_json_object("key_decoded", "$.vec[1].address").isNotNull())
+            readable = entries.filter(F.get_json_object("key_decoded", "$.vec[1].address").isNotNull()
+                                      & F.col("closed_at").isNotNull())
 
             config = decode.decode_reserve_config(readable).filter(F.col("reserve_index").isNotNull())
             configs = store.upsert("reserve_config_state", config, guard="ledger_sequence")
