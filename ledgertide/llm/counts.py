@@ -5,7 +5,9 @@ For a pre-token, ``count[i]`` is the exact number of BPE tokens of its first
 follow the last token ``s`` of the prefix before it; ``t`` may follow ``s`` when
 merging their joined bytes gives back just these two. So ``count[i] =
 count[i - len(t)] + 1``, each position looks only at earlier ones, and no prefix
-is encoded twice. Which pairs may stand together is kept in a table.
+is encoded twice. Which pairs may stand together is kept in a table. A table is
+filled on demand: the count of a whole pre-token asks only for the prefixes its
+recurrence reaches, a budget that runs out inside it asks for the others.
 
 A text's count is the sum over its pre-tokens, and how much of a text fits a
 token budget is read off the same tables.
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import functools
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import public_tokenizers
@@ -56,26 +58,48 @@ class PrefixCounter:
         self.special = regex.compile("|".join(map(regex.escape, self.specials)) or "(?!)")
         self.pieces = regex.compile(pattern).findall
         self.follows = Memo(self._follows, PAIR_ENTRIES, 2)
-        self.piece_memo = Memo(lambda piece: self.prefix_counts(piece.encode())[-1])
+        self.piece_memo = Memo(lambda piece: self.piece_count(piece.encode()))
         self.memo = Memo(lambda chunk: sum(map(self.piece_memo.__getitem__, self.pieces(chunk))))
 
     def _follows(self, pair: tuple[int, int]) -> bool:
         left, right = pair
         return merge_bytes(self.token[left] + self.token[right], self.rank) == [left, right]
 
+    def _fill(self, piece: bytes, stop: int, last: list[int | None], count: list[int]) -> None:
+        """Enter the last token and the count of the first ``stop`` bytes, and of the shorter prefixes these rest on."""
+        rank_of, follows, longest = self.rank.get, self.follows, self.longest
+        tried: dict[int, int] = {}  # where the search for a prefix's last token goes on
+        asked = [stop]
+        while asked:
+            stop = asked[-1]
+            start = tried.get(stop) or max(0, stop - longest)
+            while True:
+                token = rank_of(piece[start:stop])
+                if token is not None:
+                    if start and last[start] is None:
+                        tried[stop] = start
+                        asked.append(start)
+                        break
+                    if not start or follows[last[start], token]:
+                        last[stop], count[stop] = token, count[start] + 1
+                        asked.pop()
+                        break
+                start += 1
+
     def prefix_counts(self, piece: bytes) -> list[int]:
         """Tokens of the first ``0, 1, … len`` bytes of one pre-token."""
-        rank_of, follows, longest = self.rank.get, self.follows, self.longest
-        last, count = [-1], [0]
+        last, count = [None] * (len(piece) + 1), [0] * (len(piece) + 1)
         for stop in range(1, len(piece) + 1):
-            for start in range(max(0, stop - longest), stop):
-                token = rank_of(piece[start:stop])
-                if token is not None and (not start or follows[last[start], token]):
-                    last.append(token)
-                    count.append(count[start] + 1)
-                    break
+            if last[stop] is None:
+                self._fill(piece, stop, last, count)
         return count
 
+    def piece_count(self, piece: bytes) -> int:
+        """Tokens of one pre-token."""
+        last, count = [None] * (len(piece) + 1), [0] * (len(piece) + 1)
+        self._fill(piece, len(piece), last, count)
+        return count[-1]
+
     def count(self, text: str) -> int:
         """Tokens of a whole text; the string of a special token is one token."""
         if any(s in text for s in self.specials):
@@ -83,6 +107,16 @@ class PrefixCounter:
                 + len(self.special.findall(text))
         return sum(map(self.memo.__getitem__, chunks(text)))
 
+    def count_and_fit(self, text: str, limit: int) -> tuple[int, int]:
+        """``count`` and ``fit`` of a text, its chunks looked up once."""
+        if any(s in text for s in self.specials):
+            n = self.count(text)
+            return n, len(text) if n <= limit else self.fit(text, limit)
+        parts = chunks(text)
+        sizes = list(map(self.memo.__getitem__, parts))
+        n = sum(sizes)
+        return n, len(text) if n <= limit else self._cut(parts, sizes, limit)
+
     def fit(self, text: str, limit: int) -> int:
         """Characters of a prefix within ``limit`` tokens; a special token's string is kept or left out whole."""
         at, left = 0, limit
@@ -104,9 +138,15 @@ class PrefixCounter:
         a contraction, because such a tail would be split differently.
         """
         parts = chunks(text)
-        totals = list(accumulate(map(self.memo.__getitem__, parts), initial=0))
-        over = next(i for i, n in enumerate(totals) if n > limit) - 1
-        at, used = sum(map(len, parts[:over])), totals[over]
+        return self._cut(parts, map(self.memo.__getitem__, parts), limit)
+
+    def _cut(self, parts: list[str], sizes: Iterable[int], limit: int) -> int:
+        used = 0
+        for over, n in enumerate(sizes):
+            if used + n > limit:
+                break
+            used += n
+        at = sum(map(len, parts[:over]))
         for piece in self.pieces(parts[over]):
             inside = self.prefix_counts(piece.encode())
             if used + inside[-1] <= limit:
@@ -141,8 +181,8 @@ def count_tokens(df: DataFrame, text: str = "text", tokenizer: str | None = None
         counts = counter(path)
         for batch in batches:
             texts = batch.column("__text").to_pylist()
-            n = [counts.count(t) for t in texts]
-            fit = [len(t) if k <= limit else counts.fit(t, limit) for t, k in zip(texts, n, strict=True)]
+            both = [counts.count_and_fit(t, limit) for t in texts]
+            n, fit = [b[0] for b in both], [b[1] for b in both]
             columns = [pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()),
                        pa.array([k > limit for k in n], pa.bool_()), pa.array(fit, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *new])
