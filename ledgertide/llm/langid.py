@@ -163,13 +163,30 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def first_picks(rows: DataFrame) -> DataFrame:
+    """Rows of ``lang`` and ``pick`` that can be among a language's first ``SAMPLE_PER_LANGUAGE`` by ``pick``, and few others.
+
+    Picks are hashes, so that twice the sample lies below a bound that follows
+    from their number. The others go where they are read: a frequent language
+    sends no more texts to its ranking than a rare one.
+    """
+    picks = rows.groupBy("lang").agg(F.approx_count_distinct("pick")).orderBy("lang").limit(SAMPLE_TOTAL).collect()
+    bounds = {lang: int(2**64 * 2 * SAMPLE_PER_LANGUAGE / n) - 2**63 for lang, n in picks if n > 2 * SAMPLE_PER_LANGUAGE}
+    if not bounds:
+        return rows
+    bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
+    return rows.where(F.coalesce(F.col("pick") <= bound[F.col("lang")], F.lit(True)))
+
+
 def fit(labelled: DataFrame, order_by: Column, text: str = "text", lang: str = "lang") -> Model:
-    """Train on at most ``SAMPLE_PER_LANGUAGE`` texts of a language, ``SAMPLE_TOTAL`` in all, whole, by ``order_by``."""
+    """Train on at most ``SAMPLE_PER_LANGUAGE`` texts of a language, ``SAMPLE_TOTAL`` in all, whole, by ``order_by``, a 64-bit hash."""
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("pick", "text"))
-    sample = (
+    usable = (
         labelled.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0))
         .select(F.col(lang).alias("lang"), as_bytes(text).alias("text"), order_by.alias("pick"))
-        .withColumn("rank", rank).where(F.col("rank") <= SAMPLE_PER_LANGUAGE)
+    )
+    sample = (
+        first_picks(usable).withColumn("rank", rank).where(F.col("rank") <= SAMPLE_PER_LANGUAGE)
         .orderBy("rank", "lang").limit(SAMPLE_TOTAL)
     )
 
