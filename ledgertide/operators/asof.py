@@ -9,7 +9,8 @@ Shape of the plan, chosen so that one hot key cannot end up in one task:
   of ticks.  Each side holds a tick once, so a window group has at most
   ``2 * bucket_ticks`` rows however skewed the key is.
 * A bucket without an earlier fact inside it takes the last fact of an earlier
-  bucket: one summary row per ``(key, bucket)``, windowed per key.
+  bucket: one summary row per ``(key, bucket)``, carried on within runs of
+  buckets and then, one row per run, from run to run.
 * The resolved points go back to the left rows by an equi-join on
   ``(key, tick)``, which adaptive execution may split or broadcast.
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BUCKET_TICKS = 1 << 16
+BUCKETS_PER_RUN = 4096
 
 
 def _ticks(df: DataFrame, column: str) -> tuple[Column, int]:
@@ -45,6 +47,25 @@ def _ticks(df: DataFrame, column: str) -> tuple[Column, int]:
     return c.cast("long"), DEFAULT_BUCKET_TICKS
 
 
+def _carried(summary: DataFrame, on: list[str]) -> DataFrame:
+    """The last fact before each bucket that holds a point.
+
+    A window group is one run of buckets of a key, or one row per run of a key:
+    also without a key no task sees all buckets.
+    """
+    def before(keys: Sequence[str], by: str) -> Column:
+        rows = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.last("_closing", ignorenulls=True).over(rows)
+
+    in_runs = summary.withColumn("_run", F.floor(F.col("_bucket") / BUCKETS_PER_RUN).cast("long")).repartition(*on, "_run")
+    runs = in_runs.groupBy(*on, "_run").agg(
+        F.max_by("_closing", F.when(F.col("_closing").isNotNull(), F.col("_bucket"))).alias("_closing"))
+    from_runs = runs.select(*on, "_run", before(on, "_run").alias("_from_runs"))
+    inside = in_runs.withColumn("_inside", before([*on, "_run"], "_bucket")).filter("_has_point")
+    return inside.join(from_runs, [*on, "_run"], "left").select(
+        *on, "_bucket", F.coalesce("_inside", "_from_runs").alias("_carried"))
+
+
 def asof_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, cols: Sequence[str],
     tie_cols: Sequence[str] = (), bucket_ticks: int | None = None,
@@ -88,10 +109,7 @@ def asof_join(
     summary = timeline.groupBy(*on, "_bucket").agg(
         F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_tick"))).alias("_closing"),
         F.bool_or("_is_point").alias("_has_point"))
-    earlier = Window.partitionBy(*on).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        *on, "_bucket", "_has_point", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"),
-    ).filter("_has_point").drop("_has_point")
+    carried = _carried(summary, on)
 
     resolved = within.join(carried, [*on, "_bucket"], "left").select(
         *on, "_tick", F.coalesce("_seen", "_carried").alias("_match"))

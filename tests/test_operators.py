@@ -49,6 +49,13 @@ def test_asof_join_by_timestamp_and_date(spark):
     assert [r["v"] for r in asof_join(dl, dr, [], "t", "at", ["v"]).orderBy("t").collect()] == [None, 7]
 
 
+def test_asof_join_carries_facts_over_runs_of_buckets(spark):
+    left = spark.createDataFrame([(0,), (9,), (50_000,), (90_000,)], "t long")
+    right = spark.createDataFrame([(5, 1), (49_999, 2)], "at long, v int")
+    got = asof_join(left, right, [], "t", "at", ["v"], bucket_ticks=2).orderBy("t")
+    assert [r["v"] for r in got.collect()] == [None, 1, 2, 2]
+
+
 def test_asof_window_groups_stay_bounded_for_a_hot_key(spark):
     """However many rows the hot key has, a window group holds one row per tick of a bucket."""
     left = spark.range(20_000).select(F.lit("hot").alias("k"), (F.col("id") % 1000).alias("t"))
