@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.timewindow import parse_instant
 from ..functions.wellformed import blank
 
 
@@ -47,6 +49,18 @@ def numeric_text(column: str) -> Rule:
     return Rule(f"{column} is not a 38-digit number", ~blank(c) & c.cast("string").try_cast("decimal(38,0)").isNull())
 
 
+def typed_text(column: str, kind: T.DataType) -> Rule:
+    """Text that is present but is no value of the column's type; a whole number may not lose a fraction."""
+    c = F.col(column)
+    if isinstance(kind, T.TimestampType):
+        bad = parse_instant(c).isNull()
+    else:
+        bad = c.try_cast(kind).isNull()
+        if isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale == 0:
+            bad = bad | ~c.rlike(r"^[+-]?\d+$")
+    return Rule(f"{column} is no {kind.simpleString()}", ~blank(c) & bad)
+
+
 POSITION_RULES = lambda: [  # noqa: E731 - columns need a live session
     required("pool_id", "user_address", "asset_address"),
     required("snapshot_date"),

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..constants import PRICE_BACKFILL, SRC_CSV
 from ..functions.timewindow import parse_day, parse_instant
 from ..functions.wellformed import is_iso_day, null_if_blank
-from ..operators.validate import ACTION_RULES, BACKSTOP_RULES, Rule, validate
+from ..operators.validate import ACTION_RULES, BACKSTOP_RULES, Rule, typed_text, validate
 
 ACTION_CSV_REQUIRED = ("id", "pool_id", "action_type", "ledger_sequence")
 BACKSTOP_CSV_REQUIRED = ("id", "action_type", "ledger_sequence")
@@ -32,6 +33,12 @@ def _read_csv(spark: SparkSession, path: str, required: Sequence[str], columns:
     return named.select([null_if_blank(F.trim(F.col(c))).alias(c) for c in columns])
 
 
+def _type_rules(schema: T.StructType, columns: Sequence[str]) -> list[Rule]:
+    """No text is stored as another number or time; the ledger alone is read by its leading digits."""
+    return [typed_text(f.name, f.dataType) for f in schema.fields
+            if f.name in columns and f.name != "ledger_sequence" and isinstance(f.dataType, (T.NumericType, T.TimestampType))]
+
+
 def _with_defaults(df: DataFrame) -> DataFrame:
     # The ledger text counts as far as its leading digits go, as parseInt reads it.
     ledger = F.regexp_extract(F.col("ledger_sequence"), r"^([+-]?\d+)", 1).try_cast("long")
@@ -48,11 +55,12 @@ def read_csv_actions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
     Header names are case-insensitive, cells are trimmed, blank lines skipped; a
     missing essential column fails the import, a row without id, pool or action
-    is rejected.
+    is rejected, and so is one with an unreadable time or a number that its
+    column cannot hold as it is. A missing time is the time of the import.
     """
     cols = [c for c in schemas.PARSED_EVENTS.names if c not in ("bid_assets", "lot_assets", "src")]
     raw = _read_csv(spark, path, ACTION_CSV_REQUIRED, cols)
-    valid, rejects = validate(raw, ACTION_RULES())
+    valid, rejects = validate(raw, [*ACTION_RULES(), *_type_rules(schemas.PARSED_EVENTS, cols)])
     return schemas.conform(_with_defaults(valid), schemas.PARSED_EVENTS), rejects
 
 
@@ -60,7 +68,7 @@ def read_csv_backstop(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     """Backstop-event CSV → ``(rows of backstop_events, rejects)``."""
     cols = [c for c in schemas.BACKSTOP_EVENTS.names if c != "src"]
     raw = _read_csv(spark, path, BACKSTOP_CSV_REQUIRED, cols)
-    valid, rejects = validate(raw, BACKSTOP_RULES())
+    valid, rejects = validate(raw, [*BACKSTOP_RULES(), *_type_rules(schemas.BACKSTOP_EVENTS, cols)])
     return schemas.conform(_with_defaults(valid), schemas.BACKSTOP_EVENTS), rejects
 
 

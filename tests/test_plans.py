@@ -229,3 +229,14 @@ def test_discovery_relation(spark):
     assert ledger.tracked(spark.createDataFrame([("p",), ("x",)], "contract_id string"), dim).count() == 1
     row = refdata.pool_rows(dim).collect()[0]
     assert (row["short_name"], row["version"], row["is_active"]) == ("Pool with a name bey", "v2", True)
+
+
+def test_csv_texts_that_no_column_holds_are_rejected(spark, tmp_path):
+    wide = "1" * 40
+    (tmp_path / "c.csv").write_text(
+        "id,pool_id,action_type,ledger_sequence,amount_underlying,ledger_closed_at\n"
+        f"1,p,supply,5,12.7,\n2,p,supply,5,{wide},\n3,p,supply,5,abc,\n4,p,supply,5,9,yesterday\n"
+        f"5,p,supply,5,{'9' * 38},2024-01-02T03:04:05Z\n6,p,supply,5,-7,\n")
+    valid, rejects = files.read_csv_actions(spark, str(tmp_path / "c.csv"))
+    assert {r["id"]: int(r["amount_underlying"]) for r in valid.collect()} == {"5": int("9" * 38), "6": -7}
+    assert sorted(r["id"] for r in rejects.collect()) == ["1", "2", "3", "4"]
