@@ -196,6 +196,15 @@ def missing_rows(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> Data
 
 def insert_missing(spark: SparkSession, path: str, src: DataFrame, schema: T.StructType, keys: Sequence[str],
                    order_cols: Sequence[str], partition_col: str | None = None) -> dict[str, int]:
-    """Append only what is missing; stored rows stay as they are."""
-    fresh = missing_rows(read_table(spark, path, schema), src, keys)
-    return upsert(spark, path, fresh, schema, keys, order_cols, partition_col)
+    """Append only what is missing; no stored file is touched.
+
+    Of several source rows with one key the last by ``order_cols`` counts. Rows
+    are counted from the files' footers before and after.
+    """
+    if partition_col is None:
+        _finish_swap(spark, path)
+    stored = read_table(spark, path, schema)
+    before = stored.count()
+    fresh = dedup_last(missing_rows(stored, src, keys), keys, order_cols)
+    _write(fresh.select(*schema.names), path, partition_col, "append")
+    return {"inserted": read_table(spark, path, schema).count() - before, "updated": 0, "stale": 0}
