@@ -147,16 +147,16 @@ def _asof(t: Tables, on, ts):
         "event_id", "user_id", *[F.col(c).cast("double").alias(c) for c in ("view_id", "view_cents")])
 
 
-@query(with_tables("""SELECT g.pool_id, CAST(g.d AS VARCHAR) AS day, CAST(p.cents AS DOUBLE) AS cents
-FROM (SELECT pool_id, CAST(d AS DATE) AS d FROM (SELECT DISTINCT pool_id, asset_address FROM ev WHERE asset_address = 'A4') x,
+@query(with_tables("""SELECT g.pool_id, g.asset_address, CAST(g.d AS VARCHAR) AS day, CAST(p.cents AS DOUBLE) AS cents
+FROM (SELECT pool_id, asset_address, CAST(d AS DATE) AS d FROM (SELECT DISTINCT pool_id, asset_address FROM ev) x,
       generate_series(TIMESTAMP '2023-12-28', TIMESTAMP '2024-02-05', INTERVAL 1 DAY) s(d)) g
-ASOF LEFT JOIN (SELECT pool_id, day, arg_max(cents, event_id) AS cents FROM ev WHERE asset_address = 'A4' GROUP BY 1, 2) p
-  ON g.pool_id = p.pool_id AND g.d >= p.day""", "ev"))
+ASOF LEFT JOIN (SELECT pool_id, asset_address, day, arg_max(cents, event_id) AS cents FROM ev GROUP BY 1, 2, 3) p
+  ON g.pool_id = p.pool_id AND g.asset_address = p.asset_address AND g.d >= p.day""", "ev"))
 def forward_fill_daily(t: Tables):
-    facts = t.ev().filter(F.col("asset_address") == "A4").withColumn("d", F.to_date("ts"))
-    out = forward_fill(facts, ["pool_id"], "d", ["cents"], "2023-12-28", "2024-02-05", order_cols=["event_id"],
+    facts = t.ev().withColumn("d", F.to_date("ts"))
+    out = forward_fill(facts, ["pool_id", "asset_address"], "d", ["cents"], "2023-12-28", "2024-02-05", order_cols=["event_id"],
                        leading_nulls=True)
-    return out.select("pool_id", day("day"), F.col("cents").cast("double").alias("cents"))
+    return out.select("pool_id", "asset_address", day("day"), F.col("cents").cast("double").alias("cents"))
 
 
 @query(with_tables("""SELECT pool_id, CAST(day AS VARCHAR) AS day, CAST(sum(s) OVER (PARTITION BY pool_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
