@@ -34,34 +34,38 @@ class SortedLists:
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray):
         self.vectors, self.ids = vectors, ids
-        self.order = np.argsort(vectors, axis=0, kind="stable").astype(np.int32)
-        self.values = np.take_along_axis(vectors, self.order, 0)
+        by_dimension = np.ascontiguousarray(vectors.T)
+        self.order = np.argsort(by_dimension, axis=1, kind="stable").astype(np.int32)
+        self.values = np.take_along_axis(by_dimension, self.order, 1)
 
     def top(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """``(id, score)`` of the ``k`` best rows without those of id ``own``, ties to the smaller id."""
         n = len(self.ids)
         dims = np.flatnonzero(query)
-        weights = query[dims]
-        down = weights > 0
-        seen = np.zeros(n, bool)
-        seen[self.ids == own] = True
+        up, down = dims[query[dims] < 0], dims[query[dims] > 0]
+        unseen = self.ids != own
         best_score, best_id = np.zeros(0, query.dtype), np.zeros(0, np.int64)
         depth, step = 0, FIRST_DEPTH
         while True:
             stop = min(n, depth + step)
-            rows = self.order[:, dims]
-            met = np.concatenate([rows[n - stop:n - depth, down].ravel(), rows[depth:stop, ~down].ravel()]) if len(dims) \
-                else np.arange(depth, stop)
-            fresh = np.unique(met[~seen[met]])
-            seen[fresh] = True
-            best_score = np.concatenate([best_score, self.vectors[fresh] @ query])
+            met = np.zeros(n, bool)
+            met[self.order[down, n - stop:n - depth]] = True
+            met[self.order[up, depth:stop]] = True
+            if not len(dims):
+                met[depth:stop] = True
+            fresh = np.flatnonzero(met & unseen)
+            unseen[fresh] = False
+            score = self.vectors[fresh] @ query
+            if len(best_id) == k:
+                fresh, score = fresh[score >= best_score[-1]], score[score >= best_score[-1]]
+            best_score = np.concatenate([best_score, score])
             best_id = np.concatenate([best_id, self.ids[fresh]])
             keep = np.lexsort((best_id, -best_score))[:k]
             best_score, best_id = best_score[keep], best_id[keep]
             if stop >= n:
                 break
-            edge = np.where(down, self.values[n - 1 - stop, dims], self.values[stop, dims])
-            if len(best_id) == k and best_score[-1] > edge @ weights:
+            bound = self.values[down, n - 1 - stop] @ query[down] + self.values[up, stop] @ query[up]
+            if len(best_id) == k and best_score[-1] > bound:
                 break
             depth, step = stop, step * 2
         return list(zip(best_id.tolist(), [int(s) for s in best_score], strict=True))
