@@ -237,13 +237,16 @@ def aggregate_metrics(events: DataFrame, tokens: DataFrame, prices: DataFrame, s
                       pool_id: str | None = None, asset_address: str | None = None) -> DataFrame:
     """One row of flow totals; active accounts are counted over all symbols at once.
 
-    The events are read once: netted per (asset, account), which is also what the
-    exact count of accounts needs, then named, priced and folded.
+    Events are netted per (asset, account), which the exact count of accounts
+    needs; names and prices are joined to one row per asset.
     """
-    per_account = with_symbol(
-        _selected(events, start_date, end_date, pool_id, asset_address).groupBy("asset_address", "user_address").agg(
+    per_account = _selected(events, start_date, end_date, pool_id, asset_address).groupBy(
+        "asset_address", "user_address").agg(
             _raw_flow(DEPOSIT_ACTIONS).alias("deposits"), _raw_flow(WITHDRAW_ACTIONS).alias("withdrawals"),
-            F.count("*").alias("events")), tokens)
+            F.count("*").alias("events"))
+    per_asset = per_account.groupBy("asset_address").agg(
+        *[F.sum(c).alias(c) for c in ("deposits", "withdrawals", "events")])
+    accounts = per_account.agg(F.count_distinct("user_address").alias("n")).scalar()
     zero = F.lit(0.0)
 
     def total(side: str) -> Column:
@@ -252,12 +255,11 @@ def aggregate_metrics(events: DataFrame, tokens: DataFrame, prices: DataFrame, s
     def usd(side: str) -> Column:
         return F.coalesce(F.sum(tokens_of(F.col(side)) * F.col("price")), zero)
 
-    folded = with_price(per_account, prices).agg(
+    folded = with_price(with_symbol(per_asset, tokens), prices).agg(
         total("deposits").alias("total_deposits"), usd("deposits").alias("total_deposits_usd"),
         total("withdrawals").alias("total_withdrawals"), usd("withdrawals").alias("total_withdrawals_usd"),
         F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
-        F.count_distinct("user_address").alias("active_accounts"),
-    )
+    ).withColumn("active_accounts", accounts)
     return folded.withColumns({
         "net_flow": F.col("total_deposits") - F.col("total_withdrawals"),
         "net_flow_usd": F.col("total_deposits_usd") - F.col("total_withdrawals_usd"),
