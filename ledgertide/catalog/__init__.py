@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-_MODULES = ("explore_queries", "ledger_queries", "price_queries", "operator_queries", "stream_queries", "feed_queries")
+_MODULES = ("explore_queries", "ledger_queries", "price_queries", "operator_queries", "stream_queries", "feed_queries",
+            "job_queries")
 
 
 def load_queries():
