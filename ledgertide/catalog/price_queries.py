@@ -7,7 +7,7 @@ from ..plans import prices, refdata, yields
 from ..sources import files
 from .adapters import Tables, _text
 from .explore_queries import day, r6
-from .registry import query
+from .registry import ORACLES, query
 from .sqltables import with_tables
 
 # --- statistics ---------------------------------------------------------------
@@ -246,16 +246,15 @@ def annual_emissions(t: Tables):
     return out.select("pool_address", *r6("supply", "borrow", "backstop"))
 
 
-@query(with_tables(f"""SELECT 'lending_supply' AS apy_type, count(*) AS n, round(min(apy), 4) AS min_apy, round(max(apy), 4) AS max_apy, round(avg(apy), 4) AS avg_apy
-FROM (SELECT {_PER.format(s="b_supply")} * r.usd_price / a.usd_price * 100 AS apy
-      FROM snapshots s JOIN configs c ON c.pool_address = s.pool_id AND c.asset_address = s.asset_address AND c.config_type = 'lending_supply'
-        AND (c.expiration IS NULL OR epoch(CAST(s.snapshot_date AS TIMESTAMP)) < c.expiration)
-      LEFT JOIN day_prices r ON r.price_date = s.snapshot_date AND r.token_address = 'RWD'
-      LEFT JOIN day_prices a ON a.price_date = s.snapshot_date AND a.token_address = s.asset_address
-      WHERE b_supply > 0)""", "snapshots", "configs", "day_prices"))
+_KINDS = ("emission_apy_backstop", "emission_apy_lending_supply", "emission_apy_lending_borrow")
+
+
+@query("""SELECT apy_type, count(*) AS n, round(min(emission_apy), 4) AS min_apy, round(max(emission_apy), 4) AS max_apy,
+  round(avg(emission_apy), 4) AS avg_apy FROM (""" + " UNION ALL ".join(f"SELECT * FROM ({ORACLES[k]})" for k in _KINDS) + """) GROUP BY apy_type""")
 def apy_summary(t: Tables):
-    apy = yields.lending_apy(t.snapshots(), t.emission_configs(), t.day_prices(), "RWD", "supply", "2024-01-01")
-    out = yields.apy_summary(apy)
+    """All three kinds of yield, rounded as in their own queries."""
+    backstop, supply, borrow = emission_apy_backstop(t), emission_apy_lending_supply(t), emission_apy_lending_borrow(t)
+    out = yields.apy_summary(backstop.unionByName(supply).unionByName(borrow))
     return out.select("apy_type", "n", *[F.round(c, 4).alias(c) for c in ("min_apy", "max_apy", "avg_apy")])
 
 
