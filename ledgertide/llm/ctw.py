@@ -1,32 +1,31 @@
 """Language-model scoring by context-tree weighting over binary-decomposed bytes (operator 2).
 
-A text is its words, each ended by a space, then one end symbol. A byte is
-eight binary decisions. Each decision has a context tree over the bytes before
-it in the word (the word's start is padded with spaces) and, deepest, over the
-cue: the last byte beyond ASCII of the text's earlier words, which tells
-languages apart. A node at depth ``d`` holds how often either bit followed these
-``d`` symbols in the training texts.
+A text is a stream of bytes: its words, each ended by a space, then one end
+symbol. A byte is eight binary decisions. Each decision has a context tree over
+the bytes before it in the stream, across words (the stream's start is padded
+with zero bytes). A node at depth ``d`` holds how often either bit followed
+these ``d`` bytes in the training texts.
 Its Krichevsky-Trofimov estimate and what its children give are weighted half
 and half, recursively, which mixes the estimates of all depths. Scoring walks
 from the deepest node a context has up to the root; a context never seen goes by
 its longest seen suffix. The code length is minus the sum of the logarithms.
 
-Because contexts end at the word's start, all that a word's probability takes
-from its neighbours is the cue: it is computed once per distinct cue and word.
+A gram is a byte with its context. Texts share most of their grams, so a block
+of documents counts and asks for its distinct grams only.
 
-Spark's part is three rounds of questions and answers, all packed into binary
-columns: blocks of documents ask word shards (by the word's hash), word shards
-ask context shards (by the last three bytes of the context) and send them their
-counts, and answers travel back. Only the nodes above depth three, at most
-256**2 contexts, meet in one place. Shards and blocks grow in number with the
-input; a hot word or context is one entry per asker.
+Spark's part is questions and answers, all packed into binary columns: blocks of
+documents ask word shards (by the word's hash) for counts of words and context
+shards (by the last three bytes of the context) for chances of grams; answers
+travel back. Only the nodes above depth three, at most 256**2 contexts, meet in
+one place. Shards and blocks grow in number with the input; a hot word or
+context is one entry per asker.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,25 +33,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, as_bytes, block_count, library_on_workers, stored, total_bytes
+from .common import as_bytes, block_count, library_on_workers, stored, total_bytes
 from .langid import remainder
 from .wordhash import mixed
 
-DEPTH = 6  # context symbols: the bytes before, and the cue
+DEPTH = 6  # context bytes
 SHARED = 3  # context bytes that decide a context's shard; nodes above are merged in one place
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 24 << 20
-SPACE, END = 0x20, 0x0A
+WINDOW = 1 << 20  # bytes of a block whose grams are held at once
+FEW = 64  # counts below this have their logarithms in a table
+END = b"\n"
 LN10 = float(np.log(10))
 
-WORDS = "block int, shard int, words binary, counts binary"
-GRAMS = "shard int, context_shard int, grams binary, counts binary, tokens bigint, known bigint"
-CHANCES = "shard int, context_shard int, chances binary"
-SCORES = "block int, shard int, counts binary, scores binary"
+ASKED = "block int, kind string, shard int, keys binary, counts binary"
+TOLD = "block int, kind string, shard int, answer binary, tokens bigint, known bigint"
 
 
 def table(schema: str, rows: list[tuple]) -> pa.Table:
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
+    kinds = {"int": pa.int32(), "string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) or [()] * len(fields)
     return pa.table([pa.array(c, kinds[f[1]]) for c, f in zip(columns, fields, strict=True)], names=[f[0] for f in fields])
@@ -68,14 +67,29 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(product)
 
 
+def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - np.log(np.pi)
+
+
+_FEW_KT = _log_kt(*np.divmod(np.arange(FEW * FEW, dtype=np.float64), FEW))
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logarithm of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - np.log(np.pi)
+    few = np.maximum(zeros, ones) < FEW
+    out = _FEW_KT[np.where(few, zeros * FEW + ones, 0).astype(np.int64)]
+    out[~few] = _log_kt(zeros[~few], ones[~few])
+    return out
+
+
+def first_of(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[:len(values)])
 
 
 @dataclass
 class Level:
-    """Nodes of one depth: sorted keys (context, decision), counts, log of the weighted probability, own weight."""
+    """Nodes of one depth: sorted keys (decision, context), counts, log of the weighted probability, own weight."""
 
     keys: np.ndarray
     zeros: np.ndarray
@@ -86,17 +100,22 @@ class Level:
     @staticmethod
     def of(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> Level:
         """Merge rows of equal keys; ``below``: logs of the children's weighted probabilities, none for leaves."""
-        found, which = np.unique(keys, return_inverse=True)
-        zeros, ones = (np.bincount(which, v, len(found)) for v in (zeros, ones))
+        if (keys[1:] < keys[:-1]).any():
+            order = np.argsort(keys, kind="stable")
+            keys, zeros, ones = keys[order], zeros[order], ones[order]
+            below = None if below is None else below[order]
+        starts = first_of(keys)
+        found, zeros, ones = keys[starts], np.add.reduceat(zeros, starts), np.add.reduceat(ones, starts)
         own = log_kt(zeros, ones)
         if below is None:
             return Level(found, zeros, ones, own, np.ones(len(found)))
-        under = np.bincount(which, below, len(found))
+        under = np.add.reduceat(below, starts)
         weighted = np.logaddexp(own, under) - np.log(2)
         return Level(found, zeros, ones, weighted, np.exp(own - np.log(2) - weighted))
 
     def parents(self) -> np.ndarray:
-        return (self.keys >> np.uint64(16) << np.uint64(8)) | (self.keys & np.uint64(255))
+        """Keys without the farthest byte; they are sorted too."""
+        return self.keys >> np.uint64(8)
 
 
 def decision(symbol: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,19 +125,16 @@ def decision(symbol: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def node_keys(grams: np.ndarray, depth: int, place: np.ndarray) -> np.ndarray:
     context = grams >> np.uint64(64 - 8 * depth) if depth else np.zeros(len(grams), np.uint64)
-    return context << np.uint64(8) | place
+    return place << np.uint64(8 * depth) | context
 
 
-def deep_levels(grams: np.ndarray, counts: np.ndarray, depth: int) -> list[Level]:
-    """Levels ``SHARED … depth`` (as a list by depth, shallowest first)."""
-    symbol = grams & np.uint64(255)
-    keys, zeros, ones = [], [], []
-    for k in range(8):
+def deep_levels(grams: np.ndarray, counts: np.ndarray, depth: int, ks: Iterable[int] = range(8)) -> list[Level]:
+    """Levels ``SHARED … depth`` (as a list by depth, shallowest first), of all decisions or of the ``ks``-th, whose nodes meet no others."""
+    symbol, leaves = grams & np.uint64(255), []
+    for k in ks:  # keys of later decisions are larger
         place, one = decision(symbol, k)
-        keys.append(node_keys(grams, depth, place))
-        zeros.append(np.where(one, 0.0, counts))
-        ones.append(np.where(one, counts, 0.0))
-    level = Level.of(np.concatenate(keys), np.concatenate(zeros), np.concatenate(ones), None)
+        leaves.append(Level.of(node_keys(grams, depth, place), np.where(one, 0.0, counts), np.where(one, counts, 0.0), None))
+    level = Level(*(np.concatenate([getattr(leaf, f) for leaf in leaves]) for f in ("keys", "zeros", "ones", "weighted", "own")))
     levels = [level]
     for _ in range(depth - SHARED):
         level = Level.of(level.parents(), level.zeros, level.ones, level.weighted)
@@ -136,10 +152,10 @@ def top_levels(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.
     return levels[::-1]
 
 
-def chances(grams: np.ndarray, levels: list[Level]) -> np.ndarray:
-    """Natural log of the weighted probability of each gram's last byte given the bytes before it."""
+def chances(grams: np.ndarray, levels: list[Level], ks: Iterable[int] = range(8)) -> np.ndarray:
+    """Natural log of the weighted probability of each gram's last byte, or of its ``ks``-th decisions, given the bytes before it."""
     symbol, total = grams & np.uint64(255), np.zeros(len(grams))
-    for k in range(8):
+    for k in ks:
         place, one = decision(symbol, k)
         p, known = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
         for depth in range(len(levels) - 1, -1, -1):
@@ -158,116 +174,127 @@ def chances(grams: np.ndarray, levels: list[Level]) -> np.ndarray:
     return total
 
 
-def grams_of(units: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(gram, unit)`` of every coded byte: its context, nearest byte highest and the cue last, and the byte itself lowest."""
-    gap = bytes([SPACE]) * depth
-    words = [u[1:] or bytes([END]) for u in units]
-    data = np.frombuffer(gap + gap.join(words) + gap, np.uint8)
-    lengths = np.array([len(w) for w in words], np.int64)
-    coded = np.array([len(u) if len(u) > 1 else 1 for u in units], np.int64)  # a word and its space; the end ends itself
-    starts = depth + np.cumsum(lengths + depth) - lengths - depth
-    unit = np.repeat(np.arange(len(units)), coded)
-    place = starts[unit] + np.arange(len(unit)) - np.repeat(np.cumsum(coded) - coded, coded)
-    grams = data[place] | np.array([u[0] for u in units], np.uint64)[unit] << np.uint64(64 - 8 * depth)
-    for k in range(1, depth):
-        grams |= data[place - k].astype(np.uint64) << np.uint64(64 - 8 * k)
-    return grams, unit
+def stream_of(text: bytes) -> bytes:
+    """The start symbol, then each lower-cased word and a space; the end is added where bytes are coded."""
+    return b"\0" + b"".join(word + b" " for word in text.lower().split())
 
 
-def unit_shard(unit: bytes, shards: int) -> int:
-    """By the word alone, so that a shard sees all of a word's occurrences."""
-    return zlib.crc32(unit[1:]) % shards
+def windows(streams: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(gram, stream)`` of every coded byte in runs of bounded size: its context, nearest byte highest, and the byte itself lowest."""
+    gap = bytes(depth - 1)
+    data = np.frombuffer(gap + (END + gap).join(streams) + END, np.uint8)
+    lengths = np.array([len(s) for s in streams], np.int64)  # without the start, with the end
+    starts = np.cumsum(lengths + depth) - lengths
+    for at in range(depth, len(data), WINDOW):
+        stop = min(len(data), at + WINDOW)
+        grams = data[at:stop].astype(np.uint64)
+        for k in range(1, depth + 1):
+            grams |= data[at - k:stop - k].astype(np.uint64) << np.uint64(64 - 8 * k)
+        place = np.arange(at, stop)
+        stream = np.maximum(np.searchsorted(starts, place, "right") - 1, 0)
+        coded = place - starts[stream] < lengths[stream]
+        yield grams[coded], stream[coded]
 
 
-_cue_after = Memo(lambda word: bytes([next(b for b in reversed(word) if b > 127)]))
+def grams_of(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of few streams as one."""
+    grams, stream = zip(*windows(streams, depth), strict=True)
+    return np.concatenate(grams), np.concatenate(stream)
 
 
-def units_of(text: bytes) -> list[bytes]:
-    """Each lower-cased word after its cue (a zero byte before any), and last the end: a cue and no word."""
-    cue, units = b"\0", []
-    if text.isascii():
-        units = [cue + word for word in text.lower().split()]
-    else:
-        for word in text.lower().split():
-            units.append(cue + word)
-            if not word.isascii():
-                cue = _cue_after[word]
-    units.append(cue)
-    return units
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    every, n = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0), *counts])
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], n[order]
+    starts = first_of(every)
+    return every[starts], np.add.reduceat(n, starts)
 
 
-def _vocabulary(docs: pa.Table) -> Counter[bytes]:
-    """Distinct units of a block with training counts."""
-    counts, others = Counter(), set()
-    for text, used in zip(docs["__text"].to_pylist(), docs["__train"].to_pylist(), strict=True):
-        (counts if used else others).update(units_of(text))
-    for unit in others:
-        counts.setdefault(unit, 0)
-    return counts
+def _counted_grams(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = [], []
+    for grams, _ in windows(streams, depth) if streams else ():
+        grams.sort()
+        starts = first_of(grams)
+        keys.append(grams[starts])
+        counts.append(np.diff(starts, append=len(grams)).astype(np.float64))
+    return merged(keys, counts)
 
 
-def _dealt(units: Iterable[bytes], shards: int) -> dict[int, list[bytes]]:
-    by_shard: dict[int, list[bytes]] = {}
-    for unit in sorted(units):
-        by_shard.setdefault(unit_shard(unit, shards), []).append(unit)
-    return by_shard
+def packed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first: sorted ones compress well so."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
-def ask_words(shards: int):
-    def run(docs: pa.Table) -> pa.Table:
-        counts, name = _vocabulary(docs), docs["__block"][0].as_py()
-        return table(WORDS, [
-            (name, shard, b"\n".join(units), np.array([counts[u] for u in units], "<u4").tobytes())
-            for shard, units in _dealt(counts, shards).items()])
+def unpacked(data: bytes | pa.Buffer, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
-    return run
 
+def word_shard(word: bytes, shards: int) -> int:
+    return zlib.crc32(word) % shards
 
-def _merged(asked: pa.Table) -> tuple[list[tuple[int, list[bytes]]], dict[bytes, int], dict[bytes, int]]:
-    """Each block's units, and training counts of units and of words."""
-    lists, counts, of_word = [], {}, {}
-    for row in asked.sort_by("block").to_pylist():
-        units = row["words"].split(b"\n")
-        lists.append((row["block"], units))
-        for unit, n in zip(units, np.frombuffer(row["counts"], "<u4").tolist(), strict=True):
-            counts[unit] = counts.get(unit, 0) + n
-    for unit, n in counts.items():
-        of_word[unit[1:]] = of_word.get(unit[1:], 0) + n
-    return lists, counts, of_word
-
-
-def _contexts(counts: dict[bytes, int], depth: int, context_shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct grams by context shard, their counts, the gram and unit of each coded byte."""
-    grams, unit = grams_of(list(counts), depth)
-    n = np.fromiter(counts.values(), np.float64, len(counts))[unit]
-    distinct, which = np.unique(grams, return_inverse=True)
-    shard = (mixed(distinct >> np.uint64(64 - 8 * SHARED)) % np.uint64(context_shards)).astype(np.int64)
+
+def words_of(text: bytes) -> list[bytes]:
+    """The lower-cased words and last the end, an empty word."""
+    return [*text.lower().split(), b""]
+
+
+def _dealt(words: Iterable[bytes], shards: int) -> dict[int, list[bytes]]:
+    by_shard: dict[int, list[bytes]] = {}
+    for word in sorted(words):
+        by_shard.setdefault(word_shard(word, shards), []).append(word)
+    return by_shard
+
+
+def _by_context(grams: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of distinct sorted grams by context shard, and each shard's part of it."""
+    shard = (mixed(grams >> np.uint64(64 - 8 * SHARED)) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    return distinct[order], np.bincount(which, n, len(distinct))[order], shard[order], back[which], unit
+    cuts = [*first_of(shard[order]).tolist(), len(order)]
+    return order, [(int(shard[order[a]]), slice(a, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def ask_contexts(depth: int, context_shards: int):
-    def run(asked: pa.Table) -> pa.Table:
-        _, counts, of_word = _merged(asked)
-        grams, n, shard, _, _ = _contexts(counts, depth, context_shards)
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
-        tokens, known = sum(of_word.values()), sum(c > 0 for c in of_word.values())
-        name = asked["shard"][0].as_py()
-        return table(GRAMS, [
-            (name, int(shard[a]), grams[a:b].tobytes(), n[a:b].astype("<u8").tobytes(), tokens * (a == 0), known * (a == 0))
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)])
+def ask(shards: int, depth: int):
+    """A block's distinct words and grams with their counts in training texts."""
+    def run(docs: pa.Table) -> pa.Table:
+        texts, used = docs["__text"].to_pylist(), docs["__train"].to_pylist()
+        name, words, others = docs["__block"][0].as_py(), Counter(), set()
+        for text, train in zip(texts, used, strict=True):
+            (words if train else others).update(words_of(text))
+        for word in others:
+            words.setdefault(word, 0)
+        rows = [(name, "word", shard, b"\n".join(part), packed(np.array([words[w] for w in part], "<u4")))
+                for shard, part in _dealt(words, shards).items()]
+        trained = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if train], depth)
+        other = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if not train], depth)
+        grams, counts = merged([trained[0], other[0]], [trained[1], np.zeros(len(other[0]))])
+        order, parts = _by_context(grams, shards)
+        grams, counts = grams[order], counts[order].astype("<u4")
+        rows += [(name, "gram", shard, packed(grams[part]), packed(counts[part])) for shard, part in parts]
+        return table(ASKED, rows)
 
     return run
 
 
+def tell_words(asked: pa.Table) -> pa.Table:
+    """Each block's training counts of its words, and once a shard's tokens and known words."""
+    lists, counts = [], Counter()
+    for row in asked.sort_by("block").to_pylist():
+        words = row["keys"].split(b"\n")
+        lists.append((row["block"], words))
+        for word, n in zip(words, unpacked(row["counts"], "<u4").tolist(), strict=True):
+            counts[word] += n
+    tokens, known, name = sum(counts.values()), sum(n > 0 for n in counts.values()), asked["shard"][0].as_py()
+    return table(TOLD, [
+        (block, "word", name, packed(np.array([counts[w] for w in words], "<u8")), tokens * (not i), known * (not i))
+        for i, (block, words) in enumerate(lists)])
+
+
 def _counted(asked: pa.Table) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]:
-    rows = asked.sort_by("shard").to_pylist()
-    lists = [(r["shard"], np.frombuffer(r["grams"], np.uint64)) for r in rows]
-    grams, which = np.unique(np.concatenate([g for _, g in lists]), return_inverse=True)
-    counts = np.bincount(which, np.concatenate([np.frombuffer(r["counts"], "<u8") for r in rows]).astype(np.float64), len(grams))
-    return lists, grams[counts > 0], counts[counts > 0]
+    """Each block's grams, all distinct grams and their counts."""
+    rows = asked.sort_by("block").to_pylist()
+    lists = [(r["block"], unpacked(r["keys"], "<u8")) for r in rows]
+    return lists, *merged([g for _, g in lists], [unpacked(r["counts"], "<u4").astype(np.float64) for r in rows])
 
 
 TOP = "keys binary, zeros binary, ones binary, below binary"
@@ -277,39 +304,25 @@ def to_the_top(depth: int):
     """A context shard's share in the nodes of depth ``SHARED - 1``."""
     def run(asked: pa.Table) -> pa.Table:
         _, grams, counts = _counted(asked)
-        level = deep_levels(grams, counts, depth)[0]
-        keys, which = np.unique(level.parents(), return_inverse=True)
-        sums = [np.bincount(which, v, len(keys)) for v in (level.zeros, level.ones, level.weighted)]
-        return table(TOP, [(keys.tobytes(), *(s.tobytes() for s in sums))])
+        grams, counts, rows = grams[counts > 0], counts[counts > 0], []
+        for k in range(8):  # one at a time, for memory
+            level = deep_levels(grams, counts, depth, [k])[0]
+            keys, starts = level.parents(), first_of(level.parents())
+            sums = [np.add.reduceat(v, starts) for v in (level.zeros, level.ones, level.weighted)]
+            rows.append((keys[starts].tobytes(), *(s.tobytes() for s in sums)))
+        return table(TOP, rows)
 
     return run
 
 
 def tell_chances(depth: int, top):
     def run(asked: pa.Table) -> pa.Table:
-        lists, grams, counts = _counted(asked)
-        levels = [*top.value, *deep_levels(grams, counts, depth)]
-        every = np.unique(np.concatenate([g for _, g in lists]))
-        found = chances(every, levels)
-        name = asked["context_shard"][0].as_py()
-        return table(CHANCES, [(shard, name, found[np.searchsorted(every, g)].tobytes()) for shard, g in lists])
-
-    return run
-
-
-def tell_words(depth: int, context_shards: int):
-    def run(asked: pa.Table, told: pa.Table) -> pa.Table:
-        lists, counts, of_word = _merged(asked)
-        _, _, _, gram, unit = _contexts(counts, depth, context_shards)
-        found = np.concatenate([np.frombuffer(r["chances"]) for r in told.sort_by("context_shard").to_pylist()])
-        scores = np.bincount(unit, found[gram], len(counts)) / LN10
-        place = {u: i for i, u in enumerate(counts)}
-        total, name = np.array([of_word[u[1:]] for u in counts], np.int64), asked["shard"][0].as_py()
-        rows = []
-        for block, units in lists:
-            at = np.fromiter(map(place.__getitem__, units), np.int64, len(units))
-            rows.append((block, name, total[at].tobytes(), scores[at].tobytes()))
-        return table(SCORES, rows)
+        lists, every, counts = _counted(asked)
+        grams, counts, found = every[counts > 0], counts[counts > 0], np.zeros(len(every))
+        for k in range(8):  # one at a time, for memory
+            found += chances(every, [*top.value, *deep_levels(grams, counts, depth, [k])], [k])
+        name = asked["shard"][0].as_py()
+        return table(TOLD, [(block, "gram", name, packed(found[np.searchsorted(every, g)]), 0, 0) for block, g in lists])
 
     return run
 
@@ -317,20 +330,49 @@ def tell_words(depth: int, context_shards: int):
 RESULT = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def _scored(shards: int, tokens: int, known: int, kept: list[str]):
+def _base_scores(texts: list[bytes], shards: int, tokens: int, known: int, answers: dict[int, pa.Buffer]) -> list[tuple[int, int, float]]:
+    """Words, known words and smoothed unigram score of texts from the answers of the word shards."""
+    distinct: set[bytes] = set()
+    for text in texts:
+        distinct.update(words_of(text))
+    count: dict[bytes, int] = {}
+    for shard, words in _dealt(distinct, shards).items():
+        count.update(zip(words, unpacked(answers[shard], "<u8").tolist(), strict=True))
+    out = []
+    for text in texts:
+        n = np.array([count[w] for w in words_of(text)], np.int64)
+        out.append((len(n), int((n > 0).sum()), float(np.log10((n + 0.5) / (tokens + 0.5 * (known + 1))).sum())))
+    return out
+
+
+def _gram_scores(texts: list[bytes], shards: int, depth: int, answers: dict[int, pa.Buffer]) -> np.ndarray:
+    """Log10 probabilities of texts from the answers of the context shards."""
+    found = []
+    for grams, stream in windows([stream_of(t) for t in texts], depth):
+        order = np.argsort(grams)
+        grams = grams[order]
+        starts = first_of(grams)
+        found.append((grams[starts], np.diff(starts, append=len(grams)).astype(np.int32), stream[order].astype(np.int32)))
+    every, _ = merged([g for g, _, _ in found], [np.zeros(len(g)) for g, _, _ in found])
+    order, parts = _by_context(every, shards)
+    chance = np.empty(len(every))
+    for shard, part in parts:
+        chance[order[part]] = unpacked(answers[shard], "<f8")
+    scores = np.zeros(len(texts))
+    for grams, times, stream in found:
+        scores += np.bincount(stream, np.repeat(chance[np.searchsorted(every, grams)], times), len(texts))
+    return scores / LN10
+
+
+def _scored(shards: int, depth: int, tokens: int, known: int, kept: list[str]):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        texts = [units_of(text) for text in docs["__text"].to_pylist()]
-        by_shard = _dealt(set().union(*texts), shards)
-        rows = {r["shard"]: r for r in told.to_pylist()}
-        units = [u for shard in sorted(by_shard) for u in by_shard[shard]]
-        counts = np.concatenate([np.frombuffer(rows[s]["counts"], np.int64) for s in sorted(by_shard)])
-        scores = np.concatenate([np.frombuffer(rows[s]["scores"]) for s in sorted(by_shard)])
-        base = np.log10((counts + 0.5) / (tokens + 0.5 * (known + 1)))
-        place = {u: i for i, u in enumerate(units)}
-        out = []
-        for found in texts:
-            at = np.fromiter(map(place.__getitem__, found), np.int64, len(found))
-            out.append((len(found), int((counts[at] > 0).sum()), tokens, float(base[at].sum()), float(scores[at].sum())))
+        texts = docs["__text"].to_pylist()
+        answers: dict[str, dict[int, pa.Buffer]] = {"word": {}, "gram": {}}
+        for kind, shard, answer in zip(told["kind"].to_pylist(), told["shard"].to_pylist(), told["answer"], strict=True):
+            answers[kind][shard] = answer.as_buffer()
+        bases = _base_scores(texts, shards, tokens, known, answers.pop("word"))
+        scores = _gram_scores(texts, shards, depth, answers.pop("gram")).tolist()
+        out = [(n, seen, tokens, base, score) for (n, seen, base), score in zip(bases, scores, strict=True)]
         result = table(RESULT, out)
         return pa.table([*(docs[c] for c in kept), *result.columns], names=[*kept, *result.column_names])
 
@@ -359,18 +401,18 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", depth: int = D
         .withColumn("__block", F.pmod(F.xxhash64("__text", *spread), F.lit(blocks)).cast("int"))
     )
     by_block = docs.groupBy("__block")
-    words = stored(by_block.applyInArrow(ask_words(shards), WORDS), "words")
-    grams = stored(words.groupBy("shard").applyInArrow(ask_contexts(depth, shards), GRAMS), "grams")
-    sums = grams.agg(F.sum("tokens"), F.sum("known")).first()
+    asked = stored(by_block.applyInArrow(ask(shards, depth), ASKED), "asked")
+    counts = stored(asked.where("kind = 'word'").groupBy("shard").applyInArrow(tell_words, TOLD), "counts")
+    sums = counts.agg(F.sum("tokens"), F.sum("known")).first()
     tokens, known = int(sums[0] or 0), int(sums[1] or 0)
-    parts = grams.groupBy("context_shard").applyInArrow(to_the_top(depth), TOP).collect()
+    by_context = asked.where("kind = 'gram'").groupBy("shard")
+    parts = by_context.applyInArrow(to_the_top(depth), TOP).collect()
     kinds = (np.uint64, np.float64, np.float64, np.float64)
     columns = [np.concatenate([np.frombuffer(bytes(p[i]), kind) for p in parts] or [np.zeros(0, kind)]) for i, kind in enumerate(kinds)]
     top = df.sparkSession.sparkContext.broadcast(top_levels(*columns))
-    told = grams.groupBy("context_shard").applyInArrow(tell_chances(depth, top), CHANCES)
-    answers = words.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(tell_words(depth, shards), SCORES)
+    told = counts.unionByName(by_context.applyInArrow(tell_chances(depth, top), TOLD))
     fields = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept], RESULT])
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_scored(shards, tokens, known, kept), fields)
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(_scored(shards, depth, tokens, known, kept), fields)
 
 
 def op2_context_tree(documents: DataFrame) -> DataFrame:

@@ -123,6 +123,17 @@ def test_context_tree_is_a_probability_and_base_is_exact(spark, docs, none):
     assert ctw.score_texts(none, F.lit(True)).count() == 0
 
 
+def test_contexts_run_across_words(spark, monkeypatch):
+    learned = [(i, "ab cd ef gh ij kl " * 20) for i in range(1, 9, 2)]
+    df = spark.createDataFrame([*learned, (0, "ab cd ef gh ij kl"), (2, "kl ef ab ij cd gh")], "doc_id bigint, text string")
+    fluent, shuffled = (r.score for r in ctw.score_texts(df, F.col("doc_id") % 2 == 1).where("doc_id % 2 = 0").orderBy("doc_id").collect())
+    assert fluent > shuffled + 1  # the same words: only contexts that span a blank tell them apart
+    grams, stream = ctw.grams_of([ctw.stream_of(b"Ab c"), ctw.stream_of(b"")], 6)
+    assert [int(g).to_bytes(8, "big") for g in grams[-2:]] == [b" c ba\0\0\n", b"\0\0\0\0\0\0\0\n"] and stream.tolist() == [0] * 6 + [1]
+    monkeypatch.setattr(ctw, "WINDOW", 2)
+    assert all((a == b).all() for a, b in zip((grams, stream), ctw.grams_of([ctw.stream_of(b"Ab c"), ctw.stream_of(b"")], 6), strict=True))
+
+
 def test_top_k_of_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [0.0, 0.0]),
             (6, [5.0]), (None, [9.0, 9.0]), (1, [1.0, 2.0])]
