@@ -33,8 +33,7 @@ SAMPLE_PER_LANGUAGE = 400  # bounds of the training sample
 SAMPLE_TOTAL = 4000
 EPOCHS = 12
 RATE = 0.5
-REJECTED_SHARE = 0.0005  # of calibration texts, whose score sets the threshold
-HIGHEST_THRESHOLD = 0.5
+REJECTED_SHARE = 0.0005  # of calibration texts, whose score above chance sets the threshold
 SLICE_BYTES = 1 << 20
 
 _LETTER = regex.compile(r"\p{L}")
@@ -154,7 +153,8 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
 
     temperature = min(np.geomspace(0.05, 20, 60), key=loss)
     top = softmax(raw / temperature).max(1) if len(held) else np.ones(1)
-    threshold = min(HIGHEST_THRESHOLD, float(np.quantile(top, REJECTED_SHARE)) / 2)
+    chance = 1 / len(languages)  # no score is lower
+    threshold = chance + (float(np.quantile(top, REJECTED_SHARE)) - chance) / 2
     return Model(languages, scores.astype(np.float32), float(temperature), threshold)
 
 

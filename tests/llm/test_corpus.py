@@ -92,6 +92,16 @@ def test_languages_of_held_out_texts(spark, docs, none):
     assert langid.identify(none, langid.fit(none, F.lit(0))).count() == 0
 
 
+@pytest.mark.parametrize("languages", [("de", "en"), ("de", "en", "es", "fr")])
+def test_unlearned_scripts_are_rejected_and_clean_texts_stay(spark, languages):
+    docs = parquet(spark).where(F.col("lang").isin(*languages))
+    model = langid.fit(docs, F.xxhash64("doc_id"))
+    assert model.threshold > 1 / len(languages)
+    assert langid.identify(docs, model).where("rejected").isEmpty()
+    foreign = spark.createDataFrame([("привет как дела сегодня хорошо",), ("こんにちは世界今日はいい天気",), ("한국어로 쓴 글",)], "text string")
+    assert langid.identify(foreign, model).where("NOT rejected").isEmpty()
+
+
 def test_predictions_do_not_depend_on_neighbours(spark, monkeypatch):
     model = langid.fit(parquet(spark), F.xxhash64("doc_id"))
     texts = [r[1].encode() for r in ROWS if r[1]]
