@@ -26,7 +26,7 @@ BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 FIRST_DEPTH = 16
 EXACT = 2.0**53
-LARGEST = 2.0**31
+LONG = 2.0**63
 
 
 class SortedLists:
@@ -38,6 +38,12 @@ class SortedLists:
         self.order = np.argsort(by_dimension, axis=1, kind="stable").astype(np.int32)
         self.values = np.take_along_axis(by_dimension, self.order, 1)
 
+    @staticmethod
+    def _ranked(ids: np.ndarray, scores: np.ndarray) -> np.ndarray | list[int]:
+        if scores.dtype == object:  # Python's integers
+            return sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))
+        return np.lexsort((ids, -scores))
+
     def top(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """``(id, score)`` of the ``k`` best rows without those of id ``own``, ties to the smaller id."""
         n = len(self.ids)
@@ -60,7 +66,7 @@ class SortedLists:
                 fresh, score = fresh[score >= best_score[-1]], score[score >= best_score[-1]]
             best_score = np.concatenate([best_score, score])
             best_id = np.concatenate([best_id, self.ids[fresh]])
-            keep = np.lexsort((best_id, -best_score))[:k]
+            keep = self._ranked(best_id, best_score)[:k]
             best_score, best_id = best_score[keep], best_id[keep]
             if stop >= n:
                 break
@@ -72,7 +78,7 @@ class SortedLists:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Rows padded with zeros to one length; floats where every sum is exact in them, else integers."""
+    """Rows padded with zeros to one length."""
     lists = column.to_pylist()
     width = max(map(len, lists), default=0)
     out = np.zeros((len(lists), width), np.int64)
@@ -81,14 +87,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return out
 
 
+def _exact_kind(table: np.ndarray, wanted: np.ndarray, width: int) -> type:
+    """Floats where every sum is exact in them, else 64-bit integers where none passes their range, else Python's integers."""
+    largest = [float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (table, wanted)]
+    bound = largest[0] * largest[1] * max(width, 1)
+    return np.float64 if bound < EXACT else np.int64 if bound < LONG / 2 else object
+
+
 def _pair(rows: pa.Table, queries: pa.Table) -> pa.Table:
     found = []
     if rows.num_rows and queries.num_rows:
         table, wanted = _matrix(rows["vector"].combine_chunks()), _matrix(queries["vector"].combine_chunks())
         width = max(table.shape[1], wanted.shape[1])
         table, wanted = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (table, wanted))
-        if float(np.abs(table).max(initial=0)) * float(np.abs(wanted).max(initial=0)) * width < EXACT:
-            table, wanted = table.astype(np.float64), wanted.astype(np.float64)
+        kind = _exact_kind(table, wanted, width)
+        table, wanted = table.astype(kind), wanted.astype(kind)
         lists = SortedLists(table, rows["vec_id"].to_numpy())
         for row, own, query in zip(queries["row"].to_pylist(), queries["vec_id"].to_pylist(), wanted, strict=True):
             found += [(row, own, other, score) for other, score in lists.top(query, own, rows["k"][0].as_py())]
@@ -101,14 +114,20 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vec_id: str
     """The ``k`` best rows of ``vectors`` for every row of ``queries``: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
     Components become ``floor(scale * x)``. Rows take no part whose id or
-    vector is null, or that hold a null, non-finite or (scaled) over 31-bit
-    component; shorter vectors count as padded with zeros. Rows of the query's
+    vector is null, or that hold a null or non-finite component; shorter vectors
+    count as padded with zeros. Scores are exact; a scaled component, or a score
+    among the best, that does not fit in a long is an error. Rows of the query's
     own id are no candidates; other repeated rows are candidates each; a
     repeated query row gets its own ranks. Other columns are not carried.
     """
     def whole(df: DataFrame) -> DataFrame:
-        scaled = F.transform(embedding, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-        fine = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < LARGEST))
+        def component(x):
+            value = F.floor(F.lit(float(scale)) * x.cast("double"))
+            fits = F.abs(F.lit(float(scale)) * x.cast("double")) < LONG
+            return F.when(fits, value).otherwise(F.raise_error(F.lit("a scaled component does not fit in a long")).cast("bigint"))
+
+        scaled = F.transform(embedding, component)
+        fine = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
         return df.where(F.col(vec_id).isNotNull() & fine).select(F.col(vec_id).cast("long").alias("vec_id"),
                                                                  scaled.cast("array<bigint>").alias("vector"))
 

@@ -153,6 +153,21 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.exact_top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_large_vectors_is_exact_or_fails(spark):
+    rows = [(0, [1.0, -1.0]), (1, [2.0**23, 0.0]), (2, [2.0**40, 1.0]), (3, [float("inf"), 1.0]), (4, [0.0, -(2.0**40)])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.exact_top_k(df, df.where("vec_id = 0"), k=4).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(4, 2**56), (2, 2**56 - 2**16), (1, 2**39)]
+    wide = spark.createDataFrame([(0, [2.0**23, 2.0**23]), (1, [-(2.0**23), 2.0**23]), (2, [-(2.0**24), 1.0]), (3, [-(2.0**25), -(2.0**25)])],
+                                 "vec_id bigint, embedding array<double>")  # products pass a long, the best scores do not
+    got = topk.exact_top_k(wide, wide.where("vec_id = 0"), k=2).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 0), (2, (1 - 2**24) * 2**39)]
+    for large in (2.0**25, 2.0**60):  # a score, then a component
+        beyond = spark.createDataFrame([(0, [large]), (1, [large * 2])], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="(?i)long|overflow|too (big|large)"):
+            topk.exact_top_k(beyond, beyond, k=1).collect()
+
+
 def test_pipeline_keeps_clean_documents_and_columns(spark):
     import corpus_pipeline as pipeline
 
