@@ -16,8 +16,9 @@ of documents counts and asks for its distinct grams only.
 Spark's part is questions and answers, all packed into binary columns: blocks of
 documents ask word shards (by the word's hash) for counts of words and context
 shards (by the last three bytes of the context) for chances of grams; answers
-travel back. Only the nodes above depth three, at most 256**2 contexts, meet in
-one place. Shards and blocks grow in number with the input; a hot word or
+travel back. Only the nodes above depth three meet in one place: executors sum
+those of depth two, by decision, and the driver gets each once, 32 bytes for
+each of the decisions that occur after two bytes (at most 255 * 256**2, 535 MB). Shards and blocks grow in number with the input; a hot word or
 context is one entry per asker.
 """
 
@@ -297,7 +298,7 @@ def _counted(asked: pa.Table) -> tuple[list[tuple[int, np.ndarray]], np.ndarray,
     return lists, *merged([g for _, g in lists], [unpacked(r["counts"], "<u4").astype(np.float64) for r in rows])
 
 
-TOP = "keys binary, zeros binary, ones binary, below binary"
+TOP = "k int, keys binary, zeros binary, ones binary, below binary"
 
 
 def to_the_top(depth: int):
@@ -309,12 +310,27 @@ def to_the_top(depth: int):
             level = deep_levels(grams, counts, depth, [k])[0]
             keys, starts = level.parents(), first_of(level.parents())
             sums = [np.add.reduceat(v, starts) for v in (level.zeros, level.ones, level.weighted)]
-            rows.append((keys[starts].tobytes(), *(s.tobytes() for s in sums)))
+            rows.append((k, keys[starts].tobytes(), *(s.tobytes() for s in sums)))
         return table(TOP, rows)
 
     return run
 
 
+def joined(parts: pa.Table) -> list[np.ndarray]:
+    """Keys, zeros, ones and sums of the parts, one after the other."""
+    kinds = {"keys": np.uint64, "zeros": np.float64, "ones": np.float64, "below": np.float64}
+    return [np.concatenate([np.zeros(0, kind), *(np.frombuffer(b, kind) for b in parts[name].to_pylist())]) for name, kind in kinds.items()]
+
+
+def meet_at_the_top(parts: pa.Table) -> pa.Table:
+    """The shards' shares in the nodes of a decision, each node once."""
+    keys, *values = joined(parts)
+    order = np.argsort(keys, kind="stable")
+    starts = first_of(keys[order])
+    sums = [np.add.reduceat(v[order], starts).tobytes() for v in values]
+    return table(TOP, [(parts["k"][0].as_py(), keys[order][starts].tobytes(), *sums)])
+
+
 def tell_chances(depth: int, top):
     def run(asked: pa.Table) -> pa.Table:
         lists, every, counts = _counted(asked)
@@ -406,10 +422,9 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", depth: int = D
     sums = counts.agg(F.sum("tokens"), F.sum("known")).first()
     tokens, known = int(sums[0] or 0), int(sums[1] or 0)
     by_context = asked.where("kind = 'gram'").groupBy("shard")
-    parts = by_context.applyInArrow(to_the_top(depth), TOP).collect()
-    kinds = (np.uint64, np.float64, np.float64, np.float64)
-    columns = [np.concatenate([np.frombuffer(bytes(p[i]), kind) for p in parts] or [np.zeros(0, kind)]) for i, kind in enumerate(kinds)]
-    top = df.sparkSession.sparkContext.broadcast(top_levels(*columns))
+    shares = by_context.applyInArrow(to_the_top(depth), TOP)
+    met = shares.groupBy("k").applyInArrow(meet_at_the_top, TOP).toArrow()
+    top = df.sparkSession.sparkContext.broadcast(top_levels(*joined(met)))
     told = counts.unionByName(by_context.applyInArrow(tell_chances(depth, top), TOLD))
     fields = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept], RESULT])
     return by_block.cogroup(told.groupBy("block")).applyInArrow(_scored(shards, depth, tokens, known, kept), fields)

@@ -144,6 +144,17 @@ def test_contexts_run_across_words(spark, monkeypatch):
     assert all((a == b).all() for a, b in zip((grams, stream), ctw.grams_of([ctw.stream_of(b"Ab c"), ctw.stream_of(b"")], 6), strict=True))
 
 
+def test_each_node_meets_at_the_top_once():
+    grams, _ = ctw.grams_of([ctw.stream_of(b"the cat sat on the mat")], 6)
+    parts = [ctw.to_the_top(6)(ctw.table(ctw.ASKED, [(0, "gram", 0, ctw.packed(g), ctw.packed(np.ones(len(g), "<u4")))]))
+             for g in map(np.unique, (grams[::2], grams[1::2]))]
+    for k in range(8):
+        both = ctw.pa.concat_tables([p.filter(ctw.pa.array([x == k for x in p["k"].to_pylist()])) for p in parts])
+        (keys, *sums), (every, *values) = ctw.joined(ctw.meet_at_the_top(both)), ctw.joined(both)
+        assert len(keys) == len(np.unique(every)) < len(every) and (np.diff(keys.astype(np.int64)) > 0).all()
+        assert all(math.isclose(a.sum(), b.sum()) for a, b in zip(sums, values, strict=True))
+
+
 def test_top_k_of_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [0.0, 0.0]),
             (6, [5.0]), (None, [9.0, 9.0]), (1, [1.0, 2.0])]
