@@ -60,6 +60,15 @@ def bounded_batches(spark: SparkSession, rows: int = 4000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2**26))
 
 
+def positional(df: DataFrame) -> tuple[list[str], DataFrame]:
+    """Column names, and ``df`` with its columns called ``c0``, ``c1``, … in order.
+
+    Work on these, then give the names back with ``toDF``: no name of the
+    input, not even one that differs from another by case only, can then clash.
+    """
+    return df.columns, df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
@@ -94,6 +103,28 @@ class Memo(dict):
         return value
 
 
+class AgedMemo(dict):
+    """As ``Memo``, but a full memo becomes the old one, whose entries come back when they are asked for again.
+
+    At most ``2 * entries`` results are held, and keys in steady use are never made anew.
+    """
+
+    def __init__(self, make: Callable, entries: int, key_chars: int = MEMO_KEY_CHARS):
+        super().__init__()
+        self.make, self.entries, self.key_chars, self.old = make, entries, key_chars, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.key_chars:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(all bytes, offsets)`` of a binary column without nulls, not copied."""
     n = len(column)

@@ -7,6 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import OP13_SQL
 from .exact import OP9_SQL
 from .substring import OP6_SQL
 from .topk import OP8_SQL
@@ -23,6 +24,8 @@ _QUERIES = (
     ("topk", "op8_threshold_top_k", "embeddings"),
     ("exact", "op9_block_naming", "documents"),
     ("tokenfiles", "op10_token_files", "documents"),
+    ("rankarray", "op12_rank_array", "documents"),
+    ("collocations", "op13_misra_gries", "documents"),
 )
 
 
@@ -38,4 +41,5 @@ def _query(module: str, name: str, table: str) -> Callable[[SparkSession, str],
 
 QUERIES = {name: _query(module, name, table) for module, name, table in _QUERIES}
 
-ORACLES = {"op6_block_anchors": OP6_SQL, "op8_threshold_top_k": OP8_SQL, "op9_block_naming": OP9_SQL}
+ORACLES = {"op6_block_anchors": OP6_SQL, "op8_threshold_top_k": OP8_SQL, "op9_block_naming": OP9_SQL,
+           "op13_misra_gries": OP13_SQL}
