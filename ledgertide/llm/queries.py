@@ -24,6 +24,7 @@ _QUERIES = (
     ("topk", "op8_threshold_top_k", "embeddings"),
     ("exact", "op9_block_naming", "documents"),
     ("tokenfiles", "op10_token_files", "documents"),
+    ("conversation", "op11_run_length_repair", "conversations"),
     ("rankarray", "op12_rank_array", "documents"),
     ("collocations", "op13_misra_gries", "documents"),
 )
