@@ -42,7 +42,7 @@ ABSORBED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 TOP = 2000
 UNKNOWN = "und"
-BLOCK_BYTES = SHARD_BYTES = 8_000_000
+BLOCK_BYTES, SHARD_BYTES, READ_BYTES = 4_000_000, 8_000_000, 500_000
 
 #: Bytes that end a piece become a line feed, the tab a blank, A-Z lower case.
 _CLEAN = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\x09" + bytes(range(65, 91)), b"\n" * 9 + b" " + bytes(range(97, 123)))
@@ -89,10 +89,12 @@ class Block:
 
     def __init__(self, body: bytes):
         numbers = _Words({b"\n": _BREAK, b"": _GAP})
-        line = body.replace(b"\n", b" \n ").split(b" ")
-        ids = np.fromiter(map(numbers.__getitem__, line), np.int64, len(line))
-        del line
-        self.ids = ids[ids != _GAP]
+        read = []
+        for part in _cut(body, READ_BYTES):  # a part ends between pieces; its words as objects are gone before the next
+            line = part.replace(b"\n", b" \n ").split(b" ")
+            ids = np.fromiter(map(numbers.__getitem__, line), np.int32, len(line))
+            read.append(ids[ids != _GAP])
+        self.ids = np.concatenate(read)
         self.words = list(numbers)
 
     def starts(self, size: int) -> np.ndarray:
@@ -120,12 +122,17 @@ class Block:
             h ^= h >> np.uint64(27)
             h *= np.uint64(_MIX[2])
             h ^= h >> np.uint64(31)
-            yield size, at, ((h >> np.uint64(32)) % np.uint64(shards)) << np.uint64(32) | (h & np.uint64(0xFFFFFFFF))
+            shard = h >> np.uint64(32)
+            shard %= np.uint64(shards)
+            shard <<= np.uint64(32)
+            h &= np.uint64(0xFFFFFFFF)
+            h |= shard
+            yield size, at, h
 
     def counted(self, size: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(a place of each, count)`` of the distinct phrases that stand at ``at``, told apart by their words."""
         v = len(self.words)
-        code = self.ids[at]
+        code = self.ids[at].astype(np.int64)
         for j in range(1, size):
             if j > 1:  # a dense number per distinct beginning keeps the product within 64 bits
                 code = np.unique(code, return_inverse=True)[1]
@@ -134,15 +141,16 @@ class Block:
         return at[first], count
 
 
-def _cut(body: bytes) -> Iterator[bytes]:
-    """A cleaned text in parts of about a block, cut between pieces."""
-    while len(body) > BLOCK_BYTES:
-        end = body.rfind(b"\n", 0, BLOCK_BYTES)
-        if end <= 0 and (end := body.find(b"\n", BLOCK_BYTES)) < 0:
+def _cut(body: bytes, size: int) -> Iterator[bytes]:
+    """A cleaned text in parts of about ``size`` bytes, cut between pieces; a longer piece stays whole."""
+    at = 0
+    while len(body) - at > size:
+        end = body.rfind(b"\n", at + 1, at + size)
+        if end < 0 and (end := body.find(b"\n", at + size)) < 0:
             break
-        yield body[:end]
-        body = body[end:]
-    yield body
+        yield body[at:end]
+        at = end
+    yield body[at:]
 
 
 def blocks(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -165,7 +173,7 @@ def blocks(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
 
         for batch in batches:
             for name, raw in zip(batch.column(0), batch.column(1), strict=True):
-                for part in _cut(raw.as_py().translate(_CLEAN)):
+                for part in _cut(raw.as_py().translate(_CLEAN), BLOCK_BYTES):
                     held.setdefault(name.as_py(), []).append(part)
                     size += len(part)
                     if size >= BLOCK_BYTES:
@@ -213,17 +221,17 @@ def merge_shard(messages: list[tuple[bytes, bytes, bytes]], threshold: int) -> n
     """Fingerprints of one partition that may reach the threshold."""
     decoded = []
     for keys, many, counts in messages:
-        number = np.ones(len(keys) // 4, np.int64)
+        number = np.ones(len(keys) // 4, np.uint32)
         number[np.frombuffer(many, np.uint32)] = np.frombuffer(counts, np.uint32)
         decoded.append((np.frombuffer(keys, np.uint32), number))
-    mass = sum(int(number.sum()) for _, number in decoded)
+    mass = sum(int(number.sum(dtype=np.int64)) for _, number in decoded)
     summary = MisraGries(mass // threshold + 1)
     waiting, size = [], 0
     for at, (keys, number) in enumerate(decoded):
         waiting.append((keys, number))
         size += len(keys)
         if size > summary.capacity or at + 1 == len(decoded):  # so that a merge costs no more than what it adds
-            summary.merge(np.concatenate([k for k, _ in waiting]), np.concatenate([c for _, c in waiting]))
+            summary.merge(np.concatenate([k for k, _ in waiting]), np.concatenate([c for _, c in waiting]).astype(np.int64))
             waiting, size = [], 0
     return summary.reaching(threshold)
 
