@@ -295,6 +295,11 @@ def _wide(column: str) -> Column:
     return F.col(column).cast("decimal(20,0)")
 
 
+def score(a: str, left: str, right: str) -> Column:
+    """``floor(SCORE_SCALE * a / (left + right))``, whose product may pass 64 bits."""
+    return F.expr(f"{SCORE_SCALE}BD * CAST({a} AS DECIMAL(20,0)) DIV (CAST({left} AS DECIMAL(20,0)) + {right})")
+
+
 def mine(df: DataFrame, text: str = "text", lang: str = "lang", threshold: int = THRESHOLD, top: int = TOP) -> DataFrame:
     """Each language's first ``top`` collocations: ``lang, rank, phrase, a, l, r, n, score``.
 
@@ -319,7 +324,7 @@ def mine(df: DataFrame, text: str = "text", lang: str = "lang", threshold: int =
         ).select("lang", "phrase", "a", "k", "half.*")
     both = halves.join(of, ["lang", "piece"]).groupBy("lang", "phrase", "a", "k").agg(
         F.max(F.when(F.col("is_first"), F.col("piece_f"))).alias("l"), F.max(F.when(~F.col("is_first"), F.col("piece_f"))).alias("r"))
-    rated = both.withColumn("score", F.expr(f"{SCORE_SCALE}BD * CAST(a AS DECIMAL(20,0)) DIV (CAST(l AS DECIMAL(20,0)) + r)"))
+    rated = both.withColumn("score", score("a", "l", "r"))
     best = rated.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
 
     inside = candidates.where("size > 2").select("lang", "f", "w", "size", F.explode(F.sequence(F.lit(2), F.col("size") - 1)).alias("short"))
