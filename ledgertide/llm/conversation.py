@@ -417,7 +417,8 @@ def _classified(df: DataFrame, conv: Column, turn: Column, role: Column, text: C
     key = F.sha2(F.concat(F.col("conv").isNull().cast("string"), F.length(name).cast("string"), F.lit(":"), name,
                           F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)
     blank = ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    kept = stored(once.select("*", blank.alias("blank"), F.when(~blank, key).alias("key")), "turns")
+    alone = F.xxhash64("conv", "turn", "role", "text").cast("string")  # blank rows meet no other: spread them
+    kept = stored(once.select("*", blank.alias("blank"), F.when(blank, alone).otherwise(key).alias("key")), "turns")
     seen = kept.where("n > 0 AND NOT blank").groupBy("key").agg(
         F.count("*").alias("often"), F.max(F.col("turn").isNull()).alias("untimed"), F.min("turn").alias("earliest"))
     marked = kept.join(seen.where("often > 1").drop("often"), "key", "left")
