@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..constants import SRC_BACKFILL, SRC_STREAM
-from ..plans import events, jobs, yields
+from ..operators.coverage import gaps
+from ..plans import events, jobs, prices, snapshots, yields
 from ..session import scratch_path
 from ..streaming.tables import TableStore
 from .adapters import Tables
@@ -120,3 +121,117 @@ def job_emission_apy(t: Tables):
 
 ORACLES["job_emission_apy"] = " UNION ALL ".join(f"SELECT * FROM ({ORACLES[q]})" for q in (
     "emission_apy_backstop", "emission_apy_lending_supply", "emission_apy_lending_borrow"))
+
+
+# --- resuming, previews and the daily capture ---------------------------------
+
+_LENDING_COUNTS = """SELECT pool_id, CAST(day AS VARCHAR) AS event_date, '{src}' AS src, count(*) AS n, max(event_id) AS last_ledger
+FROM lend JOIN ev USING (event_id, pool_id) GROUP BY 1, 2"""
+
+
+@query(with_tables(_LENDING_COUNTS.format(src=SRC_BACKFILL) + f"""
+UNION ALL SELECT 'P1', '2024-06-01', '{SRC_STREAM}', CAST(1 AS BIGINT), CAST(999999999 AS BIGINT)""", "ev", more=_LENDING))
+def job_resume_gaps(t: Tables):
+    """A hole in the middle, pools that come in late and a streamed row far ahead: a resumed run fills exactly the rest."""
+    store, raw = _store(t), t.raw_lending()
+    ahead = [("s", "P1", "T", 999999999, "2024-06-01 10:00:00", "borrow", SRC_STREAM)]
+    streamed = t.spark.createDataFrame(ahead, "id string, pool_id string, transaction_hash string, ledger_sequence bigint, at string, action_type string, src string")
+    store.upsert("parsed_events", streamed.withColumn("ledger_closed_at", F.col("at").cast("timestamp")).drop("at"))
+    early, late = ["P0", "P1"], ["P0", "P1", "P2"]
+    jobs.backfill_lending_events(store, raw, early, "2024-01-02", "2024-01-08")
+    jobs.backfill_lending_events(store, raw, ["P0"], "2024-01-12", "2024-01-15")
+    jobs.backfill_lending_events(store, raw, late, resume=True)
+    jobs.backfill_lending_events(store, raw, resume=True)  # every pool, those not named so far as well
+    again = jobs.backfill_lending_events(store, raw, late, resume=True)
+    if again["inserted"]:
+        raise ValueError(f"a resumed backfill found rows again: {again}")
+    return store.read("parsed_events").groupBy("pool_id", day("event_date"), "src").agg(
+        F.count("*").alias("n"), F.max("ledger_sequence").alias("last_ledger"))
+
+
+@query(with_tables("""
+SELECT scope, CAST(min(d) AS VARCHAR) AS first_day, CAST(max(d) AS VARCHAR) AS last_day FROM (
+  SELECT scope, d, d - CAST(row_number() OVER (PARTITION BY scope ORDER BY d) AS INTEGER) AS island FROM (
+    SELECT u.scope, CAST(g.d AS DATE) AS d FROM (SELECT DISTINCT user_address AS scope FROM ev) u,
+      generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-02-10', INTERVAL 1 DAY) g(d)) w
+  WHERE NOT EXISTS (SELECT 1 FROM ev e WHERE e.user_address = w.scope AND event_type = 'signup' AND w.d BETWEEN e.day AND e.day + CAST(k % 4 AS INTEGER))
+    AND NOT EXISTS (SELECT 1 FROM ev e WHERE event_type = 'error' AND k % 50 = 7 AND w.d = e.day AND event_id % 9 = 0))
+GROUP BY scope, island""", "ev"))
+def coverage_gaps(t: Tables):
+    """Uncovered days of each user; a signup covers up to four days, some errors cover their day for all."""
+    ev = t.ev().withColumn("first_day", F.to_date("ts"))
+    own = ev.filter(F.col("event_type") == "signup").select(
+        F.col("user_address").alias("scope"), "first_day", F.expr("date_add(first_day, CAST(k % 4 AS INT))").alias("last_day"))
+    common = ev.filter("event_type = 'error' AND k % 50 = 7 AND event_id % 9 = 0").select(
+        F.lit("*").alias("scope"), "first_day", F.col("first_day").alias("last_day"))
+    found = gaps(own.unionByName(common), ev.select(F.col("user_address").alias("scope")), "2024-01-03", "2024-02-10")
+    return found.select("scope", day("first_day"), day("last_day"))
+
+
+@query(with_tables("""
+SELECT ledger_sequence, op, amount_tokens FROM (
+  SELECT event_id AS ledger_sequence, CASE WHEN day < DATE '2024-01-11' THEN 'update' ELSE 'insert' END AS op, toks AS amount_tokens
+  FROM lend JOIN ev USING (event_id, pool_id) WHERE day BETWEEN DATE '2024-01-06' AND DATE '2024-01-20'
+  UNION ALL
+  SELECT CAST(-1 AS BIGINT), 'counts', CAST(count(*) FILTER (day >= DATE '2024-01-11') * 1000000 + count(*) FILTER (day < DATE '2024-01-11') AS BIGINT)
+  FROM lend JOIN ev USING (event_id, pool_id) WHERE day BETWEEN DATE '2024-01-06' AND DATE '2024-01-20')""", "ev", more=_LENDING))
+def job_preview(t: Tables):
+    """What a backfill of two weeks would do to a table that holds the first ten days; the table stays as it is."""
+    store, raw = _store(t), t.raw_lending()
+    jobs.backfill_lending_events(store, raw, start_date=_FIRST, end_date="2024-01-10")
+    before = store.read("parsed_events").count()
+    planned = jobs.plan_lending_events(store, raw, start_date="2024-01-06", end_date="2024-01-20")
+    counts, rows = jobs.preview(store, planned, limit=10**9)
+    if store.read("parsed_events").count() != before or counts["rejected"]:
+        raise ValueError(f"a preview wrote or rejected rows: {counts}")
+    summary = t.spark.range(1).select(F.lit(-1).cast("bigint").alias("ledger_sequence"), F.lit("counts").alias("op"),
+                                      F.lit(counts["inserted"] * 1000000 + counts["updated"]).cast("bigint").alias("amount_tokens"))
+    return rows.select("ledger_sequence", "op", *_integers("amount_tokens")).unionByName(summary)
+
+
+_CAPTURE_DAY = "2024-02-01"
+
+
+@query(with_tables(f"""
+SELECT token_address, '{_CAPTURE_DAY}' AS price_date, round(usd_price, 6) AS usd_price, source FROM (
+  SELECT 'LP' AS token_address, 5.0::DOUBLE * (cents * 7) / (cents * 11 + k + 1) AS usd_price, 'sdk_backstop' AS source, 1 AS rank
+  FROM (SELECT * FROM ev WHERE day = (SELECT max(day) FROM ev) ORDER BY event_id DESC LIMIT 1)
+  UNION ALL SELECT 'RWD', (sum(cents) / 0.2::DOUBLE) / ((sum(cents) * 3 + sum(k)) / 0.8::DOUBLE), 'sdk_backstop', 2
+  FROM ev WHERE day = (SELECT max(day) FROM ev)
+  UNION ALL SELECT asset_address, CASE WHEN pegged_currency = 'USD' THEN 1.0 ELSE (SELECT v FROM fx WHERE currency = 'USD') / v END, 'pegged', 3
+  FROM tokens JOIN fx ON fx.currency = upper(pegged_currency)
+  UNION ALL SELECT 'A4', arg_max(cents / 100.0::DOUBLE / (k + 1), event_id), 'etherfuse', 4 FROM ev
+  UNION ALL SELECT asset_id, oracle_price, 'sdk_oracle', 5
+  FROM (SELECT * FROM reserve_state QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY pool_id DESC) = 1)
+  WHERE oracle_price > 0 AND asset_id NOT IN (SELECT asset_address FROM tokens WHERE pegged_currency IS NOT NULL))
+WHERE usd_price > 0 QUALIFY row_number() OVER (PARTITION BY token_address ORDER BY rank DESC) = 1""", "ev", "tokens", "reserve_state", more="""
+  fx AS (SELECT CASE event_type WHEN 'view' THEN 'USD' WHEN 'click' THEN 'EUR' ELSE 'GBP' END AS currency, sum(cents) / 100.0::DOUBLE AS v
+         FROM ev WHERE event_type IN ('view', 'click', 'purchase') GROUP BY 1)"""))
+def job_daily_prices(t: Tables):
+    """Five sources in one write. First with two that fail, which leave the others stored, then whole, then once more."""
+    store, kind = _store(t), F.col("event_type")
+    daily = t.ev().groupBy(F.to_date("ts").alias("price_date")).agg(
+        F.sum("cents").alias("quote"), (F.sum("cents") * 3 + F.sum("k")).alias("base"))
+    fx = t.ev().filter(kind.isin("view", "click", "purchase")).groupBy(
+        F.when(kind == "view", "USD").when(kind == "click", "EUR").otherwise("GBP").alias("currency")).agg(
+        (F.sum("cents") / 100.0).alias("value")).withColumn("type", F.lit("fiat"))
+    bond = t.ev().select(F.col("event_id").alias("position"), (F.col("cents") / 100.0).alias("token_price"),
+                         (F.col("k") + 1).cast("double").alias("fx_rate"))
+    order = t.pools().select("pool_id", (-F.substring("pool_id", 2, 9).cast("int")).alias("pool_rank"))
+    sources = jobs.price_sources(_CAPTURE_DAY, t.tokens(), snapshots.lp_prices(t.lp_state(), "LPTOKEN"), "LP", daily, "RWD", fx,
+                                 bond, "A4", t.reserve_state(), order)
+
+    def unreachable():
+        raise ConnectionError("no answer")
+
+    def broken():  # fails only while it is computed
+        return prices.oracle_prices(t.reserve_state().withColumn("oracle_price", F.raise_error(F.lit("no oracle")).cast("double")),
+                                    order, t.tokens(), _CAPTURE_DAY)
+
+    part = jobs.capture_daily_prices(store, sources | {"bond": unreachable, "oracle": broken})
+    if set(part.errors) != {"bond", "oracle"} or set(part.by_source) != {"lp token", "pool ratio", "pegs"}:
+        raise ValueError(f"sources were not kept apart: {part}")
+    whole, again = (jobs.capture_daily_prices(store, sources) for _ in range(2))
+    if whole.errors or again.counts["inserted"]:
+        raise ValueError(f"a repeated capture is not the same: {whole}, {again}")
+    return store.read("daily_token_prices").select("token_address", day("price_date"), *r6("usd_price"), "source")

@@ -1,24 +1,31 @@
 """Keyed writes into Parquet tables.
 
 A table is a directory of Parquet files, partitioned by a date column where its
-schema names one.  An upsert reads only the partitions it has to change, writes
-their new content to a staging directory next to the table and then overwrites
-exactly those partitions from it, so no plan reads the files it overwrites and a
-lost executor only repeats its own tasks.  Running the same upsert twice gives
-the same table.
+schema names one and, below that, by a bucket of its key. An upsert reads and
+writes only the (day, bucket) pairs that its source touches, in one job: Spark's
+dynamic overwrite puts the new files of a pair in place of the old ones when the
+job has ended, so a plan may read what it overwrites, a lost executor only repeats
+its own tasks, and a failed job changes nothing. Running the same upsert twice
+gives the same table.
+
+The number of buckets is fixed by the first write and kept in the name of the
+bucket column (``bucket_of_4=3``), so a later writer cannot miss stored rows.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .dedup import dedup_last
 
+BUCKET = "bucket_of_"
+#: Beyond so many touched (day, bucket) pairs the whole touched days are rewritten.
+MOST_PAIRS = 20_000
+
 
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -35,10 +42,27 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty frame of its schema before the first write."""
     if table_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     return spark.createDataFrame([], schema)
 
 
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """Number of buckets of a stored table, read off its directory names; ``None`` before the first write."""
+    fs, p = _fs_path(spark, path)
+    while fs.exists(p):
+        below = [s.getPath() for s in fs.listStatus(p) if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))]
+        if not below:
+            break
+        p = below[0]
+        if p.getName().startswith(BUCKET):
+            return int(p.getName().removeprefix(BUCKET).split("=")[0])
+    return None
+
+
+def _bucket(keys: Sequence[str], schema: T.StructType, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k).cast(schema[k].dataType) for k in keys]), F.lit(buckets)).cast("int")
+
+
 def _drop(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
@@ -76,89 +100,71 @@ def merged_rows(target: DataFrame, src: DataFrame, keys: Sequence[str], guard: s
 def upsert(
     spark: SparkSession, path: str, src: DataFrame, schema: T.StructType, keys: Sequence[str],
     order_cols: Sequence[str], partition_col: str | None = None, key_fixes_partition: bool = True,
-    guard: str | None = None,
+    guard: str | None = None, buckets: int = 1,
 ) -> dict[str, int]:
     """Insert or replace by key, last writer wins; returns the row counts.
 
-    Of several source rows with one key the last by ``order_cols`` counts.  The
-    counts are taken from the staged rows.  The first write of a table goes straight
-    to its place.
+    Of several source rows with one key the last by ``order_cols`` counts. The
+    counts are taken while the new files are written. ``buckets`` counts for the
+    first write only; a stored table keeps its own number.
 
-    ``src`` is evaluated twice for a partitioned table (once for its days only),
-    so a caller whose source is expensive persists it.
+    ``src`` is evaluated twice (once for the days and buckets it touches), so a
+    caller whose source is expensive persists it.
 
     ``key_fixes_partition``: equal keys always have equal ``partition_col`` (true
-    for keys that hold the date or a ledger).  Otherwise the partitions that
+    for keys that hold the date or a ledger). Otherwise the partitions that
     already hold a matching key are looked up first and rewritten as well.
     """
-    names = [f.name for f in schema.fields]
-    last = dedup_last(src, keys, order_cols).select(*names)
-    if partition_col is None:
-        _finish_swap(spark, path)
+    names = schema.names
+    buckets = stored_buckets(spark, path) or buckets
+    bucket = f"{BUCKET}{buckets}"
+    places = [partition_col, bucket] if partition_col else [bucket]
+    last = dedup_last(src, keys, order_cols).select(*names, _bucket(keys, schema, buckets).alias(bucket))
     if not table_exists(spark, path):
-        _write(last, path, partition_col, "append")
+        _write(last, path, places, "append")
         return {"inserted": read_table(spark, path, schema).count(), "updated": 0, "stale": 0}
 
-    target = read_table(spark, path, schema)
-    touched: set = set()
-    if partition_col:
-        # One value per calendar day of the source: bounded by the time span.
-        touched = {r[0] for r in src.select(partition_col).distinct().collect()}
-        if not key_fixes_partition:
-            held = target.join(last.select(*keys), list(keys), "left_semi").select(partition_col).distinct()
-            touched |= {r[0] for r in held.collect()}
-        in_touched = F.col(partition_col).isin([t for t in touched if t is not None])
-        if None in touched:
-            in_touched = in_touched | F.col(partition_col).isNull()
-        target = target.filter(in_touched)
-
-    stage = f"{path.rstrip('/')}/_stage-{uuid.uuid4().hex}"
-    merged_rows(target, last, keys, guard).write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    counts = {r["_op"]: r["n"] for r in staged.groupBy("_op").agg(F.count("*").alias("n")).collect()}
-    final = staged.select(*names)
-    if partition_col:
-        _write(final, path, partition_col, "overwrite")
-        if not key_fixes_partition:
-            kept = {r[0] for r in staged.select(partition_col).distinct().collect()}
-            for value in touched - kept:
-                name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-                _drop(spark, f"{path.rstrip('/')}/{partition_col}={name}")
-        _drop(spark, stage)
-    else:
-        # Small unpartitioned dimension: written beside the table, then swapped in.
-        _write(final, path + ".next", None, "overwrite")
-        _rename(spark, path, path + ".old")
-        _rename(spark, path + ".next", path)
-        _drop(spark, path + ".old")
-    return {
-        "inserted": counts.get("insert", 0), "updated": counts.get("update", 0),
-        "stale": counts.get("stale", 0),
-    }
-
-
-def _write(rows: DataFrame, path: str, partition_col: str | None, mode: str) -> None:
-    if partition_col is None:
-        rows.write.mode(mode).parquet(path)
-        return
-    # Days are brought together so that each becomes few files; adaptive execution
-    # splits a day that is too large for one task and joins small ones.
-    (rows.hint("rebalance", partition_col).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
-
-
-def _finish_swap(spark: SparkSession, path: str) -> None:
-    """Clear up after a run that stopped while it swapped a small table in."""
-    if table_exists(spark, path + ".old"):
-        if table_exists(spark, path):
-            _drop(spark, path + ".old")
-        else:
-            _rename(spark, path + ".old", path)
-
-
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, p = _fs_path(spark, source)
-    fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target))
+    target = spark.read.schema(schema).parquet(path).select(*names, bucket)
+    # One value per day and bucket of the source: bounded by the time span.
+    touched = {tuple(r) for r in src.select(*names).withColumn(bucket, _bucket(keys, schema, buckets)).select(*places).distinct().collect()}
+    if partition_col and not key_fixes_partition:
+        held = target.join(last.select(*keys), list(keys), "left_semi").select(*places).distinct()
+        touched |= {tuple(r) for r in held.collect()}
+    none = {"inserted": 0, "updated": 0, "stale": 0}
+    if not touched:
+        return none
+    merged = merged_rows(target.filter(_at(places, touched)), last, keys, guard)
+    if partition_col and not key_fixes_partition:
+        kept = {tuple(r) for r in merged.select(*places).distinct().collect()}
+    seen = Observation()
+    ops = {"inserted": "insert", "updated": "update", "stale": "stale"}
+    counted = merged.hint("rebalance", *places).observe(seen, *[F.count_if(F.col("_op") == op).alias(n) for n, op in ops.items()])
+    _overwrite(counted.drop("_op"), path, places, "overwrite")
+    if partition_col and not key_fixes_partition:
+        for day, number in touched - kept:
+            name = "__HIVE_DEFAULT_PARTITION__" if day is None else day
+            _drop(spark, f"{path.rstrip('/')}/{partition_col}={name}/{bucket}={number}")
+    return none | {n: int(seen.get[n]) for n in ops}
+
+
+def _at(places: Sequence[str], touched: set) -> Column:
+    """Whether a row lies at one of the places; made of partition columns alone, so it picks the files to read."""
+    if len(touched) > MOST_PAIRS and len(places) > 1:
+        days = {day for day, _ in touched}
+        known = F.col(places[0]).isin([d for d in days if d is not None])
+        return known | F.col(places[0]).isNull() if None in days else known
+    name = F.concat_ws("/", *[F.coalesce(F.col(p).cast("string"), F.lit("-")) for p in places])
+    return name.isin(sorted("/".join("-" if v is None else str(v) for v in place) for place in touched))
+
+
+def _write(rows: DataFrame, path: str, places: Sequence[str], mode: str) -> None:
+    # The rows of a day's bucket are brought together so that they become few files;
+    # adaptive execution splits what is too large for one task and joins small ones.
+    _overwrite(rows.hint("rebalance", *places), path, places, mode)
+
+
+def _overwrite(rows: DataFrame, path: str, places: Sequence[str], mode: str) -> None:
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*places).parquet(path)
 
 
 def conditional_merge(target: DataFrame, src: DataFrame, keys: Sequence[str],
@@ -195,16 +201,17 @@ def missing_rows(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> Data
 
 
 def insert_missing(spark: SparkSession, path: str, src: DataFrame, schema: T.StructType, keys: Sequence[str],
-                   order_cols: Sequence[str], partition_col: str | None = None) -> dict[str, int]:
+                   order_cols: Sequence[str], partition_col: str | None = None, buckets: int = 1) -> dict[str, int]:
     """Append only what is missing; no stored file is touched.
 
     Of several source rows with one key the last by ``order_cols`` counts. Rows
     are counted from the files' footers before and after.
     """
-    if partition_col is None:
-        _finish_swap(spark, path)
     stored = read_table(spark, path, schema)
     before = stored.count()
     fresh = dedup_last(missing_rows(stored, src, keys), keys, order_cols)
-    _write(fresh.select(*schema.names), path, partition_col, "append")
+    buckets = stored_buckets(spark, path) or buckets
+    bucket = f"{BUCKET}{buckets}"
+    _write(fresh.select(*schema.names, _bucket(keys, schema, buckets).alias(bucket)), path,
+           [partition_col, bucket] if partition_col else [bucket], "append")
     return {"inserted": read_table(spark, path, schema).count() - before, "updated": 0, "stale": 0}

@@ -171,6 +171,24 @@ def pegged_today(tokens: DataFrame, rates: DataFrame, day) -> DataFrame:
     return _rows(named, F.col("asset_address"), PRICE_PEGGED)
 
 
+def unpriced_pegs(tokens: DataFrame, rates: DataFrame) -> DataFrame:
+    """Pegged tokens whose currency has no exchange rate."""
+    pegs = pegged_tokens(tokens).select("asset_address", F.upper("pegged_currency").alias("currency"))
+    return pegs.join(rates.select("currency"), "currency", "left_anti").select("asset_address", "currency")
+
+
+def bond_today(points: DataFrame, token_address: str, day, source: str = PRICE_BOND) -> DataFrame:
+    """USD price of the last entry of a bond history, whatever its day, as the price of ``day``."""
+    last = points.agg(F.max_by(F.struct("token_price", "fx_rate"), "position").alias("v")).filter(F.col("v").isNotNull())
+    priced = last.select(F.lit(day).cast("date").alias("price_date"), F.try_divide("v.token_price", "v.fx_rate").alias("usd_price"))
+    return _rows(priced, token_address, source)
+
+
+def from_lp_price(daily: DataFrame, token_address: str, source: str = PRICE_POOL_RATIO) -> DataFrame:
+    """``(price_date, lp_token_price)`` → price rows of the LP token."""
+    return _rows(daily.select("price_date", F.col("lp_token_price").alias("usd_price")), token_address, source)
+
+
 def from_pool_ratio(balances: DataFrame, token_address: str, source: str = PRICE_POOL_RATIO) -> DataFrame:
     """Reward-token price of an 80/20 pool: (price_date, quote, base) → price."""
     priced = balances.select("price_date", pool_ratio_price(F.col("quote"), F.col("base")).alias("usd_price"))

@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..operators.coverage import COVERAGE
 from ..operators.upsert import read_table, upsert
 
 
 @dataclass(frozen=True)
 class TableStore:
-    """Curated tables below one root directory."""
+    """Curated tables below one root directory.
+
+    ``buckets``: parts of a day that an upsert can rewrite alone; it counts for
+    tables that are not written yet.
+    """
 
     spark: SparkSession
     root: str
+    buckets: int = 4
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -34,14 +40,23 @@ class TableStore:
 
     def upsert(self, name: str, rows: DataFrame, order_cols=("ledger_sequence",), guard: str | None = None,
                key_fixes_partition: bool = True) -> dict[str, int]:
-        """Upsert by the table's key; an ``event_date`` partition comes from the close time."""
+        """Upsert by the table's key."""
         part = schemas.TABLE_PARTITIONS.get(name)
-        if part == "event_date":
+        return upsert(self.spark, self.path(name), self.prepared(name, rows), self.schema(name), self.keys(name), order_cols,
+                      part, key_fixes_partition, guard, self.buckets if part else 1)
+
+    def keys(self, name: str) -> list[str]:
+        return _EXTRA_KEYS.get(name) or schemas.TABLE_KEYS[name]
+
+    def prepared(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows in the table's schema; an ``event_date`` partition comes from the close time."""
+        if schemas.TABLE_PARTITIONS.get(name) == "event_date":
             rows = rows.withColumn("event_date", F.to_date("ledger_closed_at"))
-        schema = self.schema(name)
-        keys = _EXTRA_KEYS.get(name) or schemas.TABLE_KEYS[name]
-        return upsert(self.spark, self.path(name), schemas.conform(rows, schema), schema, keys, order_cols, part,
-                      key_fixes_partition, guard)
+        return schemas.conform(rows, self.schema(name))
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        """Add rows to a table without a key."""
+        schemas.conform(rows, self.schema(name)).write.mode("append").parquet(self.path(name))
 
     def write_batch(self, name: str, batch_id: int, rows: DataFrame) -> None:
         """Rows of one micro-batch in their own directory: a replay replaces them."""
@@ -54,10 +69,10 @@ class TableStore:
 # Configuration entries seen so far; the index→asset mapping is derived from them.
 RESERVE_CONFIG_STATE = T.StructType([
     T.StructField("pool_id", T.StringType()), T.StructField("asset_address", T.StringType()),
-    T.StructField("reserve_index", T.IntegerType()), T.StructField("ledger_sequence", T.LongType()),
+    T.StructField("reserve_index", T.LongType()), T.StructField("ledger_sequence", T.LongType()),
     T.StructField("deleted", T.BooleanType()),
 ])
-_EXTRA = {"reserve_config_state": RESERVE_CONFIG_STATE}
+_EXTRA = {"reserve_config_state": RESERVE_CONFIG_STATE, "coverage": COVERAGE}
 _EXTRA_KEYS = {"reserve_config_state": ["pool_id", "asset_address", "reserve_index"]}
 
 
