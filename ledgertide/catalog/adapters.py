@@ -214,6 +214,11 @@ class Tables:
         path, schema = _STORED[key]
         return self.spark.read.schema(schema).parquet(path)
 
+    def log_path(self, name: str) -> str:
+        """Where a raw log lies, for the queries that scan it themselves."""
+        getattr(self, name)()
+        return _STORED[(self.spark.sparkContext.applicationId, self.dir, name)][0]
+
     def land_logs(self) -> None:
         for table in (self.raw_lending, self.raw_backstop, self.state, self.lp_state):
             table()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import content_id, iso_z, is_address, is_iso_day
-from ..functions.timewindow import date_window, ledger_range, optional_window, preset_window
+from ..functions.timewindow import date_window, optional_window, preset_window
 from ..operators import (
     Rule, action_counts, asof_join, breakdown, day_coverage, dedup_first, dedup_last, duplicate_keys, earliest_per,
     forward_fill, latest_per, missing_rows, running_total, table_stats, upsert, validate, watermark,
@@ -14,6 +14,7 @@ from ..operators import (
 from ..operators.validate import required
 from ..plans import feed, search
 from ..session import scratch_path
+from ..sources import ledger
 from .adapters import Tables, _text
 from .explore_queries import day
 from .registry import query
@@ -81,9 +82,19 @@ def preset_range(t: Tables):
     return optional_window(t.raw("events"), "ts", lo, hi).select("event_id")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey BETWEEN 1000 AND 9000")
+@query(with_tables("SELECT event_id AS ledger_sequence, pool_id AS contract_id FROM ev WHERE event_id BETWEEN 300 AND 6000", "ev"))
 def ledger_range_inclusive(t: Tables):
-    return ledger_range(t.raw("orders"), 1000, 9000, "o_orderkey").select("o_orderkey")
+    """A range of ledgers of the stored log, which becomes a range of its days."""
+    return ledger.scan_events(t.spark, t.log_path("raw_lending"), first_ledger=300, last_ledger=6000).select(
+        "ledger_sequence", "contract_id")
+
+
+@query(with_tables("""SELECT event_id AS ledger_sequence, pool_id AS contract_id, CAST(day AS VARCHAR) AS date FROM ev
+WHERE pool_id IN ('P1', 'P3') AND day BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND event_id <= 5000""", "ev"))
+def state_scan_bounded(t: Tables):
+    """Contract, day and ledger bounds of one scan of the state log."""
+    rows = ledger.scan_state(t.spark, t.log_path("state"), ["P1", "P3"], "2024-01-05", "2024-01-12", last_ledger=5000)
+    return rows.select("ledger_sequence", "contract_id", day("date"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, measure, round(amount, 2) AS amount FROM (
@@ -331,14 +342,14 @@ def insert_missing_dates(t: Tables):
 @query(with_tables("""SELECT event_id AS ledger_sequence, 'fill_auction' AS action_type FROM ev
 WHERE event_type = 'error' AND event_id % 3 = 2 AND event_id >= (SELECT max(event_id) FROM ev) - 4000""", "ev"))
 def topic_window_search(t: Tables):
-    out = search.topic_window_search(t.raw_lending(), "fill_auction", 4000)
+    out = search.search_log(t.spark, t.log_path("raw_lending"), "fill_auction", 4000)
     return out.select("ledger_sequence", "action_type")
 
 
 @query(with_tables("""SELECT event_id AS ledger_sequence, CASE event_id % 3 WHEN 1 THEN 'new_auction' ELSE 'fill_auction' END AS action_type FROM ev
 WHERE event_type = 'error' AND event_id % 3 <> 0 AND event_id >= (SELECT max(event_id) FROM ev) - 17280""", "ev"))
 def topic_window_fallback(t: Tables):
-    return search.topic_window_search(t.raw_lending(), "bad_debt").select("ledger_sequence", "action_type")
+    return search.search_log(t.spark, t.log_path("raw_lending"), "bad_debt").select("ledger_sequence", "action_type")
 
 
 @query("""SELECT doc_id, contains(text, 'the of') AS in_envelope, contains(source, 'src1') AS in_meta FROM documents

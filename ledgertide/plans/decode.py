@@ -104,12 +104,50 @@ def _by_action(action: Column, cases: Sequence[tuple[Sequence[str], Column]], de
     return branches.otherwise(default) if default is not None else branches
 
 
+def _long_division(u: Column, t: Column) -> Column:
+    big = "decimal(38,0)"
+    wide = t >= F.lit("1" + "0" * 35).cast(big)
+
+    def fitted(c: Column) -> Column:
+        return F.when(wide, (c - c % 1000).cast(big) * F.lit("0.001").cast("decimal(4,3)")).otherwise(c).cast(big)
+
+    def three_decimals(by: Column):
+        def step(done: Column, _: Column) -> Column:
+            scaled = (done["rest"] * F.lit(1000).cast("decimal(4,0)")).cast(big)
+            rest = (scaled % by).cast(big)
+            return F.struct(rest.alias("rest"), (done["decimals"] * 1000 + F.try_divide(scaled - rest, by).cast("bigint")).alias("decimals"))
+        return step
+
+    def divided(p: Column) -> Column:
+        rest = (p["size"] % p["by"]).cast(big)
+        whole = F.try_divide(p["size"] - rest, p["by"]).cast(big)
+        start = F.struct(rest.alias("rest"), F.lit(0).cast("bigint").alias("decimals"))
+
+        def text(done: Column) -> Column:
+            decimals = done["decimals"] + F.when(done["rest"] * 2 >= p["by"], 1).otherwise(0)
+            full = decimals >= 10**18
+            return F.concat((whole + F.when(full, 1).otherwise(0)).cast(big).cast("string"), F.lit("."),
+                            F.lpad(F.when(full, 0).otherwise(decimals).cast("string"), 18, "0"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(6)), start, three_decimals(p["by"]), text)
+
+    # The lambdas bind each value once; spelled out, the steps would not fit a compiled method.
+    bound = F.array(F.struct(fitted(F.abs(u)).alias("size"), fitted(t).alias("by")))
+    return F.concat(F.when(u < 0, "-").otherwise(""), F.get(F.transform(bound, divided), 0)).try_cast("decimal(38,18)")
+
+
 def implied_rate(underlying: Column, tokens: Column) -> Column:
-    """underlying / tokens with 18 decimals; wider operands divide as doubles."""
+    """underlying / tokens with 18 decimals, rounded half up; NULL for no tokens, or a rate of more than 20 digits.
+
+    Operands of up to 20 digits divide as decimals. A division of wider ones goes by
+    steps, to the same 18 decimals: the whole quotient, then six times three
+    decimals of what remains, each step within 38 digits because a remainder is
+    less than the divisor. Of a divisor of more than 35 digits both operands lose their last
+    three, which moves the rate by less than one part in ten to the 31st.
+    """
     u, t = underlying.try_cast("decimal(38,0)"), tokens.try_cast("decimal(38,0)")
-    narrow = F.try_divide(u.try_cast("decimal(20,0)"), t.try_cast("decimal(20,0)"))
-    wide = F.try_divide(u.cast("double"), t.cast("double")).try_cast("decimal(38,18)")
-    return F.when(t > 0, F.coalesce(narrow.cast("decimal(38,18)"), wide))
+    narrow = F.try_divide(u.try_cast("decimal(20,0)"), t.try_cast("decimal(20,0)")).cast("decimal(38,18)")
+    return F.when(t > 0, F.coalesce(narrow, _long_division(u, t)))
 
 
 def decode_actions(
@@ -221,11 +259,13 @@ def entry_type(key_decoded: Column) -> Column:
 
 
 def entries_of(df: DataFrame, kind: str, include_deleted: bool = False) -> DataFrame:
-    """Entries of one kind, with the address from their key as ``key_address``."""
+    """Entries of one kind, with the address from their key as ``key_address`` (a column of stored logs)."""
     stored = "entry_type" in df.columns
     df = df.filter((F.col("entry_type") if stored else F.get_json_object("key_decoded", "$.vec[0].symbol")) == kind)
     if not include_deleted:
         df = df.filter(~F.col("deleted"))
+    if "key_address" in df.columns:
+        return df
     return df.withColumn("key_address", json_scalar(F.col("key_decoded"), "$.vec[1].address"))
 
 

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..constants import SRC_BACKFILL, SRC_STREAM
 from ..functions.timewindow import ledger_range, optional_window
 from ..operators.dedup import dedup_first
-from ..operators.validate import ACTION_RULES, BACKSTOP_RULES, numeric_text, validate
+from ..operators.validate import ACTION_RULES, BACKSTOP_RULES, numeric_text, typed_text, validate
 from . import decode
 
 _ACTION_NUMBERS = ("amount_underlying", "amount_tokens", "liquidation_percent", "bid_amount", "lot_amount")
@@ -53,13 +54,13 @@ def _preview(rows: DataFrame, limit: int | None) -> DataFrame:
 
 def typed_actions(rows: DataFrame, src: str = SRC_BACKFILL) -> tuple[DataFrame, DataFrame]:
     """Decoded texts → ``(rows of parsed_events, rejects)``; too wide numbers are rejected."""
-    rules = ACTION_RULES() + [numeric_text(c) for c in _ACTION_NUMBERS]
+    rules = ACTION_RULES() + [numeric_text(c) for c in _ACTION_NUMBERS] + [typed_text("auction_type", T.IntegerType())]
     valid, rejects = validate(rows, rules)
     return schemas.conform(valid.withColumn("src", F.lit(src)), schemas.PARSED_EVENTS), rejects
 
 
 def typed_backstop(rows: DataFrame, src: str = SRC_BACKFILL) -> tuple[DataFrame, DataFrame]:
-    rules = BACKSTOP_RULES() + [numeric_text(c) for c in _BACKSTOP_NUMBERS]
+    rules = BACKSTOP_RULES() + [numeric_text(c) for c in _BACKSTOP_NUMBERS] + [typed_text("q4w_exp", T.LongType())]
     valid, rejects = validate(rows, rules)
     return schemas.conform(valid.withColumn("src", F.lit(src)), schemas.BACKSTOP_EVENTS), rejects
 

@@ -29,6 +29,8 @@ def _window(state: DataFrame, opts: dict) -> DataFrame:
 
 def _changes(state: DataFrame, opts: dict, mode: str) -> DataFrame:
     rows = ledger_range(_window(state, opts), opts.get("start_ledger"), opts.get("end_ledger"))
+    if opts.get("user") and "key_address" in rows.columns:
+        rows = rows.filter(F.col("key_address") == opts["user"])  # a stored column, so it reaches the scan
     rows = decode.decode_positions(rows, mode)
     if opts.get("user"):
         rows = rows.filter(F.col("user_address") == opts["user"])

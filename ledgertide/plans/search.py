@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import AUCTION_ACTIONS, LEDGERS_PER_DAY
+from ..sources.ledger import scan_events
 from .decode import with_action
 
 
@@ -31,6 +32,15 @@ def topic_window_search(
     return hits.unionByName(instead)
 
 
+def search_log(
+    spark: SparkSession, path: str, action: str = "bad_debt", n_ledgers: int = LEDGERS_PER_DAY,
+    fallback: Sequence[str] = AUCTION_ACTIONS, contract: str | None = None,
+) -> DataFrame:
+    """:func:`topic_window_search` over a stored log, of which only the days of these ledgers are read."""
+    recent = scan_events(spark, path, newest=n_ledgers)
+    return topic_window_search(recent, action, n_ledgers, fallback, contract)
+
+
 def contains_bytes(encoded: Column, needle: bytes) -> Column:
     """Whether base64-encoded content holds a byte sequence."""
     return F.coalesce(F.contains(F.unbase64(encoded), F.lit(bytearray(needle))), F.lit(False))

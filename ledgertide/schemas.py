@@ -29,7 +29,7 @@ CONTRACT_EVENTS = _struct(
 )
 # As stored by sources.bronze: the filter columns beside the JSON, partitioned by day.
 STORED_CONTRACT_DATA = T.StructType([
-    *CONTRACT_DATA.fields, T.StructField("entry_type", _S), T.StructField("date", _D)])
+    *CONTRACT_DATA.fields, T.StructField("entry_type", _S), T.StructField("key_address", _S), T.StructField("date", _D)])
 STORED_CONTRACT_EVENTS = T.StructType([
     *CONTRACT_EVENTS.fields, T.StructField("action_type", _S), T.StructField("date", _D)])
 STREAM_EVENTS = _struct(

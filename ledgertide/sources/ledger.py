@@ -10,27 +10,38 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.timewindow import date_window, ledger_range
+from . import bronze
 
 
 def scan_state(
     spark: SparkSession, path: str, contracts: Sequence[str] | None = None, start=None, end=None,
-    first_ledger: int | None = None, last_ledger: int | None = None, **window,
+    first_ledger: int | None = None, last_ledger: int | None = None, newest: int | None = None, **window,
 ) -> DataFrame:
-    """Contract-state change log; contract, time and ledger bounds reach the scan."""
-    return _bounded(spark.read.schema(schemas.STORED_CONTRACT_DATA).parquet(path), contracts, start, end,
-                    first_ledger, last_ledger, window)
+    """Contract-state change log; contract, time and ledger bounds reach the scan.
+
+    A range of ledgers becomes a range of days by the log's ledger table.
+    ``newest`` asks for the ledgers from the newest one less ``newest``.
+    """
+    return _bounded(spark.read.schema(schemas.STORED_CONTRACT_DATA).parquet(path), path, contracts, start, end,
+                    first_ledger, last_ledger, newest, window)
 
 
 def scan_events(
     spark: SparkSession, path: str, contracts: Sequence[str] | None = None, start=None, end=None,
-    first_ledger: int | None = None, last_ledger: int | None = None, **window,
+    first_ledger: int | None = None, last_ledger: int | None = None, newest: int | None = None, **window,
 ) -> DataFrame:
     """Contract-event log with the same pushed-down bounds."""
-    return _bounded(spark.read.schema(schemas.STORED_CONTRACT_EVENTS).parquet(path), contracts, start, end,
-                    first_ledger, last_ledger, window)
+    return _bounded(spark.read.schema(schemas.STORED_CONTRACT_EVENTS).parquet(path), path, contracts, start, end,
+                    first_ledger, last_ledger, newest, window)
 
 
-def _bounded(df, contracts, start, end, first_ledger, last_ledger, window) -> DataFrame:
+def _bounded(df, path, contracts, start, end, first_ledger, last_ledger, newest, window) -> DataFrame:
+    if newest is not None:
+        at = bronze.newest_ledger(df.sparkSession, path)
+        if at is None:  # no ledger table, or nothing in it
+            at = df.agg(F.max("ledger_sequence")).first()[0]
+        first_ledger = max(first_ledger or 0, (at or 0) - newest)
+    df = bronze.in_days_of(df, path, first_ledger, last_ledger)
     if contracts is not None:
         df = df.filter(F.col("contract_id").isin(list(contracts)))
     if start is not None or end is not None or window:

@@ -1,5 +1,6 @@
 """Values at the edge of their types are kept, or told apart from missing ones."""
 
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -47,3 +48,37 @@ def test_a_bad_close_time_does_not_end_the_batch(spark):
     df = spark.createDataFrame(payload, f"events array<{event}>, timestamp string, network string")
     entries, _ = split_state_batches(df)
     assert sorted(r.closed_at is None for r in entries.collect()) == [False, True]
+
+
+def test_rates_of_any_width_are_exact(spark):
+    from decimal import ROUND_HALF_UP, localcontext
+
+    from ledgertide.plans.decode import implied_rate
+
+    rng = random.Random(4)
+    pairs = [("1000000000000000000000000057", "1000000000000000000000000000"), ("1" + "0" * 24 + "7", "3" + "0" * 24),
+             ("-5", "3"), ("2", "3"), ("0", "7"), ("9" * 20, "1"), ("1", "9" * 38), ("9" * 38, "9" * 38), ("5", "1" + "0" * 19),
+             ("999999999999999999999", "1000000000000000000000")]
+    pairs += [(str(rng.randrange(10 ** rng.randrange(1, 39))), str(rng.randrange(1, 10 ** rng.randrange(1, 39)))) for _ in range(300)]
+    rows = spark.createDataFrame(pairs + [("1", "0"), ("x", "1"), (None, "1"), ("9" * 38, "1")], "u string, t string")
+    got = [r[0] for r in rows.select(implied_rate(F.col("u"), F.col("t"))).collect()]
+    with localcontext() as c:
+        c.prec = 100
+        for (u, t), rate in zip(pairs, got, strict=False):
+            want = (Decimal(u) / Decimal(t)).quantize(Decimal("1e-18"), ROUND_HALF_UP)
+            assert rate == want if abs(want) < Decimal(10) ** 20 else rate is None, (u, t)
+    assert got[-4:] == [None] * 4
+
+
+def test_numbers_too_wide_for_their_column_are_rejected(spark):
+    from ledgertide.plans.events import typed_actions, typed_backstop
+
+    base = spark.range(1).selectExpr("'i' AS id", "'deposit' AS action_type", "'p' AS pool_id", "CAST(NULL AS STRING) AS lp_tokens",
+                                     "CAST(NULL AS STRING) AS shares", "CAST(NULL AS STRING) AS emissions_amount",
+                                     "CAST(NULL AS STRING) AS emissions_shares", *[f"CAST(NULL AS STRING) AS {c}" for c in (
+                                         "amount_underlying", "amount_tokens", "liquidation_percent", "bid_amount", "lot_amount")])
+    for text, kept in (("18446744073709551615", False), ("9223372036854775807", True), (None, True)):
+        good, bad = typed_backstop(base.withColumn("q4w_exp", F.lit(text)))
+        assert [r.q4w_exp for r in good.collect()] == ([text and int(text)] if kept else []) and bad.count() == (not kept)
+    good, bad = typed_actions(base.withColumn("auction_type", F.lit("4294967295")))
+    assert good.count() == 0 and "auction_type" in bad.first().reject_reason
