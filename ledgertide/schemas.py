@@ -125,6 +125,7 @@ TABLE_PARTITIONS = {
     "backstop_pool_snapshots": "snapshot_date",
     "daily_token_prices": "price_date",
     "daily_emission_apy": "rate_date",
+    "pending_positions": "snapshot_date",
 }
 
 

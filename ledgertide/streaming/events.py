@@ -11,7 +11,7 @@ from ..constants import SRC_STREAM
 from ..plans import decode
 from ..plans.events import typed_actions, typed_backstop
 from ..sources.ledger import normalise_close_time
-from .tables import TableStore, start
+from .tables import TableStore, fingerprint, start
 
 _STREAM_COLUMNS = {"topics": "topics", "data": "data", "closed_at": "ledger_closed_at"}
 
@@ -44,7 +44,7 @@ def event_batch_handler(store: TableStore, pools: Sequence[str] | None, backstop
                 "events_received", F.lit(a["inserted"]).alias("actions_inserted"),
                 F.lit(a["updated"]).alias("actions_updated"), F.lit(b["inserted"]).alias("backstop_inserted"),
                 F.lit(b["updated"]).alias("backstop_updated"))
-            store.write_batch("metrics", batch_id, counters)
+            store.write_batch("metrics", batch_id, counters, fingerprint(batch))
         finally:
             for held in (lending, backstop, batch):
                 held.unpersist()

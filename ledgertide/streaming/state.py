@@ -2,11 +2,16 @@
 
 The three phases run in this order inside every micro-batch, because positions
 need the mapping and the rates of the same batch.  Each phase is a keyed write,
-so a replayed batch leaves the tables as they are.
+so a replayed batch leaves the tables as they are, and its counters.
+
+A position whose reserve has no mapping yet is kept (``pending_positions``) and
+tried again in every later batch, until its configuration arrives.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +19,7 @@ from ..operators.asof import asof_join
 from ..operators.dedup import dedup_last, latest_per
 from ..plans import decode
 from ..sources.ledger import split_state_batches
-from .tables import TableStore, start
+from .tables import TableStore, fingerprint, start
 
 
 def current_mapping(config_state: DataFrame) -> DataFrame:
@@ -31,19 +36,48 @@ def current_mapping(config_state: DataFrame) -> DataFrame:
     return latest_per(live, ["pool_id", "reserve_index"], ["ledger_sequence", "asset_address"], ["asset_address"])
 
 
-def enrich_positions(entries: DataFrame, mapping: DataFrame, snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Position entries → ``(rows with asset and rates, rejects)``."""
-    held = decode.decode_positions(entries, mode="key")
+def split_mapped(held: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decoded positions → ``(rows with their asset, rows whose index has none)``."""
     mapped = held.join(mapping, ["pool_id", "reserve_index"], "left")
-    rejects = mapped.filter(F.col("asset_address").isNull()).select(
+    return mapped.filter(F.col("asset_address").isNotNull()), mapped.filter(F.col("asset_address").isNull()).drop("asset_address")
+
+
+def unmapped_rejects(unmapped: DataFrame) -> DataFrame:
+    return unmapped.select(
         F.concat(F.lit("no asset mapping for reserve index "), F.col("reserve_index").cast("string"))
         .alias("reject_reason"), "pool_id", "user_address", "ledger_sequence")
-    known = decode.with_position_amounts(mapped.filter(F.col("asset_address").isNotNull()).drop("reserve_index"))
-    known = known.withColumn("snapshot_date", F.to_date("snapshot_timestamp"))
-    rates = snapshots.select("pool_id", "asset_address", F.col("ledger_sequence").alias("_rate_ledger"),
-                             "b_rate", "d_rate")
-    return asof_join(known, rates, ["pool_id", "asset_address"], "ledger_sequence", "_rate_ledger",
-                     ["b_rate", "d_rate"]), rejects
+
+
+_RESERVE, _RATES = ["pool_id", "asset_address"], ["b_rate", "d_rate"]
+
+
+def with_rates(store: TableStore, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(positions with the rates valid at their ledger, frame to unpersist)``.
+
+    A position at or after its reserve's newest rate takes that rate, from a table
+    of one row per reserve. Only for earlier ones are stored snapshots read: those
+    of their days, then of ever more days before, until each has found a rate or
+    no older day is left.
+    """
+    store.rebuild_current_rates()
+    current = store.read("current_rates").select(*_RESERVE, F.col("ledger_sequence").alias("_newest"),
+                                                 *[F.col(c).alias(f"_{c}") for c in _RATES])
+    tagged = known.join(current, _RESERVE, "left").persist()
+    is_late = F.coalesce(F.col("ledger_sequence") < F.col("_newest"), F.lit(False))
+    fresh = tagged.filter(~is_late).select(*known.columns, *[F.col(f"_{c}").alias(c) for c in _RATES])
+    late = tagged.filter(is_late).select(*known.columns)
+    low, high = late.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    if low is None:
+        return fresh, tagged
+    snapshots = store.read("pool_snapshots")
+    oldest, back = snapshots.agg(F.min("snapshot_date")).first()[0], 1
+    while True:
+        rates = snapshots.filter(F.col("snapshot_date").between(F.lit(low), F.lit(high))).select(
+            *_RESERVE, F.col("ledger_sequence").alias("_rate_ledger"), *_RATES, F.lit(True).alias("_found"))
+        rated = asof_join(late, rates, _RESERVE, "ledger_sequence", "_rate_ledger", [*_RATES, "_found"])
+        if oldest is None or low <= oldest or rated.filter(F.col("_found").isNull()).isEmpty():
+            return fresh.unionByName(rated.drop("_found")), tagged
+        low, back = max(oldest, low - dt.timedelta(days=back)), back * 4
 
 
 def unreadable(entries: DataFrame) -> DataFrame:
@@ -76,10 +110,19 @@ def state_batch_handler(store: TableStore):
             pools = store.upsert("pool_snapshots", last, guard="ledger_sequence")
 
             mapping = current_mapping(store.read("reserve_config_state"))
-            positions, unmapped = enrich_positions(readable, mapping, store.read("pool_snapshots"))
+            held = decode.decode_positions(readable, mode="key").withColumn("snapshot_date", F.to_date("snapshot_timestamp"))
+            waiting = store.read("pending_positions").filter(~F.col("resolved")).drop("resolved")
+            known, unmapped = split_mapped(held, mapping)
+            freed, _ = split_mapped(waiting, mapping)
+            found = decode.with_position_amounts(known.unionByName(freed).drop("reserve_index"))
+            positions, tagged = with_rates(store, found)
             users = store.upsert("user_positions", positions, order_cols=("snapshot_timestamp", "entry_hash"))
+            tagged.unpersist()
+            # After the positions: a batch that stops in between tries the waiting ones again.
+            store.upsert("pending_positions", unmapped.withColumn("resolved", F.lit(False)).unionByName(
+                freed.drop("asset_address").withColumn("resolved", F.lit(True))), order_cols=("resolved",))
 
-            rejects = unmapped.unionByName(unreadable(entries)).unionByName(
+            rejects = unmapped_rejects(unmapped).unionByName(unreadable(entries)).unionByName(
                 malformed.select("reject_reason"), allowMissingColumns=True)
             store.write_batch("state_rejects", batch_id, rejects)
             kind = decode.entry_type(F.col("key_decoded"))
@@ -92,7 +135,7 @@ def state_batch_handler(store: TableStore):
                 "pools_inserted": F.lit(pools["inserted"]), "pools_updated": F.lit(pools["updated"]),
                 "positions_inserted": F.lit(users["inserted"]), "positions_updated": F.lit(users["updated"]),
             })
-            store.write_batch("state_metrics", batch_id, counters)
+            store.write_batch("state_metrics", batch_id, counters, fingerprint(payloads))
         finally:
             payloads.unpersist()
 

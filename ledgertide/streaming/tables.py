@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.coverage import COVERAGE
-from ..operators.upsert import read_table, upsert
+from ..operators.dedup import latest_per
+from ..operators.upsert import read_table, table_exists, upsert
 
 
 @dataclass(frozen=True)
@@ -40,10 +41,28 @@ class TableStore:
 
     def upsert(self, name: str, rows: DataFrame, order_cols=("ledger_sequence",), guard: str | None = None,
                key_fixes_partition: bool = True) -> dict[str, int]:
-        """Upsert by the table's key."""
+        """Upsert by the table's key. Writing pool snapshots keeps the current rates up with them."""
+        if name == "pool_snapshots":
+            self.rebuild_current_rates()  # of a store that is older than that table
         part = schemas.TABLE_PARTITIONS.get(name)
-        return upsert(self.spark, self.path(name), self.prepared(name, rows), self.schema(name), self.keys(name), order_cols,
+        done = upsert(self.spark, self.path(name), self.prepared(name, rows), self.schema(name), self.keys(name), order_cols,
                       part, key_fixes_partition, guard, self.buckets if part else 1)
+        if name == "pool_snapshots":
+            self._raise_current_rates(rows)
+        return done
+
+    def rebuild_current_rates(self) -> None:
+        """Derive the current rates from all snapshots, where there are snapshots but no such table."""
+        if self.exists("pool_snapshots") and not self.exists("current_rates"):
+            self._raise_current_rates(self.read("pool_snapshots"))
+
+    def _raise_current_rates(self, snapshots: DataFrame) -> None:
+        values = ["ledger_sequence", "b_rate", "d_rate"]
+        newest = latest_per(snapshots, ["pool_id", "asset_address"], values, values)
+        self.upsert("current_rates", newest, guard="ledger_sequence")
+
+    def exists(self, name: str) -> bool:
+        return table_exists(self.spark, self.path(name))
 
     def keys(self, name: str) -> list[str]:
         return _EXTRA_KEYS.get(name) or schemas.TABLE_KEYS[name]
@@ -58,9 +77,20 @@ class TableStore:
         """Add rows to a table without a key."""
         schemas.conform(rows, self.schema(name)).write.mode("append").parquet(self.path(name))
 
-    def write_batch(self, name: str, batch_id: int, rows: DataFrame) -> None:
-        """Rows of one micro-batch in their own directory: a replay replaces them."""
-        rows.write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch_id}")
+    def write_batch(self, name: str, batch_id: int, rows: DataFrame, content: str | None = None) -> None:
+        """Rows of one micro-batch in their own directory, which another batch of that number replaces.
+
+        With ``content``, a fingerprint of the batch, a replay of the same batch
+        leaves what is there: it would count its inserts as updates.
+        """
+        path = f"{self.path(name)}/batch_id={batch_id}"
+        if content is not None:
+            rows = rows.withColumn("batch_content", F.lit(content))
+            if table_exists(self.spark, path):
+                held = self.spark.read.schema("batch_content string").parquet(path).first()
+                if held is not None and held.batch_content == content:
+                    return
+        rows.write.mode("overwrite").parquet(path)
 
     def read_batches(self, name: str) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(self.path(name))
@@ -72,8 +102,24 @@ RESERVE_CONFIG_STATE = T.StructType([
     T.StructField("reserve_index", T.LongType()), T.StructField("ledger_sequence", T.LongType()),
     T.StructField("deleted", T.BooleanType()),
 ])
-_EXTRA = {"reserve_config_state": RESERVE_CONFIG_STATE, "coverage": COVERAGE}
-_EXTRA_KEYS = {"reserve_config_state": ["pool_id", "asset_address", "reserve_index"]}
+# The newest rate of each reserve: all that a position of the newest ledgers needs.
+CURRENT_RATES = schemas._struct(pool_id=schemas._S, asset_address=schemas._S, ledger_sequence=schemas._L,
+                                b_rate=schemas.RATE, d_rate=schemas.RATE)
+# Decoded positions whose reserve has no mapping yet; ``resolved`` once they are stored.
+PENDING_POSITIONS = schemas._struct(
+    pool_id=schemas._S, user_address=schemas._S, snapshot_timestamp=schemas._TS, ledger_sequence=schemas._L, entry_hash=schemas._S,
+    ledger_entry_change=schemas._L, reserve_index=schemas._L, supply_raw=schemas._S, collateral_raw=schemas._S,
+    liabilities_raw=schemas._S, snapshot_date=schemas._D, resolved=schemas._B)
+_EXTRA = {"reserve_config_state": RESERVE_CONFIG_STATE, "coverage": COVERAGE, "current_rates": CURRENT_RATES,
+          "pending_positions": PENDING_POSITIONS}
+_EXTRA_KEYS = {"reserve_config_state": ["pool_id", "asset_address", "reserve_index"], "current_rates": ["pool_id", "asset_address"],
+               "pending_positions": ["pool_id", "user_address", "reserve_index", "ledger_sequence"]}
+
+
+def fingerprint(batch: DataFrame) -> str:
+    """What a micro-batch holds, whatever the order of its rows."""
+    row = batch.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("h")).first()
+    return f"{row.n}:{row.h}"
 
 
 def start(stream: DataFrame, handler, checkpoint: str, available_now: bool, processing_time: str | None = None):

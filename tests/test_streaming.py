@@ -149,3 +149,78 @@ def test_all_reserves_of_a_position_are_kept(spark, tmp_path):
         change("Positions", s.USER, s.positions({0: 1}, {1: 2}, {2: 3}), 9)])
     run_state(spark, tmp_path, store)
     assert sorted(r["asset_address"] for r in store.read("user_positions").collect()) == ["C0", "C1", "C2"]
+
+
+def held(store):
+    return {(r["asset_address"], r["ledger_sequence"]): (r["b_rate"] and float(r["b_rate"]), float(r["collateral_btokens"]))
+            for r in store.read("user_positions").collect()}
+
+
+def test_a_position_waits_for_its_mapping(spark, tmp_path):
+    posts, store = tmp_path / "posts", TableStore(spark, str(tmp_path / "tables"))
+    post(posts, "a", [change("ResData", "CA", s.reserve(11 * 10**11, 10**12), 5), change("ResConfig", "CA", s.config(0), 6),
+                      change("Positions", s.USER, s.positions({0: 10_000_000, 1: 20_000_000}, {}, {}), 12)])
+    run_state(spark, tmp_path, store)
+    assert held(store) == {("CA", 12): (1.1, 1.0)}
+    assert [(r.reserve_index, r.resolved) for r in store.read("pending_positions").collect()] == [(1, False)]
+    # The mapping lands a batch later, with a rate before the position and one after it.
+    post(posts, "b", [change("ResConfig", "CB", s.config(1), 30), change("ResData", "CB", s.reserve(13 * 10**11, 10**12), 9, at="2025-04-20T01:00:00Z"),
+                      change("ResData", "CB", s.reserve(15 * 10**11, 10**12), 31, at="2025-05-03T01:00:00Z")])
+    run_state(spark, tmp_path, store)
+    assert held(store) == {("CA", 12): (1.1, 1.0), ("CB", 12): (1.3, 2.0)}
+    assert [r.resolved for r in store.read("pending_positions").collect()] == [True]
+
+
+def test_a_replay_keeps_counters_and_tables(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    post(tmp_path / "posts", "a", [change("ResConfig", "CA", s.config(0), 1), change("ResData", "CA", s.reserve(10**12, 10**12), 2),
+                                   change("Positions", s.USER, s.positions({0: 5}, {}, {3: 1}), 3)])
+    run_state(spark, tmp_path, store)
+    tables = ("state_metrics", "state_rejects")
+    before = [sorted(map(str, store.read_batches(t).collect())) for t in tables], held(store), store.read("pending_positions").collect()
+    payloads = spark.read.schema(schemas.STATE_BATCH).option("multiLine", False).json(str(tmp_path / "posts"))
+    state_stream.state_batch_handler(store)(payloads, 0)
+    assert ([sorted(map(str, store.read_batches(t).collect())) for t in tables], held(store), store.read("pending_positions").collect()) == before
+    assert store.read_batches("state_metrics").first()["positions_inserted"] == 1
+
+
+def test_on_time_positions_read_no_history(spark, tmp_path, monkeypatch):
+    posts, store = tmp_path / "posts", TableStore(spark, str(tmp_path / "tables"))
+    post(posts, "a", [change("ResConfig", "CA", s.config(0), 1)] + [
+        change("ResData", "CA", s.reserve((10 + i) * 10**11, 10**12), 100 * i, at=f"2025-04-{i:02d}T12:00:00Z") for i in range(1, 20)])
+    run_state(spark, tmp_path, store)
+    read, whole = [], TableStore.read
+
+    def spy(self, name):
+        read.append(name)
+        return whole(self, name)
+
+    monkeypatch.setattr(TableStore, "read", spy)
+    post(posts, "b", [change("Positions", s.USER, s.positions({0: 10_000_000}, {}, {}), 1950, at="2025-04-19T13:00:00Z")])
+    run_state(spark, tmp_path, store)
+    assert "pool_snapshots" not in read and held(store) == {("CA", 1950): (2.9, 1.0)}
+    # Late ones: inside a day, before the first rate, and long after a rate with nothing in between.
+    post(posts, "c", [change("Positions", s.USER, s.positions({0: 10_000_000}, {}, {}), n, at=at) for n, at in (
+        (850, "2025-04-08T20:00:00Z"), (50, "2025-03-01T00:00:00Z"), (899, "2025-04-09T01:00:00Z"))])
+    run_state(spark, tmp_path, store)
+    assert held(store) == {("CA", 1950): (2.9, 1.0), ("CA", 850): (1.8, 1.0), ("CA", 50): (None, 1.0), ("CA", 899): (1.8, 1.0)}
+
+
+def test_indices_beyond_int_are_kept_apart(spark, tmp_path):
+    posts, store = tmp_path / "posts", TableStore(spark, str(tmp_path / "tables"))
+    post(posts, "a", [change("ResConfig", "CA", s.config(2**31 + 5), 1), change("ResConfig", "CB", s.config(2**31 + 6), 2)])
+    run_state(spark, tmp_path, store)
+    mapping = state_stream.current_mapping(store.read("reserve_config_state")).collect()
+    assert sorted((r["reserve_index"], r["asset_address"]) for r in mapping) == [(2**31 + 5, "CA"), (2**31 + 6, "CB")]
+
+
+def test_a_start_at_the_end_is_remembered_over_a_restart(spark, tmp_path):
+    lending, _, _ = raw_rows()
+    landed, store, cp = str(tmp_path / "in"), TableStore(spark, str(tmp_path / "tables")), str(tmp_path / "cp")
+    options = {"start_at": "latest", "remember": str(tmp_path / "first-ledger")}
+    stream_rows(spark, lending[:3]).coalesce(1).write.parquet(landed)
+    run(spark, landed, store, cp, **options)
+    assert ids(store, "parsed_events") == []
+    stream_rows(spark, lending[3:9]).coalesce(1).write.mode("append").parquet(landed)
+    run(spark, landed, store, cp, **options)  # a restart: what landed in between is not passed over
+    assert len(ids(store, "parsed_events")) == 6
