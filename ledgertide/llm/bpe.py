@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import chunks
-from .common import Memo, map_batches, text_or_empty
+from .common import Memo, carried, carried_and, map_batches, released, text_or_empty
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 KEYS_PER_BUCKET = 4
 TRIES = ((0, 64), (64, 1024), (1024, 32768))
 PRIME = 2**31 - 1
+SLICE_ROWS = 512
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -174,25 +175,30 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def encode(df: DataFrame, text: str = "text", ranks: str | None = None, pattern: str = public_tokenizers.PATTERN,
-           out: str = "ids") -> DataFrame:
+           out: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add ``out``: each text's token ids as little-endian unsigned 32-bit integers (binary).
 
-    A null text counts as empty and has no ids. Every row of the input gives
-    one row, in place, with all its other columns; an existing column named
-    ``out`` is replaced. Repeated rows are encoded alike.
+    With ``decoded`` also that column: the bytes that these ids decode to, made
+    in the same pass. A null text counts as empty and has no ids. Every row of
+    the input gives one row, in place, with all its other columns; existing
+    columns of the new ones' names are replaced. Repeated rows are encoded alike.
     """
     path = ranks or public_tokenizers.path(DEFAULT_RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path, pattern)
-        for batch in batches:
-            ids = pa.array([code.encode(t) for t in batch.column("__text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*batch.schema.names[:-1], out])
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
+            made = [[code.encode(t) for t in batch.column("__text").to_pylist()]]
+            if decoded:
+                made.append([code.decode(x) for x in made[0]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in made)],
+                                             names=["carried", out, *([decoded] if decoded else [])])
 
-    kept = [c for c in df.columns if c != out]
-    prepared = df.select(*[F.col(f"`{c}`") for c in kept], text_or_empty(text).alias("__text"))
-    fields = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [f"`{out}` binary"])
-    return map_batches(prepared, run, fields)
+    new = (out, decoded) if decoded else (out,)
+    names, texts = carried(df, text=text)
+    prepared = texts.select("carried", text_or_empty("text").alias("__text"))
+    fields = carried_and(prepared, ", ".join(f"`{c}` binary" for c in new))
+    return released(map_batches(prepared, run, fields), names, new)
 
 
 def decode(df: DataFrame, ids: str = "ids", ranks: str | None = None, pattern: str = public_tokenizers.PATTERN,
@@ -215,7 +221,7 @@ def decode(df: DataFrame, ids: str = "ids", ranks: str | None = None, pattern: s
 
 def op1_byte_bpe(documents: DataFrame) -> DataFrame:
     """Digests of every document's ids and of what they decode to."""
-    coded = decode(encode(documents.select("doc_id", "text")).drop("text"))
+    coded = encode(documents.select("doc_id", "text"), decoded="decoded")
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

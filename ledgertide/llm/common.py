@@ -12,8 +12,9 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 200_000
 MEMO_KEY_CHARS = 64
 
 
@@ -38,18 +39,45 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, name: str = "__row") -> DataFrame:
-    """``df`` with an identity for each row that is the same whenever the frame is read again.
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns ``c0``, ``c1``, … and ``row``: an identity of each row that is the same whenever the frame is read again.
 
-    Rows read straight from files are known by file and place. Any other frame
-    is written to the shared folder first, because row numbers that Spark gives
-    while computing depend on how the work happens to be split.
+    Rows of a bare scan of files are known by file and place. Any other frame
+    (there several rows may come from one place in a file) is written to the
+    shared folder first, because row numbers that Spark gives while computing
+    depend on how the work happens to be split.
     """
-    try:
-        meta = df.select("*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(name))
-        return meta if meta.schema else df
-    except AnalysisException:
-        return stored(df.withColumn(name, F.struct(F.lit("").alias("file_path"), F.monotonically_increasing_id().alias("row_index"))), "numbered")
+    place = ("file_path", "row_index")
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            row = F.struct(*[F.col(f"_metadata.{c}").alias(c) for c in place])
+            return df.select("*", row).toDF(*positional(df)[1].columns, "row")
+        except AnalysisException:  # no files, or a column of that name
+            pass
+    row = F.struct(F.lit("").alias(place[0]), F.monotonically_increasing_id().alias(place[1]))
+    return stored(positional(df)[1].withColumn("row", row), "numbered")
+
+
+def carried(df: DataFrame, **roles: str) -> tuple[list[str], DataFrame]:
+    """Column names, and a frame of ``roles`` (name here: name in ``df``) and of all columns as one struct ``carried``.
+
+    Whatever the columns of ``df`` are called, they can't clash with what an
+    operator adds; :func:`released` gives them back.
+    """
+    names, inner = positional(df)
+    whole = F.struct(*inner.columns)
+    return names, inner.select(whole.alias("carried"), *[F.col(f"c{names.index(c)}").alias(r) for r, c in roles.items()])
+
+
+def carried_and(df: DataFrame, fields: str) -> StructType:
+    """Schema of what an Arrow function makes of :func:`carried` rows: the struct as it is, and ``fields``."""
+    return StructType([df.schema["carried"], *StructType.fromDDL(fields).fields])
+
+
+def released(df: DataFrame, names: list[str], new: tuple[str, ...]) -> DataFrame:
+    """The carried columns, without those that ``new`` ones replace, and the new ones."""
+    kept = [i for i, n in enumerate(names) if n not in new]
+    return df.select(*[F.col(f"carried.c{i}") for i in kept], *new).toDF(*[names[i] for i in kept], *new)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 4000) -> None:
@@ -88,28 +116,14 @@ def block_count(nbytes: int, block_bytes: int) -> int:
 
 
 class Memo(dict):
-    """``make(key)`` with the latest results of short keys kept; starts afresh when full, so memory is bounded."""
-
-    def __init__(self, make: Callable, entries: int = MEMO_ENTRIES, key_chars: int = MEMO_KEY_CHARS):
-        super().__init__()
-        self.make, self.entries, self.key_chars = make, entries, key_chars
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= self.key_chars:
-            if len(self) >= self.entries:
-                self.clear()
-            self[key] = value
-        return value
-
+    """``make(key)`` with the latest results of short keys kept.
 
-class AgedMemo(dict):
-    """As ``Memo``, but a full memo becomes the old one, whose entries come back when they are asked for again.
-
-    At most ``2 * entries`` results are held, and keys in steady use are never made anew.
+    A full memo becomes the old one, whose entries come back when they are asked
+    for again: at most ``2 * entries`` results are held, and keys in steady use
+    are not made anew.
     """
 
-    def __init__(self, make: Callable, entries: int, key_chars: int = MEMO_KEY_CHARS):
+    def __init__(self, make: Callable, entries: int = MEMO_ENTRIES, key_chars: int = MEMO_KEY_CHARS):
         super().__init__()
         self.make, self.entries, self.key_chars, self.old = make, entries, key_chars, {}
 
@@ -150,7 +164,7 @@ def library_on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     bounded_batches(df.sparkSession)
     library_on_workers(df.sparkSession)
     return df.mapInArrow(fn, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .bpe import merge_bytes
 from .chunks import chunks
-from .common import Memo, map_batches, text_or_empty
+from .common import Memo, carried, carried_and, map_batches, released, text_or_empty
 from .library import byte_symbols
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
@@ -187,11 +187,10 @@ def count_tokens(df: DataFrame, text: str = "text", tokenizer: str | None = None
                        pa.array([k > limit for k in n], pa.bool_()), pa.array(fit, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *new])
 
-    kept = [c for c in df.columns if c not in new]
-    prepared = df.select(*[F.col(f"`{c}`") for c in kept], text_or_empty(text).alias("__text"))
-    fields = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
-                       + ["n_bytes bigint", "n_tokens bigint", "over_limit boolean", "fit_chars bigint"])
-    return map_batches(prepared, run, fields)
+    names, texts = carried(df, text=text)
+    prepared = texts.select("carried", text_or_empty("text").alias("__text"))
+    fields = carried_and(prepared, "n_bytes bigint, n_tokens bigint, over_limit boolean, fit_chars bigint")
+    return released(map_batches(prepared, run, fields), names, new)
 
 
 def op7_prefix_counts(documents: DataFrame) -> DataFrame:

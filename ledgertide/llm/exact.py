@@ -102,9 +102,10 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bloc
 
 def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns: one of each group of equal texts."""
-    rows = numbered(df)
-    gone = exact_groups(rows, doc_id, text, row=F.col("__row")).where("NOT kept").select(F.col("row_id").alias("__row"))
-    return rows.join(gone, "__row", "left_anti").select(df.columns)
+    rows, names = numbered(df), df.columns
+    texts = rows.select("row", F.col(f"c{names.index(doc_id)}").alias("doc_id"), F.col(f"c{names.index(text)}").alias("text"))
+    gone = exact_groups(texts, row=F.col("row")).where("NOT kept").select(F.col("row_id").alias("row"))
+    return rows.join(gone, "row", "left_anti").drop("row").toDF(*names)
 
 
 def op9_block_naming(documents: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, byte_column, map_batches
+from .common import as_bytes, byte_column, carried, carried_and, map_batches, released
 
 UNKNOWN = "und"
 HASH_BITS = 17
@@ -233,11 +233,10 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=[*batch.schema.names[:-1], *new])
 
-    kept = [c for c in df.columns if c not in new]
-    prepared = df.select(*[F.col(f"`{c}`") for c in kept], as_bytes(text).alias("__text"))
-    fields = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
-                       + ["lang_pred string", "score double", "rejected boolean"])
-    return map_batches(prepared, run, fields)
+    names, texts = carried(df, text=text)
+    prepared = texts.select("carried", as_bytes("text").alias("__text"))
+    fields = carried_and(prepared, "lang_pred string, score double, rejected boolean")
+    return released(map_batches(prepared, run, fields), names, new)
 
 
 def op4_language_id(documents: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .chunks import words
-from .common import AgedMemo, map_batches, positional
+from .common import Memo, map_batches, positional
 from .library import byte_symbols
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
@@ -121,8 +121,8 @@ class WordCodec:
         self.special = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True))) or "(?!)")
         self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.symbols = byte_symbols()
-        self.word_memo = AgedMemo(self._encode_word, WORD_ENTRIES, KEY_CHARS)
-        self.chunk_memo = AgedMemo(self._encode_chunk, CHUNK_ENTRIES, KEY_CHARS)
+        self.word_memo = Memo(self._encode_word, WORD_ENTRIES, KEY_CHARS)
+        self.chunk_memo = Memo(self._encode_chunk, CHUNK_ENTRIES, KEY_CHARS)
 
     def ids(self, symbols: str) -> list[int]:
         """Token ids of one word, given as the characters that stand for its bytes."""
