@@ -36,13 +36,30 @@ TOLERANCE = 1e-7
 STEP = 16  # MinHash values compared at a time
 TILE = 256  # classes on either side of a tile
 SLICE = 1 << 15
+HASHED_BYTES = 1 << 20
+SKETCHED_ROWS = 512
 
 _RNG = np.random.default_rng(20240301)
 _SEEDS = _RNG.integers(1, 2**63, (2, BANDS * BAND_ROWS), dtype=np.uint64)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text, A-Z lower-cased; fewer than five words make one shingle."""
+    """Sorted distinct shingle hashes of each text, A-Z lower-cased; fewer than five words make one shingle.
+
+    Texts are taken a few at a time, because hashing holds several numbers for each of their bytes.
+    """
+    sets, at = [], 0
+    while at < len(texts):
+        stop, size = at + 1, len(texts[at])
+        while stop < len(texts) and size + len(texts[stop]) <= HASHED_BYTES:
+            size += len(texts[stop])
+            stop += 1
+        sets += _shingle_sets(texts[at:stop])
+        at = stop
+    return sets
+
+
+def _shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     words = words_of([t.lower() for t in texts])
     hashes = words.hashes()
     runs = words.runs(hashes, SHINGLE_WORDS)
@@ -168,7 +185,7 @@ def _classes(df: DataFrame, doc_id: str, text: str, threshold: float, tolerance:
              carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """The stored rows (with ``carry``) and the class of each."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, SKETCHED_ROWS) for whole in batches for at in range(0, whole.num_rows, SKETCHED_ROWS)):
             sets = shingle_sets(batch.column("text").to_pylist())
             sig = minhashes(sets)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]

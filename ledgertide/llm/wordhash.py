@@ -1,8 +1,10 @@
 """Words of many texts at once, and hashes of words and of runs of words, in numpy.
 
-A word is a run of bytes other than space and 0x09 to 0x0D. Hashes are
-polynomials modulo 2**64 over randomised bytes; equal runs of words have equal
-hashes, and callers verify or widen them where different runs must differ.
+A word is a run of bytes other than space and 0x09 to 0x0D. Its hash is a sum of
+random numbers, one for each byte at each place (tabulation), and a run's a sum
+of its words' hashes with a random factor for each place. No structure of a text
+makes sums over independent numbers meet, as it can with powers of one base. The
+two kinds of hash use numbers of their own, so together they have 128 bits.
 """
 
 from __future__ import annotations
@@ -14,10 +16,12 @@ import numpy as np
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _RNG = np.random.default_rng(20240229)
-_BYTES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64)
-_STEP = [int(x) | 1 for x in _RNG.integers(2**40, 2**63, 2, dtype=np.uint64)]
-_RUN = [int(x) | 1 for x in _RNG.integers(2**40, 2**63, 2, dtype=np.uint64)]
-_MASK = 2**64 - 1
+_PLACES = 64  # places in a word whose numbers are in a table; the others are made by mixing
+_LONGEST_RUN = 32
+_KEYS = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64)
+_PLACE_STEP = _RNG.integers(2**40, 2**63, 2, dtype=np.uint64) | np.uint64(1)
+_RUN = _RNG.integers(2**40, 2**63, (2, _LONGEST_RUN), dtype=np.uint64) | np.uint64(1)
+_TABLE = _RNG.integers(0, 2**64, (2, _PLACES, 256), dtype=np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -26,12 +30,6 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out)
-
-
 @dataclass
 class Words:
     """Words of texts in order: byte places, the text of each word, its place there."""
@@ -54,18 +52,24 @@ class Words:
         """A 64-bit hash of each word; ``kind`` 0 and 1 are independent."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        n = len(self.data)
-        sums = np.add.reduceat(_BYTES[kind][self.data] * _powers(_STEP[kind], n), np.stack([self.start, self.end], 1).ravel())[::2]
-        back = _powers(pow(_STEP[kind], -1, 2**64), n)[self.start]
-        return mixed(sums * back + (self.end - self.start).astype(np.uint64))
+        size = self.end - self.start
+        place = np.arange(len(self.data), dtype=np.int64)
+        place -= np.repeat(np.concatenate([[0], self.start]), np.diff(np.concatenate([[0], self.start, [len(self.data)]])))
+        far = np.flatnonzero(place >= _PLACES)  # in long words, and in long runs of space, which no sum takes
+        at = np.minimum(place, _PLACES - 1) << 8
+        at += self.data
+        numbers = _TABLE[kind].ravel()[at]
+        if len(far):
+            numbers[far] = mixed(mixed(place[far].astype(np.uint64) * _PLACE_STEP[kind]) + _KEYS[kind][self.data[far]])
+        sums = np.add.reduceat(numbers, np.stack([self.start, self.end], 1).ravel())[::2]
+        return mixed(sums + size.astype(np.uint64))
 
     def runs(self, hashes: np.ndarray, length: int, kind: int = 0) -> np.ndarray:
         """A hash of the ``length`` words from each word; past the end it means nothing (see ``fits``)."""
         padded = np.concatenate([hashes, np.zeros(length, np.uint64)])
-        out, factor = np.zeros(len(hashes), np.uint64), 1
+        out = np.zeros(len(hashes), np.uint64)
         for k in range(length):
-            out += padded[k:k + len(hashes)] * np.uint64(factor)
-            factor = factor * _RUN[kind] & _MASK
+            out += padded[k:k + len(hashes)] * _RUN[kind, k]
         return mixed(out)
 
 

@@ -189,3 +189,45 @@ def test_pipeline_keeps_clean_documents_and_columns(spark):
         if name != pipeline.STAGES[-1][0]:
             assert docs.columns == columns and 0.8 * before <= docs.count() <= before
     assert docs.where("length > 4096 or offset + length > 4096").isEmpty()
+
+
+def thue_morse(bits, one="a", two="b"):
+    return "".join(two if bin(i).count("1") % 2 else one for i in range(2**bits))
+
+
+def test_structured_words_do_not_collide(spark):
+    """A word over two letters and its complement: powers of one base modulo 2**64 take both for the same."""
+    word, other = thue_morse(10), thue_morse(10, "b", "a")
+    rest = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"{rest} {word} {rest}"), (2, f"{rest} {other} {rest}"), (3, word), (4, other)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring.op6_block_anchors(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    alone = jaccard.op3_jaccard_join(docs.where("doc_id > 2")).collect()
+    assert {(r.class_id, r.n_links) for r in alone} == {(3, 0), (4, 0)}
+
+
+def test_rows_made_from_one_row_are_told_apart(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(10, ["same", "only here"]), (20, ["same", "other"])], "doc_id long, texts array<string>").coalesce(1).write.parquet(path)
+    rows = spark.read.parquet(path).select(F.explode("texts").alias("text"), "doc_id").withColumn(
+        "doc_id", F.col("doc_id") + F.when(F.col("text") == "same", 0).otherwise(1))
+    left = exact.one_per_group(rows).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(11, "only here"), (20, "same"), (21, "other")]
+    twice = spark.createDataFrame([(1, "x"), (1, "x")], "doc_id long, text string")
+    assert exact.one_per_group(twice).count() == 1
+
+
+CLASHES = ["score", "Rejected", "lang_pred", "n_words", "Kept_Text", "__text", "__row", "row", "carried", "c0", "n_tokens"]
+
+
+def test_columns_of_any_name_come_out_of_every_stage(spark, docs):
+    import corpus_pipeline as P
+
+    wide = docs.withColumn("n_chars", F.char_length("text").cast("long"))
+    for i, name in enumerate(CLASHES):
+        wide = wide.withColumn(name, F.lit(f"mine{i}"))
+    wide = P.stored(wide, "wide")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"mine{i}" for r in rows for i, c in enumerate(CLASHES)), name
