@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertide.llm import exact, jaccard, langid, packing, substring
-from ledgertide.llm.common import stored
+from ledgertide.llm.common import carried, released, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is rejected: no letters, or a score below the calibrated threshold."""
-    model = langid.fit(docs, F.xxhash64("doc_id"))
-    return langid.identify(docs, model).where("NOT rejected").select(docs.columns)
+    names, texts = carried(docs, doc_id="doc_id", text="text", lang="lang")
+    model = langid.fit(texts.select("doc_id", "text", "lang"), F.xxhash64("doc_id"))
+    told = langid.identify(texts.select("carried", "text"), model)
+    return released(told.where("NOT rejected"), names, ())
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,12 +34,15 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that occur earlier; a text without any stays as it was."""
-    left = substring.remove_repeats(docs)
+    names, texts = carried(docs, doc_id="doc_id", text="text")
+    left = substring.remove_repeats(texts)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    left = left.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
-    return left.select(docs.columns)
+    own = [F.col(f"carried.c{i}").alias(f"c{i}") for i in range(len(names))]
+    own[names.index("text")] = text.alias(f"c{names.index('text')}")
+    if "n_chars" in names:
+        at = f"c{names.index('n_chars')}"
+        own[names.index("n_chars")] = F.coalesce(F.char_length(text).cast("long"), F.col(f"carried.{at}")).alias(at)
+    return left.select(*own).toDF(*names)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
