@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import chunks
-from .common import Memo, carried, carried_and, map_batches, released, text_or_empty
+from .common import Memo, carried, carried_and, droppable, map_batches, released, text_or_empty
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 KEYS_PER_BUCKET = 4
@@ -174,6 +174,9 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+droppable(codec.cache_clear)
+
+
 def encode(df: DataFrame, text: str = "text", ranks: str | None = None, pattern: str = public_tokenizers.PATTERN,
            out: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add ``out``: each text's token ids as little-endian unsigned 32-bit integers (binary).

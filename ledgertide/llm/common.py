@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -164,7 +165,40 @@ def library_on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
 
 
+_caches: list[Callable[[], None]] = []
+_owner: list[str] = [""]
+
+
+def droppable(clear: Callable[[], None]) -> None:
+    """Register what empties an operator's caches in a worker process."""
+    _caches.append(clear)
+
+
+def owned_by(name: str) -> None:
+    """Called by a task's function before it works: caches that other operators left in this worker go.
+
+    Workers outlive a stage, and what one stage keeps (codecs, memos) is of no
+    use to the next. Tasks of one operator go on with what they have.
+    """
+    if _owner[0] == name:
+        return
+    _owner[0] = name
+    for clear in _caches:
+        clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     bounded_batches(df.sparkSession)
     library_on_workers(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    name = f"{fn.__module__}.{fn.__qualname__}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owned_by(name)
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)

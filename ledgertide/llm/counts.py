@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .bpe import merge_bytes
 from .chunks import chunks
-from .common import Memo, carried, carried_and, map_batches, released, text_or_empty
+from .common import Memo, carried, carried_and, droppable, map_batches, released, text_or_empty
 from .library import byte_symbols
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
@@ -166,6 +166,9 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
+droppable(counter.cache_clear)
+
+
 def count_tokens(df: DataFrame, text: str = "text", tokenizer: str | None = None, limit: int = LIMIT) -> DataFrame:
     """Add ``n_bytes``, ``n_tokens``, ``over_limit`` and ``fit_chars`` to every row.
 

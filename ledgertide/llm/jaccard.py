@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, library_on_workers, map_batches, stored
+from .common import as_bytes, library_on_workers, map_batches, owned_by, stored
 from .components import components
 from .wordhash import mixed, words_of
 
@@ -152,6 +152,7 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], left_sig: np.
 
 def _tile(threshold: float, tolerance: float):
     def run(members: pa.Table) -> pa.Table:
+        owned_by(__name__)
         low, high = members["low"][0].as_py(), members["high"][0].as_py()
         chunk = members["chunk"].to_numpy()
         reps, copies = members["rep"].to_numpy(), members["copies"].to_numpy()

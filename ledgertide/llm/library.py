@@ -21,7 +21,7 @@ import regex
 from tokenizers import Tokenizer
 
 from .chunks import chunks, words
-from .common import Memo
+from .common import Memo, droppable
 
 LATIN_END = "ɐ"
 _NOT_PLAIN = re.compile("[^\\x00-\u012f\u0131-\u024f]")  # beyond Latin, or a capital whose lower case is two characters
@@ -81,3 +81,6 @@ class LibraryCodec:
 def library_codec(path: str) -> LibraryCodec:
     """One per worker process and tokenizer file."""
     return LibraryCodec(path)
+
+
+droppable(library_codec.cache_clear)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .chunks import words
-from .common import Memo, map_batches, positional
+from .common import Memo, droppable, map_batches, positional
 from .library import byte_symbols
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
@@ -169,6 +169,9 @@ def codec(path: str) -> WordCodec:
     return WordCodec(path)
 
 
+droppable(codec.cache_clear)
+
+
 def _mapped(df: DataFrame, source: str, tokenizer: str | None, fill: str | bytes | None,
             new: dict[str, tuple[str, pa.DataType, Callable]]) -> DataFrame:
     """``df`` with ``new`` columns (name: type, Arrow type, function of codec and list so far) made from ``source`` in one map."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, block_count, carried, carried_and, library_on_workers, released, total_bytes
+from .common import as_bytes, block_count, carried, carried_and, library_on_workers, owned_by, released, total_bytes
 from .wordhash import Words, ascending, from_ascending, from_planes, planes, words_of
 
 WINDOW = 20
@@ -120,6 +120,7 @@ class Block:
 
 
 def _open(docs: pa.Table) -> tuple[Block, np.ndarray, list[bytes], int]:
+    owned_by(__name__)
     order, texts = _sorted_texts(docs)
     return Block(texts, docs["__key"].to_numpy()[order]), order, texts, docs["__block"][0].as_py()
 

@@ -18,6 +18,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _RNG = np.random.default_rng(20240229)
 _PLACES = 64  # places in a word whose numbers are in a table; the others are made by mixing
 _LONGEST_RUN = 32
+HASHED_BYTES = 1 << 20
 _KEYS = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64)
 _PLACE_STEP = _RNG.integers(2**40, 2**63, 2, dtype=np.uint64) | np.uint64(1)
 _RUN = _RNG.integers(2**40, 2**63, (2, _LONGEST_RUN), dtype=np.uint64) | np.uint64(1)
@@ -30,6 +31,22 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
 
+def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: int) -> np.ndarray:
+    """Hashes of words of ``data``, whose first begins at 0; several numbers are held for each byte."""
+    place = np.arange(len(data), dtype=np.int32)
+    place -= np.repeat(start, np.diff(start, append=len(data))).astype(np.int32)
+    far = np.flatnonzero(place >= _PLACES)  # in long words, and in long runs of space, which no sum takes
+    distant = place[far].astype(np.uint64)
+    np.minimum(place, _PLACES - 1, out=place)
+    place <<= 8
+    place += data
+    numbers = _TABLE[kind].ravel()[place]
+    if len(far):
+        numbers[far] = mixed(mixed(distant * _PLACE_STEP[kind]) + _KEYS[kind][data[far]])
+    sums = np.add.reduceat(numbers, np.stack([start, end], 1).ravel())[::2]
+    return mixed(sums + (end - start).astype(np.uint64))
+
+
 @dataclass
 class Words:
     """Words of texts in order: byte places, the text of each word, its place there."""
@@ -52,17 +69,12 @@ class Words:
         """A 64-bit hash of each word; ``kind`` 0 and 1 are independent."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        size = self.end - self.start
-        place = np.arange(len(self.data), dtype=np.int64)
-        place -= np.repeat(np.concatenate([[0], self.start]), np.diff(np.concatenate([[0], self.start, [len(self.data)]])))
-        far = np.flatnonzero(place >= _PLACES)  # in long words, and in long runs of space, which no sum takes
-        at = np.minimum(place, _PLACES - 1) << 8
-        at += self.data
-        numbers = _TABLE[kind].ravel()[at]
-        if len(far):
-            numbers[far] = mixed(mixed(place[far].astype(np.uint64) * _PLACE_STEP[kind]) + _KEYS[kind][self.data[far]])
-        sums = np.add.reduceat(numbers, np.stack([self.start, self.end], 1).ravel())[::2]
-        return mixed(sums + size.astype(np.uint64))
+        out = np.empty(len(self.start), np.uint64)
+        cuts = np.unique(np.searchsorted(self.start, np.arange(0, len(self.data), HASHED_BYTES)))
+        for a, b in zip(cuts, [*cuts[1:], len(self.start)], strict=True):
+            if a < b:
+                out[a:b] = _hashed(self.data[self.start[a]:self.end[b - 1] + 1], self.start[a:b] - self.start[a], self.end[a:b] - self.start[a], kind)
+        return out
 
     def runs(self, hashes: np.ndarray, length: int, kind: int = 0) -> np.ndarray:
         """A hash of the ``length`` words from each word; past the end it means nothing (see ``fits``)."""
