@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import as_bytes, library_on_workers, map_batches, owned_by, stored
 from .components import components
@@ -195,9 +196,10 @@ def _classes(df: DataFrame, doc_id: str, text: str, threshold: float, tolerance:
                 names=["row_id", "doc_id", "carried", "text", "key", "sig"])
 
     rows = df.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"),
-                     F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(True).alias("none")]).alias("carried"), as_bytes(text).alias("text"))
-    fields = f"row_id bigint, doc_id bigint, carried {rows.schema['carried'].dataType.simpleString()}, text binary"
-    rows = stored(map_batches(rows, sketch, f"{fields}, key binary, sig binary"), "sketches")
+                     F.struct(F.col(text).isNull().alias("no_text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry) if c != text])
+                     .alias("carried"), as_bytes(text).alias("text"))
+    fields = StructType([*rows.schema.fields, *StructType.fromDDL("key binary, sig binary").fields])
+    rows = stored(map_batches(rows, sketch, fields), "sketches")
     keyed = rows.where("key IS NOT NULL")
     classes = stored(keyed.groupBy("key").agg(F.min("row_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                               F.first("sig").alias("sig")), "classes")
@@ -258,7 +260,9 @@ def one_per_class(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     member = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id")
     first = placed.groupBy("class_row").agg(F.min(member).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = placed.join(first, "class_row").where("first.row_id <> row_id").select("row_id")
-    return rows.join(gone, "row_id", "left_anti").select("carried.*")
+    kept = rows.join(gone, "row_id", "left_anti")
+    whole = F.when(~F.col("carried.no_text"), F.col("text").cast(df.schema[text].dataType))  # stored once, not in the struct as well
+    return kept.select(*[whole.alias(c) if c == text else F.col(f"carried.c{i}").alias(c) for i, c in enumerate(df.columns)])
 
 
 def op3_jaccard_join(documents: DataFrame) -> DataFrame:
