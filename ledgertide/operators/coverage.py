@@ -43,9 +43,9 @@ def gaps(coverage: DataFrame, scopes: DataFrame, first, last) -> DataFrame:
     named = coverage.select("scope", "first_day", "last_day")
     own = named.join(scopes, "scope")
     common = named.filter(F.col("scope") == ALL).select("first_day", "last_day")
-    # Runs over everything are few (one interval each); a scope joins them by a constant key, not by days.
-    shared = scopes.filter(F.col("scope") != ALL).withColumn("_all", F.lit(1)).join(
-        _islands(common.withColumn("_all", F.lit(1)), ["_all"]), "_all").select("scope", "first_day", "last_day")
+    # Runs over everything make a few islands of days: one array, which each scope takes as it is.
+    runs = _islands(common.withColumn("_all", F.lit(1)), ["_all"]).agg(F.collect_list(F.struct("first_day", "last_day"))).scalar()
+    shared = scopes.filter(F.col("scope") != ALL).select("scope", F.explode(runs).alias("run")).select("scope", "run.*")
     inside = own.unionByName(shared).filter((F.col("last_day") >= low) & (F.col("first_day") <= high)).select(
         "scope", F.greatest("first_day", low).alias("first_day"), F.least("last_day", high).alias("last_day"))
     # The day before the window is an island of its own, so that the gap at the start needs no case of its own.
