@@ -168,6 +168,33 @@ def position_changes_all_pools(t: Tables):
     return _position_columns(out, *_rates())
 
 
+def _reassigned(t: Tables):
+    """The state log with two assets that take each reserve index from one another."""
+    second = (F.col("entry_type") == "ResConfig") & (F.col("ledger_sequence") % 3 == 0)
+    return t.state().withColumns({
+        "key_decoded": F.when(second, F.regexp_replace("key_decoded", "R(P[0-9]+)_", "R$1x")).otherwise(F.col("key_decoded")),
+        "key_address": F.when(second, F.regexp_replace("key_address", "R(P[0-9]+)_", "R$1x")).otherwise(F.col("key_address"))})
+
+
+_SPANS = """conf AS (
+  SELECT pool_id, idx, event_id, event_id % 17 = 0 AS gone, 'R' || pool_id || CASE WHEN event_id % 3 = 0 THEN 'x' ELSE '_' END || idx AS asset
+  FROM ev WHERE event_type = 'error'),
+own AS (SELECT *, lead(event_id) OVER (PARTITION BY asset ORDER BY event_id) AS own_end FROM conf),
+spans AS (
+  SELECT pool_id, idx AS reserve_index, asset AS asset_address, event_id AS from_ledger,
+         least(own_end, lead(event_id) OVER (PARTITION BY pool_id, idx ORDER BY event_id)) AS until_ledger
+  FROM own WHERE NOT gone)"""
+
+
+@query(with_tables(f"""
+SELECT h.pool_id, h.user_address, CASE WHEN m.until_ledger <= h.event_id THEN NULL ELSE m.asset_address END AS asset_address,
+       h.event_id AS ledger_sequence, CAST(h.day AS VARCHAR) AS snapshot_date, {_POS_AMOUNTS}
+FROM held h ASOF LEFT JOIN spans m ON h.pool_id = m.pool_id AND h.reserve_index = m.reserve_index AND h.event_id >= m.from_ledger
+WHERE coalesce(s, 0) <> 0 OR coalesce(c, 0) <> 0 OR coalesce(l, 0) <> 0""", "held_by_key", more=_SPANS))
+def position_changes_valid_mapping(t: Tables):
+    return _position_columns(positions.all_assets_changes(_reassigned(t), then_valid=True, start_date="2024-01-01"))
+
+
 @query(with_tables(f"""
 SELECT h.pool_id, h.user_address, m.asset_address, h.event_id AS ledger_sequence, CAST(h.day AS VARCHAR) AS snapshot_date,
        {_POS_AMOUNTS}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -391,6 +391,38 @@ def reserve_mapping(df: DataFrame, mode: str = "key", latest_only: bool = False)
     return config.select("pool_id", "reserve_index", "asset_address").distinct()
 
 
+def reserve_validity(df: DataFrame, mode: str = "key") -> DataFrame:
+    """Pool, reserve index → asset, with the ledgers in which it holds it: ``from_ledger`` up to before ``until_ledger``.
+
+    An asset holds the index of its configuration entry until it is deleted or
+    configured with another one (a deletion comes last in its ledger). An index
+    that another asset takes ends there for the one before; of several assets
+    in one ledger the greatest counts. Spans of an index never overlap; the one
+    that lasts has a NULL end. Configuration entries are few: some per reserve.
+    """
+    from ..operators.dedup import latest_per
+
+    config = decode_reserve_config(df, mode).filter(F.col("reserve_index").isNotNull())
+    said = latest_per(config, ["pool_id", "asset_address", "ledger_sequence"], ["deleted", "reserve_index"],
+                      ["deleted", "reserve_index"])
+    own = Window.partitionBy("pool_id", "asset_address").orderBy("ledger_sequence")
+    held = said.withColumn("_own_end", F.lead("ledger_sequence").over(own)).filter(~F.col("deleted"))
+    in_index = Window.partitionBy("pool_id", "reserve_index").orderBy("ledger_sequence", "asset_address")
+    spans = held.select(
+        "pool_id", "reserve_index", "asset_address", F.col("ledger_sequence").alias("from_ledger"),
+        F.least("_own_end", F.lead("ledger_sequence").over(in_index)).alias("until_ledger"),
+    ).filter("until_ledger IS NULL OR until_ledger > from_ledger")
+    # Statements that follow on one another without a gap are one span.
+    by_start = Window.partitionBy("pool_id", "reserve_index").orderBy("from_ledger")
+    goes_on = (F.lag("asset_address").over(by_start) == F.col("asset_address")) & (
+        F.lag("until_ledger").over(by_start) == F.col("from_ledger"))
+    numbered = spans.withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn(
+        "_span", F.sum("_new").over(by_start))
+    return numbered.groupBy("pool_id", "reserve_index", "_span").agg(
+        F.first("asset_address").alias("asset_address"), F.min("from_ledger").alias("from_ledger"),
+        F.max_by("until_ledger", "from_ledger").alias("until_ledger")).drop("_span")
+
+
 def discovery_totals(mapping: DataFrame) -> DataFrame:
     """How many pools, pool-asset pairs and distinct assets the mapping holds."""
     return mapping.agg(

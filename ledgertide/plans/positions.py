@@ -69,20 +69,49 @@ def pool_position_changes(state: DataFrame, pool_id: str, mode: str = "key", **o
     return all_assets_changes(state.filter(F.col("contract_id") == pool_id), mode, **opts)
 
 
-def all_assets_changes(state: DataFrame, mode: str = "key", **opts) -> DataFrame:
-    """Long form over the given pools; an index without a mapping keeps a NULL asset."""
+def with_asset_then(changes: DataFrame, spans: DataFrame) -> DataFrame:
+    """Each change once, with the asset that held its reserve index at its ledger (NULL: none did).
+
+    An as-of join on the spans' starts, then a look at the end: an index that
+    changed hands any number of times neither repeats a change nor takes a later
+    asset. ``changes`` is read twice.
+    """
+    found = asof_join(changes, spans, ["pool_id", "reserve_index"], "ledger_sequence", "from_ledger",
+                      ["asset_address", "until_ledger"])
+    ended = F.coalesce(F.col("until_ledger") <= F.col("ledger_sequence"), F.lit(False))
+    return found.withColumn("asset_address", F.when(~ended, F.col("asset_address"))).drop("until_ledger")
+
+
+def all_assets_changes(state: DataFrame, mode: str = "key", then_valid: bool = False, **opts) -> DataFrame:
+    """Long form over the given pools; an index without a mapping keeps a NULL asset.
+
+    The asset is the one that holds the index now, with ``then_valid`` the one
+    that held it at the change's ledger.
+    """
     changes = decode.has_amount(_changes(state, opts, mode))
+    if then_valid:
+        spans = cut(decode.reserve_validity(state, mode), "reserve-validity")
+        return _finish(with_asset_then(cut(changes, "position-changes"), spans))
     mapping = decode.reserve_mapping(state, mode, latest_only=True)
     return _finish(changes.join(mapping, ["pool_id", "reserve_index"], "left"))
 
 
 def position_changes_with_rates(state: DataFrame, pools: Sequence[str] | None = None, mode: str = "key",
-                                **opts) -> DataFrame:
-    """Changes of all reserves of all pools, each with the rates valid at its ledger."""
+                                then_valid: bool = False, **opts) -> DataFrame:
+    """Changes of all reserves of all pools, each with the rates valid at its ledger.
+
+    A change comes out for every asset that its index ever stood for, with
+    ``then_valid`` only for the one that held the index at its ledger.
+    """
     if pools is not None:
         state = state.filter(F.col("contract_id").isin(list(pools)))
-    mapped = _changes(state, opts, mode).join(
-        decode.reserve_mapping(state, mode), ["pool_id", "reserve_index"]).drop("reserve_index")
+    changes = _changes(state, opts, mode)
+    if then_valid:
+        spans = cut(decode.reserve_validity(state, mode), "reserve-validity")
+        mapped = with_asset_then(cut(changes, "raw-changes"), spans).filter(F.col("asset_address").isNotNull())
+    else:
+        mapped = changes.join(decode.reserve_mapping(state, mode), ["pool_id", "reserve_index"])
+    mapped = mapped.drop("reserve_index")
     rows = cut(_finish(mapped.distinct()), "position-changes")
     return asof_join(rows, rate_points(state, opts, mode), ["pool_id", "asset_address"], "ledger_sequence",
                      "rate_ledger", _RATES)

@@ -58,11 +58,18 @@ def backstop_balances(state: DataFrame, contract: str | None = None, start_date=
 
 
 def lp_prices(state: DataFrame, contract: str | None = None, start_date=None, end_date=None) -> DataFrame:
-    """LP token price per day from share and quote-balance entries of one ledger."""
+    """LP token price per day from share and quote-balance entries of one ledger.
+
+    Of several entries in a ledger the greatest balance and the least share
+    count above zero give the price, so each side is one row before the join.
+    """
     if contract is not None:
         state = state.filter(F.col("contract_id") == contract)
     state = optional_window(state, "closed_at", start_date, end_date)
-    both = decode.decode_total_shares(state).join(decode.decode_quote_balance(state), "ledger_sequence")
+    shares = decode.decode_total_shares(state).groupBy("ledger_sequence", "price_date").agg(
+        F.min(F.when(F.col("total_shares") > 0, F.col("total_shares"))).alias("total_shares"))
+    quotes = decode.decode_quote_balance(state).groupBy("ledger_sequence").agg(F.max("quote_balance").alias("quote_balance"))
+    both = shares.join(quotes, "ledger_sequence")
     priced = both.withColumn("lp_token_price", lp_token_price(F.col("quote_balance"), F.col("total_shares")))
     return priced.groupBy("price_date").agg(
         F.max_by(F.struct("lp_token_price", "ledger_sequence"), F.struct("ledger_sequence", "lp_token_price"))

@@ -207,3 +207,33 @@ def test_payload_with_numbers_instead_of_texts(spark):
     got = events.lending_table(raw_events(spark, rows)).collect()[0]
     assert (got["amount_underlying"], got["amount_tokens"]) == ("12", "10")
     assert json.loads(rows[0][9])["vec"][0]["i128"] == 12
+
+
+def test_spans_of_an_index_follow_takeover_restatement_deletion_and_move(spark):
+    rows = [s.entry("ResConfig", "CA", s.config(0), 10), s.entry("ResConfig", "CA", s.config(0), 15),
+            s.entry("ResConfig", "CB", s.config(0), 20), s.entry("ResConfig", "CB", None, 30, deleted=True),
+            s.entry("ResConfig", "CC", s.config(1), 12), s.entry("ResConfig", "CC", s.config(2), 40),
+            s.entry("ResConfig", "CD", s.config(3), 50), s.entry("ResConfig", "CD", None, 50, deleted=True),
+            s.entry("ResConfig", "CE", s.config(4), 60), s.entry("ResConfig", "CF", s.config(4), 60)]
+    spans = decode.reserve_validity(state(spark, rows)).collect()
+    assert sorted((r.reserve_index, r.asset_address, r.from_ledger, r.until_ledger or 0) for r in spans) == [
+        (0, "CA", 10, 20), (0, "CB", 20, 30), (1, "CC", 12, 40), (2, "CC", 40, 0), (4, "CF", 60, 0)]
+    held = [s.entry("Positions", s.USER, s.positions({0: n}, {}, {}), n) for n in (9, 10, 19, 20, 29, 30)]
+    got = positions.all_assets_changes(state(spark, rows + held), then_valid=True, start_date="2025-01-01").collect()
+    assert sorted((r.ledger_sequence, r.asset_address or "") for r in got) == [
+        (9, ""), (10, "CA"), (19, "CA"), (20, "CB"), (29, "CB"), (30, "")]
+    rated = positions.position_changes_with_rates(
+        state(spark, rows + held + [s.entry("ResData", "CA", s.reserve(2 * 10**12, 10**12), 18)]), then_valid=True, start_date="2025-01-01")
+    assert sorted((r.ledger_sequence, r.asset_address, r.b_rate and float(r.b_rate)) for r in rated.collect()) == [
+        (10, "CA", None), (19, "CA", 2.0), (20, "CB", None), (29, "CB", None)]
+
+
+def test_no_configuration_gives_no_spans(spark):
+    assert decode.reserve_validity(state(spark, [])).collect() == []
+
+
+def test_an_lp_ledger_of_several_entries_is_priced_once(spark):
+    many = [s.entry("TotalShares", None, s.flat(n), 7) for n in (0, 200, 100)]
+    many += [s.entry("AllRecordData", None, s.keyed((0, s.keyed((0, s.flat(q))))), 7) for q in (10, 40)]
+    one = snapshots.lp_prices(state(spark, many)).collect()
+    assert [(r.lp_token_price, r.ledger_sequence) for r in one] == [(2.0, 7)]
