@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import iso_z
 from ..operators.upsert import upsert
+from ..plans import feed, views
 from ..session import scratch_path
 from ..sources import files, ledger
 from ..streaming import events as event_stream
@@ -76,6 +77,48 @@ def stream_backstop_events(t: Tables):
     return out.select("id", "action_type", "pool_address", *[F.col(c).cast("double").alias(c) for c in ("lp_tokens", "q4w_exp")])
 
 
+def _run_derived(t: Tables) -> TableStore:
+    """Both event tables, the feed and the views' partials, kept over several micro-batches."""
+    store = TableStore(t.spark, scratch_path(t.spark, "derived-tables"), derived=True)
+    stream = ledger.stream_events(t.spark, _landed_events(t), max_files=12)
+    pools = [r.pool_id for r in t.pools().select("pool_id").collect()]
+    event_stream.run_event_stream(stream, store, scratch_path(t.spark, "checkpoint"), pools, "BACKSTOP",
+                                  available_now=True).awaitTermination()
+    return store
+
+
+@query(with_tables(f"""SELECT * FROM (SELECT id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS time, action_type, source, user_address, amount, asset_address, ledger_sequence
+  FROM (WITH {_LENDING} SELECT {_hash(*_LENDING_FIELDS)} AS id, ts, a AS action_type, 'pool' AS source, u_addr AS user_address,
+    CAST(under AS DOUBLE) AS amount, asset AS asset_address, event_id AS ledger_sequence FROM lend WHERE pool_id = 'P1') ORDER BY ts DESC, id LIMIT 50)
+UNION ALL SELECT * FROM (SELECT id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ'), action_type, source, user_address, amount, NULL, ledger_sequence
+  FROM (WITH {_BACK} SELECT {_hash(*_BACKSTOP_FIELDS)} AS id, ts, a AS action_type, 'backstop' AS source, u_addr AS user_address,
+    CAST(lp AS DOUBLE) AS amount, event_id AS ledger_sequence FROM back WHERE pool = 'P1') ORDER BY ts DESC, id LIMIT 50)""", "ev"))
+def stream_live_feed(t: Tables):
+    out = feed.feed_of_pool(_run_derived(t).read("live_feed"), "P1", 50)
+    return out.drop("transaction_hash").withColumns({"time": iso_z(F.col("time")), "amount": F.col("amount").cast("double")})
+
+
+@query(with_tables("""SELECT u_addr AS user_address, pool_id, asset AS asset_address,
+  CAST(sum(CASE a WHEN 'supply' THEN coalesce(toks, 0) WHEN 'withdraw' THEN -coalesce(toks, 0) ELSE 0 END) AS BIGINT) AS supply_btokens,
+  CAST(sum(CASE a WHEN 'supply_collateral' THEN coalesce(toks, 0) WHEN 'withdraw_collateral' THEN -coalesce(toks, 0) ELSE 0 END) AS BIGINT) AS collateral_btokens,
+  CAST(sum(CASE a WHEN 'borrow' THEN coalesce(toks, 0) WHEN 'repay' THEN -coalesce(toks, 0) ELSE 0 END) AS BIGINT) AS debt_dtokens,
+  count(*) AS action_count, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS last_action_time
+FROM lend WHERE NOT a IN ('claim', 'new_auction', 'fill_auction') GROUP BY 1, 2, 3""", "ev", more=_LENDING))
+def stream_view_positions(t: Tables):
+    out = views.user_positions_from_partials(_run_derived(t).read("positions_by_day"))
+    return out.withColumns({**{c: F.col(c).cast("bigint") for c in ("supply_btokens", "collateral_btokens", "debt_dtokens")},
+                            "last_action_time": iso_z(F.col("last_action_time"))})
+
+
+@query(with_tables("""SELECT u_addr AS user_address, CAST(sum(under) AS BIGINT) AS total_claimed, count(*) AS claim_count,
+  strftime(min(ts), '%Y-%m-%dT%H:%M:%SZ') AS first_claim, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS last_claim
+FROM lend WHERE a = 'claim' GROUP BY 1""", "ev", more=_LENDING))
+def stream_view_claims(t: Tables):
+    out = views.user_total_claims_from_partials(_run_derived(t).read("claims_by_day"))
+    return out.withColumns({"total_claimed": F.col("total_claimed").cast("bigint"),
+                            "first_claim": iso_z(F.col("first_claim")), "last_claim": iso_z(F.col("last_claim"))})
+
+
 @query("SELECT event_id FROM events")
 def stream_dedup(t: Tables):
     """The events landed twice; each id passes once."""

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +147,42 @@ def upsert(
     return none | {n: int(seen.get[n]) for n in ops}
 
 
+def keep_newest(spark: SparkSession, path: str, src: DataFrame, schema: T.StructType, keys: Sequence[str], group: Sequence[str],
+                newest: Sequence[Column], limit: int, buckets: int = 1) -> None:
+    """Keep the first ``limit`` rows of each group by ``newest``; a source row replaces the stored one of its key.
+
+    Reads and writes only the buckets (of the group) that the source touches: a
+    bounded number of rows, whatever has passed. Equal keys must have equal
+    groups and places in the order; then the table is what the whole history
+    would give, and a repeated call changes nothing.
+    """
+    buckets = stored_buckets(spark, path) or buckets
+    bucket = f"{BUCKET}{buckets}"
+
+    def first(rows: DataFrame) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*newest))
+        return rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
+    once = src.select(*schema.names).withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    news = first(once).withColumn(bucket, _bucket(group, schema, buckets)).persist()
+    try:
+        if not table_exists(spark, path):
+            return _write(news, path, [bucket], "append")
+        touched = [r[0] for r in news.select(bucket).distinct().collect()]  # at most one value per bucket
+        if touched:
+            held = spark.read.schema(schema).parquet(path).select(*schema.names, bucket).filter(F.col(bucket).isin(touched))
+            kept = held.join(news.select(*keys), list(keys), "left_anti")
+            _write(first(kept.unionByName(news)), path, [bucket], "overwrite")
+    finally:
+        news.unpersist()
+
+
+def overwrite_days(spark: SparkSession, path: str, rows: DataFrame, partition_col: str) -> None:
+    """Put ``rows`` in place of the stored ones of their days."""
+    _write(rows, path, [partition_col], "overwrite")
+
+
 def _at(places: Sequence[str], touched: set) -> Column:
     """Whether a row lies at one of the places; made of partition columns alone, so it picks the files to read."""
     if len(touched) > MOST_PAIRS and len(places) > 1:

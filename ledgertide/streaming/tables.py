@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.coverage import COVERAGE
 from ..operators.dedup import latest_per
-from ..operators.upsert import read_table, table_exists, upsert
+from ..operators.upsert import keep_newest, overwrite_days, read_table, table_exists, upsert
+from ..plans.feed import LIVE_FEED, feed_rows
+from ..plans.views import PARTIALS
+
+#: Events of a pool and source that a maintained feed holds: the most a poll can ask for.
+FEED_ROWS = 500
+_FEED_SOURCES = {"parsed_events": "pool", "backstop_events": "backstop"}
 
 
 @dataclass(frozen=True)
@@ -19,12 +25,15 @@ class TableStore:
     """Curated tables below one root directory.
 
     ``buckets``: parts of a day that an upsert can rewrite alone; it counts for
-    tables that are not written yet.
+    tables that are not written yet. ``derived``: start the tables that follow
+    the events, a live feed and daily partials of the views; where they are
+    there, every writer of the store keeps them up.
     """
 
     spark: SparkSession
     root: str
     buckets: int = 4
+    derived: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -49,8 +58,41 @@ class TableStore:
                       part, key_fixes_partition, guard, self.buckets if part else 1)
         if name == "pool_snapshots":
             self._raise_current_rates(rows)
+        if name in _FEED_SOURCES:
+            self._keep_feed(name, rows)
+        if name == "parsed_events":
+            self._recount_days(rows)
         return done
 
+    def _keep_feed(self, name: str, rows: DataFrame) -> None:
+        """Only what a batch brings goes into a feed that is there; a new one is made of all stored events."""
+        there = self.exists("live_feed")
+        if there:
+            fresh = feed_rows(rows, _FEED_SOURCES[name])
+        elif self.derived:
+            fresh = feed_rows(self.read("parsed_events"), "pool").unionByName(feed_rows(self.read("backstop_events"), "backstop"))
+        else:
+            return
+        keep_newest(self.spark, self.path("live_feed"), fresh, LIVE_FEED, ["source", "id"], ["pool_id", "source"],
+                    [F.col("time").desc(), F.col("id")], FEED_ROWS, self.buckets)
+
+    def _recount_days(self, rows: DataFrame) -> None:
+        """Partials of the days that ``rows`` touch, from the stored events of these days alone.
+
+        Counted anew, not added to, so that a replayed batch changes nothing. One
+        value per touched day reaches the driver.
+        """
+        days = None
+        for name, (schema, partials) in PARTIALS.items():
+            events = self.read("parsed_events")
+            if self.exists(name):
+                if days is None:
+                    days = [r[0] for r in rows.select(F.to_date("ledger_closed_at")).distinct().collect()]
+                events = events.filter(F.col("event_date").isin([d for d in days if d is not None]))
+            elif not self.derived:
+                continue
+            overwrite_days(self.spark, self.path(name), schemas.conform(partials(events), schema), "event_date")
+
     def rebuild_current_rates(self) -> None:
         """Derive the current rates from all snapshots, where there are snapshots but no such table."""
         if self.exists("pool_snapshots") and not self.exists("current_rates"):
@@ -110,7 +152,7 @@ PENDING_POSITIONS = schemas._struct(
     pool_id=schemas._S, user_address=schemas._S, snapshot_timestamp=schemas._TS, ledger_sequence=schemas._L, entry_hash=schemas._S,
     ledger_entry_change=schemas._L, reserve_index=schemas._L, supply_raw=schemas._S, collateral_raw=schemas._S,
     liabilities_raw=schemas._S, snapshot_date=schemas._D, resolved=schemas._B)
-_EXTRA = {"reserve_config_state": RESERVE_CONFIG_STATE, "coverage": COVERAGE, "current_rates": CURRENT_RATES,
+_EXTRA = {"live_feed": LIVE_FEED, **{name: schema for name, (schema, _) in PARTIALS.items()}, "reserve_config_state": RESERVE_CONFIG_STATE, "coverage": COVERAGE, "current_rates": CURRENT_RATES,
           "pending_positions": PENDING_POSITIONS}
 _EXTRA_KEYS = {"reserve_config_state": ["pool_id", "asset_address", "reserve_index"], "current_rates": ["pool_id", "asset_address"],
                "pending_positions": ["pool_id", "user_address", "reserve_index", "ledger_sequence"]}
