@@ -31,7 +31,7 @@ SEGMENT_TOKENS = 1_000_000
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 
-SEGMENT = ("part int, seq bigint, doc_ids array<bigint>, ends array<bigint>, n_tokens bigint, "
+SEGMENT = ("part int, seq bigint, first_doc bigint, last_doc bigint, doc_ids array<bigint>, ends array<bigint>, n_tokens bigint, "
            "levels array<binary>, bitmaps array<binary>, ranks array<binary>")
 
 
@@ -115,7 +115,8 @@ def write(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
 
         def segment() -> pa.RecordBatch:
             levels, bitmaps, ranks = build_levels(np.frombuffer(b"".join(parts), "<u4"))
-            row = {"part": part, "seq": seq, "doc_ids": keys, "ends": ends, "n_tokens": held, "levels": levels,
+            named = [k for k in keys if k is not None]
+            row = {"part": part, "seq": seq, "first_doc": named[0] if named else None, "last_doc": named[-1] if named else None, "doc_ids": keys, "ends": ends, "n_tokens": held, "levels": levels,
                    "bitmaps": bitmaps, "ranks": ranks}
             kinds = {"part": pa.int32(), "doc_ids": pa.list_(pa.int64()), "ends": pa.list_(pa.int64())} | {
                 n: pa.list_(pa.binary()) for n in ("levels", "bitmaps", "ranks")}
@@ -173,6 +174,33 @@ def read(spark: SparkSession, path: str, values: tuple[Column | str, ...] = ("id
     return docs.join(bases, ["part", "seq"]).withColumn("start", F.col("base") + F.col("local")).drop("part", "seq", "base", "local")
 
 
+def token(spark: SparkSession, path: str, doc_id: int, place: int) -> int | None:
+    """The id at one place (from 0, the end id is the last) of one document in the files.
+
+    Each segment's first and last ``doc_id`` prune all others from the scan;
+    of the one that holds the document a single id is looked up, by one rank
+    query per level. None if there is no such document or place. Of repeated
+    rows of a ``doc_id`` the first written counts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                nth = row["doc_ids"].index(doc_id)
+                start = row["ends"][nth - 1] if nth else 0
+                value = None
+                if 0 <= place < row["ends"][nth] - start:
+                    value = Segment(row["levels"], row["bitmaps"], row["ranks"]).token(start + place)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["part"]], pa.int32()), pa.array([row["seq"]], pa.int64()), pa.array([value], pa.int64())],
+                    names=["part", "seq", "value"])
+
+    near = spark.read.schema(SEGMENT).parquet(path).filter((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id))
+    found = near.filter(F.array_contains("doc_ids", F.lit(doc_id).cast("long"))).select(
+        "part", "seq", "doc_ids", "ends", "levels", "bitmaps", "ranks")
+    first = map_batches(found, run, "part int, seq bigint, value bigint").orderBy("part", "seq").first()
+    return first.value if first else None
+
+
 def op10_token_files(documents: DataFrame) -> DataFrame:
     """Write the files, read them back, and give each document's place and checksum."""
     spark = documents.sparkSession

@@ -112,6 +112,52 @@ def test_predictions_do_not_depend_on_neighbours(spark, monkeypatch):
     assert np.allclose(together, apart, atol=1e-4)
 
 
+def _weighted(rows, depth):
+    """By definition: half the node's own estimate, half the product of its children's."""
+    ones, own = 0, 1.0
+    for i, (_, bit) in enumerate(rows):
+        own *= ((ones if bit else i - ones) + 0.5) / (i + 1)
+        ones += bit
+    if depth == ctw.DEPTH:
+        return own, own
+    children = Counter(context[depth] for context, _ in rows)
+    return own, (own + math.prod(_weighted([r for r in rows if r[0][depth] == c], depth + 1)[1] for c in children)) / 2
+
+
+def _chance(rows, context, bit, depth=0):
+    """Of the next bit after a context, which goes by its longest suffix that was seen."""
+    if not rows:
+        return 0.5
+    estimate = (sum(b == bit for _, b in rows) + 0.5) / (len(rows) + 1)
+    nearer = [r for r in rows if depth < ctw.DEPTH and r[0][depth] == context[depth]]
+    if not nearer:
+        return estimate
+    own, whole = _weighted(rows, depth)
+    return own / 2 / whole * estimate + (1 - own / 2 / whole) * _chance(nearer, context, bit, depth + 1)
+
+
+def _decisions(text):
+    """(decision, context with the nearest byte first, bit) of every bit of a text's stream."""
+    data = bytes(ctw.DEPTH) + b"".join(w + b" " for w in text.lower().encode().split()) + b"\n"
+    for at in range(ctw.DEPTH, len(data)):
+        bits = f"{data[at]:08b}"
+        for k in range(8):
+            yield bits[:k], data[at - ctw.DEPTH:at][::-1], int(bits[k])
+
+
+def test_context_tree_scores_equal_a_recursive_tree(spark):
+    texts = ["the cat sat on the mat", "The hat, the cat", "", "a rat sat on that cat", "zq the", "on the mat sat thé", None, "the cat sat on the mat"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in ctw.score_texts(df, F.col("doc_id") % 2 == 0, block_bytes=30, shard_bytes=40).collect()}
+    seen = {}
+    for i in range(0, len(texts), 2):
+        for place, context, bit in _decisions(texts[i] or ""):
+            seen.setdefault(place, []).append((context, bit))
+    for i, text in enumerate(texts):
+        right = sum(math.log10(_chance(seen.get(p, []), c, b)) for p, c, b in _decisions(text or ""))
+        assert math.isclose(got[i], right, rel_tol=1e-9), (i, got[i], right)
+
+
 def test_context_tree_is_a_probability_and_base_is_exact(spark, docs, none):
     kind = ctw.score_texts(docs, F.col("doc_id") % 2 == 1, block_bytes=3000, shard_bytes=20_000).collect()
     tokens = lambda t: [*(t or "").encode().lower().split(), b""]

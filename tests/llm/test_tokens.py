@@ -118,3 +118,42 @@ def test_segments_answer_any_range(values, data):
     assert segment.tokens(a, b).tolist() == values[a:b]
     if a < b:
         assert segment.token(a) == values[a]
+
+
+def test_one_token_is_read_from_the_files(spark, docs, none, tmp_path):
+    codec, path = library_codec(P.path(tokenfiles.DEFAULT_TOKENIZER)), str(tmp_path / "tokens")
+    tokenfiles.write(docs, path, segment_tokens=50)
+    for doc_id, text, *_ in (ROWS[0], ROWS[2], ROWS[5], ROWS[8]):
+        right = [*ids(codec.encode(text or "")), tokenfiles.END_ID]
+        for place in {0, len(right) // 2, len(right) - 1}:
+            assert tokenfiles.token(spark, path, doc_id, place) == right[place]
+        assert tokenfiles.token(spark, path, doc_id, len(right)) is None and tokenfiles.token(spark, path, doc_id, -1) is None
+    assert tokenfiles.token(spark, path, 99, 0) is None
+    tokenfiles.write(none, str(tmp_path / "none"))
+    assert tokenfiles.token(spark, str(tmp_path / "none"), 1, 0) is None
+
+
+def test_registered_columns_equal_the_libraries_on_a_whole_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in table.select("doc_id", "text").collect()}
+    digest = lambda values: hashlib.sha256(np.array(values, "<u4").tobytes()).hexdigest()
+    for r in bpe.op1_byte_bpe(table).collect():
+        right = TIKTOKEN.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(right), digest(right))
+    sizes = {}
+    for r in counts.op7_prefix_counts(table).collect():
+        sizes[r.doc_id] = r.n_tokens
+        assert r.n_tokens == len(BYTE.encode(texts[r.doc_id], add_special_tokens=False).ids)
+    assert sizes.keys() == texts.keys()
+    for r in tokenfiles.op10_token_files(table).collect():
+        right = [*BYTE.encode(texts[r.doc_id], add_special_tokens=False).ids, tokenfiles.END_ID]
+        assert (r.n_tokens, r.ids_crc32) == (len(right), zlib.crc32(np.array(right, "<u4").tobytes()))
+    pieces = {}
+    for r in packing.op5_cost_packing(table).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+    for doc_id, text in texts.items():
+        right, at = np.array([*WORD.encode(text, add_special_tokens=False).ids, 2], "<u4"), 0
+        for r in sorted(pieces[doc_id], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(right), zlib.crc32(right[at:at + r.length].tobytes()))
+            at += r.length
+        assert at == len(right)
