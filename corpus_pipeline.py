@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertide.llm import exact, jaccard, langid, packing, substring
-from ledgertide.llm.common import carried, released, stored
+from ledgertide.llm.common import positional, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is rejected: no letters, or a score below the calibrated threshold."""
-    names, texts = carried(docs, doc_id="doc_id", text="text", lang="lang")
-    model = langid.fit(texts.select("doc_id", "text", "lang"), F.xxhash64("doc_id"))
-    told = langid.identify(texts.select("carried", "text"), model)
-    return released(told.where("NOT rejected"), names, ())
+    names, rows = positional(docs)
+    doc_id, text, lang = (f"c{names.index(c)}" for c in ("doc_id", "text", "lang"))
+    model = langid.fit(rows.select(doc_id, text, lang), F.xxhash64(doc_id), text, lang)
+    told = langid.identify(rows, model, text)
+    return told.where("NOT rejected").select(*rows.columns).toDF(*names)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +35,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that occur earlier; a text without any stays as it was."""
-    names, texts = carried(docs, doc_id="doc_id", text="text")
-    left = substring.remove_repeats(texts)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    own = [F.col(f"carried.c{i}").alias(f"c{i}") for i in range(len(names))]
-    own[names.index("text")] = text.alias(f"c{names.index('text')}")
+    names, rows = positional(docs)
+    text = f"c{names.index('text')}"
+    left = substring.remove_repeats(rows, f"c{names.index('doc_id')}", text)
+    left = left.withColumn(text, F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(text)))
     if "n_chars" in names:
-        at = f"c{names.index('n_chars')}"
-        own[names.index("n_chars")] = F.coalesce(F.char_length(text).cast("long"), F.col(f"carried.{at}")).alias(at)
-    return left.select(*own).toDF(*names)
+        chars = f"c{names.index('n_chars')}"
+        left = left.withColumn(chars, F.coalesce(F.char_length(text).cast("long"), F.col(chars)))
+    return left.select(*rows.columns).toDF(*names)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 MEMO_ENTRIES = 200_000
 MEMO_KEY_CHARS = 64
@@ -70,15 +70,32 @@ def carried(df: DataFrame, **roles: str) -> tuple[list[str], DataFrame]:
     return names, inner.select(whole.alias("carried"), *[F.col(f"c{names.index(c)}").alias(r) for r, c in roles.items()])
 
 
+def carried_once(df: DataFrame, text: str, **roles: str) -> tuple[list[str], DataFrame]:
+    """Like :func:`carried`, with the texts once only: as bytes ``__text`` (null: empty) beside the struct.
+
+    The struct tells at the text's place whether it is null; give :func:`released`
+    the text's name and type to get the column back.
+    """
+    names, inner = positional(df)
+    at = f"c{names.index(text)}"
+    whole = F.struct(*[F.col(c).isNull().alias(c) if c == at else F.col(c) for c in inner.columns])
+    return names, inner.select(whole.alias("carried"), as_bytes(at).alias("__text"),
+                               *[F.col(f"c{names.index(c)}").alias(r) for r, c in roles.items()])
+
+
 def carried_and(df: DataFrame, fields: str) -> StructType:
     """Schema of what an Arrow function makes of :func:`carried` rows: the struct as it is, and ``fields``."""
     return StructType([df.schema["carried"], *StructType.fromDDL(fields).fields])
 
 
-def released(df: DataFrame, names: list[str], new: tuple[str, ...]) -> DataFrame:
-    """The carried columns, without those that ``new`` ones replace, and the new ones."""
+def released(df: DataFrame, names: list[str], new: tuple[str, ...], once: tuple[str, DataType] | None = None) -> DataFrame:
+    """The carried columns, without those that ``new`` ones replace, and the new ones; ``once``: the text of :func:`carried_once`."""
     kept = [i for i, n in enumerate(names) if n not in new]
-    return df.select(*[F.col(f"carried.c{i}") for i in kept], *new).toDF(*[names[i] for i in kept], *new)
+    own = [F.col(f"carried.c{i}") for i in kept]
+    if once and once[0] in names and names.index(once[0]) in kept:
+        at = kept.index(names.index(once[0]))
+        own[at] = F.when(~own[at], F.col("__text").cast(once[1]))
+    return df.select(*own, *new).toDF(*[names[i] for i in kept], *new)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 4000) -> None:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, byte_column, carried, carried_and, map_batches, released
+from .common import as_bytes, byte_column, carried_and, carried_once, map_batches, released
 
 UNKNOWN = "und"
 HASH_BITS = 17
@@ -230,13 +230,12 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             score = np.where(has, p[np.arange(len(best)), best], 0.0)
             rejected = ~has | (score < known.threshold)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=[*batch.schema.names[:-1], *new])
+                [*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
+                names=[*batch.schema.names, *new])
 
-    names, texts = carried(df, text=text)
-    prepared = texts.select("carried", as_bytes("text").alias("__text"))
-    fields = carried_and(prepared, "lang_pred string, score double, rejected boolean")
-    return released(map_batches(prepared, run, fields), names, new)
+    names, texts = carried_once(df, text)
+    fields = carried_and(texts, "__text binary, lang_pred string, score double, rejected boolean")
+    return released(map_batches(texts, run, fields), names, new, (text, df.schema[text].dataType))
 
 
 def op4_language_id(documents: DataFrame) -> DataFrame:

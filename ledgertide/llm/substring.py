@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, block_count, carried, carried_and, library_on_workers, owned_by, released, total_bytes
+from .common import block_count, carried_and, carried_once, library_on_workers, owned_by, released, total_bytes
 from .wordhash import Words, ascending, from_ascending, from_planes, planes, words_of
 
 WINDOW = 20
@@ -232,15 +232,16 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
     null text has no words and becomes empty; texts under 20 words lose none.
     """
     new = ("n_words", "n_removed", "kept_text", "removed_spans")
-    names, df = carried(df, doc_id=doc_id, text=text)
-    size = total_bytes(df, "text")
+    kind = df.schema[text].dataType
+    names, df = carried_once(df, text, doc_id=doc_id)
+    size = total_bytes(df, "__text")
     blocks = block_count(size, block_bytes)
     shards = 1 << (block_count(size, shard_bytes) - 1).bit_length()
     library_on_workers(df.sparkSession)
-    unnamed = F.lit(NULL_ID) + F.xxhash64(as_bytes("text")).bitwiseAND(2**40 - 1)  # before all ids, over many blocks
+    unnamed = F.lit(NULL_ID) + F.xxhash64("__text").bitwiseAND(2**40 - 1)  # before all ids, over many blocks
     key = F.coalesce(F.col("doc_id").cast("long"), unnamed)
     docs = (
-        df.select("carried", key.alias("__key"), as_bytes("text").alias("__text"))
+        df.select("carried", key.alias("__key"), "__text")
         .withColumn("__block", F.pmod(F.xxhash64("__key"), F.lit(blocks)).cast("int"))
     )
     by_block = docs.groupBy("__block")
@@ -249,9 +250,9 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
         by_block.cogroup(hits.groupBy("block")).applyInArrow(ask_windows(shards), ASKED)
         .groupBy("shard").applyInArrow(tell_windows, TOLD)
     )
-    fields = carried_and(df, "n_words bigint, n_removed bigint, kept_text string, removed_spans array<struct<start:int,length:int>>")
-    left = by_block.cogroup(hits.unionByName(firsts).groupBy("block")).applyInArrow(_results(["carried"]), fields)
-    return released(left, names, new)
+    fields = carried_and(df, "__text binary, n_words bigint, n_removed bigint, kept_text string, removed_spans array<struct<start:int,length:int>>")
+    left = by_block.cogroup(hits.unionByName(firsts).groupBy("block")).applyInArrow(_results(["carried", "__text"]), fields)
+    return released(left, names, new, (text, kind))
 
 
 def op6_block_anchors(documents: DataFrame) -> DataFrame:
