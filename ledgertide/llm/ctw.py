@@ -73,6 +73,7 @@ def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 _FEW_KT = _log_kt(*np.divmod(np.arange(FEW * FEW, dtype=np.float64), FEW))
+_FEW_KT[0] = 0.0  # of nothing seen, without the series' error
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -175,26 +176,70 @@ def chances(grams: np.ndarray, levels: list[Level], ks: Iterable[int] = range(8)
     return total
 
 
+def chances_by_runs(grams: np.ndarray, counts: np.ndarray, depth: int, top: list[Level], k: int) -> np.ndarray:
+    """What :func:`chances` gives for the ``k``-th decisions of sorted distinct ``grams`` whose counts (or none) the tree below ``top`` holds.
+
+    Sorted by decision and context, a node is a run of grams at every depth, so
+    that paths are followed by the numbers of runs, not searched for.
+    """
+    place, one = decision(grams & np.uint64(255), k)
+    keys = node_keys(grams, depth, place)
+    order = np.argsort(keys, kind="stable")
+    keys, ones = keys[order], np.where(one, counts, 0.0)[order]
+    level = Level.of(keys, counts[order] - ones, ones, None)
+    leaf = np.repeat(np.arange(len(level.keys)), np.diff(first_of(keys), append=len(keys)))
+    p, known = np.full((2, len(level.keys)), 0.5), np.zeros(len(level.keys), bool)
+
+    def mix(node: np.ndarray, level: Level, there: np.ndarray) -> None:
+        """Weigh what the nodes say against what lies below them; ``node`` of each leaf."""
+        n = level.zeros + level.ones
+        there, own = there[node], np.where(known, level.own[node], 1.0)
+        for bit, times in enumerate((level.zeros, level.ones)):
+            p[bit] = np.where(there, own * ((times + 0.5) / (n + 1))[node] + (1 - own) * p[bit], p[bit])
+        known[there] = True
+
+    node = np.arange(len(level.keys))
+    for d in range(depth, SHARED - 1, -1):
+        if d < depth:
+            above = level.parents()
+            node = np.repeat(np.arange(len(first_of(above))), np.diff(first_of(above), append=len(above)))[node]
+            level = Level.of(above, level.zeros, level.ones, level.weighted)
+        mix(node, level, level.zeros + level.ones > 0)
+    found = level.keys
+    for upper in top[::-1]:
+        found = found >> np.uint64(8)
+        if len(upper.keys):
+            at = np.minimum(np.searchsorted(upper.keys, found), len(upper.keys) - 1)
+            met = Level(found, *(getattr(upper, f)[at] for f in ("zeros", "ones", "weighted", "own")))
+            mix(node, met, upper.keys[at] == found)
+    total = np.empty(len(grams))
+    total[order] = np.log(np.where(one[order], p[1][leaf], p[0][leaf]))
+    return total
+
+
 def stream_of(text: bytes) -> bytes:
     """The start symbol, then each lower-cased word and a space; the end is added where bytes are coded."""
-    return b"\0" + b"".join(word + b" " for word in text.lower().split())
+    words = text.lower().split()
+    return b"\0" + b" ".join([*words, b""]) if words else b"\0"
 
 
 def windows(streams: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``(gram, stream)`` of every coded byte in runs of bounded size: its context, nearest byte highest, and the byte itself lowest."""
     gap = bytes(depth - 1)
     data = np.frombuffer(gap + (END + gap).join(streams) + END, np.uint8)
-    lengths = np.array([len(s) for s in streams], np.int64)  # without the start, with the end
-    starts = np.cumsum(lengths + depth) - lengths
-    for at in range(depth, len(data), WINDOW):
+    edges = np.cumsum([0, *(len(s) + depth for s in streams)])  # gap, start, text and end of each stream
+    context = np.uint64(2**64 - 2 ** (64 - 8 * depth))
+    for at in range(0, len(data), WINDOW):
         stop = min(len(data), at + WINDOW)
-        grams = data[at:stop].astype(np.uint64)
-        for k in range(1, depth + 1):
-            grams |= data[at - k:stop - k].astype(np.uint64) << np.uint64(64 - 8 * k)
-        place = np.arange(at, stop)
-        stream = np.maximum(np.searchsorted(starts, place, "right") - 1, 0)
-        coded = place - starts[stream] < lengths[stream]
-        yield grams[coded], stream[coded]
+        low, high = int(np.searchsorted(edges, at, "right")) - 1, int(np.searchsorted(edges, stop))
+        inside = np.diff(np.clip(edges[low:high + 1], at, stop))
+        coded = np.ones(stop - at, bool)
+        uncoded = (edges[low:high, None] + np.arange(depth)).ravel() - at
+        coded[uncoded[(uncoded >= 0) & (uncoded < stop - at)]] = False
+        back = np.concatenate([data[max(at - depth, 0):stop][::-1], np.zeros(8 + depth, np.uint8)])
+        before = np.ndarray(stop - at, ">u8", back, 1, (1,))  # the eight bytes before each place, nearest first
+        grams = before[::-1].astype(np.uint64) & context | data[at:stop]
+        yield grams[coded], np.repeat(np.arange(low, high), inside)[coded]
 
 
 def grams_of(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,14 +257,24 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return every[starts], np.add.reduceat(n, starts)
 
 
+def distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers of all parts, sorted, and how often each occurs."""
+    every = np.concatenate([np.zeros(0, np.uint64), *parts])
+    every.sort()
+    starts = first_of(every)
+    return every[starts], np.diff(starts, append=len(every)).astype(np.float64)
+
+
 def _counted_grams(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = [], []
+    keys, counts, held = [], [], []
     for grams, _ in windows(streams, depth) if streams else ():
-        grams.sort()
-        starts = first_of(grams)
-        keys.append(grams[starts])
-        counts.append(np.diff(starts, append=len(grams)).astype(np.float64))
-    return merged(keys, counts)
+        held.append(grams)
+        if len(held) * WINDOW > BLOCK_BYTES:
+            found, held = distinct(held), []
+            keys.append(found[0])
+            counts.append(found[1])
+    found = distinct(held)
+    return merged([*keys, found[0]], [*counts, found[1]]) if keys else found
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -334,9 +389,9 @@ def meet_at_the_top(parts: pa.Table) -> pa.Table:
 def tell_chances(depth: int, top):
     def run(asked: pa.Table) -> pa.Table:
         lists, every, counts = _counted(asked)
-        grams, counts, found = every[counts > 0], counts[counts > 0], np.zeros(len(every))
+        found = np.zeros(len(every))
         for k in range(8):  # one at a time, for memory
-            found += chances(every, [*top.value, *deep_levels(grams, counts, depth, [k])], [k])
+            found += chances_by_runs(every, counts, depth, top.value, k)
         name = asked["shard"][0].as_py()
         return table(TOLD, [(block, "gram", name, packed(found[np.searchsorted(every, g)]), 0, 0) for block, g in lists])
 
@@ -348,15 +403,13 @@ RESULT = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score doubl
 
 def _base_scores(texts: list[bytes], shards: int, tokens: int, known: int, answers: dict[int, pa.Buffer]) -> list[tuple[int, int, float]]:
     """Words, known words and smoothed unigram score of texts from the answers of the word shards."""
-    distinct: set[bytes] = set()
-    for text in texts:
-        distinct.update(words_of(text))
+    split = [words_of(text) for text in texts]
     count: dict[bytes, int] = {}
-    for shard, words in _dealt(distinct, shards).items():
+    for shard, words in _dealt(set().union(*split), shards).items():
         count.update(zip(words, unpacked(answers[shard], "<u8").tolist(), strict=True))
     out = []
-    for text in texts:
-        n = np.array([count[w] for w in words_of(text)], np.int64)
+    for words in split:
+        n = np.array([count[w] for w in words], np.int64)
         out.append((len(n), int((n > 0).sum()), float(np.log10((n + 0.5) / (tokens + 0.5 * (known + 1))).sum())))
     return out
 
@@ -369,7 +422,7 @@ def _gram_scores(texts: list[bytes], shards: int, depth: int, answers: dict[int,
         grams = grams[order]
         starts = first_of(grams)
         found.append((grams[starts], np.diff(starts, append=len(grams)).astype(np.int32), stream[order].astype(np.int32)))
-    every, _ = merged([g for g, _, _ in found], [np.zeros(len(g)) for g, _, _ in found])
+    every = distinct([g for g, _, _ in found])[0]
     order, parts = _by_context(every, shards)
     chance = np.empty(len(every))
     for shard, part in parts:

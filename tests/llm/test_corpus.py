@@ -190,6 +190,19 @@ def test_contexts_run_across_words(spark, monkeypatch):
     assert all((a == b).all() for a, b in zip((grams, stream), ctw.grams_of([ctw.stream_of(b"Ab c"), ctw.stream_of(b"")], 6), strict=True))
 
 
+def test_paths_by_runs_equal_paths_by_search():
+    grams, counts = ctw._counted_grams([ctw.stream_of(t) for t in (b"the cat sat on the mat", b"the hat", b"", b"a" * 70)], 6)
+    counts = np.where(np.arange(len(counts)) % 3 == 0, 0, counts)  # a third occurs in no training text
+    learnt, times = grams[counts > 0], counts[counts > 0]
+    for k in range(8):
+        deep = ctw.deep_levels(learnt, times, 6, [k])
+        keys = deep[0].parents()
+        top = ctw.top_levels(keys, deep[0].zeros, deep[0].ones, deep[0].weighted)
+        assert np.allclose(ctw.chances_by_runs(grams, counts, 6, top, k), ctw.chances(grams, [*top, *deep], [k]), rtol=1e-12, atol=1e-12)
+    every = [g for g, _ in ctw.windows([b"\0" + b"ab " * 900_000], 6)]
+    assert len(every) > 2 and sum(map(len, every)) == 2_700_001  # over several windows no byte is lost
+
+
 def test_each_node_meets_at_the_top_once():
     grams, _ = ctw.grams_of([ctw.stream_of(b"the cat sat on the mat")], 6)
     parts = [ctw.to_the_top(6)(ctw.table(ctw.ASKED, [(0, "gram", 0, ctw.packed(g), ctw.packed(np.ones(len(g), "<u4")))]))
