@@ -28,9 +28,11 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -295,11 +297,20 @@ def words_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), b""]
 
 
-def _dealt(words: Iterable[bytes], shards: int) -> dict[int, list[bytes]]:
-    by_shard: dict[int, list[bytes]] = {}
-    for word in sorted(words):
-        by_shard.setdefault(word_shard(word, shards), []).append(word)
-    return by_shard
+def _dealt(texts: list[bytes], shards: int) -> tuple[list[bytes], list[tuple[int, slice]], np.ndarray, np.ndarray]:
+    """Distinct words by shard and in order, each shard's part of them, the number of every word of the texts among them, and words per text."""
+    split = [words_of(text) for text in texts]
+    per_text = np.array([len(words) for words in split], np.int64)
+    coded = pa.array(chain.from_iterable(split), pa.large_binary(), size=int(per_text.sum())).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    words = coded.dictionary.take(pa.array(order)).to_pylist()
+    shard = np.fromiter((word_shard(w, shards) for w in words), np.int64, len(words))
+    by_shard = np.argsort(shard, kind="stable")
+    number = np.empty(len(words), np.int64)
+    number[order[by_shard]] = np.arange(len(words))
+    cuts = [*first_of(shard[by_shard]).tolist(), len(words)]
+    parts = [(int(shard[by_shard[a]]), slice(a, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [words[i] for i in by_shard.tolist()], parts, number[coded.indices.to_numpy()], per_text
 
 
 def _by_context(grams: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -314,13 +325,10 @@ def ask(shards: int, depth: int):
     """A block's distinct words and grams with their counts in training texts."""
     def run(docs: pa.Table) -> pa.Table:
         texts, used = docs["__text"].to_pylist(), docs["__train"].to_pylist()
-        name, words, others = docs["__block"][0].as_py(), Counter(), set()
-        for text, train in zip(texts, used, strict=True):
-            (words if train else others).update(words_of(text))
-        for word in others:
-            words.setdefault(word, 0)
-        rows = [(name, "word", shard, b"\n".join(part), packed(np.array([words[w] for w in part], "<u4")))
-                for shard, part in _dealt(words, shards).items()]
+        name = docs["__block"][0].as_py()
+        words, parts, number, per_text = _dealt(texts, shards)
+        times = np.bincount(number[np.repeat(np.array(used, bool), per_text)], minlength=len(words)).astype("<u4")
+        rows = [(name, "word", shard, b"\n".join(words[part]), packed(times[part])) for shard, part in parts]
         trained = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if train], depth)
         other = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if not train], depth)
         grams, counts = merged([trained[0], other[0]], [trained[1], np.zeros(len(other[0]))])
@@ -403,15 +411,14 @@ RESULT = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score doubl
 
 def _base_scores(texts: list[bytes], shards: int, tokens: int, known: int, answers: dict[int, pa.Buffer]) -> list[tuple[int, int, float]]:
     """Words, known words and smoothed unigram score of texts from the answers of the word shards."""
-    split = [words_of(text) for text in texts]
-    count: dict[bytes, int] = {}
-    for shard, words in _dealt(set().union(*split), shards).items():
-        count.update(zip(words, unpacked(answers[shard], "<u8").tolist(), strict=True))
-    out = []
-    for words in split:
-        n = np.array([count[w] for w in words], np.int64)
-        out.append((len(n), int((n > 0).sum()), float(np.log10((n + 0.5) / (tokens + 0.5 * (known + 1))).sum())))
-    return out
+    words, parts, number, per_text = _dealt(texts, shards)
+    count = np.empty(len(words), np.int64)
+    for shard, part in parts:
+        count[part] = unpacked(answers[shard], "<u8")
+    first = np.cumsum(per_text) - per_text
+    score = np.add.reduceat(np.log10((count + 0.5) / (tokens + 0.5 * (known + 1)))[number], first)
+    seen = np.add.reduceat((count > 0).astype(np.int64)[number], first)
+    return list(zip(per_text.tolist(), seen.tolist(), score.tolist(), strict=True))
 
 
 def _gram_scores(texts: list[bytes], shards: int, depth: int, answers: dict[int, pa.Buffer]) -> np.ndarray:
