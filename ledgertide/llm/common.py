@@ -202,6 +202,11 @@ def owned_by(name: str) -> None:
     _owner[0] = name
     for clear in _caches:
         clear()
+    unused_returned()
+
+
+def unused_returned() -> None:
+    """Give memory that this process has freed back to the system, so that the two workers of an executor don't both hold their peaks."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

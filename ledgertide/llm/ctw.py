@@ -28,7 +28,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, block_count, library_on_workers, stored, total_bytes
+from .common import as_bytes, block_count, library_on_workers, stored, total_bytes, unused_returned
 from .langid import remainder
 from .wordhash import mixed
 
@@ -45,6 +44,7 @@ SHARED = 3  # context bytes that decide a context's shard; nodes above are merge
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 24 << 20
 WINDOW = 1 << 20  # bytes of a block whose grams are held at once
+WORDS_AT_ONCE = 1 << 16
 FEW = 64  # counts below this have their logarithms in a table
 END = b"\n"
 LN10 = float(np.log(10))
@@ -299,9 +299,16 @@ def words_of(text: bytes) -> list[bytes]:
 
 def _dealt(texts: list[bytes], shards: int) -> tuple[list[bytes], list[tuple[int, slice]], np.ndarray, np.ndarray]:
     """Distinct words by shard and in order, each shard's part of them, the number of every word of the texts among them, and words per text."""
-    split = [words_of(text) for text in texts]
-    per_text = np.array([len(words) for words in split], np.int64)
-    coded = pa.array(chain.from_iterable(split), pa.large_binary(), size=int(per_text.sum())).dictionary_encode()
+    per_text, run, runs = np.zeros(len(texts), np.int64), [], []
+    for i, text in enumerate(texts):  # few words at once are held as Python's own objects
+        run += words_of(text)
+        per_text[i] = len(run) + sum(map(len, runs))
+        if len(run) >= WORDS_AT_ONCE or i == len(texts) - 1:
+            runs.append(pa.array(run, pa.large_binary()))
+            run = []
+    per_text = np.diff(per_text, prepend=0)
+    coded = pa.concat_arrays(runs).dictionary_encode()
+    del runs
     order = pc.sort_indices(coded.dictionary).to_numpy()
     words = coded.dictionary.take(pa.array(order)).to_pylist()
     shard = np.fromiter((word_shard(w, shards) for w in words), np.int64, len(words))
@@ -324,6 +331,7 @@ def _by_context(grams: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[
 def ask(shards: int, depth: int):
     """A block's distinct words and grams with their counts in training texts."""
     def run(docs: pa.Table) -> pa.Table:
+        unused_returned()
         texts, used = docs["__text"].to_pylist(), docs["__train"].to_pylist()
         name = docs["__block"][0].as_py()
         words, parts, number, per_text = _dealt(texts, shards)
@@ -367,6 +375,7 @@ TOP = "k int, keys binary, zeros binary, ones binary, below binary"
 def to_the_top(depth: int):
     """A context shard's share in the nodes of depth ``SHARED - 1``."""
     def run(asked: pa.Table) -> pa.Table:
+        unused_returned()
         _, grams, counts = _counted(asked)
         grams, counts, rows = grams[counts > 0], counts[counts > 0], []
         for k in range(8):  # one at a time, for memory
@@ -396,6 +405,7 @@ def meet_at_the_top(parts: pa.Table) -> pa.Table:
 
 def tell_chances(depth: int, top):
     def run(asked: pa.Table) -> pa.Table:
+        unused_returned()
         lists, every, counts = _counted(asked)
         found = np.zeros(len(every))
         for k in range(8):  # one at a time, for memory
@@ -442,6 +452,7 @@ def _gram_scores(texts: list[bytes], shards: int, depth: int, answers: dict[int,
 
 def _scored(shards: int, depth: int, tokens: int, known: int, kept: list[str]):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        unused_returned()
         texts = docs["__text"].to_pylist()
         answers: dict[str, dict[int, pa.Buffer]] = {"word": {}, "gram": {}}
         for kind, shard, answer in zip(told["kind"].to_pylist(), told["shard"].to_pylist(), told["answer"], strict=True):
