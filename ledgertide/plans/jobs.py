@@ -226,7 +226,8 @@ def write_emission_apy(store: TableStore, *yields: DataFrame) -> dict[str, int]:
 def preview(store: TableStore, planned: Planned, limit: int = 100) -> tuple[dict[str, int], DataFrame]:
     """What an upsert of ``planned`` would insert, update and reject, and ``limit`` of its rows with their ``op``.
 
-    Nothing is written. Stored rows are read for the days of the planned rows only.
+    No table is written. Stored rows are read for the days of the planned rows only,
+    and compared once, into the shared folder.
     """
     table, day = planned.table, schemas.TABLE_PARTITIONS.get(planned.table)
     rows = store.prepared(table, planned.rows)
@@ -237,9 +238,35 @@ def preview(store: TableStore, planned: Planned, limit: int = 100) -> tuple[dict
         low, high = rows.agg(F.min(day), F.max(day)).first()
         stored = stored.filter(F.col(day).isNull() | F.col(day).between(F.lit(low), F.lit(high)))
     merged = merged_rows(stored, last, keys).filter(F.col("_op") != "keep").withColumnRenamed("_op", "op")
+    merged = cut(merged, "preview")
     counts = merged.agg(F.count_if(F.col("op") == "insert"), F.count_if(F.col("op") == "update")).first()
     report = {"inserted": counts[0], "updated": counts[1], "rejected": planned.rejects.count()}
-    return report, merged.orderBy(*keys).limit(limit)
+    return report, _first_rows(merged, keys, limit, counts[0] + counts[1])
+
+
+#: Up to so many rows are picked by each task in memory and by one task at the end.
+_PICKED_IN_MEMORY = 10_000
+
+
+def _first_rows(rows: DataFrame, keys: Sequence[str], limit: int, total: int) -> DataFrame:
+    """The first ``limit`` of ``total`` rows by their keys, however many that are.
+
+    A sort with a limit keeps room for as many rows as the limit names in every
+    task. So only a small one is left to it; a larger one is cut from the sorted
+    rows, numbered within their partitions, by the partitions' row counts.
+    """
+    if limit >= total:
+        return rows.orderBy(*keys)
+    if limit <= _PICKED_IN_MEMORY:
+        return rows.orderBy(*keys).limit(limit)
+    numbered = cut(rows.orderBy(*keys).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", 33)  # the partition, above the row's number in it
+    end, left = -1, limit  # first position that is left out
+    for row in numbered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect():
+        end, left = (row.part << 33) + min(row.n, left), left - min(row.n, left)
+        if not left:
+            break
+    return numbered.filter(F.col("_at") < end).orderBy("_at").drop("_at")
 
 
 # --- daily price capture -----------------------------------------------------

@@ -106,6 +106,21 @@ def test_a_preview_counts_and_writes_nothing(spark, store):
     assert jobs.preview(store, planned)[0] == {"inserted": 0, "updated": 1, "rejected": 2}
 
 
+def test_a_preview_keeps_no_room_for_a_limit_it_does_not_reach(spark, store, monkeypatch):
+    keyed = spark.createDataFrame([(f"P{i:02d}", "A", "2024-01-01", i, 1.0, 1.0) for i in range(40)],
+                                  "pool_id string, asset_address string, snapshot_date string, ledger_sequence long, b_rate double, d_rate double")
+    planned = jobs._checked("pool_snapshots", keyed.withColumn("snapshot_date", F.col("snapshot_date").cast("date")), SNAPSHOT_RULES())
+    counts, rows = jobs.preview(store, planned, limit=10**9)  # room for so many rows in each task ended in want of memory
+    assert "TakeOrdered" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert counts["inserted"] == 40 and [r.ledger_sequence for r in rows.collect()] == list(range(40))
+    monkeypatch.setattr(jobs, "_PICKED_IN_MEMORY", 3)
+    for limit in (0, 2, 3, 4, 11, 39, 40):
+        rows = jobs.preview(store, planned, limit=limit)[1]
+        assert [r.ledger_sequence for r in rows.collect()] == list(range(limit))
+        assert limit <= 3 or "TakeOrdered" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.columns[0] == "op" and "_at" not in rows.columns
+
+
 def price_rows(spark, rows):
     return lambda: spark.createDataFrame(rows, "token_address string, price_date string, usd_price double, source string")
 
