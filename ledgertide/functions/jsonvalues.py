@@ -55,15 +55,20 @@ def i128_text(text: Column, low_word_only: bool = False, halves: Column | None =
     return F.when(text.startswith("{"), nested).when(~text.startswith("["), text)
 
 
+def _integer_keys(entries: Column) -> Column:
+    # Fields of an array of structs and a cast of the whole array run as generated code, a lambda per entry does not.
+    return entries["key"]["u32"].try_cast("array<bigint>")
+
+
 def keys_of(entries: Column) -> Column:
     """Distinct integer keys of ``array<struct<key:struct<u32>, val:…>>``, in order; unsigned 32-bit keys need a long."""
-    keyed = F.filter(entries, lambda e: e["key"]["u32"].try_cast("long").isNotNull())
-    return F.array_distinct(F.transform(keyed, lambda e: e["key"]["u32"].try_cast("long")))
+    return F.array_distinct(F.array_compact(_integer_keys(entries)))
 
 
 def find_by_key(entries: Column, key: Column | int) -> Column:
     """First entry with this integer key, NULL where there is none."""
-    return F.get(F.filter(entries, lambda e: e["key"]["u32"].try_cast("long") == key), 0)
+    key = (F.lit(key) if isinstance(key, int) else key).cast("bigint")
+    return F.get(entries, (F.array_position(_integer_keys(entries), key) - 1).cast("int"))
 
 
 def with_integers(df: DataFrame, texts: Mapping[str, Column], low_word_only: bool = False) -> DataFrame:

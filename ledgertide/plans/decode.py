@@ -250,12 +250,13 @@ _RESERVE_MAP = "array<struct<key:struct<u32:string>,val:struct<i128:string>>>"
 _POSITION_VAL = f"struct<map:array<struct<key:struct<u32:string>,val:struct<map:{_RESERVE_MAP}>>>>"
 _NUMBER_VAL = "struct<map:array<struct<key:struct<u32:string>,val:struct<i128:string,u64:string,u32:string>>>>"
 COLLATERAL, LIABILITIES, SUPPLY = 0, 1, 2
+STATE_KINDS = (POSITIONS, RESERVE_DATA, RESERVE_CONFIG)
 
 
 def entry_type(key_decoded: Column) -> Column:
     """Kind of a state entry: Positions, ResData, ResConfig or Unknown."""
     symbol = F.get_json_object(key_decoded, "$.vec[0].symbol")
-    return F.when(symbol.isin(POSITIONS, RESERVE_DATA, RESERVE_CONFIG), symbol).otherwise("Unknown")
+    return F.when(symbol.isin(*STATE_KINDS), symbol).otherwise("Unknown")
 
 
 def entries_of(df: DataFrame, kind: str, include_deleted: bool = False) -> DataFrame:

@@ -40,11 +40,12 @@ def event_batch_handler(store: TableStore, pools: Sequence[str] | None, backstop
             rejects = bad_actions.select("id", "reject_reason", F.lit("parsed_events").alias("table")).unionByName(
                 bad_events.select("id", "reject_reason", F.lit("backstop_events").alias("table")))
             store.write_batch("rejects", batch_id, rejects)
-            counters = batch.agg(F.count("*").alias("events_received")).select(
-                "events_received", F.lit(a["inserted"]).alias("actions_inserted"),
+            content, received = fingerprint(batch, F.lit(True))
+            counters = store.spark.range(1).select(
+                F.lit(received).cast("bigint").alias("events_received"), F.lit(a["inserted"]).alias("actions_inserted"),
                 F.lit(a["updated"]).alias("actions_updated"), F.lit(b["inserted"]).alias("backstop_inserted"),
                 F.lit(b["updated"]).alias("backstop_updated"))
-            store.write_batch("metrics", batch_id, counters, fingerprint(batch))
+            store.write_batch("metrics", batch_id, counters, content)
         finally:
             for held in (lending, backstop, batch):
                 held.unpersist()

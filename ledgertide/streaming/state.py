@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsonvalues import scalar_text
 from ..operators.asof import asof_join
 from ..operators.dedup import dedup_last, latest_per
 from ..plans import decode
@@ -36,9 +37,9 @@ def current_mapping(config_state: DataFrame) -> DataFrame:
     return latest_per(live, ["pool_id", "reserve_index"], ["ledger_sequence", "asset_address"], ["asset_address"])
 
 
-def split_mapped(held: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decoded positions → ``(rows with their asset, rows whose index has none)``."""
-    mapped = held.join(mapping, ["pool_id", "reserve_index"], "left")
+def split_mapped(held: DataFrame, mapping: DataFrame, hold=lambda mapped: mapped) -> tuple[DataFrame, DataFrame]:
+    """Decoded positions → ``(rows with their asset, rows whose index has none)``; ``hold`` may persist what both come from."""
+    mapped = hold(held.join(mapping, ["pool_id", "reserve_index"], "left"))
     return mapped.filter(F.col("asset_address").isNotNull()), mapped.filter(F.col("asset_address").isNull()).drop("asset_address")
 
 
@@ -80,52 +81,68 @@ def with_rates(store: TableStore, known: DataFrame) -> tuple[DataFrame, DataFram
         low, back = max(oldest, low - dt.timedelta(days=back)), back * 4
 
 
+def keyed(entries: DataFrame) -> DataFrame:
+    """Entries with what their key says as columns, as stored logs have them, so that each key is parsed once."""
+    found = entries.withColumns({"entry_type": F.get_json_object("key_decoded", "$.vec[0].symbol"),
+                                 "_address": F.get_json_object("key_decoded", "$.vec[1].address")})
+    return found.withColumns({"key_address": scalar_text(F.col("_address")), "_addressed": F.col("_address").isNotNull()}).drop("_address")
+
+
 def unreadable(entries: DataFrame) -> DataFrame:
     """Entries of a known kind that lack an address, a value or a readable close time."""
-    kind = decode.entry_type(F.col("key_decoded"))
-    address = F.get_json_object("key_decoded", "$.vec[1].address")
+    if "_addressed" not in entries.columns:
+        entries = keyed(entries)
     has_map = F.get_json_object("val_decoded", "$.map").isNotNull()
-    known = entries.withColumn("_kind", kind).filter(F.col("_kind") != "Unknown")
-    bad = known.filter(address.isNull() | (~F.col("deleted") & ~F.coalesce(has_map, F.lit(False)))
+    known = entries.filter(F.col("entry_type").isin(*decode.STATE_KINDS))
+    bad = known.filter(~F.col("_addressed") | (~F.col("deleted") & ~F.coalesce(has_map, F.lit(False)))
                        | F.col("closed_at").isNull())
     return bad.select(
-        F.concat(F.lit("unreadable entry of kind "), F.col("_kind")).alias("reject_reason"),
+        F.concat(F.lit("unreadable entry of kind "), F.col("entry_type")).alias("reject_reason"),
         F.col("contract_id").alias("pool_id"), F.lit(None).cast("string").alias("user_address"), "ledger_sequence")
 
 
 def state_batch_handler(store: TableStore):
     def handle(payloads: DataFrame, batch_id: int) -> None:
-        payloads = payloads.persist()
+        held_frames = []
+
+        def hold(frame: DataFrame) -> DataFrame:
+            held_frames.append(frame.persist())
+            return held_frames[-1]
+
         try:
-            entries, malformed = split_state_batches(payloads)
-            readable = entries.filter(F.get_json_object("key_decoded", "$.vec[1].address").isNotNull()
-                                      & F.col("closed_at").isNotNull())
+            # What is decoded and read several times is held; the payloads are read twice, here and for the fingerprint.
+            parts, malformed = split_state_batches(payloads)
+            entries = hold(keyed(parts).drop("key_decoded"))
+            readable = entries.filter(F.col("_addressed") & F.col("closed_at").isNotNull())
 
-            config = decode.decode_reserve_config(readable).filter(F.col("reserve_index").isNotNull())
+            config = hold(decode.decode_reserve_config(readable).filter(F.col("reserve_index").isNotNull()))
             configs = store.upsert("reserve_config_state", config, guard="ledger_sequence")
 
             rates = decode.decode_reserve_state(readable, mode="key", null_rate_as_zero=True)
-            last = dedup_last(rates, ["pool_id", "asset_address", "snapshot_date"],
-                              ["ledger_sequence", "snapshot_timestamp"])
+            last = hold(dedup_last(rates, ["pool_id", "asset_address", "snapshot_date"],
+                                   ["ledger_sequence", "snapshot_timestamp"]))
             pools = store.upsert("pool_snapshots", last, guard="ledger_sequence")
 
             mapping = current_mapping(store.read("reserve_config_state"))
             held = decode.decode_positions(readable, mode="key").withColumn("snapshot_date", F.to_date("snapshot_timestamp"))
             waiting = store.read("pending_positions").filter(~F.col("resolved")).drop("resolved")
-            known, unmapped = split_mapped(held, mapping)
+            known, unmapped = split_mapped(held, mapping, hold)
             freed, _ = split_mapped(waiting, mapping)
             found = decode.with_position_amounts(known.unionByName(freed).drop("reserve_index"))
             positions, tagged = with_rates(store, found)
+            held_frames.append(tagged)
             users = store.upsert("user_positions", positions, order_cols=("snapshot_timestamp", "entry_hash"))
             tagged.unpersist()
             # After the positions: a batch that stops in between tries the waiting ones again.
             store.upsert("pending_positions", unmapped.withColumn("resolved", F.lit(False)).unionByName(
                 freed.drop("asset_address").withColumn("resolved", F.lit(True))), order_cols=("resolved",))
 
-            rejects = unmapped_rejects(unmapped).unionByName(unreadable(entries)).unionByName(
-                malformed.select("reject_reason"), allowMissingColumns=True)
+            content, without_events = fingerprint(payloads, F.col("events").isNull())
+            rejects = unmapped_rejects(unmapped).unionByName(unreadable(entries))
+            if without_events:
+                rejects = rejects.unionByName(malformed.select("reject_reason"), allowMissingColumns=True)
             store.write_batch("state_rejects", batch_id, rejects)
-            kind = decode.entry_type(F.col("key_decoded"))
+            kind = F.col("entry_type")
             counters = entries.agg(
                 F.count("*").alias("events_received"), F.count_if(kind == "ResConfig").alias("configs_processed"),
                 F.count_if(kind == "ResData").alias("pools_processed"),
@@ -135,9 +152,10 @@ def state_batch_handler(store: TableStore):
                 "pools_inserted": F.lit(pools["inserted"]), "pools_updated": F.lit(pools["updated"]),
                 "positions_inserted": F.lit(users["inserted"]), "positions_updated": F.lit(users["updated"]),
             })
-            store.write_batch("state_metrics", batch_id, counters, fingerprint(payloads))
+            store.write_batch("state_metrics", batch_id, counters, content)
         finally:
-            payloads.unpersist()
+            for frame in held_frames:
+                frame.unpersist()
 
     return handle
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,10 +158,11 @@ _EXTRA_KEYS = {"reserve_config_state": ["pool_id", "asset_address", "reserve_ind
                "pending_positions": ["pool_id", "user_address", "reserve_index", "ledger_sequence"]}
 
 
-def fingerprint(batch: DataFrame) -> str:
-    """What a micro-batch holds, whatever the order of its rows."""
-    row = batch.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("h")).first()
-    return f"{row.n}:{row.h}"
+def fingerprint(batch: DataFrame, counted: Column) -> tuple[str, int]:
+    """What a micro-batch holds, whatever the order of its rows; and, from the same pass, in how many ``counted`` is true."""
+    row = batch.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("h"),
+                    F.count_if(counted).alias("counted")).first()
+    return f"{row.n}:{row.h}", row.counted
 
 
 def start(stream: DataFrame, handler, checkpoint: str, available_now: bool, processing_time: str | None = None):

@@ -237,3 +237,15 @@ def test_an_lp_ledger_of_several_entries_is_priced_once(spark):
     many += [s.entry("AllRecordData", None, s.keyed((0, s.keyed((0, s.flat(q))))), 7) for q in (10, 40)]
     one = snapshots.lp_prices(state(spark, many)).collect()
     assert [(r.lp_token_price, r.ledger_sequence) for r in one] == [(2.0, 7)]
+
+
+def test_entries_are_found_by_generated_code(spark):
+    """The first entry of a key, whatever else the map holds, without a lambda per entry."""
+    from ledgertide.functions.jsonvalues import find_by_key, keys_of
+
+    rows = spark.sql("""SELECT from_json('[{"key":{"u32":"x"},"val":"a"},{"key":null,"val":"b"},null,{"key":{"u32":" 3 "},"val":"c"},
+      {"key":{"u32":"4294967295"},"val":"d"},{"key":{"u32":"3"},"val":"e"}]', 'array<struct<key:struct<u32:string>,val:string>>') AS m""")
+    found = rows.select(keys_of(F.col("m")).alias("keys"), *[find_by_key(F.col("m"), k)["val"].alias(f"v{i}") for i, k in enumerate(
+        (3, 4, F.lit(4294967295), F.lit(None).cast("bigint")))], find_by_key(F.lit(None).cast(rows.schema["m"].dataType), 3)["val"].alias("none"))
+    assert tuple(found.first()) == ([3, 4294967295], "c", None, "d", None, None)
+    assert "lambdafunction" not in found._jdf.queryExecution().analyzed().toString()

@@ -233,6 +233,26 @@ def test_a_replay_keeps_counters_and_tables(spark, tmp_path):
     assert store.read_batches("state_metrics").first()["positions_inserted"] == 1
 
 
+def test_a_batch_decodes_its_positions_once(spark, tmp_path, monkeypatch):
+    """Waiting positions, rejects and stored ones come from one decoding."""
+    decoded, decode_positions = spark.sparkContext.accumulator(0), state_stream.decode.decode_positions
+
+    @F.udf("string")
+    def noted(text):
+        decoded.add(1)
+        return text
+
+    monkeypatch.setattr(state_stream.decode, "decode_positions", lambda entries, mode: decode_positions(
+        entries, mode=mode).withColumn("user_address", noted("user_address")))
+    post(tmp_path / "posts", "a", [change("ResConfig", "CA", s.config(0), 1), change("ResData", "CA", s.reserve(10**12, 10**12), 2),
+                                   change("Positions", "U1", s.positions({0: 5}, {}, {}), 3), change("Positions", "U2", s.positions({7: 5}, {}, {}), 4)])
+    payloads = spark.read.schema(schemas.STATE_BATCH).json(str(tmp_path / "posts"))
+    store = TableStore(spark, str(tmp_path / "tables"))
+    state_stream.state_batch_handler(store)(payloads, 0)
+    assert store.read("user_positions").count() == 1 and store.read("pending_positions").count() == 1
+    assert decoded.value == 2
+
+
 def test_on_time_positions_read_no_history(spark, tmp_path, monkeypatch):
     posts, store = tmp_path / "posts", TableStore(spark, str(tmp_path / "tables"))
     post(posts, "a", [change("ResConfig", "CA", s.config(0), 1)] + [
