@@ -18,3 +18,19 @@ _WORD = re.compile(f"[^{WHITE}]+")
 
 chunks = _CHUNK.findall
 words = _WORD.findall
+
+MARKS = ".,;:!?"
+
+
+def keeps_letters_whole(pattern: str) -> bool:
+    """Whether a chunk of ASCII letters, or of a space and such letters, is always one pre-token, and ``MARKS`` after it begin a new one.
+
+    So it is where the first alternative that can begin with a letter or a space
+    takes a whole run of letters; the space matters where chunks have one.
+    """
+    for part in pattern.split("|"):
+        if part in (" ?\\p{L}+", "[\\p{L}]+"):
+            return True
+        if not part.startswith("'"):
+            return False
+    return False

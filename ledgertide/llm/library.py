@@ -20,10 +20,11 @@ import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
-from .chunks import chunks, words
+from .chunks import MARKS, chunks, keeps_letters_whole, words
 from .common import Memo, droppable
 
 LATIN_END = "ɐ"
+CHUNK_ENTRIES, PIECE_ENTRIES = 400_000, 50_000  # words and words with marks need no memo of pieces
 _NOT_PLAIN = re.compile("[^\\x00-\u012f\u0131-\u024f]")  # beyond Latin, or a capital whose lower case is two characters
 
 
@@ -49,20 +50,32 @@ class LibraryCodec:
             pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(pattern).findall
         self.cut = words if self.folds else chunks
+        self.whole_letters = keeps_letters_whole(pattern)
         self.symbols = byte_symbols()
         self.model = self.tokenizer.model
-        self.piece_memo = Memo(self._encode_piece)
-        self.memo = Memo(self._encode_chunk)
+        self.piece_memo = Memo(self._encode_piece, PIECE_ENTRIES)
+        self.memo = Memo(self._encode_chunk, CHUNK_ENTRIES)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _encode_piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.symbols)
+    def _merged(self, mapped: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
+    def _encode_piece(self, piece: str) -> bytes:
+        return self._merged(piece.encode().decode("latin-1").translate(self.symbols))
+
     def _encode_chunk(self, chunk: str) -> bytes:
-        if not chunk.isascii() and max(chunk) >= LATIN_END:
+        if chunk.isascii():
+            word = chunk.rstrip(MARKS)
+            letters = word[1:] if word[:1] == " " else word
+            if self.whole_letters and letters.isalpha():
+                if len(word) < len(chunk):
+                    return self.memo[word] + self.memo[chunk[len(word):]]
+                if len(letters) < len(word):
+                    return self._merged(self.symbols[32] + letters)  # a letter stands for itself
+                return self._merged(letters.lower() if self.folds else letters)
+        elif max(chunk) >= LATIN_END:
             return self._whole(chunk)
         if self.folds:
             chunk = unicodedata.normalize("NFC", chunk).lower()

@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgertide.llm import bpe, counts, packing, tokenfiles
-from ledgertide.llm.library import library_codec
+from ledgertide.llm.chunks import keeps_letters_whole
+from ledgertide.llm.library import LibraryCodec, library_codec
 from tests.llm.conftest import ROWS
 
 CODEC = bpe.codec(P.path(bpe.DEFAULT_RANKS), P.PATTERN)
@@ -157,3 +158,19 @@ def test_registered_columns_equal_the_libraries_on_a_whole_table(spark):
             assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(right), zlib.crc32(right[at:at + r.length].tobytes()))
             at += r.length
         assert at == len(right)
+
+
+def test_words_with_and_without_marks_share_one_merge():
+    for name, tokenizer in ((tokenfiles.DEFAULT_TOKENIZER, BYTE), (packing.DEFAULT_TOKENIZER, WORD)):
+        codec, text = LibraryCodec(P.path(name)), "Zyxo zyxo zyxo, zyxo. zyxo?! it's 'st ?'s a9;"
+        assert ids(codec.encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids
+        assert " zyxo," not in codec.piece_memo and not {"zyxo", " zyxo"} & set(codec.piece_memo) and any("zyxo" in c for c in codec.memo)
+    assert CODEC.encode(" qvwx, qvwx") == CODEC.encode(" qvwx") + CODEC.encode(",") + CODEC.encode(" qvwx")
+    assert " qvwx" in CODEC.memo and "," in CODEC.memo
+    assert keeps_letters_whole(P.PATTERN) and not keeps_letters_whole("[a-z]+|.") and not keeps_letters_whole(r"\\d|[A-Z]| ?\\p{L}+")
+
+
+def test_digests_need_no_text_back_from_the_workers(docs):
+    coded = bpe.encode(docs, decoded="decoded", kept=["doc_id"])
+    assert coded.columns == ["doc_id", "ids", "decoded"] and coded.count() == len(ROWS)
+    assert bpe.encode(docs, kept=[]).columns == ["ids"]
