@@ -154,7 +154,8 @@ def read(spark: SparkSession, path: str, values: tuple[Column | str, ...] = ("id
                 segment = Segment(row["levels"], row["bitmaps"], row["ranks"])
                 ends = np.array(row["ends"], np.int64)
                 starts = np.concatenate([[0], ends[:-1]])
-                ids = [segment.tokens(s, e).astype("<u4").tobytes() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+                every = segment.tokens(0, int(ends[-1])).astype("<u4").tobytes()  # one rank query per level for all documents
+                ids = [every[4 * s:4 * e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
                 n = len(ends)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["part"]] * n, pa.int32()), pa.array([row["seq"]] * n, pa.int64()),
