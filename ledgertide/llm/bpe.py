@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import functools
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -25,14 +25,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import chunks
-from .common import Memo, carried, carried_and, droppable, map_batches, released, text_or_empty
+from .chunks import MARKS, chunks, keeps_letters_whole
+from .common import Memo, carried_and, droppable, map_batches, positional, released, text_or_empty
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 KEYS_PER_BUCKET = 4
 TRIES = ((0, 64), (64, 1024), (1024, 32768))
 PRIME = 2**31 - 1
 SLICE_ROWS = 512
+CHUNK_ENTRIES, PIECE_ENTRIES = 300_000, 50_000  # words and words with marks need no memo of pieces
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -145,8 +146,9 @@ class Codec:
         self.token = [b""] * size
         for token, rank in self.ranks.items():
             self.token[rank] = token
-        self.piece_memo = Memo(self._encode_piece)
-        self.memo = Memo(self._encode_chunk)
+        self.whole_letters = keeps_letters_whole(pattern) and "[\\p{L}]+" not in pattern  # after a space too
+        self.piece_memo = Memo(self._encode_piece, PIECE_ENTRIES)
+        self.memo = Memo(self._encode_chunk, CHUNK_ENTRIES)
 
     @functools.cached_property
     def whole(self) -> PerfectHash:
@@ -158,6 +160,10 @@ class Codec:
         return array("I", [known] if known is not None else merge_bytes(raw, self.ranks)).tobytes()
 
     def _encode_chunk(self, chunk: str) -> bytes:
+        if self.whole_letters and chunk.isascii():
+            word = chunk.rstrip(MARKS)
+            if (word[1:] if word[:1] == " " else word).isalpha():
+                return self.memo[word] + self.memo[chunk[len(word):]] if len(word) < len(chunk) else self._encode_piece(chunk)
         return b"".join(map(self.piece_memo.__getitem__, self.pieces(chunk)))
 
     def encode(self, text: str) -> bytes:
@@ -178,13 +184,15 @@ droppable(codec.cache_clear)
 
 
 def encode(df: DataFrame, text: str = "text", ranks: str | None = None, pattern: str = public_tokenizers.PATTERN,
-           out: str = "ids", decoded: str | None = None) -> DataFrame:
+           out: str = "ids", decoded: str | None = None, kept: Sequence[str] | None = None) -> DataFrame:
     """Add ``out``: each text's token ids as little-endian unsigned 32-bit integers (binary).
 
     With ``decoded`` also that column: the bytes that these ids decode to, made
     in the same pass. A null text counts as empty and has no ids. Every row of
-    the input gives one row, in place, with all its other columns; existing
-    columns of the new ones' names are replaced. Repeated rows are encoded alike.
+    the input gives one row, in place, with all its other columns, or with those
+    of ``kept`` only: a text that is not kept goes to the workers once and does
+    not come back. Existing columns of the new ones' names are replaced.
+    Repeated rows are encoded alike.
     """
     path = ranks or public_tokenizers.path(DEFAULT_RANKS)
 
@@ -198,10 +206,12 @@ def encode(df: DataFrame, text: str = "text", ranks: str | None = None, pattern:
                                              names=["carried", out, *([decoded] if decoded else [])])
 
     new = (out, decoded) if decoded else (out,)
-    names, texts = carried(df, text=text)
-    prepared = texts.select("carried", text_or_empty("text").alias("__text"))
+    names, inner = positional(df)
+    at = [i for i, n in enumerate(names) if kept is None or n in kept]
+    row = [F.col(f"c{i}").alias(f"c{n}") for n, i in enumerate(at)] or [F.lit(0).alias("c0")]
+    prepared = inner.select(F.struct(*row).alias("carried"), text_or_empty(f"c{names.index(text)}").alias("__text"))
     fields = carried_and(prepared, ", ".join(f"`{c}` binary" for c in new))
-    return released(map_batches(prepared, run, fields), names, new)
+    return released(map_batches(prepared, run, fields), [names[i] for i in at], new)
 
 
 def decode(df: DataFrame, ids: str = "ids", ranks: str | None = None, pattern: str = public_tokenizers.PATTERN,
@@ -224,7 +234,7 @@ def decode(df: DataFrame, ids: str = "ids", ranks: str | None = None, pattern: s
 
 def op1_byte_bpe(documents: DataFrame) -> DataFrame:
     """Digests of every document's ids and of what they decode to."""
-    coded = encode(documents.select("doc_id", "text"), decoded="decoded")
+    coded = encode(documents, decoded="decoded", kept=["doc_id"])
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
