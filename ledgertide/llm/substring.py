@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_count, carried_and, carried_once, library_on_workers, owned_by, released, total_bytes
+from .common import block_count, carried_and, carried_once, frugal, library_on_workers, owned_by, released, total_bytes
 from .wordhash import Words, ascending, from_ascending, from_planes, planes, words_of
 
 WINDOW = 20
@@ -245,13 +245,13 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
         .withColumn("__block", F.pmod(F.xxhash64("__key"), F.lit(blocks)).cast("int"))
     )
     by_block = docs.groupBy("__block")
-    hits = by_block.applyInArrow(ask_anchors(shards), ASKED).groupBy("shard").applyInArrow(tell_anchors, TOLD)
+    hits = by_block.applyInArrow(frugal(ask_anchors(shards)), ASKED).groupBy("shard").applyInArrow(frugal(tell_anchors), TOLD)
     firsts = (
-        by_block.cogroup(hits.groupBy("block")).applyInArrow(ask_windows(shards), ASKED)
-        .groupBy("shard").applyInArrow(tell_windows, TOLD)
+        by_block.cogroup(hits.groupBy("block")).applyInArrow(frugal(ask_windows(shards)), ASKED)
+        .groupBy("shard").applyInArrow(frugal(tell_windows), TOLD)
     )
     fields = carried_and(df, "__text binary, n_words bigint, n_removed bigint, kept_text string, removed_spans array<struct<start:int,length:int>>")
-    left = by_block.cogroup(hits.unionByName(firsts).groupBy("block")).applyInArrow(_results(["carried", "__text"]), fields)
+    left = by_block.cogroup(hits.unionByName(firsts).groupBy("block")).applyInArrow(frugal(_results(["carried", "__text"])), fields)
     return released(left, names, new, (text, kind))
 
 
