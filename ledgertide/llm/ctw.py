@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, block_count, library_on_workers, stored, total_bytes, unused_returned
+from .common import as_bytes, block_count, library_on_workers, stored, total_bytes, frugal
 from .langid import remainder
 from .wordhash import mixed
 
@@ -134,16 +134,21 @@ def node_keys(grams: np.ndarray, depth: int, place: np.ndarray) -> np.ndarray:
 
 def deep_levels(grams: np.ndarray, counts: np.ndarray, depth: int, ks: Iterable[int] = range(8)) -> list[Level]:
     """Levels ``SHARED … depth`` (as a list by depth, shallowest first), of all decisions or of the ``ks``-th, whose nodes meet no others."""
+    return list(levels_up(grams, counts, depth, ks))[::-1]
+
+
+def levels_up(grams: np.ndarray, counts: np.ndarray, depth: int, ks: Iterable[int]) -> Iterator[Level]:
+    """The same levels one by one, deepest first, so that who needs the last holds two at most."""
     symbol, leaves = grams & np.uint64(255), []
     for k in ks:  # keys of later decisions are larger
         place, one = decision(symbol, k)
         leaves.append(Level.of(node_keys(grams, depth, place), np.where(one, 0.0, counts), np.where(one, counts, 0.0), None))
     level = Level(*(np.concatenate([getattr(leaf, f) for leaf in leaves]) for f in ("keys", "zeros", "ones", "weighted", "own")))
-    levels = [level]
+    del leaves
+    yield level
     for _ in range(depth - SHARED):
         level = Level.of(level.parents(), level.zeros, level.ones, level.weighted)
-        levels.append(level)
-    return levels[::-1]
+        yield level
 
 
 def top_levels(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> list[Level]:
@@ -331,7 +336,6 @@ def _by_context(grams: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[
 def ask(shards: int, depth: int):
     """A block's distinct words and grams with their counts in training texts."""
     def run(docs: pa.Table) -> pa.Table:
-        unused_returned()
         texts, used = docs["__text"].to_pylist(), docs["__train"].to_pylist()
         name = docs["__block"][0].as_py()
         words, parts, number, per_text = _dealt(texts, shards)
@@ -375,11 +379,11 @@ TOP = "k int, keys binary, zeros binary, ones binary, below binary"
 def to_the_top(depth: int):
     """A context shard's share in the nodes of depth ``SHARED - 1``."""
     def run(asked: pa.Table) -> pa.Table:
-        unused_returned()
-        _, grams, counts = _counted(asked)
+        grams, counts = _counted(asked)[1:]  # the blocks' own grams go
         grams, counts, rows = grams[counts > 0], counts[counts > 0], []
         for k in range(8):  # one at a time, for memory
-            level = deep_levels(grams, counts, depth, [k])[0]
+            for level in levels_up(grams, counts, depth, [k]):
+                pass  # only the last, the shallowest
             keys, starts = level.parents(), first_of(level.parents())
             sums = [np.add.reduceat(v, starts) for v in (level.zeros, level.ones, level.weighted)]
             rows.append((k, keys[starts].tobytes(), *(s.tobytes() for s in sums)))
@@ -405,7 +409,6 @@ def meet_at_the_top(parts: pa.Table) -> pa.Table:
 
 def tell_chances(depth: int, top):
     def run(asked: pa.Table) -> pa.Table:
-        unused_returned()
         lists, every, counts = _counted(asked)
         found = np.zeros(len(every))
         for k in range(8):  # one at a time, for memory
@@ -452,7 +455,6 @@ def _gram_scores(texts: list[bytes], shards: int, depth: int, answers: dict[int,
 
 def _scored(shards: int, depth: int, tokens: int, known: int, kept: list[str]):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        unused_returned()
         texts = docs["__text"].to_pylist()
         answers: dict[str, dict[int, pa.Buffer]] = {"word": {}, "gram": {}}
         for kind, shard, answer in zip(told["kind"].to_pylist(), told["shard"].to_pylist(), told["answer"], strict=True):
@@ -488,17 +490,17 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", depth: int = D
         .withColumn("__block", F.pmod(F.xxhash64("__text", *spread), F.lit(blocks)).cast("int"))
     )
     by_block = docs.groupBy("__block")
-    asked = stored(by_block.applyInArrow(ask(shards, depth), ASKED), "asked")
-    counts = stored(asked.where("kind = 'word'").groupBy("shard").applyInArrow(tell_words, TOLD), "counts")
+    asked = stored(by_block.applyInArrow(frugal(ask(shards, depth)), ASKED), "asked")
+    counts = stored(asked.where("kind = 'word'").groupBy("shard").applyInArrow(frugal(tell_words), TOLD), "counts")
     sums = counts.agg(F.sum("tokens"), F.sum("known")).first()
     tokens, known = int(sums[0] or 0), int(sums[1] or 0)
     by_context = asked.where("kind = 'gram'").groupBy("shard")
-    shares = by_context.applyInArrow(to_the_top(depth), TOP)
-    met = shares.groupBy("k").applyInArrow(meet_at_the_top, TOP).toArrow()
+    shares = by_context.applyInArrow(frugal(to_the_top(depth)), TOP)
+    met = shares.groupBy("k").applyInArrow(frugal(meet_at_the_top), TOP).toArrow()
     top = df.sparkSession.sparkContext.broadcast(top_levels(*joined(met)))
-    told = counts.unionByName(by_context.applyInArrow(tell_chances(depth, top), TOLD))
+    told = counts.unionByName(by_context.applyInArrow(frugal(tell_chances(depth, top)), TOLD))
     fields = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept], RESULT])
-    return by_block.cogroup(told.groupBy("block")).applyInArrow(_scored(shards, depth, tokens, known, kept), fields)
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(frugal(_scored(shards, depth, tokens, known, kept)), fields)
 
 
 def op2_context_tree(documents: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Corpus operators against brute force, on small rows with every odd case, and the pipeline."""
 
+import inspect
 import math
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgertide.llm import ctw, exact, jaccard, langid, substring, topk
+from ledgertide.llm import common, ctw, exact, jaccard, langid, substring, topk
 from tests.conftest import SF
 from tests.llm.conftest import ROWS
 
@@ -290,3 +291,23 @@ def test_columns_of_any_name_come_out_of_every_stage(spark, docs):
         assert out.columns == wide.columns, name
         rows = out.collect()
         assert rows and all(r[c] == f"mine{i}" for r in rows for i, c in enumerate(CLASHES)), name
+
+
+def test_blocks_give_their_memory_back_when_they_are_done(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "unused_returned", lambda: given.append(len(given)))
+    one, two = common.frugal(lambda a: (a, len(given))), common.frugal(lambda a, b: (a, b, len(given)))
+    assert one("a") == ("a", 1) and two("a", "b") == ("a", "b", 3) and len(given) == 4
+    assert [f.__code__.co_argcount for f in (one, two)] == [1, 2]  # by which Spark calls them
+    source = inspect.getsource(substring.remove_repeats) + inspect.getsource(ctw.score_texts)
+    assert source.count("applyInArrow(") == source.count("applyInArrow(frugal(") == 11
+
+
+def test_levels_come_one_by_one_deepest_first():
+    grams = np.sort(np.random.default_rng(1).integers(0, 2**63, 50).astype(np.uint64))
+    times = np.arange(50.0) + 1
+    for k in range(8):
+        steps = ctw.levels_up(grams, times, 6, [k])
+        assert iter(steps) is steps  # not held as a list
+        for a, b in zip(list(steps)[::-1], ctw.deep_levels(grams, times, 6, [k]), strict=True):
+            assert (a.keys == b.keys).all() and (a.weighted == b.weighted).all() and (a.zeros == b.zeros).all()
