@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..constants import PRICE_BACKFILL, SRC_BACKFILL
 from ..functions.timewindow import optional_window
-from ..operators.coverage import ALL, COVERAGE, gaps
+from ..operators.coverage import ALL, COVERAGE, gaps, islands
 from ..operators.dedup import dedup_first, dedup_last
 from ..operators.upsert import merged_rows
 from ..operators.validate import BALANCE_RULES, POSITION_RULES, SNAPSHOT_RULES, Rule, required, validate
@@ -67,11 +67,13 @@ class Todo:
 
 
 def todo(store: TableStore, table: str, log: DataFrame, contracts: Sequence[str] | None = None, start_date=None, end_date=None,
-         resume: bool = False, source: str = SRC_BACKFILL) -> Todo:
+         resume: bool = False, source: str = SRC_BACKFILL, by_contract: bool = False) -> Todo:
     """The days to run: all of the window, or with ``resume`` the gaps of each contract.
 
     Two days of the log are looked up (its partitions tell them). A contract's gaps
     come to the driver, one row each; contracts with the same gap share a predicate.
+    ``by_contract``: no row of the table rests on rows of several contracts. A run
+    over all contracts then leaves out the days that a run of some has covered.
     """
     scopes = sorted(set(contracts)) if contracts is not None else [ALL]
     rows = log if contracts is None else log.filter(F.col("contract_id").isin(scopes))
@@ -85,6 +87,10 @@ def todo(store: TableStore, table: str, log: DataFrame, contracts: Sequence[str]
         named = store.spark.createDataFrame([(s,) for s in scopes], "scope string")
         wanted = sorted(tuple(r) for r in gaps(done, named, first, last).collect())
         rows = rows.filter(_in_gaps(rows, wanted)) if wanted else rows
+        if by_contract and wanted and contracts is None:
+            named = islands(done.filter(F.col("scope") != ALL)).filter((F.col("last_day") >= F.lit(first)) & (F.col("first_day") <= F.lit(last)))
+            covered = sorted(tuple(r) for r in named.select("scope", "first_day", "last_day").collect())
+            rows = rows.filter(~F.coalesce(_in_gaps(rows, covered), F.lit(False))) if covered else rows
     # The newest day of the log may still grow, so it is never noted as done.
     complete = newest - dt.timedelta(days=1)
     return Todo(rows, min((w[1] for w in wanted), default=first), max((w[2] for w in wanted), default=last),
@@ -158,7 +164,7 @@ def plan_pool_snapshots(state: DataFrame, pools: Sequence[str] | None = None, st
 
 def backfill_lending_events(store: TableStore, raw: DataFrame, pools: Sequence[str] | None = None, start_date=None,
                             end_date=None, resume: bool = False) -> dict[str, int]:
-    run = todo(store, "parsed_events", raw, pools, start_date, end_date, resume)
+    run = todo(store, "parsed_events", raw, pools, start_date, end_date, resume, by_contract=True)
     if run.nothing:
         return dict(_NOTHING)
     return _finish(store, plan_lending_events(store, run.log, pools, **run.window()), run)

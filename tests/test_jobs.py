@@ -74,6 +74,21 @@ def test_a_run_is_planned_over_what_is_missing(spark, store):
     assert inside.nothing and not inside.intervals
 
 
+def test_a_run_over_all_contracts_leaves_out_what_runs_of_some_have_covered(spark, store):
+    raw = log(spark, [(c, d) for c in ("P0", "P1", None) for d in range(20)])
+    for scope, first, last in (("P0", 2, 5), ("P0", 6, 18), ("P1", 0, 3), ("P9", 0, 18)):
+        store.append("coverage", spark.createDataFrame([("parsed_events", "bq", scope, D[first], D[last])], COVERAGE))
+    store.append("coverage", spark.createDataFrame([("parsed_events", "sdk", "P1", D[0], D[18])], COVERAGE))  # another source
+    run = jobs.todo(store, "parsed_events", raw, resume=True, by_contract=True)
+    days = {}
+    for r in run.log.collect():
+        days.setdefault(r.contract_id, []).append((r.date - D[0]).days)
+    assert {c: sorted(d) for c, d in days.items()} == {"P0": [0, 1, 19], "P1": list(range(4, 20)), None: list(range(20))}
+    assert run.intervals == [("*", D[0], D[18])]
+    assert jobs.todo(store, "parsed_events", raw, resume=True).log.count() == 60  # rows of other tables may rest on several contracts
+    assert jobs.todo(store, "parsed_events", raw, by_contract=True).log.count() == 60  # no resume
+
+
 def test_an_empty_log_and_streamed_rows_leave_everything_to_do(spark, store):
     assert jobs.todo(store, "parsed_events", log(spark, []), resume=True).nothing
     rows = spark.createDataFrame([("b", "gs", "2024-01-09 10:00:00")], "id string, src string, at string")
