@@ -45,6 +45,7 @@ BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 24 << 20
 WINDOW = 1 << 20  # bytes of a block whose grams are held at once
 WORDS_AT_ONCE = 1 << 16
+GRAMS_AT_ONCE = 1 << 18  # of a shard, whose nodes are held at once
 FEW = 64  # counts below this have their logarithms in a table
 END = b"\n"
 LN10 = float(np.log(10))
@@ -366,27 +367,62 @@ def tell_words(asked: pa.Table) -> pa.Table:
         for i, (block, words) in enumerate(lists)])
 
 
-def _counted(asked: pa.Table) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]:
-    """Each block's grams, all distinct grams and their counts."""
-    rows = asked.sort_by("block").to_pylist()
-    lists = [(r["block"], unpacked(r["keys"], "<u8")) for r in rows]
-    return lists, *merged([g for _, g in lists], [unpacked(r["counts"], "<u4").astype(np.float64) for r in rows])
+def _lists(asked: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each block's sorted grams and their counts, one block at a time."""
+    blocks, keys, counts = asked["block"].to_pylist(), asked["keys"], asked["counts"]
+    for i in sorted(range(len(blocks)), key=blocks.__getitem__):
+        yield blocks[i], unpacked(keys[i].as_buffer(), "<u8"), unpacked(counts[i].as_buffer(), "<u4")
+
+
+def _counted(asked: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """All distinct grams, sorted, and their counts: blocks are merged whenever they hold more than what has been merged."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for _, grams, times in _lists(asked):
+        keys.append(grams)
+        counts.append(times.astype(np.float64))
+        if sum(map(len, keys[1:])) > max(GRAMS_AT_ONCE, len(keys[0])):
+            keys, counts = ([a] for a in merged(keys, counts))
+    return merged(keys, counts)
+
+
+def context_slices(grams: np.ndarray, least: int | None = None) -> Iterator[slice]:
+    """Parts of sorted grams, of ``least`` and hardly more, none of which shares a context of ``SHARED`` bytes with another.
+
+    So the nodes below the top of one part meet no others.
+    """
+    starts, at = first_of(grams >> np.uint64(64 - 8 * SHARED)), 0
+    while at < len(grams):
+        i = int(np.searchsorted(starts, at + (least or GRAMS_AT_ONCE)))
+        stop = int(starts[i]) if i < len(starts) else len(grams)
+        yield slice(at, stop)
+        at = stop
 
 
 TOP = "k int, keys binary, zeros binary, ones binary, below binary"
 
 
+def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Distinct keys, sorted, and the sums of each one's values."""
+    order = np.argsort(keys, kind="stable")
+    starts = first_of(keys[order])
+    return [keys[order][starts], *(np.add.reduceat(v[order], starts) for v in values)]
+
+
 def to_the_top(depth: int):
     """A context shard's share in the nodes of depth ``SHARED - 1``."""
     def run(asked: pa.Table) -> pa.Table:
-        grams, counts = _counted(asked)[1:]  # the blocks' own grams go
-        grams, counts, rows = grams[counts > 0], counts[counts > 0], []
-        for k in range(8):  # one at a time, for memory
-            for level in levels_up(grams, counts, depth, [k]):
-                pass  # only the last, the shallowest
-            keys, starts = level.parents(), first_of(level.parents())
-            sums = [np.add.reduceat(v, starts) for v in (level.zeros, level.ones, level.weighted)]
-            rows.append((k, keys[starts].tobytes(), *(s.tobytes() for s in sums)))
+        grams, counts = _counted(asked)
+        grams, counts = grams[counts > 0], counts[counts > 0]
+        shares: list[list[list[np.ndarray]]] = [[] for _ in range(8)]
+        for part in context_slices(grams):
+            for k in range(8):  # one at a time, for memory
+                for level in levels_up(grams[part], counts[part], depth, [k]):
+                    pass  # only the last, the shallowest
+                shares[k].append(_summed(level.parents(), level.zeros, level.ones, level.weighted))
+        rows = []
+        for k, parts in enumerate(shares):
+            keys, *values = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else [np.zeros(0, np.uint64), *[np.zeros(0)] * 3]
+            rows.append((k, *(a.tobytes() for a in _summed(keys, *values))))
         return table(TOP, rows)
 
     return run
@@ -400,21 +436,18 @@ def joined(parts: pa.Table) -> list[np.ndarray]:
 
 def meet_at_the_top(parts: pa.Table) -> pa.Table:
     """The shards' shares in the nodes of a decision, each node once."""
-    keys, *values = joined(parts)
-    order = np.argsort(keys, kind="stable")
-    starts = first_of(keys[order])
-    sums = [np.add.reduceat(v[order], starts).tobytes() for v in values]
-    return table(TOP, [(parts["k"][0].as_py(), keys[order][starts].tobytes(), *sums)])
+    return table(TOP, [(parts["k"][0].as_py(), *(a.tobytes() for a in _summed(*joined(parts))))])
 
 
 def tell_chances(depth: int, top):
     def run(asked: pa.Table) -> pa.Table:
-        lists, every, counts = _counted(asked)
+        every, counts = _counted(asked)
         found = np.zeros(len(every))
-        for k in range(8):  # one at a time, for memory
-            found += chances_by_runs(every, counts, depth, top.value, k)
+        for part in context_slices(every):
+            for k in range(8):  # one at a time, for memory
+                found[part] += chances_by_runs(every[part], counts[part], depth, top.value, k)
         name = asked["shard"][0].as_py()
-        return table(TOLD, [(block, "gram", name, packed(found[np.searchsorted(every, g)]), 0, 0) for block, g in lists])
+        return table(TOLD, [(block, "gram", name, packed(found[np.searchsorted(every, g)]), 0, 0) for block, g, _ in _lists(asked)])
 
     return run
 

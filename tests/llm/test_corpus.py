@@ -311,3 +311,25 @@ def test_levels_come_one_by_one_deepest_first():
         assert iter(steps) is steps  # not held as a list
         for a, b in zip(list(steps)[::-1], ctw.deep_levels(grams, times, 6, [k]), strict=True):
             assert (a.keys == b.keys).all() and (a.weighted == b.weighted).all() and (a.zeros == b.zeros).all()
+
+
+def test_a_shard_is_worked_off_in_parts_that_share_no_context(monkeypatch):
+    rng = np.random.default_rng(2)
+    grams = [np.unique(rng.integers(0, 5, (400, 8)).astype(np.uint8).view(">u8").ravel().astype(np.uint64)) for _ in range(3)]
+    grams = [np.unique(g & np.uint64(2**64 - 2**16) | g & np.uint64(255)) for g in grams]
+    rows = [(b, "gram", 0, ctw.packed(g), ctw.packed(rng.integers(0, 4, len(g)).astype("<u4"))) for b, g in enumerate(grams)]
+    asked = ctw.table(ctw.ASKED, rows)
+
+    class Top:
+        value = ctw.top_levels(*[np.concatenate([a for a in x]) for x in zip(*[ctw.joined(ctw.to_the_top(6)(asked))], strict=True)])
+
+    whole = [ctw.to_the_top(6)(asked).to_pylist(), ctw.tell_chances(6, Top)(asked).to_pylist()]
+    parts, own = [], ctw.context_slices
+    monkeypatch.setattr(ctw, "GRAMS_AT_ONCE", 20)
+    monkeypatch.setattr(ctw, "context_slices", lambda g: (parts.append(p) or p for p in own(g)))
+    small = [ctw.to_the_top(6)(asked).to_pylist(), ctw.tell_chances(6, Top)(asked).to_pylist()]
+    assert len(parts) > 10 and max(p.stop - p.start for p in parts) < 120
+    for a, b in zip(whole[0], small[0], strict=True):
+        assert a["keys"] == b["keys"] and a["zeros"] == b["zeros"] and np.allclose(np.frombuffer(a["below"]), np.frombuffer(b["below"]))
+    for a, b in zip(whole[1], small[1], strict=True):
+        assert a["block"] == b["block"] and np.allclose(ctw.unpacked(a["answer"], "<f8"), ctw.unpacked(b["answer"], "<f8"))
