@@ -98,12 +98,12 @@ def released(df: DataFrame, names: list[str], new: tuple[str, ...], once: tuple[
     return df.select(*own, *new).toDF(*[names[i] for i in kept], *new)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 4000) -> None:
-    """Keep one Arrow batch of whole texts at a few dozen MB."""
+def bounded_batches(spark: SparkSession, rows: int = 4000, nbytes: int = 2**26) -> None:
+    """Keep one Arrow batch of whole texts at a few dozen MB, or at ``nbytes``: a group's rows then go to the worker in several."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", str(2**31 - 1)).removesuffix("b")) > 2**26:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2**26))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", str(2**31 - 1)).removesuffix("b")) > nbytes:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(nbytes))
 
 
 def positional(df: DataFrame) -> tuple[list[str], DataFrame]:

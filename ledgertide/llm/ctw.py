@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, block_count, library_on_workers, stored, total_bytes, frugal
+from .common import as_bytes, block_count, bounded_batches, frugal, library_on_workers, stored, total_bytes
 from .langid import remainder
 from .wordhash import mixed
 
@@ -43,6 +43,7 @@ DEPTH = 6  # context bytes
 SHARED = 3  # context bytes that decide a context's shard; nodes above are merged in one place
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 24 << 20
+GROUP_BATCH_BYTES = 4 << 20  # of a group's rows, on their way to the worker
 WINDOW = 1 << 20  # bytes of a block whose grams are held at once
 WORDS_AT_ONCE = 1 << 16
 GRAMS_AT_ONCE = 1 << 18  # of a shard, whose nodes are held at once
@@ -342,9 +343,11 @@ def ask(shards: int, depth: int):
         words, parts, number, per_text = _dealt(texts, shards)
         times = np.bincount(number[np.repeat(np.array(used, bool), per_text)], minlength=len(words)).astype("<u4")
         rows = [(name, "word", shard, b"\n".join(words[part]), packed(times[part])) for shard, part in parts]
+        del words, number, times
         trained = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if train], depth)
         other = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if not train], depth)
         grams, counts = merged([trained[0], other[0]], [trained[1], np.zeros(len(other[0]))])
+        del trained, other
         order, parts = _by_context(grams, shards)
         grams, counts = grams[order], counts[order].astype("<u4")
         rows += [(name, "gram", shard, packed(grams[part]), packed(counts[part])) for shard, part in parts]
@@ -517,6 +520,7 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", depth: int = D
     size = total_bytes(df, text)
     blocks, shards = block_count(size, block_bytes), block_count(size, shard_bytes)
     library_on_workers(df.sparkSession)
+    bounded_batches(df.sparkSession, nbytes=GROUP_BATCH_BYTES)
     spread = [f"`{c}`" for c in kept if "map<" not in df.schema[c].dataType.simpleString()]  # copies of a text go to many blocks
     docs = (
         df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(train, F.lit(False)).alias("__train"), as_bytes(text).alias("__text"))

@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_count, carried_and, carried_once, frugal, library_on_workers, owned_by, released, total_bytes
+from .common import block_count, bounded_batches, carried_and, carried_once, frugal, library_on_workers, owned_by, released, total_bytes
 from .wordhash import Words, ascending, from_ascending, from_planes, planes, words_of
 
 WINDOW = 20
 ANCHOR = WINDOW // 2
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 24 << 20
+GROUP_BATCH_BYTES = 4 << 20  # of a group's rows, on their way to the worker
 NULL_ID = -(2**63)
 
 ASKED = "block int, shard int, low binary, more binary, doc binary"
@@ -238,6 +239,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
     blocks = block_count(size, block_bytes)
     shards = 1 << (block_count(size, shard_bytes) - 1).bit_length()
     library_on_workers(df.sparkSession)
+    bounded_batches(df.sparkSession, nbytes=GROUP_BATCH_BYTES)
     unnamed = F.lit(NULL_ID) + F.xxhash64("__text").bitwiseAND(2**40 - 1)  # before all ids, over many blocks
     key = F.coalesce(F.col("doc_id").cast("long"), unnamed)
     docs = (

@@ -333,3 +333,14 @@ def test_a_shard_is_worked_off_in_parts_that_share_no_context(monkeypatch):
         assert a["keys"] == b["keys"] and a["zeros"] == b["zeros"] and np.allclose(np.frombuffer(a["below"]), np.frombuffer(b["below"]))
     for a, b in zip(whole[1], small[1], strict=True):
         assert a["block"] == b["block"] and np.allclose(ctw.unpacked(a["answer"], "<f8"), ctw.unpacked(b["answer"], "<f8"))
+
+
+def test_a_group_in_several_batches_gives_the_same_rows(spark, docs, monkeypatch):
+    ask = [lambda: sorted(map(str, substring.op6_block_anchors(docs).collect())),
+           lambda: sorted(map(str, ctw.score_texts(docs.select("doc_id", "text"), F.col("doc_id") % 2 == 0).select("doc_id", "n_tokens", F.round("score", 6)).collect()))]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    whole = [a() for a in ask]
+    assert int(spark.conf.get(key)) <= 4 << 20
+    spark.conf.set(key, "200")
+    assert [a() for a in ask] == whole
+    spark.conf.unset(key)
