@@ -11,20 +11,27 @@ the library whole.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import unicodedata
 from array import array
+from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-from .chunks import MARKS, chunks, keeps_letters_whole, words
-from .common import Memo, droppable
+from .chunks import MARKS, chunk_starts, chunks, holds_wide_white, keeps_letters_whole, latin_letters, words
+from .common import Memo, byte_column, droppable
 
 LATIN_END = "ɐ"
 CHUNK_ENTRIES, PIECE_ENTRIES = 400_000, 50_000  # words and words with marks need no memo of pieces
+UNIT_BYTES = 16 << 20  # of texts that are cut at once
+UNITS_BYTES = 64 << 20  # of distinct units kept with their ids
 _NOT_PLAIN = re.compile("[^\\x00-\u012f\u0131-\u024f]")  # beyond Latin, or a capital whose lower case is two characters
 
 
@@ -55,6 +62,9 @@ class LibraryCodec:
         self.model = self.tokenizer.model
         self.piece_memo = Memo(self._encode_piece, PIECE_ENTRIES)
         self.memo = Memo(self._encode_chunk, CHUNK_ENTRIES)
+        self.units = self.unit_ids = pa.array([], pa.large_binary())  # distinct ones of past texts, and their ids
+        self.special_bytes = [s.encode() for s in self.specials]
+        self.letters_plain = self.whole_letters and all(any(not c.isalpha() and c != " " for c in s) for s in self.specials)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -89,6 +99,85 @@ class LibraryCodec:
             text = text.lower()  # as the tokenizer does; capitalised words then share an entry
         return b"".join(map(self.memo.__getitem__, self.cut(text)))
 
+    def _encode_units(self, units: pa.Array) -> pa.Array:
+        """Of new units: chunks, their letters or what follows them; or whole texts that can't be cut as bytes.
+
+        Those of letters, the most by far, go to the model with few steps of Python's for each.
+        """
+        data, ends = byte_column(units)
+        plain = np.zeros(len(units), bool)
+        if self.letters_plain:
+            fine = latin_letters(data)
+            fine[ends[:-1]] |= (data[ends[:-1]] == 32) & (np.diff(ends) > 1)
+            plain = np.logical_and.reduceat(fine, ends[:-1])
+        others = units.filter(pa.array(~plain))
+        data, ends = byte_column(units.filter(pa.array(plain)))
+        mapped, at = data.tobytes().decode("latin-1").translate(self.symbols), ends.tolist()
+        found = [[t.id for t in self.model.tokenize(mapped[i:j])] for i, j in zip(at[:-1], at[1:], strict=True)]
+        after = np.cumsum([0, *map(len, found)], dtype=np.int64) * 4
+        flat = np.fromiter(itertools.chain.from_iterable(found), "<u4", int(after[-1]) // 4)
+        letters = pa.Array.from_buffers(pa.large_binary(), len(found), [None, pa.py_buffer(after), pa.py_buffer(flat)])
+        rest = pa.array([self.encode(u.decode()) for u in others.to_pylist()], pa.large_binary())
+        order = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]))
+        return pa.concat_arrays([letters, rest]).take(pa.array(order))
+
+    def _ids_of(self, units: pa.Array) -> pa.Array:
+        """Ids of distinct units; what is kept gives way to the latest when it is full."""
+        kept = len(self.units)
+        place = pc.index_in(units, self.units)
+        new = pc.is_null(place)
+        fresh = units.filter(new)
+        if len(fresh):
+            self.units = pa.concat_arrays([self.units, fresh])
+            self.unit_ids = pa.concat_arrays([self.unit_ids, self._encode_units(fresh)])
+        at = place.fill_null(0).to_numpy().astype(np.int64)
+        at[new.to_numpy(zero_copy_only=False)] = np.arange(kept, len(self.units))
+        ids = self.unit_ids.take(pa.array(at))
+        if self.units.nbytes + self.unit_ids.nbytes > UNITS_BYTES:
+            self.units, self.unit_ids = units, ids
+        return ids
+
+    def _uncut(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Numbers of the texts, each from one of ``begins``, that hold a special token's string or white space beyond ASCII."""
+        found, whole = holds_wide_white(data).tolist(), data.tobytes()
+        for special in self.special_bytes:
+            at = whole.find(special)
+            while at >= 0:
+                found.append(at)
+                at = whole.find(special, at + 1)
+        return np.unique(np.searchsorted(begins, found, "right") - 1)
+
+    def encode_column(self, texts: pa.Array) -> Iterator[bytes]:
+        """What :meth:`encode` gives for each text of a column without nulls; equal chunks of many texts are looked up once."""
+        if self.folds:
+            yield from map(self.encode, texts.to_pylist())
+            return
+        data, ends = byte_column(texts.cast(pa.large_binary()))
+        row = 0
+        while row < len(texts):
+            stop = max(row + 1, int(np.searchsorted(ends, ends[row] + UNIT_BYTES, "right")) - 1)
+            yield from self._encode_rows(data[ends[row]:ends[stop]], ends[row:stop + 1] - ends[row])
+            row = stop
+
+    def _encode_rows(self, data: np.ndarray, ends: np.ndarray) -> Iterator[bytes]:
+        if not len(data):
+            yield from [b""] * (len(ends) - 1)
+            return
+        full = np.flatnonzero(np.diff(ends))
+        begins = ends[full]
+        starts = chunk_starts(data, begins, self.whole_letters)
+        uncut = self._uncut(data, begins)
+        if len(uncut):
+            of = np.searchsorted(begins, starts, "right") - 1
+            starts = starts[~np.isin(of, uncut) | (starts == begins[of])]
+        offsets = np.append(starts, len(data))
+        units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        ids, after = byte_column(self._ids_of(units.dictionary).take(units.indices))
+        cuts = after[np.searchsorted(starts, ends)]
+        ids, cuts = ids.tobytes(), cuts.tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield ids[a:b]
+
 
 @functools.lru_cache(maxsize=4)
 def library_codec(path: str) -> LibraryCodec:

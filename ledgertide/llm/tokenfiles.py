@@ -123,8 +123,8 @@ def write(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
             return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(n, pa.int64())) for n, v in row.items()], names=list(row))
 
         for batch in batches:
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = codec.encode(body) + end
+            for key, ids in zip(batch.column(0).to_pylist(), codec.encode_column(batch.column(1)), strict=True):
+                ids += end
                 held += len(ids) // 4
                 keys.append(key)
                 ends.append(held)

@@ -5,13 +5,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ledgertide.llm import bpe, counts, packing, tokenfiles
-from ledgertide.llm.chunks import keeps_letters_whole
+from ledgertide.llm import bpe, counts, library, packing, tokenfiles
+from ledgertide.llm.chunks import chunk_starts, chunks, keeps_letters_whole
 from ledgertide.llm.library import LibraryCodec, library_codec
 from tests.llm.conftest import ROWS
 
@@ -174,3 +175,39 @@ def test_digests_need_no_text_back_from_the_workers(docs):
     coded = bpe.encode(docs, decoded="decoded", kept=["doc_id"])
     assert coded.columns == ["doc_id", "ids", "decoded"] and coded.count() == len(ROWS)
     assert bpe.encode(docs, kept=[]).columns == ["ids"]
+
+
+MIXED = st.text(st.sampled_from(" \n\r\v\taAbBé×÷ßɏɐ\x85\xa0\u1680\u2003\u2028\u205f\u3000“中9.,!?'s\x1c"), max_size=30)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(MIXED | TEXTS | st.sampled_from(["", "<|endoftext|>", "a <|endoftext|>b", "word,", " word"]), max_size=8))
+def test_a_column_encodes_as_the_library_does(texts):
+    codec = library_codec(P.path(tokenfiles.DEFAULT_TOKENIZER))
+    want = [BYTE.encode(t, add_special_tokens=False).ids for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        assert [ids(x) for x in codec.encode_column(pa.array(["cut off", *texts], kind).slice(1))] == want
+    plain = [t.encode() for t in texts if t and not set(t) & set("\x85\xa0\u1680\u2003\u2028\u205f\u3000")]
+    if plain:
+        begins = np.cumsum([0, *map(len, plain)])
+        starts = chunk_starts(np.frombuffer(b"".join(plain), np.uint8), begins[:-1], False).tolist()
+        cuts = [a + sum(map(len, (c.encode() for c in chunks(t.decode())[:i]))) for a, t in zip(begins, plain) for i in range(len(chunks(t.decode())))]
+        assert starts == cuts
+
+
+def test_a_word_of_many_texts_goes_to_the_model_once(monkeypatch):
+    codec, asked = LibraryCodec(P.path(tokenfiles.DEFAULT_TOKENIZER)), []
+
+    class Model:
+        def tokenize(self, piece, own=codec.model):
+            asked.append(piece)
+            return own.tokenize(piece)
+
+    codec.model = Model()
+    texts = ["a borel, a borel. ", "The borel!"] * 500
+    want = [BYTE.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(library, "UNIT_BYTES", 2000)  # in several slices
+    assert [ids(x) for x in codec.encode_column(pa.array(texts))] == want
+    assert asked.count("Ġborel") == 1
+    monkeypatch.setattr(library, "UNITS_BYTES", 0)  # what is kept gives way each time
+    assert [ids(x) for x in codec.encode_column(pa.array(texts))] == want
