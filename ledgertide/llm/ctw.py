@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, block_count, bounded_batches, frugal, library_on_workers, stored, total_bytes
+from .common import as_bytes, block_count, bounded_batches, frugal, library_on_workers, stored, total_bytes, unused_returned
 from .langid import remainder
 from .wordhash import mixed
 
@@ -266,24 +266,39 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return every[starts], np.add.reduceat(n, starts)
 
 
-def distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct numbers of all parts, sorted, and how often each occurs."""
-    every = np.concatenate([np.zeros(0, np.uint64), *parts])
-    every.sort()
-    starts = first_of(every)
-    return every[starts], np.diff(starts, append=len(every)).astype(np.float64)
+def distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, sorted, and how often each occurs; ``grams`` is sorted in place."""
+    grams.sort()
+    starts = first_of(grams).astype(np.int32 if len(grams) < 2**31 else np.int64)
+    return grams[starts], np.diff(starts, append=starts.dtype.type(len(grams))).astype(np.uint32)
 
 
 def _counted_grams(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts, held = [], [], []
+    """Distinct grams of streams, sorted, and how often each occurs; windows gather in one array of bounded size."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+    held, at = np.empty(min(sum(map(len, streams)), BLOCK_BYTES + WINDOW), np.uint64), 0
     for grams, _ in windows(streams, depth) if streams else ():
-        held.append(grams)
-        if len(held) * WINDOW > BLOCK_BYTES:
-            found, held = distinct(held), []
+        if at + len(grams) > len(held):
+            found = distinct(held[:at])
             keys.append(found[0])
             counts.append(found[1])
-    found = distinct(held)
-    return merged([*keys, found[0]], [*counts, found[1]]) if keys else found
+            at = 0
+        held[at:at + len(grams)] = grams
+        at += len(grams)
+    found = distinct(held[:at])
+    if len(keys) == 1:
+        return found
+    del held
+    return merged([*keys, found[0]], [*counts, found[1]])
+
+
+def with_uncounted(grams: np.ndarray, counts: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both sorted lists of distinct grams as one; those that occur among ``others`` only have no count."""
+    at = np.searchsorted(grams, others)
+    new = np.append(grams, np.uint64(0))[at] != others
+    new |= at == len(grams)
+    at, others = at[new], others[new]
+    return np.insert(grams, at, others), np.insert(counts, at, 0)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -329,10 +344,17 @@ def _dealt(texts: list[bytes], shards: int) -> tuple[list[bytes], list[tuple[int
 
 def _by_context(grams: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     """An order of distinct sorted grams by context shard, and each shard's part of it."""
-    shard = (mixed(grams >> np.uint64(64 - 8 * SHARED)) % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    cuts = [*first_of(shard[order]).tolist(), len(order)]
-    return order, [(int(shard[order[a]]), slice(a, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    starts = first_of(grams >> np.uint64(64 - 8 * SHARED))  # grams of one context lie together and go together
+    shard = (mixed(grams[starts] >> np.uint64(64 - 8 * SHARED)) % np.uint64(shards)).astype(np.int64)
+    by_shard = np.argsort(shard, kind="stable")
+    shard, lengths = shard[by_shard], np.diff(starts, append=len(grams))[by_shard]
+    begins = np.cumsum(lengths) - lengths
+    kind = np.int32 if len(grams) < 2**31 else np.int64
+    order = np.repeat((starts[by_shard] - begins).astype(kind), lengths)
+    order += np.arange(len(grams), dtype=kind)
+    first = first_of(shard)
+    cuts = [*begins[first].tolist(), len(grams)]
+    return order, [(int(n), slice(a, b)) for n, a, b in zip(shard[first], cuts[:-1], cuts[1:], strict=True)]
 
 
 def ask(shards: int, depth: int):
@@ -344,13 +366,14 @@ def ask(shards: int, depth: int):
         times = np.bincount(number[np.repeat(np.array(used, bool), per_text)], minlength=len(words)).astype("<u4")
         rows = [(name, "word", shard, b"\n".join(words[part]), packed(times[part])) for shard, part in parts]
         del words, number, times
-        trained = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if train], depth)
-        other = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if not train], depth)
-        grams, counts = merged([trained[0], other[0]], [trained[1], np.zeros(len(other[0]))])
-        del trained, other
+        unused_returned()
+        grams, counts = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if train], depth)
+        other = _counted_grams([stream_of(t) for t, train in zip(texts, used, strict=True) if not train], depth)[0]
+        grams, counts = with_uncounted(grams, counts, other)
+        del other
         order, parts = _by_context(grams, shards)
-        grams, counts = grams[order], counts[order].astype("<u4")
-        rows += [(name, "gram", shard, packed(grams[part]), packed(counts[part])) for shard, part in parts]
+        rows += [(name, "gram", shard, packed(grams[order[part]]), packed(counts[order[part]].astype("<u4"))) for shard, part in parts]
+        del grams, counts, order
         return table(ASKED, rows)
 
     return run
@@ -377,15 +400,21 @@ def _lists(asked: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield blocks[i], unpacked(keys[i].as_buffer(), "<u8"), unpacked(counts[i].as_buffer(), "<u4")
 
 
-def _counted(asked: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All distinct grams, sorted, and their counts: blocks are merged whenever they hold more than what has been merged."""
-    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0)]
-    for _, grams, times in _lists(asked):
-        keys.append(grams)
-        counts.append(times.astype(np.float64))
-        if sum(map(len, keys[1:])) > max(GRAMS_AT_ONCE, len(keys[0])):
-            keys, counts = ([a] for a in merged(keys, counts))
-    return merged(keys, counts)
+def _counted(lists: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[list[slice], np.ndarray, np.ndarray]]:
+    """All distinct grams of the lists, sorted, and their counts: range by range of contexts, with the place of each list's grams.
+
+    A range takes about ``GRAMS_AT_ONCE`` grams of all lists; no context of ``SHARED`` bytes lies in two.
+    """
+    longest = max((grams for grams, _ in lists), key=len)
+    every = max(1, GRAMS_AT_ONCE * len(longest) // max(1, sum(len(grams) for grams, _ in lists)))
+    low = np.uint64(64 - 8 * SHARED)
+    bounds = np.unique(longest[every::every] >> low << low)
+    cuts = [[0, *np.searchsorted(grams, bounds).tolist(), len(grams)] for grams, _ in lists]
+    for i in range(len(bounds) + 1):
+        spans = [slice(c[i], c[i + 1]) for c in cuts]
+        found = merged([grams[s] for (grams, _), s in zip(lists, spans, strict=True)],
+                       [times[s].astype(np.float64) for (_, times), s in zip(lists, spans, strict=True)])
+        yield spans, *found
 
 
 def context_slices(grams: np.ndarray, least: int | None = None) -> Iterator[slice]:
@@ -414,14 +443,14 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
 def to_the_top(depth: int):
     """A context shard's share in the nodes of depth ``SHARED - 1``."""
     def run(asked: pa.Table) -> pa.Table:
-        grams, counts = _counted(asked)
-        grams, counts = grams[counts > 0], counts[counts > 0]
         shares: list[list[list[np.ndarray]]] = [[] for _ in range(8)]
-        for part in context_slices(grams):
-            for k in range(8):  # one at a time, for memory
-                for level in levels_up(grams[part], counts[part], depth, [k]):
-                    pass  # only the last, the shallowest
-                shares[k].append(_summed(level.parents(), level.zeros, level.ones, level.weighted))
+        for _, every, times in _counted([(grams, n) for _, grams, n in _lists(asked)]):
+            grams, counts = every[times > 0], times[times > 0]
+            for part in context_slices(grams):
+                for k in range(8):  # one at a time, for memory
+                    for level in levels_up(grams[part], counts[part], depth, [k]):
+                        pass  # only the last, the shallowest
+                    shares[k].append(_summed(level.parents(), level.zeros, level.ones, level.weighted))
         rows = []
         for k, parts in enumerate(shares):
             keys, *values = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else [np.zeros(0, np.uint64), *[np.zeros(0)] * 3]
@@ -444,13 +473,20 @@ def meet_at_the_top(parts: pa.Table) -> pa.Table:
 
 def tell_chances(depth: int, top):
     def run(asked: pa.Table) -> pa.Table:
-        every, counts = _counted(asked)
-        found = np.zeros(len(every))
-        for part in context_slices(every):
-            for k in range(8):  # one at a time, for memory
-                found[part] += chances_by_runs(every[part], counts[part], depth, top.value, k)
-        name = asked["shard"][0].as_py()
-        return table(TOLD, [(block, "gram", name, packed(found[np.searchsorted(every, g)]), 0, 0) for block, g, _ in _lists(asked)])
+        lists, name = list(_lists(asked)), asked["shard"][0].as_py()
+        answers = [np.empty(len(grams)) for _, grams, _ in lists]
+        for spans, every, counts in _counted([(grams, times) for _, grams, times in lists]):
+            found = np.zeros(len(every))
+            for part in context_slices(every):
+                for k in range(8):  # one at a time, for memory
+                    found[part] += chances_by_runs(every[part], counts[part], depth, top.value, k)
+            for answer, span, (_, grams, _) in zip(answers, spans, lists, strict=True):
+                answer[span] = found[np.searchsorted(every, grams[span])]
+        rows = []
+        for i, (block, _, _) in enumerate(lists):
+            rows.append((block, "gram", name, packed(answers[i]), 0, 0))
+            lists[i] = answers[i] = None
+        return table(TOLD, rows)
 
     return run
 
@@ -472,20 +508,26 @@ def _base_scores(texts: list[bytes], shards: int, tokens: int, known: int, answe
 
 def _gram_scores(texts: list[bytes], shards: int, depth: int, answers: dict[int, pa.Buffer]) -> np.ndarray:
     """Log10 probabilities of texts from the answers of the context shards."""
-    found = []
+    found, kind = [], np.uint16 if len(texts) <= 2**16 else np.int32
     for grams, stream in windows([stream_of(t) for t in texts], depth):
         order = np.argsort(grams)
         grams = grams[order]
         starts = first_of(grams)
-        found.append((grams[starts], np.diff(starts, append=len(grams)).astype(np.int32), stream[order].astype(np.int32)))
-    every = distinct([g for g, _, _ in found])[0]
+        found.append([grams[starts], np.diff(starts, append=len(grams)).astype(np.int32), stream.astype(kind)[order]])
+        del grams, stream, order, starts
+    every = np.concatenate([g for g, _, _ in found])
+    every.sort()
+    every = every[np.concatenate([[True], every[1:] != every[:-1]])]
+    for one in found:  # places take half the room of grams
+        one[0] = np.searchsorted(every, one[0]).astype(np.int32 if len(every) < 2**31 else np.int64)
     order, parts = _by_context(every, shards)
     chance = np.empty(len(every))
+    del every
     for shard, part in parts:
         chance[order[part]] = unpacked(answers[shard], "<f8")
     scores = np.zeros(len(texts))
-    for grams, times, stream in found:
-        scores += np.bincount(stream, np.repeat(chance[np.searchsorted(every, grams)], times), len(texts))
+    for places, times, stream in found:
+        scores += np.bincount(stream, np.repeat(chance[places], times), len(texts))
     return scores / LN10
 
 
@@ -496,6 +538,7 @@ def _scored(shards: int, depth: int, tokens: int, known: int, kept: list[str]):
         for kind, shard, answer in zip(told["kind"].to_pylist(), told["shard"].to_pylist(), told["answer"], strict=True):
             answers[kind][shard] = answer.as_buffer()
         bases = _base_scores(texts, shards, tokens, known, answers.pop("word"))
+        unused_returned()
         scores = _gram_scores(texts, shards, depth, answers.pop("gram")).tolist()
         out = [(n, seen, tokens, base, score) for (n, seen, base), score in zip(bases, scores, strict=True)]
         result = table(RESULT, out)

@@ -2,6 +2,7 @@
 
 import inspect
 import math
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -344,3 +345,45 @@ def test_a_group_in_several_batches_gives_the_same_rows(spark, docs, monkeypatch
     spark.conf.set(key, "200")
     assert [a() for a in ask] == whole
     spark.conf.unset(key)
+
+
+def test_a_block_is_asked_and_scored_in_few_bytes_for_each_of_its_own(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = b" ".join(rng.integers(97, 123, int(n)).astype(np.uint8).tobytes() for n in rng.integers(3, 9, 80_000))
+    monkeypatch.setattr(ctw, "WINDOW", 1 << 16)
+    docs = ctw.pa.table({"__text": [text, b"held out " * 9], "__train": [True, False], "__block": ctw.pa.array([0, 0], "int32")})
+    size = docs["__text"].nbytes
+
+    def peak(fn, *args):
+        tracemalloc.start()
+        result = fn(*args)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return result, most / size
+
+    grams, counts = ctw._counted_grams([ctw.stream_of(text)], 6)
+    assert peak(ctw._counted_grams, [ctw.stream_of(text)], 6)[1] < 33
+    order, parts = ctw._by_context(grams, 7)
+    shard = (ctw.mixed(grams >> np.uint64(40)) % np.uint64(7)).astype(int)
+    assert (order == np.argsort(shard, kind="stable")).all() and {n: p.stop - p.start for n, p in parts} == Counter(shard.tolist())
+    asked = ctw.ask(7, 6)(docs).to_pylist()
+    back = {r["shard"]: (ctw.unpacked(r["keys"], "<u8"), ctw.unpacked(r["counts"], "<u4")) for r in asked if r["kind"] == "gram"}
+    every, times = ctw.merged([g for g, _ in back.values()], [n for _, n in back.values()])
+    other = ctw._counted_grams([ctw.stream_of(b"held out " * 9)], 6)[0]
+    assert set(every.tolist()) == {*grams.tolist(), *other.tolist()} and (times[np.searchsorted(every, grams)] == counts).all() and times.sum() == counts.sum()
+    answers = {n: ctw.pa.py_buffer(ctw.packed(-np.ones(len(g)))) for n, (g, _) in back.items()}
+    scores, most = peak(ctw._gram_scores, docs["__text"].to_pylist(), 7, 6, answers)
+    assert np.allclose(scores * ctw.LN10, [-len(ctw.stream_of(t)) for t in docs["__text"].to_pylist()]) and most < 50
+
+
+def test_a_shards_grams_are_counted_range_by_range(monkeypatch):
+    rng = np.random.default_rng(4)
+    lists = [(np.unique(rng.integers(0, 2**62, n).astype(np.uint64)), np.ones(n, "<u4")) for n in (900, 500, 0, 1)]
+    lists.append((lists[0][0][::3], np.full(300, 2**32 - 1, "<u4")))
+    monkeypatch.setattr(ctw, "GRAMS_AT_ONCE", 100)
+    spans, every, counts = zip(*ctw._counted(lists), strict=True)
+    assert len(every) > 10 and max(map(len, every)) < 400
+    want = ctw.merged([g for g, _ in lists], [n.astype(float) for _, n in lists])
+    assert (np.concatenate(every) == want[0]).all() and (np.concatenate(counts) == want[1]).all()
+    for i, (grams, _) in enumerate(lists):
+        assert np.concatenate([grams[s[i]] for s in spans]).tolist() == grams.tolist()
