@@ -168,6 +168,18 @@ def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first: sorted ones compress well so; before them their number."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes | pa.Buffer, kind: str) -> np.ndarray:
+    n, width = int.from_bytes(memoryview(data)[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(pa.py_buffer(data)[8:], n * width, "zstd") if n else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def with_columns(batch: pa.RecordBatch, drop: tuple[str, ...], new: dict[str, pa.Array]) -> pa.RecordBatch:
     """The batch without ``drop`` and with ``new`` columns at the end."""
     kept = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n not in drop and n not in new}

@@ -16,7 +16,8 @@ of documents counts and asks for its distinct grams only.
 Spark's part is questions and answers, all packed into binary columns: blocks of
 documents ask word shards (by the word's hash) for counts of words and context
 shards (by the last three bytes of the context) for chances of grams; answers
-travel back. Only the nodes above depth three meet in one place: executors sum
+travel back. Questions travel once: a context shard keeps its own, as one row,
+until the top of the tree is known. Only the nodes above depth three meet in one place: executors sum
 those of depth two, by decision, and the driver gets each once, 32 bytes for
 each of the decisions that occur after two bytes (at most 255 * 256**2, 535 MB). Shards and blocks grow in number with the input; a hot word or
 context is one entry per asker.
@@ -24,6 +25,7 @@ context is one entry per asker.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -32,10 +34,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, block_count, bounded_batches, frugal, library_on_workers, stored, total_bytes, unused_returned
+from .common import as_bytes, block_count, bounded_batches, frugal, library_on_workers, packed, stored, total_bytes, unpacked, unused_returned
 from .langid import remainder
 from .wordhash import mixed
 
@@ -301,15 +304,6 @@ def with_uncounted(grams: np.ndarray, counts: np.ndarray, others: np.ndarray) ->
     return np.insert(grams, at, others), np.insert(counts, at, 0)
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Numbers byte by byte, all first bytes first: sorted ones compress well so."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-
-
-def unpacked(data: bytes | pa.Buffer, kind: str) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
 def word_shard(word: bytes, shards: int) -> int:
     return zlib.crc32(word) % shards
 
@@ -491,6 +485,41 @@ def tell_chances(depth: int, top):
     return run
 
 
+#: A context shard's share in the top, and, as one row, all that it was asked.
+SETTLED = f"shard int, {TOP}, asked array<struct<block: int, keys: binary, counts: binary>>"
+
+
+def settle(depth: int):
+    """A context shard's share in the top, and its questions as they are, for :func:`tell_settled`."""
+    share = to_the_top(depth)
+    lists = pa.list_(pa.struct([("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+    columns = pa.schema([("shard", pa.int32()), *table(TOP, []).schema, ("asked", lists)])
+
+    def run(asked: pa.Table) -> pa.Table:
+        top, name = share(asked), asked["shard"][0].as_py()
+        rows = pa.StructArray.from_arrays([asked[f.name].combine_chunks().cast(f.type) for f in lists.value_type], fields=list(lists.value_type))
+        whole = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows, type=lists)
+        top = [pa.array([name] * len(top), pa.int32()), *top.columns, pa.nulls(len(top), lists)]
+        own = [pa.array([name], pa.int32()), *(pa.nulls(1, f.type) for f in list(columns)[1:-1]), whole]
+        return pa.concat_tables([pa.table(top, schema=columns), pa.table(own, schema=columns)])
+
+    return run
+
+
+def tell_settled(depth: int, top):
+    """What :func:`tell_chances` gives for each context shard's row of :func:`settle`."""
+    tell = frugal(tell_chances(depth, top))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                rows = batch.column("asked")[i].values
+                same = pa.array([shard] * len(rows), pa.int32())
+                yield from tell(pa.table({"shard": same, **{c: rows.field(c) for c in ("block", "keys", "counts")}})).to_batches()
+
+    return run
+
+
 RESULT = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
@@ -532,6 +561,7 @@ def _gram_scores(texts: list[bytes], shards: int, depth: int, answers: dict[int,
 
 
 def _scored(shards: int, depth: int, tokens: int, known: int, kept: list[str]):
+    """Columns ``kept`` of a block's documents and their scores."""
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         texts = docs["__text"].to_pylist()
         answers: dict[str, dict[int, pa.Buffer]] = {"word": {}, "gram": {}}
@@ -569,18 +599,26 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", depth: int = D
         df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(train, F.lit(False)).alias("__train"), as_bytes(text).alias("__text"))
         .withColumn("__block", F.pmod(F.xxhash64("__text", *spread), F.lit(blocks)).cast("int"))
     )
-    by_block = docs.groupBy("__block")
-    asked = stored(by_block.applyInArrow(frugal(ask(shards, depth)), ASKED), "asked")
+    asked = docs.select("__text", "__train", "__block").groupBy("__block").applyInArrow(frugal(ask(shards, depth)), ASKED)
+    asked = asked.persist(StorageLevel.DISK_ONLY)  # until all questions are with their shards
     counts = stored(asked.where("kind = 'word'").groupBy("shard").applyInArrow(frugal(tell_words), TOLD), "counts")
+    settled = stored(asked.where("kind = 'gram'").groupBy("shard").applyInArrow(frugal(settle(depth)), SETTLED), "settled")
+    asked.unpersist()
     sums = counts.agg(F.sum("tokens"), F.sum("known")).first()
     tokens, known = int(sums[0] or 0), int(sums[1] or 0)
-    by_context = asked.where("kind = 'gram'").groupBy("shard")
-    shares = by_context.applyInArrow(frugal(to_the_top(depth)), TOP)
+    some = F.pmod("shard", F.lit(math.isqrt(shards) + 1))  # what shards share in the top meets in two steps, so that no task reads it all
+    shares = settled.where("asked IS NULL").groupBy("k", some).applyInArrow(frugal(meet_at_the_top), TOP)
     met = shares.groupBy("k").applyInArrow(frugal(meet_at_the_top), TOP).toArrow()
     top = df.sparkSession.sparkContext.broadcast(top_levels(*joined(met)))
-    told = counts.unionByName(by_context.applyInArrow(frugal(tell_chances(depth, top)), TOLD))
-    fields = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept], RESULT])
-    return by_block.cogroup(told.groupBy("block")).applyInArrow(frugal(_scored(shards, depth, tokens, known, kept)), fields)
+    told = counts.unionByName(settled.where("asked IS NOT NULL").select("shard", "asked").mapInArrow(tell_settled(depth, top), TOLD))
+    # the text goes along once, as bytes; its own column tells where it is null
+    whole = docs.select("__block", "__text", *[F.col(f"`{c}`").isNull().alias(c) if c == text else F.col(f"`{c}`") for c in kept])
+    own = [f"`{c}` {'boolean' if c == text else df.schema[c].dataType.simpleString()}" for c in kept]
+    fields = ", ".join(["__text binary", *own, RESULT])
+    by_block = whole.groupBy("__block").cogroup(told.groupBy("block"))
+    scored = by_block.applyInArrow(frugal(_scored(shards, depth, tokens, known, ["__text", *kept])), fields)
+    back = [F.when(~F.col(f"`{c}`"), F.col("__text").cast(df.schema[c].dataType)).alias(c) if c == text else F.col(f"`{c}`") for c in kept]
+    return scored.select(*back, *new)
 
 
 def op2_context_tree(documents: DataFrame) -> DataFrame:

@@ -387,3 +387,39 @@ def test_a_shards_grams_are_counted_range_by_range(monkeypatch):
     assert (np.concatenate(every) == want[0]).all() and (np.concatenate(counts) == want[1]).all()
     for i, (grams, _) in enumerate(lists):
         assert np.concatenate([grams[s[i]] for s in spans]).tolist() == grams.tolist()
+
+
+def test_numbers_travel_in_few_bytes_and_come_back():
+    rng = np.random.default_rng(5)
+    for kind in ("<u8", "<u4", "<f8", "<i4"):
+        for n in (0, 1, 3000):
+            values = np.sort(rng.integers(0, 50, n)).astype(kind)
+            data = common.packed(values)
+            assert common.unpacked(data, kind).tolist() == values.tolist()
+            assert common.unpacked(common.pa.py_buffer(data), kind).tolist() == values.tolist()
+            assert n < 3000 or len(data) < values.nbytes / 10
+
+
+def test_a_settled_shard_tells_what_it_would_have_told():
+    grams = [ctw._counted_grams([ctw.stream_of(t)], 6)[0] for t in (b"the cat sat on the mat", b"the hat")]
+    asked = ctw.table(ctw.ASKED, [(b, "gram", 3, ctw.packed(g), ctw.packed(np.ones(len(g), "<u4"))) for b, g in enumerate(grams)])
+    settled = ctw.settle(6)(asked)
+    whole = ctw.to_the_top(6)(asked)
+    assert settled.slice(0, 8).select(whole.column_names).to_pylist() == whole.to_pylist() and set(settled["shard"].to_pylist()) == {3}
+
+    class Top:
+        value = ctw.top_levels(*ctw.joined(whole))
+
+    told = ctw.pa.Table.from_batches(ctw.tell_settled(6, Top)(settled.slice(8).combine_chunks().to_batches()))
+    assert len(settled) == 9 and told.to_pylist() == ctw.tell_chances(6, Top)(asked).to_pylist()
+
+
+def test_texts_go_to_their_blocks_once_and_come_back_whole(spark, docs, monkeypatch):
+    dealt, own = [], type(docs).groupBy
+    monkeypatch.setattr(type(docs), "groupBy", lambda self, *c: (dealt.append((c, dict(self.dtypes))), own(self, *c))[1])
+    scored = ctw.score_texts(docs, F.col("doc_id") % 2 == 1, block_bytes=3000, shard_bytes=20_000)
+    want = sorted(docs.collect(), key=str)
+    assert scored.columns[:4] == docs.columns and sorted(scored.select(docs.columns).collect(), key=str) == want
+    sent = [kinds for by, kinds in dealt if by == ("__block",)]
+    assert [(kinds["__text"], kinds.get("text")) for kinds in sent] == [("binary", None), ("binary", "boolean")]
+    assert sum(by == ("shard",) for by, _ in dealt) == 2  # words and grams go to their shards once each
