@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, byte_column, carried_and, carried_once, map_batches, released
+from .common import as_bytes, byte_column, carried_and, carried_once, map_batches, packed, released, unpacked, unused_returned
 
 UNKNOWN = "und"
 HASH_BITS = 17
@@ -194,11 +194,14 @@ def fit(labelled: DataFrame, order_by: Column, text: str = "text", lang: str = "
         for batch in batches:
             found = [counted(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array([r.tobytes() for r, _ in found], pa.binary()),
-                 pa.array([n.tobytes() for _, n in found], pa.binary())], names=["lang", "at", "n"])
+                [batch.column("lang"), pa.array([packed(r) for r, _ in found], pa.binary()),
+                 pa.array([packed(n) for _, n in found], pa.binary())], names=["lang", "at", "n"])
 
     rows = map_batches(sample.select("lang", "text"), run, "lang string, at binary, n binary").collect()
-    return train([(r.lang, np.frombuffer(bytes(r.at), np.int32), np.frombuffer(bytes(r.n), np.float32)) for r in rows])
+    model = train([(r.lang, unpacked(r.at, "<i4"), unpacked(r.n, "<f4")) for r in rows])
+    del rows
+    unused_returned()  # the driver outlives its training
+    return model
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -400,6 +400,17 @@ def test_numbers_travel_in_few_bytes_and_come_back():
             assert n < 3000 or len(data) < values.nbytes / 10
 
 
+def test_a_sample_comes_to_the_driver_in_few_bytes(spark, monkeypatch):
+    sent, given, own = [], [], langid.unpacked
+    monkeypatch.setattr(langid, "unpacked", lambda data, kind: (sent.append((len(data), own(data, kind))), sent[-1][1])[1])
+    monkeypatch.setattr(langid, "unused_returned", lambda: given.append(len(sent)))
+    model = langid.fit(parquet(spark), F.xxhash64("doc_id"))
+    assert given == [len(sent)] and 2 * sum(n for n, _ in sent) < sum(a.nbytes for _, a in sent)
+    rows = {(a.tobytes(), n.tobytes()) for (_, a), (_, n) in zip(sent[::2], sent[1::2], strict=True)}
+    texts = [r.text.encode() for r in parquet(spark).select("text").collect() if r.text]
+    assert rows <= {tuple(x.tobytes() for x in langid.counted(t)) for t in texts} and len(model.languages) > 1
+
+
 def test_a_settled_shard_tells_what_it_would_have_told():
     grams = [ctw._counted_grams([ctw.stream_of(t)], 6)[0] for t in (b"the cat sat on the mat", b"the hat")]
     asked = ctw.table(ctw.ASKED, [(b, "gram", 3, ctw.packed(g), ctw.packed(np.ones(len(g), "<u4"))) for b, g in enumerate(grams)])
